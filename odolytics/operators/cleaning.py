@@ -126,14 +126,16 @@ DRIVER_FEATURES = ["rating", "no_of_years_driving_exp", "age"]
 
 
 def feature_catalog(df: DataFrame) -> DataFrame:
-    """(feature, category) rows for the model inputs found in the schema."""
-    pairs = [
-        (name, group)
-        for name in feature_names(df)
+    """(feature, category, n_values) for the model inputs found in the schema, from one scan."""
+    names = feature_names(df)
+    wide = df.agg(*[F.count(c).alias(c) for c in names])
+    structs = [
+        F.struct(F.lit(name).alias("feature"), F.lit(group).alias("category"), F.col(name).alias("n_values"))
+        for name in names
         for group in [g for g in FEATURE_GROUPS if g in name.lower()]
         + (["driver"] if name in DRIVER_FEATURES else [])
     ]
-    return df.sparkSession.createDataFrame(pairs, "feature string, category string")
+    return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:

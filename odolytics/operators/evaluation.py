@@ -94,13 +94,16 @@ def roc_auc(
     df: DataFrame, label: str = "label", score: str = "p", by: Sequence[str] = (), rows_per_task: int = ordered.HOT_ROWS
 ) -> DataFrame:
     """Area under the ROC curve; ties count half."""
+    return _area(df, label, score, by, rows_per_task).drop(ALL)
+
+
+def _area(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per_task: int = ordered.HOT_ROWS) -> DataFrame:
     points, keys = _by_score(df, label, score, by, rows_per_task)
     area = F.sum(F.col("neg") * (F.col("cum_tp") - F.col("pos") / 2.0))
     return (
         points.groupBy(*keys)
         .agg(area.alias("area"), F.max("all_pos").alias("all_pos"), F.max("all_neg").alias("all_neg"))
         .select(*keys, ratio(F.col("area"), F.col("all_pos").cast("double") * F.col("all_neg")).alias("roc_auc"))
-        .drop(ALL)
     )
 
 
@@ -144,7 +147,7 @@ def classification_metrics(
     keys = list(by) or [ALL]
     source = df if by else df.withColumn(ALL, F.lit(1))
     cells = rates(confusion(source, label, predicted(score, threshold), keys))
-    auc = roc_auc(source, label, score, keys)
+    auc = _area(source, label, score, keys)
     return cells.join(auc, keys, "left").drop(ALL)
 
 

@@ -108,8 +108,8 @@ def detect_stage(spark, folder):
     "validate_input",
     f"WITH {P.SENSOR} "
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {'false' if c == 'gyro_z' else 'true'} AS present, "
-        f"{'0::BIGINT' if c == 'gyro_z' else f'count(\"{c}\")'} AS n_values FROM sensor"
+        "SELECT 'gyro_z' AS column_name, false AS present, 0::BIGINT AS n_values" if c == "gyro_z"
+        else f"SELECT '{c}' AS column_name, true AS present, count(\"{c}\") AS n_values FROM sensor"
         for c in S.REQUIRED_COLUMNS
     ),
 )
@@ -358,8 +358,11 @@ def _catalog_sql() -> str:
     names = [*S.TRIP_FEATURES, "rating", "no_of_years_driving_exp", "age"]
     rows = [(n, g) for n in names for g in cleaning.FEATURE_GROUPS if g in n]
     rows += [(n, "driver") for n in cleaning.DRIVER_FEATURES]
-    values = ", ".join(f"('{n}', '{g}')" for n, g in rows)
-    return f"SELECT * FROM (VALUES {values}) t(feature, category)"
+    return f"WITH {P.FEATURES}, {P.LABEL}, {P.DRIVER}, {P.DRIVER_CLEAN}, joined AS (" \
+        'SELECT f.*, d.* FROM safety_label l LEFT JOIN features f USING ("bookingID") ' \
+        "LEFT JOIN driver_clean d ON l.driver_id = d.id) " + " UNION ALL ".join(
+            f"SELECT '{n}' AS feature, '{g}' AS category, count({n}) AS n_values FROM joined" for n, g in rows
+        )
 
 
 @query("select_features", _catalog_sql())
