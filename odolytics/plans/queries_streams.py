@@ -8,7 +8,7 @@ from odolytics import schema as S
 from odolytics.operators import cleaning, trips
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.models_used import SCORED_TRIPS, linear_model
-from odolytics.plans.queries_ingest import AS_OF, FEATURE_ROWS, LIST
+from odolytics.plans.queries_ingest import AS_OF, FEATURE_PLACES, FEATURE_ROWS, LIST
 from odolytics.plans.queries_models import DECIDED
 from odolytics.plans.registry import query, rounded
 from odolytics.session import work_path
@@ -79,7 +79,7 @@ def _stream_features(spark, folder):
 @query("stream_trip_features", FEATURE_ROWS)
 def stream_trip_features(spark, folder):
     """The last version of every trip equals the batch features."""
-    return rounded(trip_state.latest(jobs.run_to_table(_stream_features(spark, folder), "stream-features")))
+    return rounded(trip_state.latest(jobs.run_to_table(_stream_features(spark, folder), "stream-features")), FEATURE_PLACES)
 
 
 @query("stream_score", f"{SCORED_TRIPS} SELECT {DECIDED} FROM decided")
@@ -114,4 +114,4 @@ def stream_incremental_sink(spark, folder):
     path = work_path(spark, "stream-sink")
     for _ in range(2):
         jobs.run_each_batch(_stream(spark, folder), "stream-sink", jobs.append_new_trips(path, X.TIEBREAK))
-    return rounded(spark.read.parquet(path))
+    return rounded(spark.read.parquet(path), FEATURE_PLACES)
