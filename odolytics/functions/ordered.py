@@ -23,6 +23,7 @@ HOT_ROWS = 1_000_000        # rows one task may hold for one group
 MAX_LITERAL_KEYS = 1_000    # hot keys listed in the plan itself; more than that are joined
 CHUNK = "__chunk"
 COPY = "__copy"
+TIE = "__tie"
 
 
 @dataclass(frozen=True)
@@ -65,36 +66,39 @@ class Ordered:
         }
         return self.with_df(self._take(carry).withColumns(filled).drop("__in_row"))
 
-    def running_sum(self, sums: dict[str, Column]) -> Ordered:
-        """Running totals up to and including the row."""
+    def running(self, sums: dict[str, Column] | None = None, last: dict[str, Column] | None = None) -> Ordered:
+        """Running totals, and last values that are not NULL, up to and including the row."""
+        sums, last = sums or {}, last or {}
         upto = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = {n: F.sum(c).over(upto) for n, c in sums.items()}
+        local |= {n: F.last(c, ignorenulls=True).over(upto) for n, c in last.items()}
         if not self.chunked:
             return self.with_df(self.df.withColumns(local))
-        before = {
-            n: (lambda name, w: F.sum(name).over(w.rowsBetween(Window.unboundedPreceding, -1))) for n in sums
-        }
-        carry = self._carry({n: F.sum(c) for n, c in sums.items()}, before)
-        total = {n: c + F.coalesce(F.col(f"__in_{n}"), F.lit(0)) for n, c in local.items()}
-        return self.with_df(self._take(carry).withColumns(total).drop(*[f"__in_{n}" for n in sums]))
-
-    def last_known(self, values: dict[str, Column]) -> Ordered:
-        """Last value that is not NULL, up to and including the row (forward fill)."""
-        upto = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        local = {n: F.last(c, ignorenulls=True).over(upto) for n, c in values.items()}
-        if not self.chunked:
-            return self.with_df(self.df.withColumns(local))
-        before = {
-            n: (lambda name, w: F.last(name, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-            for n in values
-        }
         position = F.struct(*self.order)
-        carry = self._carry({n: F.max_by(c, F.when(c.isNotNull(), position)) for n, c in values.items()}, before)
-        known = {n: F.coalesce(c, F.col(f"__in_{n}")) for n, c in local.items()}
-        return self.with_df(self._take(carry).withColumns(known).drop(*[f"__in_{n}" for n in values]))
+        edge = {n: F.sum(c) for n, c in sums.items()}
+        edge |= {n: F.max_by(c, F.when(c.isNotNull(), position)) for n, c in last.items()}
+
+        def total_before(name, across):
+            return F.sum(name).over(across.rowsBetween(Window.unboundedPreceding, -1))
+
+        def last_before(name, across):
+            return F.last(name, ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
+
+        carry = self._carry(edge, {n: total_before for n in sums} | {n: last_before for n in last})
+        full = {n: local[n] + F.coalesce(F.col(f"__in_{n}"), F.lit(0)) for n in sums}
+        full |= {n: F.coalesce(local[n], F.col(f"__in_{n}")) for n in last}
+        return self.with_df(self._take(carry).withColumns(full).drop(*[f"__in_{n}" for n in local]))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(CHUNK, COPY) if self.chunked else self.df
+        return self.df.drop(CHUNK, COPY, TIE)
+
+
+def by_time(df: DataFrame, time: str, tiebreak: Sequence[str], readings: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Rows and their sort order. Rows of the same time need a second key for a repeatable result: the
+    given columns, or else a hash of the readings, under which only identical rows are equal."""
+    if tiebreak:
+        return df, [time, *tiebreak]
+    return df.withColumn(TIE, F.xxhash64(*readings)), [time, TIE]
 
 
 def cut_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int) -> Ordered:
@@ -117,7 +121,7 @@ def split_by_size(
     if hot_rows is None:
         return [plain]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    found = counts.limit(MAX_LITERAL_KEYS + 1).collect()
+    found = counts.orderBy(F.desc("n")).limit(MAX_LITERAL_KEYS + 1).collect()
     if not found:
         return [plain]
     if len(found) <= MAX_LITERAL_KEYS:

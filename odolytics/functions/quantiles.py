@@ -1,8 +1,9 @@
 """Exact quantiles (linear interpolation) that never gather a whole column in one task.
 
-Every pass is one scan with map-side combine. A pass brackets each wanted position between two
-approximate quantiles and counts the rows below and inside the bracket; passes repeat, inside the
-bracket, until few enough distinct values are left for the exact aggregate.
+Columns with few enough distinct values are counted by value in one scan. For the others every wanted
+position is first bracketed between two approximate quantiles, and the rows below and inside the bracket
+are counted: two scans with map-side combine. Brackets narrow until few enough values are left, then one
+last scan ranks just the rows inside them.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VALUES_PER_TASK = 1_000_000
+VALUES_PER_TASK = 2_000_000     # distinct values one task may rank
 ACCURACY = 10_000
 
 
@@ -27,66 +29,55 @@ class Target:
     high: float
     below: int               # values smaller than ``low``
     inside: int              # values in [low, high]
-    distinct: int
+    distinct: int            # about how many different values that is at most
     slack: float = 2.0 / ACCURACY
 
+    def holds(self) -> Column:
+        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+
     def bracket(self) -> Column:
-        c = F.col(self.column)
-        return F.when(c.between(F.lit(self.low), F.lit(self.high)), c)
+        return F.when(self.holds(), F.col(self.column))
 
     def local(self) -> float:
         """The wanted position as a fraction of the bracket."""
         return 0.0 if self.inside <= 1 else min(1.0, max(0.0, (self.position - self.below) / (self.inside - 1)))
 
-
-def _first_pass(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> list[Target]:
-    stats = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high"),
-                F.approx_count_distinct(c).alias("distinct"),
-            ).alias(c)
-            for c in columns
-        ]
-    ).first()
-    return [
-        Target(c, p, p * (stats[c]["n"] - 1), stats[c]["low"], stats[c]["high"], 0, stats[c]["n"], stats[c]["distinct"])
-        for c in columns
-        for p in probabilities
-        if stats[c]["n"] > 0
-    ]
+    def around(self) -> list[float]:
+        return [max(0.0, self.local() - self.slack), min(1.0, self.local() + self.slack)]
 
 
-def _narrow(df: DataFrame, targets: list[Target]) -> None:
+def _narrow(df: DataFrame, targets: list[Target], again: bool) -> None:
+    """One round: propose a tighter bracket for each target, and take it if it holds the position."""
+    shared: dict[tuple, list[Target]] = {}
+    for t in targets:
+        shared.setdefault((t.column, t.low, t.high), []).append(t)
     cuts = df.agg(
         *[
-            F.percentile_approx(
-                t.bracket(), [max(0.0, t.local() - t.slack), min(1.0, t.local() + t.slack)], ACCURACY
-            ).alias(f"t{i}")
-            for i, t in enumerate(targets)
+            F.percentile_approx(group[0].bracket(), [f for t in group for f in t.around()], ACCURACY).alias(f"g{i}")
+            for i, group in enumerate(shared.values())
         ]
     ).first()
-    proposals = [(cuts[f"t{i}"][0], cuts[f"t{i}"][1]) for i in range(len(targets))]
-    sums = []
-    for i, (t, (low, high)) in enumerate(zip(targets, proposals)):
+    proposals = []
+    for i, group in enumerate(shared.values()):
+        proposals += [(t, cuts[f"g{i}"][2 * j], cuts[f"g{i}"][2 * j + 1]) for j, t in enumerate(group)]
+    counts = []
+    for i, (t, low, high) in enumerate(proposals):
         c = F.col(t.column)
         inside = c.between(F.lit(low), F.lit(high))
-        sums.append(
-            F.struct(
-                F.sum((c < F.lit(low)).cast("long")).alias("below"),
-                F.sum(inside.cast("long")).alias("inside"),
-                F.approx_count_distinct(F.when(inside, c)).alias("distinct"),
-            ).alias(f"t{i}")
-        )
-    found = df.agg(*sums).first()
-    for i, (t, (low, high)) in enumerate(zip(targets, proposals)):
-        got = found[f"t{i}"]
-        covers = got["below"] <= math.floor(t.position) and math.ceil(t.position) < got["below"] + got["inside"]
-        if covers and got["inside"] < t.inside:
-            t.low, t.high = low, high
-            t.below, t.inside, t.distinct = got["below"], got["inside"], got["distinct"]
+        counts += [F.count_if(c < F.lit(low)).alias(f"b{i}"), F.count_if(inside).alias(f"i{i}")]
+        if again:
+            counts.append(F.approx_count_distinct(F.when(inside, c)).alias(f"d{i}"))
+    found = df.agg(*counts).first()
+    for i, (t, low, high) in enumerate(proposals):
+        below, inside = found[f"b{i}"], found[f"i{i}"]
+        covers = below <= math.floor(t.position) and math.ceil(t.position) < below + inside
+        if covers and inside < t.inside:
+            t.low, t.high, t.below, t.inside = low, high, below, inside
         else:
             t.slack *= 4
+        if again and covers:
+            t.distinct = min(t.distinct, found[f"d{i}"]) if inside == t.inside else t.distinct
+        t.distinct = 1 if t.low == t.high else min(t.distinct, t.inside)
 
 
 def exact_quantiles(
@@ -97,23 +88,41 @@ def exact_quantiles(
 ) -> DataFrame:
     """Rows (feature, probability, value); columns without any value give NULL."""
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    targets = _first_pass(data, columns, probabilities)
-    share = max(1, values_per_task // max(1, len(targets)))
-    open_targets = [t for t in targets if t.distinct > share]
-    while open_targets:
-        _narrow(data, open_targets)
-        open_targets = [t for t in open_targets if t.distinct > share and t.low < t.high and t.slack < 1.0]
-    by_key = {(t.column, t.probability): t for t in targets}
-    picked = []
-    for c in columns:
-        for p in probabilities:
-            t = by_key.get((c, p))
-            value = F.lit(None).cast("double") if t is None else F.percentile(t.bracket(), F.lit(t.local()))
-            picked.append((c, p, value))
-    wide = data.agg(*[v.cast("double").alias(f"v{i}") for i, (_, _, v) in enumerate(picked)])
+    stats = data.agg(
+        *[
+            F.struct(
+                F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high"),
+                F.approx_count_distinct(c).alias("distinct"),
+            ).alias(c)
+            for c in columns
+        ]
+    ).first()
+    budget = max(1, values_per_task // max(1, len(columns)))
+    whole = [c for c in columns if stats[c]["distinct"] <= budget]
+    targets = [
+        Target(c, p, p * (stats[c]["n"] - 1), stats[c]["low"], stats[c]["high"], 0, stats[c]["n"], stats[c]["n"])
+        for c in columns if c not in whole
+        for p in probabilities
+    ]
+    share, still_open, again = max(1, values_per_task // max(1, len(targets) + len(whole))), targets, False
+    while still_open:
+        _narrow(data, still_open, again)
+        still_open = [t for t in still_open if t.distinct > share and t.slack < 1.0]
+        again = True
+    wanted = [float(p) for p in probabilities]
+    rows = data
+    if targets and not whole:
+        rows = data.where(reduce(lambda a, b: a | b, [t.holds() for t in targets]))
+    wide = rows.agg(
+        *[F.percentile(c, F.array(*map(F.lit, wanted))).alias(f"w_{c}") for c in whole],
+        *[F.percentile(t.bracket(), F.lit(t.local())).alias(f"t_{i}") for i, t in enumerate(targets)],
+    )
     structs = [
-        F.struct(F.lit(c).alias("feature"), F.lit(float(p)).alias("probability"), F.col(f"v{i}").alias("value"))
-        for i, (c, p, _) in enumerate(picked)
+        F.struct(F.lit(c).alias("feature"), F.lit(p).alias("probability"), F.col(f"w_{c}")[i].alias("value"))
+        for c in whole for i, p in enumerate(wanted)
+    ] + [
+        F.struct(F.lit(t.column).alias("feature"), F.lit(t.probability).alias("probability"), F.col(f"t_{i}").alias("value"))
+        for i, t in enumerate(targets)
     ]
     return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 

@@ -54,14 +54,15 @@ def clean_sensor(df: DataFrame, limits: Mapping[str, float] = S.CHANNEL_LIMITS)
 
 
 def forward_fill(rows: ordered.Ordered, columns: Sequence[str] = tuple(READINGS)) -> ordered.Ordered:
-    return rows.last_known({c: F.col(c) for c in columns})
+    return rows.running(last={c: F.col(c) for c in columns})
 
 
 def fill_forward(
     df: DataFrame, tiebreak: Sequence[str] = (), hot_rows: int | None = ordered.HOT_ROWS
 ) -> DataFrame:
     """Carry each reading forward inside its trip."""
-    parts = ordered.split_by_size(df.where(F.col(S.KEY).isNotNull()), [S.KEY], [S.TIME, *tiebreak], hot_rows)
+    rows, order = ordered.by_time(df.where(F.col(S.KEY).isNotNull()), S.TIME, tiebreak, READINGS)
+    parts = ordered.split_by_size(rows, [S.KEY], order, hot_rows)
     return ordered.union_all([forward_fill(p).rows() for p in parts])
 
 

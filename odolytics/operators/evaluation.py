@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +20,6 @@ ACCURACY_GRID = [i / 100 for i in range(20, 60)]
 
 MIN_RECALL, RECALL_PENALTY = 0.65, 0.3
 METRICS = ["accuracy", "precision", "recall", "f1"]
-ALL = "__all"
-
 
 def predicted(score: str, threshold: float) -> Column:
     return (F.col(score) >= F.lit(threshold)).cast("int")
@@ -53,102 +53,111 @@ def balanced_f1(f1: Column, recall: Column) -> Column:
     return F.greatest(f1 - F.lit(RECALL_PENALTY) * short, F.lit(0.0))
 
 
-def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per_task: int) -> tuple[DataFrame, list[str]]:
+def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per_task: int) -> DataFrame:
     """Counts per distinct score with running totals from the highest score down.
 
     Equal scores are merged before the shuffle. A few scores are one window; many are cut into ranges,
     so no task orders the whole set.
     """
-    keys = list(by) or [ALL]
-    source = df if by else df.withColumn(ALL, F.lit(1))
     y = F.col(label)
     groups = (
-        source.where(F.col(score).isNotNull())
-        .groupBy(*keys, F.col(score).alias("score"))
-        .agg(count_true(y == 1).alias("pos"), count_true(y == 0).alias("neg"))
+        df.where(F.col(score).isNotNull())
+        .groupBy(*by, F.col(score).alias("score"))
+        .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
         .withColumn("descending", -F.col("score"))
     )
-    running = ordered.whole_order(groups, ["descending"], keys, rows_per_task).running_sum(
-        {"cum_tp": F.col("pos"), "cum_fp": F.col("neg")}
-    ).rows()
-    totals = groups.groupBy(*keys).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return running.join(F.broadcast(totals), keys).drop("descending"), keys    # totals: one row per set
+    running = ordered.whole_order(groups, ["descending"], by, rows_per_task).running(
+        sums={"cum_tp": F.col("pos"), "cum_fp": F.col("neg")}
+    )
+    return running.rows().drop("descending")
+
+
+def _with_totals(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the number of positives and negatives of the set (one row per set, or one scalar each)."""
+    totals = points.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+    if by:
+        return points.join(F.broadcast(totals), list(by))
+    return points.withColumns({c: totals.select(c).scalar() for c in ("all_pos", "all_neg")})
 
 
 def roc_curve(
     df: DataFrame, label: str = "label", score: str = "p", by: Sequence[str] = (), rows_per_task: int = ordered.HOT_ROWS
 ) -> DataFrame:
     """(threshold, fpr, tpr) at each distinct score, plus the starting point (0, 0) with no threshold."""
-    points, keys = _by_score(df, label, score, by, rows_per_task)
-    curve = points.select(
-        *keys, F.col("score").alias("threshold"),
+    points = _by_score(df, label, score, by, rows_per_task)
+    curve = _with_totals(points, by).select(
+        *by, F.col("score").alias("threshold"),
         ratio(F.col("cum_fp"), F.col("all_neg")).alias("fpr"), ratio(F.col("cum_tp"), F.col("all_pos")).alias("tpr"),
     )
-    start = points.select(*keys).distinct().select(
-        *keys, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    return curve.unionByName(_end_point(points, by, {"fpr": 0.0, "tpr": 0.0}))
+
+
+def _end_point(points: DataFrame, by: Sequence[str], values: dict[str, float]) -> DataFrame:
+    """One row per set, without a threshold."""
+    sets = points.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    return sets.select(
+        *by, F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(n) for n, v in values.items()]
     )
-    return curve.unionByName(start).drop(ALL)
+
+
+def _area_under_roc():
+    """Ties count half: each negative beats the positives above it and half of those beside it."""
+    area = F.sum(F.col("neg") * (F.col("cum_tp") - F.col("pos") / 2.0))
+    return ratio(area, F.sum("pos").cast("double") * F.sum("neg"))
 
 
 def roc_auc(
     df: DataFrame, label: str = "label", score: str = "p", by: Sequence[str] = (), rows_per_task: int = ordered.HOT_ROWS
 ) -> DataFrame:
-    """Area under the ROC curve; ties count half."""
-    return _area(df, label, score, by, rows_per_task).drop(ALL)
+    """Area under the ROC curve."""
+    points = _by_score(df, label, score, by, rows_per_task)
+    return points.groupBy(*by).agg(_area_under_roc().alias("roc_auc"))
 
 
-def _area(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per_task: int = ordered.HOT_ROWS) -> DataFrame:
-    points, keys = _by_score(df, label, score, by, rows_per_task)
-    area = F.sum(F.col("neg") * (F.col("cum_tp") - F.col("pos") / 2.0))
-    return (
-        points.groupBy(*keys)
-        .agg(area.alias("area"), F.max("all_pos").alias("all_pos"), F.max("all_neg").alias("all_neg"))
-        .select(*keys, ratio(F.col("area"), F.col("all_pos").cast("double") * F.col("all_neg")).alias("roc_auc"))
-    )
-
-
-def _precision_recall(points: DataFrame) -> DataFrame:
-    before_tp, before_fp = F.col("cum_tp") - F.col("pos"), F.col("cum_fp") - F.col("neg")
-    return points.withColumns(
-        {
-            "precision": ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp")),
-            "recall": ratio(F.col("cum_tp"), F.col("all_pos")),
-            "precision_before": F.coalesce(ratio(before_tp, before_tp + before_fp), F.lit(1.0)),
-            "recall_before": ratio(before_tp, F.col("all_pos")),
-        }
-    )
+def _precision(tp: Column, fp: Column) -> Column:
+    return ratio(tp, tp + fp)
 
 
 def pr_curve(
     df: DataFrame, label: str = "label", score: str = "p", by: Sequence[str] = (), rows_per_task: int = ordered.HOT_ROWS
 ) -> DataFrame:
     """(threshold, precision, recall) at each distinct score, plus (precision 1, recall 0)."""
-    points, keys = _by_score(df, label, score, by, rows_per_task)
-    curve = _precision_recall(points).select(*keys, F.col("score").alias("threshold"), "precision", "recall")
-    end = points.select(*keys).distinct().select(
-        *keys, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+    points = _by_score(df, label, score, by, rows_per_task)
+    curve = _with_totals(points, by).select(
+        *by, F.col("score").alias("threshold"),
+        _precision(F.col("cum_tp"), F.col("cum_fp")).alias("precision"),
+        ratio(F.col("cum_tp"), F.col("all_pos")).alias("recall"),
     )
-    return curve.unionByName(end).drop(ALL)
+    return curve.unionByName(_end_point(points, by, {"precision": 1.0, "recall": 0.0}))
 
 
 def pr_auc(
     df: DataFrame, label: str = "label", score: str = "p", by: Sequence[str] = (), rows_per_task: int = ordered.HOT_ROWS
 ) -> DataFrame:
     """Area under the precision-recall points by the trapezoid rule."""
-    points, keys = _by_score(df, label, score, by, rows_per_task)
-    slab = (F.col("recall") - F.col("recall_before")) * (F.col("precision") + F.col("precision_before")) / 2.0
-    return _precision_recall(points).groupBy(*keys).agg(F.sum(slab).alias("pr_auc")).drop(ALL)
+    points = _by_score(df, label, score, by, rows_per_task)
+    here = _precision(F.col("cum_tp"), F.col("cum_fp"))
+    before = _precision(F.col("cum_tp") - F.col("pos"), F.col("cum_fp") - F.col("neg"))
+    slab = F.sum(F.col("pos") * (here + F.coalesce(before, F.lit(1.0))) / 2.0)
+    return points.groupBy(*by).agg(ratio(slab, F.sum("pos")).alias("pr_auc"))
 
 
 def classification_metrics(
-    df: DataFrame, label: str = "label", score: str = "p", threshold: float = 0.5, by: Sequence[str] = ()
+    df: DataFrame, label: str = "label", score: str = "p", threshold: float = 0.5, by: Sequence[str] = (),
+    rows_per_task: int = ordered.HOT_ROWS,
 ) -> DataFrame:
-    """Accuracy, precision, recall, F1 and ROC-AUC, per split if asked."""
-    keys = list(by) or [ALL]
-    source = df if by else df.withColumn(ALL, F.lit(1))
-    cells = rates(confusion(source, label, predicted(score, threshold), keys))
-    auc = _area(source, label, score, keys)
-    return cells.join(auc, keys, "left").drop(ALL)
+    """Accuracy, precision, recall, F1 and ROC-AUC, per split if asked, all from the counts per score."""
+    points = _by_score(df, label, score, by, rows_per_task)
+    hit = F.col("score") >= F.lit(threshold)
+
+    def cell(column: str, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col(column))), F.lit(0)).cast("long")
+
+    cells = points.groupBy(*by).agg(
+        cell("neg", ~hit).alias("tn"), cell("neg", hit).alias("fp"),
+        cell("pos", ~hit).alias("fn"), cell("pos", hit).alias("tp"), _area_under_roc().alias("roc_auc"),
+    )
+    return rates(cells)
 
 
 def threshold_sweep(
@@ -160,11 +169,11 @@ def threshold_sweep(
     counts then give every threshold's table.
     """
     grid = sorted(set(thresholds))
-    reached = sum((F.col(score) >= F.lit(t)).cast("int") for t in grid)
+    reached = Bucketizer(splits=[-math.inf, *grid, math.inf], inputCol="score", outputCol="reached")    # binary search
     y = F.col(label)
     counts = (
-        df.where(F.col(score).isNotNull())
-        .groupBy(reached.alias("reached"))
+        reached.transform(df.where(F.col(score).isNotNull()).select(F.col(score).alias("score"), F.col(label).alias(label)))
+        .groupBy(F.col("reached").cast("int").alias("reached"))
         .agg(count_true(y == 1).alias("pos"), count_true(y == 0).alias("neg"))
     )
     levels = df.sparkSession.createDataFrame(

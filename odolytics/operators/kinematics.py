@@ -73,7 +73,7 @@ def motion(rows: ordered.Ordered, profile: S.MotionProfile = S.TRAINING) -> orde
             "is_high_accel": flag(F.col("accel_mag") > F.lit(t.accel_high)),
         }
     )
-    if profile is not S.SERVING and profile.name != S.SERVING.name:
+    if profile.name != S.SERVING.name:
         df = _driving_events(df, profile)
         rows = _smooth_blocks(rows.with_df(df))
         df = rows.df
@@ -109,10 +109,8 @@ def _smooth_blocks(rows: ordered.Ordered) -> ordered.Ordered:
     the time of the row before the block", so the running maximum needs no second grouping or sort.
     """
     start = F.col("smooth_start")
-    rows = rows.running_sum({"smooth_block": start.cast("long")})
-    return rows.last_known(
-        {"smooth_since": F.when(start, F.coalesce(F.col(f"prev_{S.TIME}"), F.col(S.TIME)))}
-    )
+    since = F.when(start, F.coalesce(F.col(f"prev_{S.TIME}"), F.col(S.TIME)))
+    return rows.running(sums={"smooth_block": start.cast("long")}, last={"smooth_since": since})
 
 
 def motion_parts(
@@ -123,8 +121,10 @@ def motion_parts(
 ) -> list[ordered.Ordered]:
     """Clean, then add motion columns: ordinary trips, and hot trips (if any) in ranges."""
     clean = cleaning.clean_sensor(sensor).where(F.col(S.KEY).isNotNull())
-    keep = [S.KEY, S.TIME, *[c for c in tiebreak], "speed", *S.CHANNELS]
-    parts = ordered.split_by_size(clean.select(*keep), [S.KEY], [S.TIME, *tiebreak], hot_rows)
+    rows, order = ordered.by_time(
+        clean.select(S.KEY, S.TIME, *tiebreak, *cleaning.READINGS), S.TIME, tiebreak, cleaning.READINGS
+    )
+    parts = ordered.split_by_size(rows, [S.KEY], order, hot_rows)
     return [motion(p, profile) for p in parts]
 
 

@@ -25,8 +25,8 @@ def stratum_position(
 ) -> DataFrame:
     """Add each row's 1-based place in its class in shuffled order, and the size of the class."""
     shuffled = df.withColumn("__shuffle", row_hash(key, seed)).withColumn("__one", F.lit(1).cast("long"))
-    placed = ordered.whole_order(shuffled, ["__shuffle", key], [label], rows_per_task).running_sum(
-        {"position": F.col("__one")}
+    placed = ordered.whole_order(shuffled, ["__shuffle", key], [label], rows_per_task).running(
+        sums={"position": F.col("__one")}
     ).rows()
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("class_rows"))
     return placed.drop("__shuffle", "__one").join(F.broadcast(sizes), label)    # one row per class

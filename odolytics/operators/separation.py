@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -160,13 +161,12 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str = "labe
     """Feature-class mutual information (nats) over quantile bins, missing values read as 0."""
     filled = df.select(label, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
     q = quantile_values(filled, columns, [i / bins for i in range(1, bins)])
-    binned = filled.select(
-        label,
-        *[
-            sum((F.col(c) > F.lit(q[c, i / bins])).cast("int") for i in range(1, bins)).alias(c)
-            for c in columns
-        ],
-    )
+    # Binary search over the negated edges puts x in the bin of the edges below it.
+    edges = {c: sorted({-q[c, i / bins] for i in range(1, bins)}) for c in columns}
+    binned = Bucketizer(
+        splitsArray=[[-math.inf, *edges[c], math.inf] for c in columns],
+        inputCols=[f"neg_{c}" for c in columns], outputCols=list(columns),
+    ).transform(filled.select(label, *[(-F.col(c)).alias(f"neg_{c}") for c in columns]))
     joint = long_form(binned, [label], columns).groupBy("feature", "value", label).agg(F.count(F.lit(1)).alias("n"))
     # From here on there are at most (features x bins x classes) rows.
     n = F.col("n").cast("double")

@@ -24,11 +24,10 @@ def features_from_any_stage(df: DataFrame, tiebreak: Sequence[str] = ()) -> Data
 
 
 def update_features(sensor: DataFrame, features_path: str, tiebreak: Sequence[str] = ()) -> None:
-    """Add the features of trips that have none yet: anti join, semi join, features, append - one plan."""
+    """Append the features of trips that have none yet: anti join, features, append - one plan."""
     have = writers.stored(sensor.sparkSession, features_path)
-    todo = keys.new_trips(sensor, None if have is None else have.select(S.KEY))
-    rows = sensor if have is None else keys.read_trips(sensor, todo)
-    writers.append_new(trips.trip_features(rows, tiebreak=tiebreak), features_path)
+    rows = sensor if have is None else sensor.join(have.select(S.KEY), S.KEY, "left_anti")
+    trips.trip_features(rows, tiebreak=tiebreak).write.mode("append").parquet(features_path)
 
 
 def refresh_master(

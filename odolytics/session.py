@@ -19,6 +19,26 @@ DEFAULTS = {
 }
 
 
+MB = 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+MOST_SCAN_TASKS = 200_000
+
+
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for an input size.
+
+    Shuffle partitions start at about 128 MB and adaptive execution merges the small ones. Beyond a few
+    terabytes partitions grow instead of multiplying, since shuffle blocks are map tasks times shuffle
+    partitions: 100 TB gives 50,000 partitions of about 2 GB, sorted with spilling.
+    """
+    partitions = min(max(cores, -(-input_bytes // (128 * MB))), max(cores, MOST_SHUFFLE_PARTITIONS))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.files.maxPartitionBytes": str(max(256 * MB, -(-input_bytes // MOST_SCAN_TASKS))),
+    }
+
+
 def build_session(app: str = "odolytics", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

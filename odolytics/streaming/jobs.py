@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from odolytics import schema as S
 from odolytics.functions.columns import flag, magnitude, share
-from odolytics.operators import cleaning, keys, scoring, trips
+from odolytics.operators import cleaning, keys, scoring
+from odolytics.plans import etl
 from odolytics.session import work_path
-from odolytics.sources import writers
 
 EVENT_TIME = "event_time"
 
@@ -94,9 +94,7 @@ def append_new_trips(features_path: str, tiebreak: Sequence[str] = ()) -> Callab
     """A ``foreachBatch`` body: features of the batch's new trips are appended once, also after a retry."""
 
     def write(batch: DataFrame, _: int) -> None:
-        have = writers.stored(batch.sparkSession, features_path)
-        rows = batch if have is None else batch.join(have.select(S.KEY), S.KEY, "left_anti")
-        writers.append_new(trips.trip_features(rows, tiebreak=tiebreak), features_path)
+        etl.update_features(batch, features_path, tiebreak)
 
     return write
 
