@@ -11,7 +11,7 @@ from odolytics.operators import cleaning, keys, scoring, trips
 from odolytics.plans import etl
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.models_used import WEIGHTS, linear_model, SCORED_TRIPS
-from odolytics.plans.registry import query, rounded
+from odolytics.plans.registry import query, rounded, sql_rounded
 from odolytics.session import work_path
 from odolytics.sources import fixtures as X
 from odolytics.sources import readers, writers
@@ -196,11 +196,9 @@ def scan_by_ids(spark, folder):
 
 # Sinks -------------------------------------------------------------------------
 
-# Means of hundredths over 64 rows end in a 5 at the seventh place; eight places leave no such tie.
-FEATURE_PLACES = 8
 FEATURE_ROWS = f'WITH {P.FEATURES} SELECT "bookingID", {{}} FROM features'.format(
     ", ".join(
-        f if f == "trip_duration_sec" or f.startswith("n_") else P.r(f, FEATURE_PLACES) for f in S.TRIP_FEATURES
+        f if f == "trip_duration_sec" or f.startswith("n_") else sql_rounded(f) for f in S.TRIP_FEATURES
     )
 )
 
@@ -211,13 +209,13 @@ def sink_append(spark, folder):
     path, rows = work_path(spark, "trip-features"), sensor(spark, folder)
     etl.update_features(keys.read_trips(rows, X.processed_trips(spark, folder)), path, X.TIEBREAK)
     etl.update_features(rows, path, X.TIEBREAK)
-    return rounded(spark.read.parquet(path), FEATURE_PLACES)
+    return rounded(spark.read.parquet(path))
 
 
 MASTER = f"""WITH {P.FEATURES}, {P.LABEL}, {P.DRIVER}, {P.DRIVER_CLEAN}
 SELECT l."bookingID", l.driver_id, l.label, l.label = 1 AS is_dangerous, {", ".join(
-    f"f.{c}" if c == "trip_duration_sec" or c.startswith("n_") else P.r(f"f.{c}", FEATURE_PLACES, c) for c in S.TRIP_FEATURES)},
-  d.id, d.name, d.date_of_birth, d.gender, d.car_brand, d.car_model_year, {P.r("d.rating", FEATURE_PLACES, "rating")},
+    f"f.{c}" if c == "trip_duration_sec" or c.startswith("n_") else sql_rounded(c, source="f.") for c in S.TRIP_FEATURES)},
+  d.id, d.name, d.date_of_birth, d.gender, d.car_brand, d.car_model_year, {sql_rounded("rating", source="d.")},
   d.no_of_years_driving_exp, d.age, d.rating_bin, d.exp_bin
 FROM safety_label l LEFT JOIN features f USING ("bookingID") LEFT JOIN driver_clean d ON l.driver_id = d.id"""
 
@@ -231,14 +229,14 @@ def sink_replace(spark, folder):
             sensor(spark, folder), X.safety_label(spark, folder), X.driver(spark, folder), features, master,
             tiebreak=X.TIEBREAK, as_of=AS_OF,
         )
-    return rounded(spark.read.parquet(master), FEATURE_PLACES)
+    return rounded(spark.read.parquet(master))
 
 
 @query("sink_csv", FEATURE_ROWS)
 def sink_csv(spark, folder):
     features = trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK)
     path = _csv_copy(spark, features, "features-csv")
-    return rounded(spark.read.schema(features.schema).option("header", True).csv(path), FEATURE_PLACES)
+    return rounded(spark.read.schema(features.schema).option("header", True).csv(path))
 
 
 @query(
@@ -388,13 +386,13 @@ def fill_zero(spark, folder):
 @query(
     "interaction_features",
     f"""WITH {P.FEATURES} SELECT "bookingID",
-    {P.r("speed_max * pct_time_speed_over_80", name="speed_risk_score")},
-    {P.r("accel_mag_max * n_hard_accels", name="accel_risk_score")},
-    {P.r("turn_sharpness_index * n_hard_turns", name="turn_risk_score")},
-    {P.r("jerk_linear_mean / (speed_mean + 0.001::DOUBLE)", name="jerk_to_speed_ratio")},
-    {P.r("longest_smooth_segment_sec / (trip_duration_sec + 1.0::DOUBLE)", name="smooth_to_total_ratio")},
-    {P.r("gyro_mag_std * accel_mag_std", name="gyro_accel_instability")} FROM features""",
+    {P.r("speed_max * pct_time_speed_over_80", 10, "speed_risk_score")},
+    {P.r("accel_mag_max * n_hard_accels", 10, "accel_risk_score")},
+    {P.r("turn_sharpness_index * n_hard_turns", 10, "turn_risk_score")},
+    {P.r("jerk_linear_mean / (speed_mean + 0.001::DOUBLE)", 10, "jerk_to_speed_ratio")},
+    {P.r("longest_smooth_segment_sec / (trip_duration_sec + 1.0::DOUBLE)", 10, "smooth_to_total_ratio")},
+    {P.r("gyro_mag_std * accel_mag_std", 10, "gyro_accel_instability")} FROM features""",
 )
 def interaction_features(spark, folder):
     features = trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK)
-    return rounded(cleaning.interaction_features(features).select("bookingID", *cleaning.INTERACTIONS))
+    return rounded(cleaning.interaction_features(features).select("bookingID", *cleaning.INTERACTIONS), 10)

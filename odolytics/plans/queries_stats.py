@@ -352,12 +352,11 @@ RATE_NAMES = ["accuracy", "precision", "recall", "f1"]
 
 
 def _auc_sql(score="p", by="l_linestatus", source="scored"):
-    """Mann-Whitney from ranks with ties at their mean."""
-    return f"""SELECT {by}, (sum(rk) FILTER (label = 1) - n1 * (n1 + 1) / 2.0::DOUBLE) / (n1::DOUBLE * n0) AS roc_auc FROM (
-      SELECT {by}, label, rank() OVER (PARTITION BY {by} ORDER BY {score})
-          + (count(*) OVER (PARTITION BY {by}, {score}) - 1) / 2.0::DOUBLE AS rk,
-        count(*) FILTER (label = 1) OVER (PARTITION BY {by}) AS n1, count(*) FILTER (label = 0) OVER (PARTITION BY {by}) AS n0
-      FROM {source}) GROUP BY {by}, n1, n0"""
+    """Mann-Whitney: each positive against the negatives below it and half of those beside it."""
+    return f"""SELECT {by}, sum(pos * (below + neg / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)) AS roc_auc FROM (
+      SELECT *, sum(neg) OVER (PARTITION BY {by} ORDER BY {score}) - neg AS below FROM (
+        SELECT {by}, {score}, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM {source} GROUP BY 1, 2))
+      GROUP BY 1"""
 
 
 @query("confusion_matrix", f"{SCORED} SELECT {CELLS} FROM (SELECT label, p >= 0.5 AS hit FROM scored)")

@@ -8,9 +8,9 @@ from odolytics import schema as S
 from odolytics.operators import cleaning, trips
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.models_used import SCORED_TRIPS, linear_model
-from odolytics.plans.queries_ingest import AS_OF, FEATURE_PLACES, FEATURE_ROWS, LIST
+from odolytics.plans.queries_ingest import AS_OF, FEATURE_ROWS, LIST
 from odolytics.plans.queries_models import DECIDED
-from odolytics.plans.registry import query, rounded
+from odolytics.plans.registry import MORE_PLACES, query, rounded
 from odolytics.session import work_path
 from odolytics.sources import fixtures as X
 from odolytics.streaming import jobs, trip_state
@@ -42,7 +42,8 @@ WINDOWED = f"""WITH {P.SENSOR}, {P.FILTERED}, {P.CLEAN}, m AS (SELECT *,
     time_bucket(INTERVAL 10 HOUR, ts, TIMESTAMP '1970-01-01') AS started FROM clean),
   mark AS (SELECT epoch_ms(max(ts)) AS ms FROM clean)
   SELECT "bookingID", CAST(epoch(started) AS BIGINT) AS window_start, count(*) AS n_points,
-    {", ".join(P.r(f"{f}({c})", name=f"{c}_{n}") for c in ("speed", "accel_mag", "gyro_mag") for f, n in (("avg", "mean"), ("max", "max")))},
+    {", ".join(P.r(f"{f}({c})", MORE_PLACES.get(f"{c}_{n}", 6), f"{c}_{n}")
+      for c in ("speed", "accel_mag", "gyro_mag") for f, n in (("avg", "mean"), ("max", "max")))},
     {P.r("avg(coalesce(speed > 22.2::DOUBLE, false)::INT)", name="pct_time_speed_over_80")},
     {P.r("avg((accel_mag > 12.0::DOUBLE)::INT)", name="pct_time_high_accel")},
     {P.r("avg((gyro_mag > 1.0::DOUBLE)::INT)", name="pct_time_high_gyro")}
@@ -79,7 +80,7 @@ def _stream_features(spark, folder):
 @query("stream_trip_features", FEATURE_ROWS)
 def stream_trip_features(spark, folder):
     """The last version of every trip equals the batch features."""
-    return rounded(trip_state.latest(jobs.run_to_table(_stream_features(spark, folder), "stream-features")), FEATURE_PLACES)
+    return rounded(trip_state.latest(jobs.run_to_table(_stream_features(spark, folder), "stream-features")))
 
 
 @query("stream_score", f"{SCORED_TRIPS} SELECT {DECIDED} FROM decided")
@@ -114,4 +115,4 @@ def stream_incremental_sink(spark, folder):
     path = work_path(spark, "stream-sink")
     for _ in range(2):
         jobs.run_each_batch(_stream(spark, folder), "stream-sink", jobs.append_new_trips(path, X.TIEBREAK))
-    return rounded(spark.read.parquet(path), FEATURE_PLACES)
+    return rounded(spark.read.parquet(path))

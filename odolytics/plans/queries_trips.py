@@ -8,8 +8,8 @@ from odolytics import schema as S
 from odolytics.operators import keys, kinematics, trips
 from odolytics.plans import etl
 from odolytics.plans import oracle_parts as P
-from odolytics.plans.queries_ingest import AS_OF, FEATURE_PLACES, FEATURE_ROWS, MASTER, sensor
-from odolytics.plans.registry import query, rounded
+from odolytics.plans.queries_ingest import AS_OF, FEATURE_ROWS, MASTER, sensor
+from odolytics.plans.registry import query, rounded, sql_rounded
 from odolytics.sources import fixtures as X
 
 ROW = ["bookingID", "event_id"]
@@ -20,7 +20,7 @@ def _motion(spark, folder, profile=S.TRAINING):
 
 
 def _sql(columns, doubles, source="kin", ctes=P.KIN):
-    parts = ['"bookingID"', "event_id", *[P.r(c) if c in doubles else c for c in columns]]
+    parts = ['"bookingID"', "event_id", *[sql_rounded(c) if c in doubles else c for c in columns]]
     return f"WITH {ctes} SELECT {', '.join(parts)} FROM {source}"
 
 
@@ -81,17 +81,17 @@ def longest_smooth_segment_strict(spark, folder):
 
 @query("trip_features", FEATURE_ROWS)
 def trip_features(spark, folder):
-    return rounded(trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK), FEATURE_PLACES)
+    return rounded(trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK))
 
 
 SERVING_ROWS = f'WITH {P.SERVING_FEATURES} SELECT "bookingID", {{}} FROM sfeatures'.format(
-    ", ".join(f if f in ("trip_duration_sec", "n_points") else P.r(f, FEATURE_PLACES) for f in S.SERVING_FEATURES)
+    ", ".join(f if f in ("trip_duration_sec", "n_points") else sql_rounded(f) for f in S.SERVING_FEATURES)
 )
 
 
 @query("trip_features_serving", SERVING_ROWS)
 def trip_features_serving(spark, folder):
-    return rounded(trips.trip_features_serving(sensor(spark, folder), X.TIEBREAK), FEATURE_PLACES)
+    return rounded(trips.trip_features_serving(sensor(spark, folder), X.TIEBREAK))
 
 
 @query(
@@ -110,20 +110,20 @@ def turn_sharpness(spark, folder):
     "features_from_any_stage",
     f"""WITH {P.SERVING_FEATURES}, given AS (SELECT unnest(['raw', 'ready']) AS given)
     SELECT given, "bookingID", {", ".join(
-        f if f in ("trip_duration_sec", "n_points") else P.r(f, FEATURE_PLACES) for f in S.SERVING_FEATURES)}
+        f if f in ("trip_duration_sec", "n_points") else sql_rounded(f) for f in S.SERVING_FEATURES)}
     FROM sfeatures, given""",
 )
 def features_from_any_stage(spark, folder):
     raw = etl.features_from_any_stage(sensor(spark, folder).withColumnRenamed("bookingID", "booking_id"), X.TIEBREAK)
     ready = etl.features_from_any_stage(X.features_ready(spark, folder).withColumnRenamed("bookingID", "BookingID"))
-    return rounded(raw.withColumn("given", F.lit("raw")).unionByName(ready.withColumn("given", F.lit("ready"))), FEATURE_PLACES)
+    return rounded(raw.withColumn("given", F.lit("raw")).unionByName(ready.withColumn("given", F.lit("ready"))))
 
 
 # Joins ---------------------------------------------------------------------------
 
 @query(
     "join_labels_features",
-    f"""WITH {P.FEATURES}, {P.LABEL} SELECT l."bookingID", driver_id, label, n_points, trip_duration_sec, {P.r("speed_mean", FEATURE_PLACES)}
+    f"""WITH {P.FEATURES}, {P.LABEL} SELECT l."bookingID", driver_id, label, n_points, trip_duration_sec, {sql_rounded("speed_mean")}
     FROM safety_label l LEFT JOIN features f USING ("bookingID")""",
 )
 def join_labels_features(spark, folder):
@@ -131,7 +131,6 @@ def join_labels_features(spark, folder):
     return rounded(
         keys.with_features(X.safety_label(spark, folder), features)
         .select("bookingID", "driver_id", "label", "n_points", "trip_duration_sec", "speed_mean"),
-        FEATURE_PLACES,
     )
 
 
@@ -146,7 +145,7 @@ def join_drivers(spark, folder):
 @query("master_table", MASTER)
 def master_table(spark, folder):
     features = trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK)
-    return rounded(keys.master_table(X.safety_label(spark, folder), features, X.driver(spark, folder), AS_OF), FEATURE_PLACES)
+    return rounded(keys.master_table(X.safety_label(spark, folder), features, X.driver(spark, folder), AS_OF))
 
 
 @query(
