@@ -73,3 +73,11 @@ def rows_from_structs(one_row: DataFrame, fields: dict[str, dict[str, Column]],
         for feature, outs in fields.items()
     ]
     return one_row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+
+
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """A broadcast hint for a table counted to be small; a larger one is left to a shuffled join."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

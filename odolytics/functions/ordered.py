@@ -102,8 +102,13 @@ def by_time(df: DataFrame, time: str, tiebreak: Sequence[str], readings: Sequenc
 
 
 def cut_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int) -> Ordered:
-    """Range-partition by (keys, order) and fix each row's range number by writing the rows once."""
-    numbered = df.withColumn(COPY, F.monotonically_increasing_id())
+    """Range-partition by (keys, order) and give each row the number of its range.
+
+    The rows are written first: numbering copies of one row, and sampling the ranges, must see the same
+    rows in the same order again when a task is repeated. The numbered rows are written too, since
+    several parts of the plan read them and must agree on the ranges.
+    """
+    numbered = cut_lineage(df).withColumn(COPY, F.monotonically_increasing_id())
     sort = [*keys, *order, COPY]
     ranged = numbered.repartitionByRange(max(2, pieces), *sort).withColumn(CHUNK, F.spark_partition_id())
     return Ordered(cut_lineage(ranged), tuple(keys), (*order, COPY), chunked=True)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odolytics.functions import ordered
-from odolytics.functions.columns import count_true, ratio, ratio_or_zero
+from odolytics.functions.columns import broadcast_if_small, count_true, ratio, ratio_or_zero
 
 # Threshold grids, built from whole hundredths so that no step drifts.
 COARSE_GRID = [i / 100 for i in range(50, 9, -5)]
@@ -73,10 +73,10 @@ def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per
 
 
 def _with_totals(points: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add the number of positives and negatives of the set (one row per set, or one scalar each)."""
+    """Add the number of positives and negatives of the row's set."""
     totals = points.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     if by:
-        return points.join(F.broadcast(totals), list(by))
+        return points.join(broadcast_if_small(totals), list(by))
     return points.withColumns({c: totals.select(c).scalar() for c in ("all_pos", "all_neg")})
 
 

@@ -10,7 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odolytics.functions.columns import count_true, long_form, ratio_or_zero, rows_from_structs
+from odolytics.functions.columns import broadcast_if_small, count_true, long_form, ratio_or_zero, rows_from_structs
 from odolytics.functions.quantiles import quantile_values
 from odolytics.operators.profile import high_corr_pairs
 
@@ -260,7 +260,7 @@ def class_density(df: DataFrame, column: str, group: str, points: int = 200, cut
         weighted = data.groupBy(group, "x").agg(F.count(F.lit(1)).alias("w"))
     else:
         weighted = data.withColumn("w", F.lit(1))
-    spread = weighted.join(F.broadcast(grid), group).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    spread = weighted.join(broadcast_if_small(grid), group).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     at = F.col("start") + F.col("point") * F.col("step")
     z = (at - F.col("x")) / F.col("bandwidth")
     kernel = F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z))

@@ -1,10 +1,12 @@
 """Trip features kept up to date on a stream.
 
-The state of a trip is its last row and running sums, so it does not grow with the trip. Each trigger
-folds the trip's new rows in and emits its features so far; a trip that stays silent is emitted once
-more as closed and its state is released. One trigger's rows of one trip are sorted together: the
-source's per-trigger limit bounds them. Rows older than the trip's last row came too late to be put in
-order and are counted in ``n_late``.
+The state of a trip is its last row, running sums, and the rows newer than the watermark, which may still
+be joined by earlier ones; it does not grow with the trip. Each trigger adds the rows the watermark has
+passed to the sums, in time order, and emits the trip's features so far, waiting rows included. A trip
+that stays silent is emitted once more as closed and its state is released. Spark leaves out rows whose
+event time the watermark has passed and reports their number in the query's progress; ``n_late`` counts
+rows in time whose ``second`` lies before what the sums already hold. The source's per-trigger limit
+bounds the rows of one trip that a trigger sorts.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ STATE = (
     + [f"sum_{c}" for c in SUMMED]
     + ["first_second", "n_points", "smooth_since", "longest", "n_late"]
 )
-STATE_SCHEMA = ", ".join(f"`{c}` double" for c in STATE)
+STATE_SCHEMA = ", ".join(f"`{c}` double" for c in STATE) + ", pending binary"
+WAITING = [*LAST, "at_ms"]      # a row not yet in the sums, with its event time
 COUNTS = ["n_points", "n_hard_accels", "n_hard_brakes", "n_hard_turns", "n_zigzag_events", "trip_duration_sec"]
 OUTPUT_SCHEMA = ", ".join(
     [f"{S.KEY} long"]
@@ -55,6 +58,8 @@ def _size(rows: pd.DataFrame, axes: list[str]) -> np.ndarray:
 
 def _fold(state: dict[str, float], rows: pd.DataFrame, t: S.Thresholds) -> None:
     """Add sorted new rows to a trip's state."""
+    if rows.empty:
+        return
     begun = state["n_points"] > 0
     last = pd.DataFrame([{c: state[f"last_{c}"] for c in LAST}])
     full = pd.concat([last, rows[LAST]], ignore_index=True).astype(float)
@@ -154,25 +159,38 @@ def trip_features_stream(
     )
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        state = dict(zip(STATE, group.get)) if group.exists else _start()
+        state, waiting = _start(), pd.DataFrame(columns=WAITING, dtype=float)
+        if group.exists:
+            *numbers, pending = group.get
+            state = dict(zip(STATE, numbers))
+            waiting = pd.DataFrame(np.frombuffer(pending).reshape(-1, len(WAITING)), columns=WAITING)
         if group.hasTimedOut:
             group.remove()
+            _fold(state, waiting, t)
             yield _features(key[0], state, True, t)
             return
-        new = pd.concat(list(frames), ignore_index=True).sort_values(["second", "tie"], kind="stable")
-        newest = new[EVENT_TIME].max()
+        new = pd.concat(list(frames), ignore_index=True)
+        new["at_ms"] = new[EVENT_TIME].astype("datetime64[ms]").astype("int64")
+        newest = int(new["at_ms"].max())
+        new = new[WAITING].astype(float)
         if state["n_points"] > 0:
             late = (new["second"] < state["last_second"]) | (
                 (new["second"] == state["last_second"]) & (new["tie"] < state["last_tie"])
             )
             state["n_late"] += float(late.sum())
             new = new[~late]
-        if len(new):
-            _fold(state, new, t)
-        group.update(tuple(float(state[c]) for c in STATE))
-        alive_until = max(int(newest.timestamp() * 1000), group.getCurrentWatermarkMs()) + idle_ms
-        group.setTimeoutTimestamp(alive_until)
-        yield _features(key[0], state, False, t)
+        waiting = (pd.concat([waiting, new]) if len(waiting) else new).sort_values(["second", "tie"], kind="stable")
+        # Rows up to the last one the watermark has passed are complete.
+        passed = np.flatnonzero(waiting["at_ms"].to_numpy() <= group.getCurrentWatermarkMs())
+        ready = int(passed[-1]) + 1 if len(passed) else 0
+        _fold(state, waiting.iloc[:ready], t)
+        waiting = waiting.iloc[ready:]
+        group.update((*[float(state[c]) for c in STATE], waiting.to_numpy(dtype=float).tobytes()))
+        group.setTimeoutTimestamp(max(newest, group.getCurrentWatermarkMs()) + idle_ms)
+        so_far = dict(state)
+        _fold(so_far, waiting, t)
+        if so_far["n_points"] > 0:
+            yield _features(key[0], so_far, False, t)
 
     return rows.groupBy(S.KEY).applyInPandasWithState(
         update, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout

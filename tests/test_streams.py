@@ -45,22 +45,33 @@ def test_trip_state_over_many_triggers_equals_batch(spark, folder, split_events)
     assert versions.where("n_late > 0").isEmpty()
 
 
-def test_late_rows_are_counted(spark, tmp_path):
+def trickle(spark, path, seconds, delay):
+    """One file, hence one trigger, per given second of one trip."""
     base = {**{c: 0.1 for c in S.CHANNELS}, "speed": 1.0, "accuracy": 1.0, "bookingID": 1}
     schema = "bookingID long, event_id long, second long, accuracy double, speed double, " + ", ".join(
         f"{c} double" for c in S.CHANNELS
-    ) + ", event_time timestamp"
+    )
     names = [c.split()[0] for c in schema.split(", ")]
-    for n, second in enumerate([10, 5, 20]):
-        row = {**base, "event_id": n, "second": second, "event_time": None}
+    for n, second in enumerate(seconds):
+        row = {**base, "event_id": n, "second": second, "speed": float(second)}
         df = spark.createDataFrame([tuple(row[c] for c in names)], schema).withColumn(
             "event_time", F.timestamp_seconds(F.col("second") + 1_700_000_000)
         )
-        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    source = jobs.read_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, 1)
-    versions = jobs.run_to_table(trip_state.trip_features_stream(source, "event_id", "1 hour", idle_ms=10**10), "late")
-    last = versions.orderBy(F.desc("n_points"), F.desc("n_late")).first()
-    assert (last["n_points"], last["n_late"], last["trip_duration_sec"]) == (2, 1, 10)
+        df.coalesce(1).write.mode("append").parquet(path)
+    source = jobs.read_files(spark, path, spark.read.parquet(path).schema, 1)
+    versions = jobs.run_to_table(trip_state.trip_features_stream(source, "event_id", delay, idle_ms=10**10), "late")
+    return versions.orderBy(F.desc("n_points"), F.desc("n_late")).first(), spark.read.parquet(path)
+
+
+def test_rows_out_of_order_within_the_delay_are_put_in_order(spark, tmp_path):
+    last, rows = trickle(spark, str(tmp_path / "in"), [10, 5, 20, 15, 30, 12], "1 hour")
+    assert (last["n_points"], last["n_late"]) == (6, 0)
+    brute.same({1: last.asDict()}, plain(trips.trip_features(rows.drop("event_time"), tiebreak=X.TIEBREAK)))
+
+
+def test_rows_after_the_watermark_are_left_out(spark, tmp_path):
+    last, _ = trickle(spark, str(tmp_path / "in"), [10, 100, 200, 5, 300], "1 second")
+    assert (last["n_points"], last["n_late"], last["trip_duration_sec"]) == (4, 0, 290)
 
 
 def test_silent_trips_close(spark, split_events):
