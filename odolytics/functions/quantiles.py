@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VALUES_PER_TASK = 2_000_000     # distinct values one task may rank
+VALUES_PER_TASK = 500_000     # distinct values one task may rank
 ACCURACY = 10_000
 
 
