@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from odolytics.operators import evaluation, oversample, prepare
 from odolytics.operators.scoring import LinearModel, decide
-from odolytics.session import cut_lineage
+from odolytics.session import cut_lineage, shared_folder
 
 DEEPEST = 30    # the deepest tree spark.ml grows
 
@@ -160,6 +160,10 @@ def train_gradient_boosting(
 
 
 def _fit_trees(train: DataFrame, features: Sequence[str], stage, weight: str | None) -> SafetyModel:
+    """Node numbers are cached per row and checkpointed, so deep trees are not walked again from the root
+    and a lost executor does not replay every round."""
+    shared_folder(train.sparkSession)
+    stage = stage.setCacheNodeIds(True).setCheckpointInterval(10)
     if weight:
         stage = stage.setWeightCol(weight)
     return SafetyModel(Pipeline(stages=[*_vector(features), stage]).fit(train), list(features))

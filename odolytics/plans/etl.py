@@ -8,8 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from odolytics import schema as S
+from odolytics.functions.columns import broadcast_if_small
 from odolytics.operators import keys, scoring, trips
 from odolytics.operators.cleaning import select_trip
+from odolytics.session import cut_lineage
 from odolytics.sources import readers, writers
 
 
@@ -23,10 +25,20 @@ def features_from_any_stage(df: DataFrame, tiebreak: Sequence[str] = ()) -> Data
     raise ValueError("expected raw sensor rows or ready trip features")
 
 
+NEW_IDS_TO_BROADCAST = 1_000_000     # 8 MB of keys
+
+
 def update_features(sensor: DataFrame, features_path: str, tiebreak: Sequence[str] = ()) -> None:
-    """Append the features of trips that have none yet: anti join, features, append - one plan."""
+    """Append the features of trips that have none yet.
+
+    The new ids come from the key column alone and are written down. When they are few, as in most runs,
+    they filter the sensor scan, so only the rows of new trips are shuffled.
+    """
     have = writers.stored(sensor.sparkSession, features_path)
-    rows = sensor if have is None else sensor.join(have.select(S.KEY), S.KEY, "left_anti")
+    rows = sensor
+    if have is not None:
+        todo = cut_lineage(keys.new_trips(sensor, have.select(S.KEY)))
+        rows = keys.read_trips(sensor, broadcast_if_small(todo, NEW_IDS_TO_BROADCAST))
     trips.trip_features(rows, tiebreak=tiebreak).write.mode("append").parquet(features_path)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,15 @@ def replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, key: str = S.KEY, order: Sequence[str] = (S.TIME,), path: str | None = None
+) -> None:
+    """A catalog table bucketed by trip and sorted by time, as the source keeps it by its primary key.
+    Feature jobs and joins on the trip then read it without an exchange."""
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *order).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from odolytics.operators import cleaning, keys, profile, separation, trips
 from odolytics.session import sized_for
 from odolytics.sources import fixtures as X
+from odolytics.sources import writers
 
 
 def plan(df):
@@ -47,6 +48,16 @@ def test_labels_join_reuses_the_trip_partitioning(spark, folder):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_bucketed_sensor_table_needs_no_exchange(spark, folder, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS sensor_by_trip")
+    writers.write_bucketed(X.sensor(spark, folder), "sensor_by_trip", 4, order=["second", "event_id"], path=str(tmp_path / "t"))
+    df = trips.trip_features(spark.table("sensor_by_trip"), tiebreak=X.TIEBREAK)
+    assert count(df, "Exchange") == 0
+    want = trips.trip_features(X.sensor(spark, folder), tiebreak=X.TIEBREAK)
+    assert df.count() == want.count()
+    spark.sql("DROP TABLE sensor_by_trip")
+
+
 @pytest.mark.parametrize(
     "make",
     [
