@@ -14,10 +14,14 @@ from odolytics.functions.quantiles import quantile_values
 SEED = 42
 
 
-def row_hash(key: str, seed: int = SEED) -> Column:
-    """A repeatable shuffle number from plain integer arithmetic."""
-    span = F.lit(2147483648)
-    return F.pmod(F.pmod(F.col(key), span) * F.lit(1103515245) + F.lit(12345 * (seed + 1)), span)
+HASH_SPAN = 2147483648
+
+
+def row_hash(key: str | Column, seed: int = SEED) -> Column:
+    """A repeatable shuffle number below ``HASH_SPAN`` from plain integer arithmetic."""
+    span = F.lit(HASH_SPAN)
+    value = F.col(key) if isinstance(key, str) else key
+    return F.pmod(F.pmod(value, span) * F.lit(1103515245) + F.lit(12345 * (seed + 1)), span)
 
 
 def stratum_position(

@@ -12,7 +12,7 @@ from odolytics.plans import oracle_parts as P
 from odolytics.plans.models_used import SCORED_SERVING, SCORED_TRIPS, WEIGHTS, linear_model
 from odolytics.plans.queries_ingest import sensor
 from odolytics.plans.queries_stats import SUMMARY
-from odolytics.plans.registry import query, rounded
+from odolytics.plans.registry import MORE_PLACES, query, rounded
 from odolytics.session import cut_lineage, work_path
 from odolytics.sources import fixtures as X
 
@@ -54,7 +54,7 @@ def batch_summary(spark, folder):
     return rounded(scoring.batch_summary(scoring.score_batch(features, linear_model(features))))
 
 
-# Training (no SQL form) -----------------------------------------------------------
+# Training (no SQL form but for the oversampling) -------------------------------------
 
 def _split(spark, folder):
     rows = X.trip_table(spark, folder).select("bookingID", "label", *FEATURES)
@@ -126,9 +126,35 @@ def tree_importance(spark, folder):
     return models.tree_importance(model)
 
 
-@query("smote")
+def _hash(value, seed):
+    return f"((({value}) % 2147483648) * 1103515245 + {12345 * (seed + 1)}) % 2147483648"
+
+
+VALUES = ", ".join(f"coalesce({f}::DOUBLE, 0)" for f in FEATURES)
+SMOTE_VALUES = ", ".join(P.r(f"v[{i + 1}]", MORE_PLACES.get(f, 6), f) for i, f in enumerate(FEATURES))
+SMOTE = f"""WITH {P.TRIP_TABLE},
+placed AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_hash('"bookingID"', 42)}, "bookingID") AS pos,
+  count(*) OVER (PARTITION BY label) AS n FROM trip_table),
+train AS (SELECT "bookingID" AS id, label, [{VALUES}] AS v FROM placed WHERE pos * 10 <= n * 6),
+sizes AS (SELECT label, count(*) AS n FROM train GROUP BY 1),
+small AS (SELECT label, n, (SELECT max(n) FROM sizes) - n AS missing FROM sizes ORDER BY n, label DESC LIMIT 1),
+points AS (SELECT id, v, row_number() OVER (ORDER BY {_hash('id', 42)}, id) AS place FROM train WHERE label = (SELECT label FROM small)),
+ranked AS (SELECT a.id, b.v AS w, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS rk
+  FROM points a JOIN points b ON a.id <> b.id),
+near AS (SELECT id, list(w ORDER BY rk) AS ws FROM ranked WHERE rk <= 5 GROUP BY 1),
+copies AS (SELECT p.id, v, unnest(range(1, (missing // n + CASE WHEN place <= missing % n THEN 1 ELSE 0 END + 1)::BIGINT)) AS copy
+  FROM points p, small),
+picked AS (SELECT c.id, v, ({_hash('(c.id % 2147483648) * 1000003 + copy', 43)}) / 2147483648.0::DOUBLE AS u,
+  coalesce(ws[1 + (({_hash('(c.id % 2147483648) * 1000003 + copy', 42)}) // 65536) % len(ws)], v) AS w
+  FROM copies c LEFT JOIN near USING (id)),
+made AS (SELECT id, list_transform(list_zip(v, w), lambda z: z[1] + (z[2] - z[1]) * u) AS v FROM picked)
+SELECT id AS "bookingID", label, {SMOTE_VALUES}, false AS synthetic FROM train
+UNION ALL SELECT id, (SELECT label FROM small), {SMOTE_VALUES}, true FROM made"""
+
+
+@query("smote", SMOTE)
 def smote(spark, folder):
-    return oversample.smote(_part(_split(spark, folder), "train"), FEATURES)
+    return rounded(oversample.smote(_part(_split(spark, folder), "train"), FEATURES))
 
 
 @query("model_persist")
