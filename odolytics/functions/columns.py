@@ -6,7 +6,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def nan_to_null(column: Column) -> Column:
@@ -51,11 +50,6 @@ def right_closed_bins(column: Column, bins: Sequence[tuple]) -> Column:
     return result
 
 
-def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    skip = set(exclude)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]
-
-
 def long_form(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One (feature, value) row per listed column, next to the kept columns."""
     return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(

@@ -68,6 +68,12 @@ def score_input(df: DataFrame, model: scoring.LinearModel, tiebreak: Sequence[st
     return scoring.score_batch(features_from_any_stage(df, tiebreak), model)
 
 
+def record_run(results: DataFrame, source: str, history_path: str, mode: str = "batch") -> None:
+    """Append a scoring run's totals to the history table."""
+    entry = scoring.history_entry(scoring.batch_summary(results), mode, source)
+    entry.write.mode("append").parquet(history_path)
+
+
 def score_trip(sensor: DataFrame, booking_id, model: scoring.LinearModel, tiebreak: Sequence[str] = ()) -> DataFrame:
     """One trip through the same job; an unknown trip is an error."""
     rows = select_trip(readers.standardize_columns(sensor), booking_id)

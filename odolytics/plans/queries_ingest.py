@@ -10,7 +10,7 @@ from odolytics import schema as S
 from odolytics.operators import cleaning, keys, scoring, trips
 from odolytics.plans import etl
 from odolytics.plans import oracle_parts as P
-from odolytics.plans.models_used import WEIGHTS, linear_model, SCORED_TRIPS
+from odolytics.plans.models_used import SCORED_TRIPS, linear_model
 from odolytics.plans.registry import query, rounded, sql_rounded
 from odolytics.session import work_path
 from odolytics.sources import fixtures as X
@@ -124,7 +124,9 @@ def validate_input(spark, folder):
     CASE WHEN id % 17 <> 0 THEN no_of_years_driving_exp END AS no_of_years_driving_exp FROM driver""",
 )
 def typed_cast_repair(spark, folder):
-    return cleaning.repair_driver_types(X.driver_raw(spark, folder))
+    """From a raw driver file, whose dates and numbers are text."""
+    path = _csv_copy(spark, X.driver_raw(spark, folder), "driver-csv")
+    return cleaning.repair_driver_types(readers.read_csv(spark, path, S.DRIVER_RAW_SCHEMA))
 
 
 def _holes(spark, folder):
@@ -316,7 +318,8 @@ def clean_sensor_serving(spark, folder):
 
 @query("clean_safety", f'WITH {P.LABEL} SELECT *, label = 1 AS is_dangerous FROM safety_label')
 def clean_safety(spark, folder):
-    return cleaning.clean_labels(X.safety_label(spark, folder))
+    path = _csv_copy(spark, X.safety_label(spark, folder), "label-csv")
+    return cleaning.clean_labels(readers.read_csv(spark, path, S.LABEL_SCHEMA))
 
 
 @query("driver_age", f"WITH {P.DRIVER}, {P.DRIVER_CLEAN} SELECT id, age FROM driver_clean")

@@ -9,7 +9,7 @@ from odolytics import schema as S
 from odolytics.operators import evaluation, models, oversample, prepare, scoring, trips
 from odolytics.plans import etl
 from odolytics.plans import oracle_parts as P
-from odolytics.plans.models_used import SCORED_SERVING, SCORED_TRIPS, WEIGHTS, linear_model
+from odolytics.plans.models_used import SCORED_SERVING, SCORED_TRIPS, linear_model
 from odolytics.plans.queries_ingest import sensor
 from odolytics.plans.queries_stats import SUMMARY
 from odolytics.plans.registry import MORE_PLACES, query, rounded
@@ -54,6 +54,21 @@ def batch_summary(spark, folder):
     return rounded(scoring.batch_summary(scoring.score_batch(features, linear_model(features))))
 
 
+@query(
+    "scoring_run_history",
+    f"""{SCORED_TRIPS}, summed AS (SELECT confidence, prediction = 1 AS hit FROM decided), runs AS (SELECT {SUMMARY} FROM summed)
+    SELECT 'batch' AS mode, 'trips-' || n || '.csv' AS file, '/in/trips-' || n || '.csv' AS file_path, runs.*
+    FROM runs, (SELECT unnest(['1', '2']) AS n)""",
+)
+def scoring_run_history(spark, folder):
+    """Two scoring runs, each adding its entry to the history table."""
+    path, features = work_path(spark, "history"), _features(spark, folder)
+    results = scoring.score_batch(features, linear_model(features))
+    for n in (1, 2):
+        etl.record_run(results, f"/in/trips-{n}.csv", path)
+    return rounded(scoring.prediction_history(spark.read.parquet(path)).drop("timestamp"))
+
+
 # Training (no SQL form but for the oversampling) -------------------------------------
 
 def _split(spark, folder):

@@ -153,3 +153,10 @@ def test_unknown_trip_is_an_error(spark, folder):
 
     with pytest.raises(ValueError, match="no data found"):
         etl.score_trip(X.sensor(spark, folder), -1, LinearModel({"speed_mean": 1.0}, 0.0))
+
+
+def test_text_sensor_columns_are_typed(spark):
+    df = spark.createDataFrame([("7", "3", "x", "n/a"), ("8", "4.0", "y", "1.5")], "bookingID string, second string, note string, speed string")
+    found = readers.cast_sensor(df)
+    assert dict(found.dtypes) == {"bookingID": "bigint", "second": "bigint", "note": "string", "speed": "double"}
+    assert [tuple(r) for r in found.collect()][0] == (7, 3, "x", None)
