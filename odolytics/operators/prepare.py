@@ -39,7 +39,10 @@ def stratum_position(
 def stratified_split(
     df: DataFrame, key: str = S.KEY, label: str = "label", seed: int = SEED, rows_per_task: int = ordered.HOT_ROWS
 ) -> DataFrame:
-    """Exact 60/20/20 split inside each class, in a ``split`` column."""
+    """Exact 60/20/20 split inside each class, in a ``split`` column.
+
+    The input is read three times (size, order, class sizes): give it written rows, not a long plan.
+    """
     tenths = F.col("position") * 10
     split = (
         F.when(tenths <= F.col("class_rows") * 6, F.lit("train"))

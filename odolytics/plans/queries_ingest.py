@@ -12,7 +12,7 @@ from odolytics.plans import etl
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.models_used import SCORED_TRIPS, linear_model
 from odolytics.plans.registry import query, rounded, sql_rounded
-from odolytics.session import work_path
+from odolytics.session import cut_lineage, work_path
 from odolytics.sources import fixtures as X
 from odolytics.sources import readers, writers
 
@@ -247,7 +247,7 @@ def sink_csv(spark, folder):
         ["probability_safe", "probability_dangerous", "confidence"])}, 'run-1' AS run_id FROM decided""",
 )
 def export_predictions(spark, folder):
-    features = trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK)
+    features = cut_lineage(trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK))
     path = work_path(spark, "predictions")
     results = scoring.score_batch(features, linear_model(features))
     for _ in range(2):

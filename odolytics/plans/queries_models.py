@@ -21,7 +21,8 @@ DECIDED = '"bookingID", prediction, prediction_label, ' + P.rounded(["probabilit
 
 
 def _features(spark, folder):
-    return trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK)
+    """Written once: fitting the scaler and scoring both read them."""
+    return cut_lineage(trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK))
 
 
 @query("score_batch", f"{SCORED_TRIPS} SELECT {DECIDED} FROM decided")
@@ -72,7 +73,7 @@ def scoring_run_history(spark, folder):
 # Training (no SQL form but for the oversampling) -------------------------------------
 
 def _split(spark, folder):
-    rows = X.trip_table(spark, folder).select("bookingID", "label", *FEATURES)
+    rows = cut_lineage(X.trip_table(spark, folder).select("bookingID", "label", *FEATURES))
     return cut_lineage(prepare.stratified_split(rows))
 
 
