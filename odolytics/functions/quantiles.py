@@ -110,19 +110,20 @@ def exact_quantiles(
         still_open = [t for t in still_open if t.distinct > share and t.slack < 1.0]
         again = True
     wanted = [float(p) for p in probabilities]
-    rows = data
-    if targets and not whole:
-        rows = data.where(reduce(lambda a, b: a | b, [t.holds() for t in targets]))
-    wide = rows.agg(
-        *[F.percentile(c, F.array(*map(F.lit, wanted))).alias(f"w_{c}") for c in whole],
-        *[F.percentile(t.bracket(), F.lit(t.local())).alias(f"t_{i}") for i, t in enumerate(targets)],
-    )
+    parts = []
+    if whole:
+        wide = data.agg(*[F.percentile(c, F.array(*map(F.lit, wanted))).alias(c) for c in whole])
+        parts.append(_tall(wide, [(c, p, F.col(c)[i]) for c in whole for i, p in enumerate(wanted)]))
+    if targets:
+        near = data.where(reduce(lambda a, b: a | b, [t.holds() for t in targets]))
+        wide = near.agg(*[F.percentile(t.bracket(), F.lit(t.local())).alias(f"t{i}") for i, t in enumerate(targets)])
+        parts.append(_tall(wide, [(t.column, t.probability, F.col(f"t{i}")) for i, t in enumerate(targets)]))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _tall(wide: DataFrame, values: Sequence[tuple[str, float, Column]]) -> DataFrame:
     structs = [
-        F.struct(F.lit(c).alias("feature"), F.lit(p).alias("probability"), F.col(f"w_{c}")[i].alias("value"))
-        for c in whole for i, p in enumerate(wanted)
-    ] + [
-        F.struct(F.lit(t.column).alias("feature"), F.lit(t.probability).alias("probability"), F.col(f"t_{i}").alias("value"))
-        for i, t in enumerate(targets)
+        F.struct(F.lit(c).alias("feature"), F.lit(float(p)).alias("probability"), v.alias("value")) for c, p, v in values
     ]
     return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 

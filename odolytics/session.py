@@ -19,6 +19,8 @@ DEFAULTS = {
     # Stream state lives on local disk with checkpoints in the shared folder, not in the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Sessions of one trip are merged before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from odolytics import schema as S
 from odolytics.functions.columns import flag, magnitude, share
@@ -22,16 +23,21 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_t
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def run_to_table(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Process what is available, append it to a table in the shared folder, and read that table."""
+def start(
+    stream: DataFrame, target: str, progress: str, every: str | None = None, output: str = "append"
+) -> StreamingQuery:
+    """Write a stream to a parquet table. ``progress`` is the stream's checkpoint folder and must stay the
+    same across restarts; without ``every`` the query stops when the input is used up."""
+    writer = stream.writeStream.format("parquet").outputMode(output).option("checkpointLocation", progress)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start(target)
+
+
+def run_to_table(stream: DataFrame, name: str, path: str | None = None, progress: str | None = None) -> DataFrame:
+    """Process what is available, append it to a table, and read that table. Without paths a fresh table in
+    the shared folder is made."""
     spark = stream.sparkSession
     target = path or work_path(spark, name)
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", work_path(spark, f"{name}-progress"))
-        .trigger(availableNow=True).start(target)
-    )
-    query.awaitTermination()
+    start(stream, target, progress or work_path(spark, f"{name}-progress")).awaitTermination()
     return spark.read.schema(stream.schema).parquet(target)
 
 
@@ -40,9 +46,19 @@ def clean(stream: DataFrame) -> DataFrame:
     return cleaning.clean_sensor(stream)
 
 
-def deduplicate(stream: DataFrame, delay: str = "10 minutes", on: Sequence[str] = (S.KEY, S.TIME)) -> DataFrame:
-    """One row per key; state older than the watermark is let go."""
-    return stream.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(on))
+def deduplicate(
+    stream: DataFrame, delay: str = "10 minutes", on: Sequence[str] = (S.KEY, S.TIME), salts: int = 1
+) -> DataFrame:
+    """One row per key; state older than the watermark is let go.
+
+    Where one key may arrive in a great many copies, ``salts`` > 1 first drops copies within groups of
+    input partitions, so that at most ``salts`` copies of a key meet in one task.
+    """
+    timed = stream.withWatermark(EVENT_TIME, delay)
+    if salts > 1:
+        salted = timed.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        timed = salted.dropDuplicatesWithinWatermark([*on, "__salt"]).drop("__salt")
+    return timed.dropDuplicatesWithinWatermark(list(on))
 
 
 def window_features(
@@ -99,10 +115,12 @@ def append_new_trips(features_path: str, tiebreak: Sequence[str] = ()) -> Callab
     return write
 
 
-def run_each_batch(stream: DataFrame, name: str, body: Callable[[DataFrame, int], None]) -> None:
+def run_each_batch(
+    stream: DataFrame, name: str, body: Callable[[DataFrame, int], None], progress: str | None = None
+) -> None:
     query = (
         stream.writeStream.foreachBatch(body)
-        .option("checkpointLocation", work_path(stream.sparkSession, f"{name}-progress"))
+        .option("checkpointLocation", progress or work_path(stream.sparkSession, f"{name}-progress"))
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -81,13 +81,20 @@ def test_silent_trips_close(spark, split_events):
     assert not versions.where("closed").isEmpty()
 
 
-def test_dedup_keeps_one_row_per_key(spark, split_events):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_dedup_keeps_one_row_per_key(spark, split_events, salts):
     source = stream(spark, split_events)
     doubled = source.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    once = jobs.run_to_table(jobs.deduplicate(doubled, "2 hours").select("bookingID", "second"), "dedup")
+    once = jobs.run_to_table(jobs.deduplicate(doubled, "2 hours", salts=salts).select("bookingID", "second"), "dedup")
     assert once.count() == once.distinct().count() > 0
 
 
+def test_a_restarted_stream_goes_on_where_it_stopped(spark, split_events, tmp_path):
+    where = {"path": str(tmp_path / "out"), "progress": str(tmp_path / "progress")}
+    first = jobs.run_to_table(stream(spark, split_events), "clean", **where).count()
+    assert first > 0 and jobs.run_to_table(stream(spark, split_events), "clean", **where).count() == first
+
+
 def test_sink_adds_each_trip_once(spark, folder, tmp_path):
     path, rows = str(tmp_path / "features"), X.sensor(spark, folder)
     done = X.processed_trips(spark, folder)
