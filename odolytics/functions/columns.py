@@ -12,6 +12,11 @@ def nan_to_null(column: Column) -> Column:
     return F.when(~F.isnan(column), column)
 
 
+def utc_instant(naive: Column) -> Column:
+    """The instant of a time without zone that is meant as UTC, whatever the session's zone."""
+    return F.from_utc_timestamp(naive.cast("timestamp"), F.current_timezone())
+
+
 def flag(condition: Column) -> Column:
     """A condition that is false, not missing, when its input is missing."""
     return F.coalesce(condition, F.lit(False))

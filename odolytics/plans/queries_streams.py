@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from odolytics import schema as S
+from odolytics.functions.columns import utc_instant
 from odolytics.operators import cleaning, trips
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.models_used import SCORED_TRIPS, linear_model
@@ -19,7 +20,7 @@ from odolytics.streaming import jobs, trip_state
 def _stream(spark, folder):
     schema = X.table(spark, folder, "events").schema
     events = jobs.read_files(spark, f"{folder}/events*.parquet", schema)
-    return X.sensor_from_events(events).withColumn(jobs.EVENT_TIME, F.col("ts").cast("timestamp")).drop("ts")
+    return X.sensor_from_events(events).withColumn(jobs.EVENT_TIME, utc_instant(F.col("ts"))).drop("ts")
 
 
 def _clean(spark, folder):
