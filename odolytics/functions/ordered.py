@@ -101,14 +101,16 @@ def by_time(df: DataFrame, time: str, tiebreak: Sequence[str], readings: Sequenc
     return df.withColumn(TIE, F.xxhash64(*readings)), [time, TIE]
 
 
-def cut_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int) -> Ordered:
+def cut_ranges(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int, written: bool = False
+) -> Ordered:
     """Range-partition by (keys, order) and give each row the number of its range.
 
     The rows are written first: numbering copies of one row, and sampling the ranges, must see the same
     rows in the same order again when a task is repeated. The numbered rows are written too, since
     several parts of the plan read them and must agree on the ranges.
     """
-    numbered = cut_lineage(df).withColumn(COPY, F.monotonically_increasing_id())
+    numbered = (df if written else cut_lineage(df)).withColumn(COPY, F.monotonically_increasing_id())
     sort = [*keys, *order, COPY]
     ranged = numbered.repartitionByRange(max(2, pieces), *sort).withColumn(CHUNK, F.spark_partition_id())
     return Ordered(cut_lineage(ranged), tuple(keys), (*order, COPY), chunked=True)
@@ -153,9 +155,11 @@ def whole_order(
 ) -> Ordered:
     """A sort order over a whole table (or over a few large groups such as the two classes).
 
-    A table small enough for one task is one window; a larger one is cut into ranges.
+    The rows are written once, so that counting them does not work them out twice. A table small enough
+    for one task is one window; a larger one is cut into ranges.
     """
-    rows = df.count()
+    written = cut_lineage(df)
+    rows = written.count()
     if rows <= rows_per_task:
-        return Ordered(df, tuple(keys), tuple(order))
-    return cut_ranges(df, keys, order, math.ceil(rows / rows_per_task) * 2)
+        return Ordered(written, tuple(keys), tuple(order))
+    return cut_ranges(written, keys, order, math.ceil(rows / rows_per_task) * 2, written=True)
