@@ -19,8 +19,8 @@ _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,8 +83,8 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _pieces(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Byte ranges of about a piece each, cut at row starts or at white space."""
+def _pieces(raw: np.ndarray, offsets: np.ndarray, gap_bytes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Byte ranges of about a piece each, cut at row starts or between words."""
     at, end = 0, int(offsets[-1])
     while at < end:
         to = min(end, at + PIECE_BYTES)
@@ -93,8 +93,8 @@ def _pieces(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
             if row > at:
                 to = row
             else:
-                while to < end and not _SPACE[raw[to]]:
-                    gap = np.flatnonzero(_SPACE[raw[to : to + 4096]])
+                while to < end and not gap_bytes[raw[to]]:
+                    gap = np.flatnonzero(gap_bytes[raw[to : to + 4096]])
                     to = to + int(gap[0]) if len(gap) else min(end, to + 4096)
                 after = int(offsets[np.searchsorted(offsets, at, "right")])
                 to = min(to, after)
@@ -102,14 +102,17 @@ def _pieces(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, row after row, and the first word of each row (one entry more than rows)."""
+def words(raw: np.ndarray, offsets: np.ndarray, gap_bytes: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, row after row, and the first word of each row (one entry more than rows).
+
+    ``gap_bytes`` says for each of the 256 bytes whether it stands between words.
+    """
     hashes, starts_all = [], []
     first = np.zeros(len(raw) + 1, dtype=bool)
     first[offsets] = True
-    for at, to in _pieces(raw, offsets):
+    for at, to in _pieces(raw, offsets, gap_bytes):
         part = raw[at:to]
-        inside = ~_SPACE[part]
+        inside = ~gap_bytes[part]
         head = first[at:to]
         before = np.concatenate(([False], inside[:-1]))
         starts = np.flatnonzero(inside & (~before | head))
@@ -138,9 +141,15 @@ def shingle_set(words_of_row: np.ndarray) -> np.ndarray:
     return np.unique(shingle_hashes(words_of_row))
 
 
-def word_rows(column: pa.Array) -> Iterator[np.ndarray]:
+def word_hash(word: str) -> int:
+    """The hash that ``words`` gives to this word."""
+    raw = np.frombuffer(word.encode(), np.uint8)
+    return int(words(raw, np.array([0, len(raw)]), np.zeros(256, dtype=bool))[0][0])
+
+
+def word_rows(column: pa.Array, gap_bytes: np.ndarray = SPACE) -> Iterator[np.ndarray]:
     """The word hashes of each row of a string column."""
     raw, offsets = text_bytes(column)
-    hashes, first = words(raw, offsets)
+    hashes, first = words(raw, offsets, gap_bytes)
     for a, b in zip(first[:-1], first[1:]):
         yield hashes[a:b]
