@@ -405,4 +405,4 @@ def held_out_scores(docs: DataFrame) -> DataFrame:
     """
     rest = fold(F.col("doc_id"), FOLDS)
     model = train(docs.where(rest != 0).select("text"))
-    return score(docs.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "text"), model)
+    return score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "text"), model)

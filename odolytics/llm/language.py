@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odolytics.llm import tokens
 
@@ -153,41 +154,38 @@ def fit(labelled: DataFrame) -> Model:
     return Model(landmarks, np.linalg.solve(left + RIDGE * np.eye(d), right).astype(np.float32), languages)
 
 
-def _predict(shared, carried: list[str]):
+def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            lettered = np.array(batch.column("__letters").to_pylist(), dtype=bool)
+            lettered = np.array(batch.column("letters").to_pylist(), dtype=bool)
             lang, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             if model.languages:
-                margin = _with_constant(features(model.landmarks, *tokens.text_bytes(batch.column("__lower")))) @ model.weights
+                margin = _with_constant(features(model.landmarks, *tokens.text_bytes(batch.column("lower")))) @ model.weights
                 best = margin.argmax(axis=1)
                 score = np.clip((margin[np.arange(len(best)), best] + 1) / 2, 0.0, 1.0).astype(np.float64)
                 lang = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
             score = np.where(lettered, score, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in carried] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=carried + ["__lang", "__score"],
+                [batch.column("row"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["row", "lang", "score"],
             )
 
     return run
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``__lang`` and ``__score``: the language with the largest regression value, and that value
-    brought from [-1, 1] to [0, 1].
+    """``row, lang, score`` for every row of ``docs``: the whole row, the language with the largest regression value,
+    and that value brought from [-1, 1] to [0, 1].
 
     NULL text and text without a letter get ``und`` and 0, as does everything if nothing was learned. Equal texts
-    get equal answers. All columns of ``docs`` come back as they are.
+    get equal answers. The row is a struct, so its columns may have any names.
     """
-    carried = docs.columns
-    prepared = docs.withColumn("__lower", F.lower(F.col(text))).withColumn(
-        "__letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    )
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return prepared.mapInArrow(
-        _predict(docs.sparkSession.sparkContext.broadcast(model), carried), f"{schema}, __lang string, __score double"
+    prepared = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.lower(F.col(text)).alias("lower"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
     )
+    schema = T.StructType([prepared.schema["row"], T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
+    return prepared.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), schema)
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -202,5 +200,5 @@ def held_out_languages(docs: DataFrame) -> DataFrame:
     """
     rest = fold(F.col("doc_id"), 3)
     model = fit(docs.where(rest != 1).select(F.col("doc_id").alias("key"), F.col("lang").alias("label"), "text"))
-    read = docs.select("doc_id", "text", F.coalesce(rest == 1, F.lit(False)).alias("held_out"))
-    return identify(read, model).select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(rest == 1, F.lit(False)).alias("held_out"))
+    return identify(read, model).select("row.doc_id", "row.held_out", F.col("lang").alias("lang_pred"), "score")

@@ -82,7 +82,7 @@ def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     ranked last. Other columns are not read; no rows, no result.
     """
     spark = docs.sparkSession
-    read = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"))
     path = work_path(spark, "lines")
     read.mapInArrow(_digests(least_words), "doc_id long, version long, line int, digest binary").write.parquet(path)
     lines = spark.read.schema("doc_id long, version long, line int, digest binary").parquet(path)

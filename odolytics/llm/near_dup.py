@@ -115,7 +115,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _sign, "doc_id long, n_shingles long, seq binary, sig array<long>, bands array<long>"
     )
 

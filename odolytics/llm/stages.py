@@ -22,8 +22,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     rest = language.fold(F.col("doc_id"), 3)
     model = language.fit(docs.where(rest != 1).select(F.col("doc_id").alias("key"), F.col("lang").alias("label"), "text"))
     found = language.identify(docs, model)
-    claimed = (F.col("__lang") != language.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)
-    return found.where(claimed).select(*docs.columns)
+    claimed = (F.col("lang") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return found.where(claimed).select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +35,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def first_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 50-byte strings that a document with a smaller id has; a text that is all gone goes."""
-    carried = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = suffix_dedup.suffix_dedup(docs, keep=carried)
+    others = tuple(c for c in docs.columns if c != "text")
+    found = suffix_dedup.suffix_dedup(docs, carry=others)
     kept = found.where("n_bytes = 0 OR n_removed < n_bytes")
     columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return kept.select(*[columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*[(columns[c] if c in columns else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

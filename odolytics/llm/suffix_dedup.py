@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odolytics.functions.columns import broadcast_if_small
 from odolytics.llm import tokens
@@ -337,7 +338,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # A cut inside a character leaves bytes that are no text; they are left out of the text form.
             kept_text.append(out.decode("utf-8", "ignore") if batch.column("text")[i].is_valid else None)
             spans_out.append(merged)
-        names = [n for n in batch.schema.names if n not in ("spans", "version")]
+        names = ["doc_id", "row"]
         yield pa.RecordBatch.from_arrays(
             [batch.column(n) for n in names]
             + [pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest),
@@ -346,16 +347,19 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def suffix_dedup(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, removed`` for every row of ``docs``.
+def suffix_dedup(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, row, n_bytes, n_removed, n_spans, kept_sha256, kept_text, removed`` for every row of ``docs``.
 
     A byte goes if a 50-byte string over it also starts in a document with a smaller id; all is judged on the
     texts as they came, and matches end with the document. NULL and empty texts, and those under 50 bytes, stay
     as they are. Rows with one id never remove each other's bytes. A row without an id counts as last: it can
     lose bytes but removes none of others. ``kept_text`` leaves out the rest of a character that was cut through.
-    Columns named in ``keep`` are carried along; others are not read. No rows, no result.
+    The columns named in ``carry`` come back in the struct ``row``; others are not read. No rows, no result.
     """
-    read = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"), *keep)
+    row = F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("string").alias("nothing")])
+    read = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"), row.alias("row")
+    )
     spans = repeated_spans(read.select("doc_id", "text", "version"))
     path = work_path(docs.sparkSession, "suffix-spans")
     spans.write.parquet(path)
@@ -364,10 +368,8 @@ def suffix_dedup(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     with_spans = read.alias("r").join(
         spans.alias("s"), (F.coalesce("r.doc_id", F.lit(int(NO_ID))) == F.col("s.id_or_last")) & F.expr("r.version = s.version"), "left"
     ).select("r.*", "s.spans")
-    kinds = dict(read.dtypes)
-    carried = "".join(f", `{c}` {kinds[c]}" for c in keep)
-    return with_spans.select("doc_id", "text", "version", *keep, "spans").mapInArrow(
-        _apply,
-        f"doc_id long, text string{carried}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-        "kept_text string, removed array<struct<a:int,b:int>>",
-    ).drop("text")
+    made = T.StructType.fromDDL(
+        "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed array<struct<a:int,b:int>>"
+    )
+    schema = T.StructType([read.schema["doc_id"], read.schema["row"], *made.fields])
+    return with_spans.select("doc_id", "text", "row", "spans").mapInArrow(_apply, schema)
