@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from odolytics.functions.columns import broadcast_if_small
 from odolytics.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -18,6 +19,7 @@ MOST_COPIES = 3
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_DIGITS = 15            # hexadecimal digits of the hash: 60 bits
 LEVEL_DIGITS = 3            # digits read per round: 4,096 buckets
+MOST_SOURCES = 50_000       # one row each is sent to every task; a table of more sources is shuffled
 
 
 def word_count(text: Column) -> Column:
@@ -65,7 +67,7 @@ def thresholds(units: DataFrame, budgets: DataFrame) -> DataFrame:
     upto = Window.partitionBy("source").orderBy("bucket")
     for digits in range(LEVEL_DIGITS, HASH_DIGITS + 1, LEVEL_DIGITS):
         inside = units.alias("u").join(
-            state.alias("s"),
+            broadcast_if_small(state, MOST_SOURCES).alias("s"),
             F.expr(f"u.source <=> s.source AND left(u.h, {digits - LEVEL_DIGITS}) = s.prefix") if digits > LEVEL_DIGITS
             else F.expr("u.source <=> s.source"),
         )
@@ -112,6 +114,7 @@ def mix_sources(docs: DataFrame, id_column: str = "doc_id", source: str = "sourc
         "b.source", "b.source_size", "b.target", "b.whole", F.coalesce("t.threshold", F.lit("")).alias("threshold")
     )
     copies = F.col("d.whole") + (F.col("u.h") < F.col("d.threshold")).cast("long")
+    decided = broadcast_if_small(cut_lineage(decided), MOST_SOURCES)
     return units.alias("u").join(decided.alias("d"), F.expr("u.source <=> d.source")).select(
         "u.doc_id", "u.size", "d.source_size", "d.target", (F.col("u.size") * copies).alias("taken"), "u.source",
     )
