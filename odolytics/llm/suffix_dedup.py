@@ -2,17 +2,18 @@
 
 1. *Runs.* Each 50-byte window has a key, the least hash of the 20-byte grams in it. Equal windows have equal
    keys. Neighbouring windows with one key form a run; a run of m windows is a string of m + 49 bytes.
-2. *Repeated keys.* Keys are dealt out by value; those of one document only are dropped. A key that several
-   documents of one batch hold is settled there, so a very common passage sends one entry per batch.
-3. *Suffix order.* The different strings of the remaining keys, with the least id that holds each, are dealt
-   out by key. A task builds the Burrows-Wheeler transform and the common prefixes of its strings column by
-   column (see ``bwt``). Suffixes whose common prefix is at least 50 share a window; the least id over such a
-   stretch is the window's first document.
-4. *Spans.* Occurrences get the windows first seen under a smaller id; spans of a document are joined up.
+2. *Equal runs.* Runs are dealt out by key, as a key and a hash of the string. A run whose very string a
+   smaller id has goes as a whole. The first holder of a string stays, unless its key has other strings too:
+   then some of its windows may stand in a different string, and it is still open. Equal runs within one group
+   of documents are settled there, so a very common passage sends one entry per group.
+3. *Suffix order.* Open strings are dealt out by key. A task builds the Burrows-Wheeler transform and the common
+   prefixes of its strings column by column (see ``bwt``). Suffixes whose common prefix is at least 50 share
+   a window; the least id over such a stretch is the window's first document.
+4. *Spans.* Whole runs and stretches of windows first seen under a smaller id are joined up per document.
 
 The key decides which strings can share a window, so each collection is complete in itself, and strings are
-at most MOST_WINDOWS + 49 bytes long, which bounds the rounds. Keys with very many different strings are
-taken window by window instead.
+at most MOST_WINDOWS + 49 bytes long, which bounds the rounds. Open strings of a very common key are taken
+window by window instead, combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,8 @@ WINDOW = 50
 GRAM = 20
 MOST_WINDOWS = 64           # windows in one run
 SHARD_BYTES = 16 << 20      # text per shard
-HOT_STRINGS = 50_000        # runs of one key up to which its strings are ordered in one task
+GROUP_BYTES = 8 << 20       # text whose equal runs are settled together
+HOT_STRINGS = 50_000        # open runs of one key that are ordered in one task
 SPANS_TO_BROADCAST = 200_000
 NO_ID = np.iinfo(np.int64).max
 
@@ -78,6 +80,16 @@ def _runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(firsts), np.concatenate(counts)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, so that small numbers leave long runs of zeros to the compressor."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _from_planes(data: bytes, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(dtype)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
     raw, offsets = tokens.text_bytes(batch.column("text"))
     ids = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
@@ -86,62 +98,69 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
         yield int(ids[i]), int(version[i]), raw[offsets[i] : offsets[i + 1]]
 
 
-RUN_SCHEMA = "shard int, settled boolean, keys binary, row binary, docs binary, versions binary, first binary, windows binary"
-FLAGGED_SCHEMA = "key long, doc_id long, version long, first int, windows int"
+RUN_FIELDS = ("keys", "contents", "docs", "versions", "counts", "steps")
+RUN_SCHEMA = "shard int, " + ", ".join(f"{n} binary" for n in RUN_FIELDS)
+FOUND_SCHEMA = "doc_id long, version int, open boolean, runs binary"
+
+
+def _pack(which: np.ndarray, row: np.ndarray, number: np.ndarray, docs: np.ndarray, versions: np.ndarray) -> list[bytes]:
+    """Documents, entries per document, and run numbers as steps from one to the next."""
+    used, start, count = np.unique(row[which], return_index=True, return_counts=True)
+    steps = np.diff(number[which], prepend=np.uint32(0))
+    steps[start] = number[which][start]
+    return [_planes(v) for v in (docs[used], versions[used], count.astype(np.uint32), steps.astype(np.uint32))]
+
 
+def _unpack(docs: bytes, versions: bytes, counts: bytes, steps: bytes) -> tuple[np.ndarray, ...]:
+    """Document, version and run number of each entry."""
+    count, step = _from_planes(counts, np.uint32).astype(np.int64), _from_planes(steps, np.uint32).astype(np.int64)
+    total = np.cumsum(step)
+    start = np.cumsum(count) - count
+    number = total - np.repeat(total[start] - step[start], count)
+    return np.repeat(_from_planes(docs, np.int64), count), np.repeat(_from_planes(versions, np.uint16), count), number
 
-def _deal_keys(shards: int):
+
+def _deal_runs(shards: int):
     """Packed runs for each shard, from groups of documents of a few megabytes."""
 
     def pack(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        found = [_runs(raw) for _, _, raw in rows]
-        docs = np.array([r[0] for r in rows], dtype=np.int64)
-        versions = np.array([r[1] for r in rows], dtype=np.int64)
-        keys = np.concatenate([f[0] for f in found])
-        first = np.concatenate([f[1] for f in found]).astype(np.uint32)
-        windows = np.concatenate([f[2] for f in found]).astype(np.uint8)
-        row = np.repeat(np.arange(len(rows), dtype=np.uint32), [len(f[0]) for f in found])
-        # Keys of several ids in this group of documents are settled: one entry tells the shard about them.
-        by_key = np.lexsort((docs[row], keys))
-        k, d = keys[by_key], docs[row][by_key]
-        head = np.concatenate(([True], k[1:] != k[:-1])) if len(k) else np.zeros(0, bool)
-        group = np.cumsum(head) - 1
-        several = np.zeros(int(group[-1]) + 1 if len(k) else 0, dtype=bool)
-        several[group[1:][(~head[1:]) & (d[1:] != d[:-1])]] = True
-        settled = np.zeros(len(keys), dtype=bool)
-        settled[by_key] = several[group]
-        witness = np.zeros(len(keys), dtype=bool)
-        witness[by_key[head & several[group]]] = True
-        shard = (keys % _U(shards)).astype(np.int64)
-        out = {name: [] for name in ("shard", "settled", "keys", "row", "docs", "versions", "first", "windows")}
-
-        def add(to: int, done: bool, which: np.ndarray) -> None:
-            if not len(which):
-                return
-            used, again = np.unique(row[which], return_inverse=True)
-            for name, value in zip(out, (
-                to, done, keys[which].tobytes(), again.astype(np.uint32).tobytes(), docs[used].tobytes(),
-                versions[used].tobytes(), first[which].tobytes(), windows[which].tobytes(),
-            )):
-                out[name].append(value)
-
-        send = np.flatnonzero(~settled | witness)
+        keys, contents, size = [], [], []
+        for _, _, raw in rows:
+            key, first, windows = _runs(raw)
+            prefix = tokens.prefix_hashes(raw)
+            keys.append(key)
+            contents.append(tokens.stretch_hashes(prefix, first, first + windows + WINDOW - 1))
+            size.append(len(key))
+        docs, versions = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.uint16)
+        key, content = np.concatenate(keys), np.concatenate(contents)
+        row = np.repeat(np.arange(len(rows)), size)
+        number = np.concatenate([np.arange(n, dtype=np.uint32) for n in size])
+        # Equal strings in this group of documents: only the least id's go on, the others are settled.
+        order = np.lexsort((docs[row], content, key))
+        k, c, d = key[order], content[order], docs[row][order]
+        head = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))
+        least = d[np.flatnonzero(head)][np.cumsum(head) - 1]
+        settled = np.zeros(len(key), dtype=bool)
+        settled[order] = d > least
+        columns: list[list] = [[] for _ in range(1 + len(RUN_FIELDS))]
+
+        def add(*values) -> None:
+            for column, value in zip(columns, values):
+                column.append(value)
+
+        shard = (key % _U(shards)).astype(np.int64)
+        short = ((key // _U(shards)) & _U(0xFFFFFFFF)).astype(np.uint32)
+        send = np.flatnonzero(~settled)
         send = send[np.argsort(shard[send], kind="stable")]
-        cuts = np.flatnonzero(np.diff(shard[send])) + 1
-        for part in np.split(send, cuts):
-            if len(part):
-                lone, told = part[~witness[part]], part[witness[part]]
-                add(int(shard[part[0]]), False, lone)
-                add(int(shard[part[0]]), True, told)
-        # Settled runs go on as they are, spread over the shards. A witness entry comes back from here as well.
-        whole = np.flatnonzero(settled)
-        for part in np.array_split(whole, max(1, len(whole) // 100_000)):
+        for part in np.split(send, np.flatnonzero(np.diff(shard[send])) + 1):
             if len(part):
-                add(-1 - int(tokens.mix(keys[part[:1]])[0] % _U(shards)), True, part)
+                add(int(shard[part[0]]), _planes(short[part]), _planes(content[part]), *_pack(part, row, number, docs, versions))
+        done = np.flatnonzero(settled)
+        if len(done):
+            # Settled runs pass through any one group.
+            add(-1 - int(tokens.mix(key[:1])[0] % _U(shards)), b"", b"", *_pack(done, row, number, docs, versions))
         return pa.RecordBatch.from_arrays(
-            [pa.array(out["shard"], pa.int32()), pa.array(out["settled"], pa.bool_())]
-            + [pa.array(out[n], pa.binary()) for n in ("keys", "row", "docs", "versions", "first", "windows")],
-            names=list(out),
+            [pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]], names=["shard", *RUN_FIELDS]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +170,7 @@ def _deal_keys(shards: int):
                 if len(row[2]) >= WINDOW:
                     rows.append((row[0], row[1], row[2].copy()))
                     size += len(row[2])
-                if size >= 4 * tokens.PIECE_BYTES:
+                if size >= GROUP_BYTES:
                     yield pack(rows)
                     rows, size = [], 0
         if rows:
@@ -160,70 +179,93 @@ def _deal_keys(shards: int):
     return run
 
 
-def _repeated(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Runs of keys that more than one id holds."""
-    settled = table.column("settled").to_pylist()
-    kinds = {"keys": _U, "row": np.uint32, "docs": np.int64, "versions": np.int64, "first": np.uint32, "windows": np.uint8}
-    columns = {n: [np.frombuffer(v, t) for v in table.column(n).to_pylist()] for n, t in kinds.items()}
-    keys = np.concatenate(columns["keys"])
-    size = np.array([len(v) for v in columns["keys"]])
-    told = np.repeat(np.array(settled, dtype=bool), size)
-    docs = np.concatenate([d[r] for d, r in zip(columns["docs"], columns["row"])])
-    versions = np.concatenate([d[r] for d, r in zip(columns["versions"], columns["row"])])
-    first, windows = np.concatenate(columns["first"]), np.concatenate(columns["windows"])
-    if key[0].as_py() < 0:
-        keep = np.arange(len(keys))
+def _equal_runs(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Runs that go as a whole, and first holders that are open, per document."""
+    entries = [_unpack(*(row[n] for n in RUN_FIELDS[2:])) for row in table.select(RUN_FIELDS[2:]).to_pylist()]
+    doc, version, number = (np.concatenate(x) for x in zip(*entries))
+    if group[0].as_py() < 0:
+        whole, unsettled = np.ones(len(doc), dtype=bool), np.zeros(len(doc), dtype=bool)
     else:
-        order = np.lexsort((docs, keys))
-        k, d, t = keys[order], docs[order], told[order]
-        head = np.concatenate(([True], k[1:] != k[:-1]))
-        group = np.cumsum(head) - 1
-        several = np.zeros(group[-1] + 1, dtype=bool)
-        several[group[t]] = True
-        several[group[1:][(~head[1:]) & (d[1:] != d[:-1])]] = True
-        keep = order[several[group] & ~t]
-    return pa.table({
-        "key": keys[keep].view(np.int64), "doc_id": docs[keep], "version": versions[keep],
-        "first": first[keep].astype(np.int32), "windows": windows[keep].astype(np.int32),
-    })
+        key = np.concatenate([_from_planes(v, np.uint32) for v in table.column("keys").to_pylist()])
+        content = np.concatenate([_from_planes(v, _U) for v in table.column("contents").to_pylist()])
+        order = np.lexsort((doc, content, key))
+        k, c, d = key[order], content[order], doc[order]
+        new_key = np.concatenate(([True], k[1:] != k[:-1]))
+        head = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))
+        later = d > d[np.flatnonzero(head)][np.cumsum(head) - 1]
+        of_key = np.cumsum(new_key) - 1
+        several = np.bincount(of_key, weights=head) > 1
+        whole, unsettled = np.zeros(len(doc), dtype=bool), np.zeros(len(doc), dtype=bool)
+        whole[order], unsettled[order] = later, ~later & several[of_key]
+    out: dict[str, list] = {"doc_id": [], "version": [], "open": [], "runs": []}
+    for is_open, which in ((False, np.flatnonzero(whole)), (True, np.flatnonzero(unsettled))):
+        which = which[np.lexsort((number[which], version[which], doc[which]))]
+        new = (np.diff(doc[which]) != 0) | (np.diff(version[which].astype(np.int64)) != 0)
+        for part in np.split(which, np.flatnonzero(new) + 1):
+            if len(part):
+                out["doc_id"].append(int(doc[part[0]]))
+                out["version"].append(int(version[part[0]]))
+                out["open"].append(is_open)
+                out["runs"].append(number[part].astype(np.uint32).tobytes())
+    return pa.table([
+        pa.array(out["doc_id"], pa.int64()), pa.array(out["version"], pa.int32()), pa.array(out["open"], pa.bool_()), pa.array(out["runs"], pa.binary())
+    ], names=list(out))
 
 
-STRING_SCHEMA = "shard int, key long, content long, doc_id long, version long, first int, windows int, string binary"
+def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All runs of a document: whole ones as ranges of numbers, open ones as numbers."""
+    for batch in batches:
+        ranges, left = [], []
+        for found in batch.column("found").to_pylist():
+            number = {o: [np.frombuffer(f["runs"], np.uint32) for f in found if f["open"] == o] for o in (False, True)}
+            n = np.unique(np.concatenate(number[False])).astype(np.int64) if number[False] else np.zeros(0, np.int64)
+            cut = np.flatnonzero(np.diff(n) > 1)
+            ends = np.stack((n[np.concatenate(([0], cut + 1))], n[np.append(cut, len(n) - 1)]), axis=1) if len(n) else n
+            ranges.append(ends.astype(np.uint32).tobytes())
+            left.append(np.unique(np.concatenate(number[True])).astype(np.uint32).tobytes() if number[True] else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("version"), pa.array(ranges, pa.binary()), pa.array(left, pa.binary())],
+            names=["doc_id", "version", "ranges", "open_runs"],
+        )
+
+
+STRING_SCHEMA = "shard int, key long, doc_id long, version int, first int, string binary"
+
+
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        body = [press.compress(raw.tobytes()) for _, _, raw in _rows(batch)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").fill_null(NO_ID), batch.column("version"), pa.array(body, pa.binary())], names=["doc_id", "version", "body"]
+        )
 
 
 def _strings(shards: int):
-    """The string of each repeated run, with a hash of its content."""
+    """The strings of open runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            parts: dict[str, list] = {n: [] for n in ("key", "content", "doc_id", "version", "first", "windows")}
-            strings: list[bytes] = []
-            for (doc_id, version, raw), runs in zip(_rows(batch), batch.column("runs")):
-                listed = runs.values
-                first = listed.field("first").to_numpy().astype(np.int64)
-                windows = listed.field("windows").to_numpy().astype(np.int64)
-                key = listed.field("key").to_numpy()
-                body = raw.tobytes()
-                end = first + windows + WINDOW - 1
+            keys, firsts, strings, docs, versions = [], [], [], [], []
+            for doc_id, version, body, runs in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "version", "body", "open_runs"))):
+                body = expand.decompress(body)
+                key, first, windows = _runs(np.frombuffer(body, np.uint8))
+                which = np.frombuffer(runs, np.uint32)
+                first, end = first[which], first[which] + windows[which] + WINDOW - 1
+                keys.append(key[which])
+                firsts.append(first)
                 strings += [body[a:b] for a, b in zip(first.tolist(), end.tolist())]
-                lo = int(first.min())
-                prefix = tokens.prefix_hashes(raw[lo : int(end.max())])
-                for name, value in (
-                    ("key", key), ("content", tokens.stretch_hashes(prefix, first - lo, end - lo).view(np.int64)),
-                    ("doc_id", np.full(len(key), doc_id)), ("version", np.full(len(key), version)),
-                    ("first", first.astype(np.int32)), ("windows", windows.astype(np.int32)),
-                ):
-                    parts[name].append(value)
+                docs.append(np.full(len(which), doc_id))
+                versions.append(np.full(len(which), version, dtype=np.int32))
             if not strings:
                 continue
-            joined = {n: np.concatenate(v) for n, v in parts.items()}
-            shard = (joined["key"].view(_U) % _U(shards)).astype(np.int32)
-            for at in range(0, len(strings), 50_000):
-                cut = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard[cut])] + [pa.array(v[cut]) for v in joined.values()] + [pa.array(strings[cut], pa.binary())],
-                    names=["shard", *joined, "string"],
-                )
+            key, first = np.concatenate(keys), np.concatenate(firsts).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((key % _U(shards)).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(np.concatenate(docs)),
+                 pa.array(np.concatenate(versions)), pa.array(first), pa.array(strings, pa.binary())],
+                names=["shard", "key", "doc_id", "version", "first", "string"],
+            )
 
     return run
 
@@ -244,66 +286,66 @@ def first_seen(strings: list[bytes], holders: np.ndarray) -> tuple[np.ndarray, n
     return which, offset, np.repeat(least, np.diff(np.append(head, len(which))))
 
 
-WINDOW_SCHEMA = "key long, content long, start int, size int, holder long"
+SPAN_SCHEMA = "doc_id long, version int, a int, b int"
 
 
 def _order_shard(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Stretches of windows and the least id that holds them, per string of a shard."""
-    key, content = table.column("key").to_numpy(), table.column("content").to_numpy()
-    holder, column = table.column("holder").to_numpy(), table.column("string")
-    length = pc.binary_length(column).to_numpy()
-    # Strings with different keys share no window, so a key with one string is in order as it is.
-    _, own, strings_of_key = np.unique(key, return_inverse=True, return_counts=True)
-    alone = strings_of_key[own] == 1
-    several = np.flatnonzero(~alone)
-    which, offset, least = first_seen(column.take(pa.array(several)).to_pylist(), holder[several])
+    """Spans of windows that a smaller id has, from the suffix order of a shard's strings."""
+    doc, first = table.column("doc_id").to_numpy(), table.column("first").to_numpy()
+    which, offset, least = first_seen(table.column("string").to_pylist(), doc)
+    gone = least < doc[which]
+    which, offset = which[gone], offset[gone]
     order = np.lexsort((offset, which))
-    which, offset, least = several[which[order]], offset[order], least[order]
-    new = (which[1:] != which[:-1]) | (least[1:] != least[:-1])
-    head = np.flatnonzero(np.concatenate(([True], new))) if len(which) else np.zeros(0, np.int64)
+    which, offset = which[order], offset[order]
+    new = np.concatenate(([True], (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1))) if len(which) else np.zeros(0, bool)
+    head = np.flatnonzero(new)
     size = np.diff(np.append(head, len(which)))
-    string = np.concatenate((which[head], np.flatnonzero(alone)))
+    string, start = which[head], first[which[head]] + offset[head]
     return pa.table({
-        "key": key[string], "content": content[string],
-        "start": np.concatenate((offset[head], np.zeros(alone.sum(), np.int32))).astype(np.int32),
-        "size": np.concatenate((size, length[alone] - WINDOW + 1)).astype(np.int32),
-        "holder": np.concatenate((least[head], holder[alone])),
+        "doc_id": doc[string], "version": table.column("version").to_numpy()[string],
+        "a": start.astype(np.int32), "b": (start + size + WINDOW - 1).astype(np.int32),
     })
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, spans`` of the documents that lose bytes; spans are (start, end), not yet joined up.
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read from there."""
+    path = work_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
-    ``docs`` has doc_id, version (a hash of the text) and text.
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """``doc_id, version, ranges, spans`` of the documents that lose bytes: ranges of run numbers that go as a
+    whole, and (a, b) byte spans, not yet joined up. ``docs`` has doc_id, version (a hash of the text) and text.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHARD_BYTES))
-    flagged = docs.mapInArrow(_deal_keys(shards), RUN_SCHEMA).groupBy("shard").applyInArrow(_repeated, FLAGGED_SCHEMA)
-    per_doc = flagged.groupBy("doc_id", "version").agg(F.collect_set(F.struct("key", "first", "windows")).alias("runs"))
-    path = work_path(spark, "suffix-strings")
-    (
-        docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(per_doc, ["doc_id", "version"])
-        .select("doc_id", "version", "text", "runs").mapInArrow(_strings(shards), STRING_SCHEMA)
-        .write.option("compression", "zstd").parquet(path)
+    found = docs.mapInArrow(_deal_runs(shards), RUN_SCHEMA).groupBy("shard").applyInArrow(_equal_runs, FOUND_SCHEMA)
+    per_doc = _written(
+        found.groupBy("doc_id", "version").agg(F.collect_list(F.struct("open", "runs")).alias("found"))
+        .mapInArrow(_per_document, "doc_id long, version int, ranges binary, open_runs binary"),
+        "suffix-runs",
+    )
+    texts = docs.mapInArrow(_packed_texts, "doc_id long, version int, body binary")
+    still_open = per_doc.where("open_runs IS NOT NULL").select("doc_id", "version", "open_runs")
+    strings = _written(
+        texts.join(still_open, ["doc_id", "version"]).mapInArrow(_strings(shards), STRING_SCHEMA), "suffix-strings"
     )
-    seen = spark.read.schema(STRING_SCHEMA).parquet(path)
-    different = seen.groupBy("shard", "key", "content").agg(F.min("doc_id").alias("holder"), F.first("string").alias("string"))
-    hot = seen.groupBy("key").count().where(F.col("count") > HOT_STRINGS).select("key", F.lit(True).alias("hot"))
-    marked = different.join(broadcast_if_small(hot, 10_000), "key", "left")
-    ordered = marked.where("hot IS NULL").drop("hot").groupBy("shard").applyInArrow(_order_shard, WINDOW_SCHEMA)
-    # Strings of a key that is very common meet window by window, combined before the shuffle.
+    hot = strings.groupBy("key").count().where(F.col("count") > HOT_STRINGS).select("key", F.lit(True).alias("hot"))
+    marked = strings.join(broadcast_if_small(hot, 10_000), "key", "left")
+    ordered = marked.where("hot IS NULL").drop("hot").groupBy("shard").applyInArrow(_order_shard, SPAN_SCHEMA)
     windows = marked.where("hot").withColumn("start", F.explode(F.expr(f"sequence(0, length(string) - {WINDOW})")))
     windows = windows.withColumn("window", F.expr(f"substring(string, start + 1, {WINDOW})"))
-    least = windows.groupBy("window").agg(F.min("holder").alias("least"))
-    single = windows.join(least, "window").select("key", "content", "start", F.lit(1).alias("size"), F.col("least").alias("holder"))
-    first = ordered.union(single)
-    return (
-        seen.drop("string", "shard").join(first, ["key", "content"]).where("holder < doc_id")
-        .select("doc_id", "version", F.struct(
-            (F.col("first") + F.col("start")).alias("a"), (F.col("first") + F.col("start") + F.col("size") + WINDOW - 1).alias("b")
-        ).alias("span"))
-        .groupBy("doc_id", "version").agg(F.collect_set("span").alias("spans"))
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
+    single = windows.join(least, "window").where("least < doc_id").select(
+        "doc_id", "version", (F.col("first") + F.col("start")).alias("a"), (F.col("first") + F.col("start") + WINDOW).alias("b")
+    )
+    span = F.struct("a", "b")
+    spans = ordered.union(single).select("doc_id", "version", F.lit(None).cast("binary").alias("ranges"), span.alias("span"))
+    whole = per_doc.where("length(ranges) > 0").select("doc_id", "version", "ranges", F.lit(None).cast("struct<a:int,b:int>").alias("span"))
+    return whole.union(spans).groupBy("doc_id", "version").agg(
+        F.max("ranges").alias("ranges"), F.collect_set("span").alias("spans")
     )
 
 
@@ -320,11 +362,18 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = tokens.text_bytes(batch.column("text"))
         size, removed, count, digest, kept_text, spans_out = [], [], [], [], [], []
-        for i, spans in enumerate(batch.column("spans")):
+        for i, (spans, ranges) in enumerate(zip(batch.column("spans"), batch.column("ranges"))):
             body = raw[offsets[i] : offsets[i + 1]]
             keep, merged = body, []
+            found = []
             if spans.is_valid and len(spans):
-                a, b = joined_up(spans.values.field("a").to_numpy().astype(np.int64), spans.values.field("b").to_numpy().astype(np.int64))
+                found.append(np.stack([spans.values.field(n).to_numpy().astype(np.int64) for n in ("a", "b")]))
+            if ranges.is_valid and ranges.as_py():
+                _, first, windows = _runs(body)
+                low, high = np.frombuffer(ranges.as_py(), np.uint32).reshape(-1, 2).T
+                found.append(np.stack((first[low], first[high] + windows[high] + WINDOW - 1)))
+            if found:
+                a, b = joined_up(*np.concatenate(found, axis=1))
                 edge = np.zeros(len(body) + 1, dtype=np.int8)
                 edge[a] += 1
                 edge[b] -= 1
@@ -358,18 +407,15 @@ def suffix_dedup(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """
     row = F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("string").alias("nothing")])
     read = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"), row.alias("row")
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int").alias("version"), row.alias("row")
     )
-    spans = repeated_spans(read.select("doc_id", "text", "version"))
-    path = work_path(docs.sparkSession, "suffix-spans")
-    spans.write.parquet(path)
-    spans = docs.sparkSession.read.schema("doc_id long, version long, spans array<struct<a:int,b:int>>").parquet(path)
+    spans = _written(repeated_spans(read.select("doc_id", "text", "version")), "suffix-spans")
     spans = broadcast_if_small(spans.withColumnRenamed("doc_id", "id_or_last"), SPANS_TO_BROADCAST)
     with_spans = read.alias("r").join(
         spans.alias("s"), (F.coalesce("r.doc_id", F.lit(int(NO_ID))) == F.col("s.id_or_last")) & F.expr("r.version = s.version"), "left"
-    ).select("r.*", "s.spans")
+    ).select("r.*", "s.ranges", "s.spans")
     made = T.StructType.fromDDL(
         "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed array<struct<a:int,b:int>>"
     )
     schema = T.StructType([read.schema["doc_id"], read.schema["row"], *made.fields])
-    return with_spans.select("doc_id", "text", "row", "spans").mapInArrow(_apply, schema)
+    return with_spans.select("doc_id", "text", "row", "ranges", "spans").mapInArrow(_apply, schema)
