@@ -7,8 +7,11 @@ least document first; equal bits are counted, the count is corrected for chance
 below the threshold (five standard deviations) are ruled out. What is left is confirmed on the full sets.
 
 Links are needed only to know components, so a bucket whose members are all in one component after that is
-finished. In the others, pairs between different components are compared block by block and only those that
-pass the estimate leave the task. No pair of different components that share a bucket is left untested.
+finished. The others are gathered under the least component in them; such a group is cut into blocks, and each
+pair of blocks is compared in a task of its own: pairs of different components by their signatures, then on
+the full sets, passing over pairs that links found before have already joined. A task gives back only links
+that join something, so its result is never longer than its input. No pair of different components that
+shares a bucket is left untested.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odolytics.functions.columns import broadcast_if_small
 from odolytics.llm import tokens
 from odolytics.llm.graph import components
 from odolytics.session import cut_lineage
@@ -30,7 +34,8 @@ HASHES = BANDS * ROWS
 SLOTS = 64 // BITS                      # minima in one packed word
 PACKED = HASHES // SLOTS
 LIKENESS = (85, 100)                    # intersection * 100 >= union * 85
-BLOCK = 512                             # members compared with each other in one task step
+BLOCK = 512                             # members of a group compared with each other in one task
+NODES_TO_BROADCAST = 1_000_000          # 8 MB of ids; more of them are joined by a shuffle
 CHUNK = 2048                            # shingles hashed at once
 
 _U = np.uint64
@@ -126,55 +131,76 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
 
-def _confirm(percent: int, whole: int):
+def _alike(a: np.ndarray, b: np.ndarray, likeness: tuple[int, int]) -> bool:
+    """Whether two sets (sorted) are similar enough."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or likeness[1] * len(a) < likeness[0] * len(b):
+        return False
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return likeness[1] * both >= likeness[0] * (len(a) + len(b) - both)
+
+
+def _confirm(likeness: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                a, b = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                if len(a) > len(b):
-                    a, b = b, a
-                place = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
-                both = int((b[place] == a).sum()) if len(b) else 0
-                keep.append(both > 0 and whole * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))],
-                names=["a", "b"],
-            )
+            keep = pa.array([
+                _alike(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U), likeness)
+                for x, y in zip(batch.column("x"), batch.column("y"))
+            ], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     return run
 
 
+def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Whole shingle sets of the named documents."""
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        broadcast_if_small(nodes.withColumnRenamed("node", "doc_id"), NODES_TO_BROADCAST), "doc_id", "left_semi"
+    )
+    return wanted.mapInArrow(_set_rows, "node long, shingles binary")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, likeness: tuple[int, int] = LIKENESS) -> DataFrame:
     """The pairs ``(a, b)`` whose whole shingle sets are similar enough."""
     pairs = cut_lineage(pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = cut_lineage(docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(_set_rows, "node long, shingles binary"))
+    nodes = cut_lineage(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
+    sets = cut_lineage(shingle_sets(docs, nodes))
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
     )
-    return both.select("a", "b", "x", "y").mapInArrow(_confirm(*likeness), "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(_confirm(likeness), "a long, b long")
 
 
-def _cross_pairs(lowest: float):
-    """Pairs of one bucket that lie in different components and pass the estimate, for two blocks."""
+def _block_links(lowest: float, likeness: tuple[int, int]):
+    """Links between different components in two blocks of a group that join something new."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         own = table.column("block").to_numpy()
         node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
         sig = np.array(table.column("sig").to_pylist(), dtype=np.int64).reshape(-1, PACKED).view(_U)
+        sets = [np.frombuffer(x.as_buffer(), _U) for x in table.column("shingles").combine_chunks()]
+        top = {int(x): int(x) for x in label}
+
+        def root(x: int) -> int:
+            while top[x] != x:
+                top[x] = x = top[top[x]]
+            return x
+
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
-        for at in range(0, len(left), 64):
-            part = left[at : at + 64]
-            like = (same_bits(sig[part][:, None, :], sig[right][None, :, :]) / HASHES - 0.5**BITS) / (1 - 0.5**BITS)
-            x, y = np.nonzero((like >= lowest) & (label[part][:, None] != label[right][None, :]))
-            a.append(node[part[x]])
-            b.append(node[right[y]])
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        keep = (a < b) | (i != j)
-        return pa.table({"a": np.maximum(a, b)[keep], "b": np.minimum(a, b)[keep]})
+        size = np.array([len(x) for x in sets])
+        found = []
+        for x in left:
+            like = (same_bits(sig[x][None, :], sig[right]) / HASHES - 0.5**BITS) / (1 - 0.5**BITS)
+            small, large = np.minimum(size[x], size[right]), np.maximum(size[x], size[right])
+            near = right[(like >= lowest) & (label[right] != label[x]) & (small * likeness[1] >= large * likeness[0])]
+            for y in near[near > x] if i == j else near:
+                a, b = root(int(label[x])), root(int(label[y]))
+                if a != b and _alike(sets[x], sets[y], likeness):
+                    top[max(a, b)] = min(a, b)
+                    found.append((int(node[x]), int(node[y])))
+        return pa.table({"a": pa.array([max(p) for p in found], pa.int64()), "b": pa.array([min(p) for p in found], pa.int64())})
 
     return run
 
@@ -185,7 +211,7 @@ def links(docs: DataFrame, signed: DataFrame, likeness: tuple[int, int] = LIKENE
     sigs = signed.select(F.col("doc_id").alias("node"), "sig")
     banded = signed.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    shared = cut_lineage(banded.join(buckets, "key").distinct())
+    shared = cut_lineage(banded.join(buckets.select("key", "hub"), "key"))
 
     def near(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(
@@ -198,20 +224,20 @@ def links(docs: DataFrame, signed: DataFrame, likeness: tuple[int, int] = LIKENE
     labels = components(edges)
 
     at = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_buckets = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-    left = cut_lineage(at.join(open_buckets.select("key"), "key").join(sigs, "node"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    unfinished = at.groupBy("key").agg(F.min("label").alias("group"), F.max("label").alias("hi")).where("group != hi")
+    left = cut_lineage(at.join(unfinished.select("key", "group"), "key").select("group", "node", "label").distinct())
+    sizes = left.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sets = shingle_sets(docs, cut_lineage(left.select("node").distinct()))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
-        left.withColumn("blocks", blocks).withColumn("block", own).withColumn("other", other)
+        left.join(sizes, "group").join(sigs, "node").join(sets, "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", other)
         .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     )
-    across = dealt.select("key", "i", "j", "block", "node", "label", "sig").groupBy("key", "i", "j").applyInArrow(
-        _cross_pairs(lowest), "a long, b long"
+    across = dealt.select("group", "i", "j", "block", "node", "label", "sig", "shingles").groupBy("group", "i", "j").applyInArrow(
+        _block_links(lowest, likeness), "a long, b long"
     )
-    more = confirmed(across.distinct(), docs, likeness)
-    return components(edges.union(more))
+    return components(edges.union(across))
 
 
 def near_duplicates(docs: DataFrame, likeness: tuple[int, int] = LIKENESS) -> DataFrame:
