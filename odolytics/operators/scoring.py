@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -34,15 +34,15 @@ class LinearModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def decide(df: DataFrame, threshold: float) -> DataFrame:
-    """Turn ``probability_dangerous`` into the six result columns."""
+def decide(df: DataFrame, threshold: float, keep: Sequence[str] = ()) -> DataFrame:
+    """Turn ``probability_dangerous`` into the six result columns, after those to keep."""
     danger = F.col("probability_dangerous")
     prediction = (danger >= F.lit(threshold)).cast("int")
     safe = F.lit(1.0) - danger
     label = F.when(danger >= F.lit(threshold), F.lit(S.PREDICTION_LABELS[1])).otherwise(F.lit(S.PREDICTION_LABELS[0]))
     return df.select(
         S.KEY, prediction.alias("prediction"), label.alias("prediction_label"), safe.alias("probability_safe"),
-        danger, F.when(danger >= F.lit(threshold), danger).otherwise(safe).alias("confidence"),
+        danger, F.when(danger >= F.lit(threshold), danger).otherwise(safe).alias("confidence"), *keep,
     )
 
 
@@ -52,12 +52,14 @@ def require_features(df: DataFrame, names) -> None:
         raise ValueError(f"missing required features: {', '.join(missing)}")
 
 
-def score_batch(features: DataFrame, model: LinearModel, threshold: float | None = None) -> DataFrame:
+def score_batch(
+    features: DataFrame, model: LinearModel, threshold: float | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Score every trip with plain column expressions; nothing leaves generated code."""
     require_features(features, model.weights)
     return decide(
         features.withColumn("probability_dangerous", model.probability()),
-        model.threshold if threshold is None else threshold,
+        model.threshold if threshold is None else threshold, keep,
     )
 
 

@@ -10,12 +10,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from odolytics import schema as S
-from odolytics.functions.columns import flag, magnitude, share
-from odolytics.operators import cleaning, keys, scoring
-from odolytics.plans import etl
+from odolytics.functions.columns import broadcast_if_small, flag, magnitude, share
+from odolytics.operators import cleaning, keys, scoring, trips
 from odolytics.session import work_path
 
 EVENT_TIME = "event_time"
+END_KEY = -(1 << 63)        # key of the row that ends an input
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 64) -> DataFrame:
@@ -47,12 +47,12 @@ def clean(stream: DataFrame) -> DataFrame:
 
 
 def deduplicate(
-    stream: DataFrame, delay: str = "10 minutes", on: Sequence[str] = (S.KEY, S.TIME), salts: int = 1
+    stream: DataFrame, delay: str = "10 minutes", on: Sequence[str] = (S.KEY, S.TIME), salts: int = 16
 ) -> DataFrame:
     """One row per key; state older than the watermark is let go.
 
-    Where one key may arrive in a great many copies, ``salts`` > 1 first drops copies within groups of
-    input partitions, so that at most ``salts`` copies of a key meet in one task.
+    One key may arrive in a great many copies: copies are first dropped within ``salts`` groups of input
+    partitions, so that at most ``salts`` copies of a key meet in one task. ``salts=1`` saves that step.
     """
     timed = stream.withWatermark(EVENT_TIME, delay)
     if salts > 1:
@@ -106,15 +106,52 @@ def enrich(stream: DataFrame, labels: DataFrame, drivers: DataFrame) -> DataFram
     return stream.join(labels, S.KEY, "left").transform(keys.with_drivers, drivers)
 
 
-def append_new_trips(features_path: str, tiebreak: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` body: features of the batch's new trips are appended once, also after a retry."""
+def end_of_input(rows: DataFrame, key: str, time: str, ahead: str = "300 days") -> DataFrame:
+    """The row that ends a finished input: the newest row again, under ``END_KEY`` and far ahead in time.
 
-    def write(batch: DataFrame, _: int) -> None:
-        etl.update_features(batch, features_path, tiebreak)
+    Windows and sessions come out when the watermark passes them, so those still open when the data stop would
+    never be seen. Appended as the last file, this row takes the watermark past all of them.
+    """
+    newest = rows.agg(F.max_by(F.struct(*rows.columns), time).alias("r")).where("r IS NOT NULL").select("r.*")
+    return newest.withColumn(key, F.lit(END_KEY).cast("long")).withColumn(time, F.col(time) + F.expr(f"INTERVAL {ahead}"))
+
+
+def without_end(df: DataFrame, key: str = S.KEY) -> DataFrame:
+    return df.where(F.col(key) != F.lit(END_KEY))
+
+
+def upsert_trips(rows_path: str, features_path: str, tiebreak: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body that keeps the features of every trip complete, however its rows are spread.
+
+    The batch's rows are added to a table of all rows; the trips they belong to are worked out again from that
+    table and written as this batch's version. A batch that is repeated overwrites its own folders, so a retry
+    changes nothing. ``latest_trips`` reads the newest version of each trip.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{rows_path}/batch={number}")
+        written = spark.read.parquet(f"{rows_path}/batch={number}")
+        touched = written.where(F.col(S.KEY).isNotNull()).select(S.KEY).distinct()
+        rows = spark.read.schema(written.schema).parquet(rows_path).drop("batch")
+        whole = rows.join(broadcast_if_small(touched, TRIPS_TO_BROADCAST), S.KEY, "left_semi")
+        features = trips.trip_features(whole.select(*written.columns), tiebreak=tiebreak)
+        features.write.mode("overwrite").parquet(f"{features_path}/batch={number}")
 
     return write
 
 
+TRIPS_TO_BROADCAST = 1_000_000      # 8 MB of keys
+
+
+def latest_trips(spark: SparkSession, features_path: str) -> DataFrame:
+    """The newest version of each trip's features."""
+    versions = spark.read.parquet(features_path)
+    columns = [c for c in versions.columns if c not in (S.KEY, "batch")]
+    newest = F.max_by(F.struct(*columns), "batch")
+    return versions.groupBy(S.KEY).agg(newest.alias("f")).select(S.KEY, "f.*")
+
+
 def run_each_batch(
     stream: DataFrame, name: str, body: Callable[[DataFrame, int], None], progress: str | None = None
 ) -> None:
@@ -126,6 +163,6 @@ def run_each_batch(
     query.awaitTermination()
 
 
-def score(features: DataFrame, model: scoring.LinearModel) -> DataFrame:
+def score(features: DataFrame, model: scoring.LinearModel, keep: Sequence[str] = ()) -> DataFrame:
     """Scores of a stream of trip features."""
-    return scoring.score_batch(features, model)
+    return scoring.score_batch(features, model, keep=keep)

@@ -3,7 +3,9 @@
 The state of a trip is its last row, running sums, and the rows newer than the watermark, which may still
 be joined by earlier ones; it does not grow with the trip. Each trigger adds the rows the watermark has
 passed to the sums, in time order, and emits the trip's features so far, waiting rows included. A trip
-that stays silent is emitted once more as closed and its state is released. Spark leaves out rows whose
+that stays silent is emitted once more as closed. Its sums stay (less than a kilobyte on local disk), so a trip
+that resumes goes on from them; with ``forget_ms`` they are released after that much more silence, and a trip
+that resumes even later counts as a new one. Spark leaves out rows whose
 event time the watermark has passed and reports their number in the query's progress; ``n_late`` counts
 rows in time whose ``second`` lies before what the sums already hold. The source's per-trigger limit
 bounds the rows of one trip that a trigger sorts.
@@ -32,7 +34,7 @@ STATE = (
     [f"last_{c}" for c in LAST]
     + [f"{c}_{part}" for c in SPREAD for part in ("n", "mean", "m2", "max")]
     + [f"sum_{c}" for c in SUMMED]
-    + ["first_second", "n_points", "smooth_since", "longest", "n_late"]
+    + ["first_second", "n_points", "smooth_since", "longest", "n_late", "closed"]
 )
 STATE_SCHEMA = ", ".join(f"`{c}` double" for c in STATE) + ", pending binary"
 WAITING = [*LAST, "at_ms"]      # a row not yet in the sums, with its event time
@@ -47,7 +49,7 @@ OUTPUT_SCHEMA = ", ".join(
 def _start() -> dict[str, float]:
     state = {c: np.nan for c in STATE}
     for c in STATE:
-        if c.startswith("sum_") or c.endswith(("_n", "_mean", "_m2")) or c in ("n_points", "longest", "n_late"):
+        if c.startswith("sum_") or c.endswith(("_n", "_mean", "_m2")) or c in ("n_points", "longest", "n_late", "closed"):
             state[c] = 0.0
     return state
 
@@ -149,7 +151,7 @@ def _features(key: int, state: dict[str, float], closed: bool, t: S.Thresholds)
 
 def trip_features_stream(
     stream: DataFrame, tiebreak: str | None = None, delay: str = "1 minute", idle_ms: int = 300_000,
-    t: S.Thresholds = S.Thresholds(),
+    t: S.Thresholds = S.Thresholds(), forget_ms: int | None = None,
 ) -> DataFrame:
     """Cleaned sensor stream -> features per trip after every trigger that touched it."""
     rows = stream.where(F.col(S.KEY).isNotNull()).withWatermark(EVENT_TIME, delay).select(
@@ -165,10 +167,17 @@ def trip_features_stream(
             state = dict(zip(STATE, numbers))
             waiting = pd.DataFrame(np.frombuffer(pending).reshape(-1, len(WAITING)), columns=WAITING)
         if group.hasTimedOut:
-            group.remove()
+            if state["closed"]:
+                group.remove()
+                return
             _fold(state, waiting, t)
+            state["closed"] = 1.0
+            group.update((*[float(state[c]) for c in STATE], b""))
+            if forget_ms is not None:
+                group.setTimeoutTimestamp(group.getCurrentWatermarkMs() + forget_ms)
             yield _features(key[0], state, True, t)
             return
+        state["closed"] = 0.0
         new = pd.concat(list(frames), ignore_index=True)
         new["at_ms"] = new[EVENT_TIME].astype("datetime64[ms]").astype("int64")
         newest = int(new["at_ms"].max())

@@ -167,3 +167,56 @@ def test_text_sensor_columns_are_typed(spark):
     found = readers.cast_sensor(df)
     assert dict(found.dtypes) == {"bookingID": "bigint", "second": "bigint", "note": "string", "speed": "double"}
     assert [tuple(r) for r in found.collect()][0] == (7, 3, "x", None)
+
+
+@pytest.mark.parametrize("forget", [None, 1])
+def test_a_trip_that_resumes_goes_on_from_its_sums(spark, tmp_path, forget):
+    """Rows, a long pause in which other trips arrive and the trip is closed, and more rows."""
+    path, base = str(tmp_path / "in"), {**{c: 0.1 for c in S.CHANNELS}, "accuracy": 1.0}
+    schema = "bookingID long, event_id long, second long, accuracy double, speed double, " + ", ".join(f"{c} double" for c in S.CHANNELS)
+    names = [c.split()[0] for c in schema.split(", ")]
+    seconds = [(1, 10), (1, 15), (1, 20), (2, 5000), (3, 7000), (3, 8000), (1, 9100), (1, 9110), (2, 20000)]
+    for n, (trip, second) in enumerate(seconds):
+        row = {**base, "bookingID": trip, "event_id": n, "second": second, "speed": float(n)}
+        spark.createDataFrame([tuple(row[c] for c in names)], schema).withColumn(
+            "event_time", F.timestamp_seconds(F.col("second") + 1_700_000_000)
+        ).coalesce(1).write.mode("append").parquet(path)
+    written = spark.read.parquet(path)
+    versions = jobs.run_to_table(
+        trip_state.trip_features_stream(
+            jobs.read_files(spark, path, written.schema, 1), "event_id", "1 second", idle_ms=60_000, forget_ms=forget
+        ), "resumed",
+    )
+    assert not versions.where("bookingID = 1 AND closed").isEmpty()
+    last = plain(trip_state.latest(versions))
+    whole = plain(trips.trip_features(written.drop("event_time"), tiebreak=X.TIEBREAK))
+    if forget is None:
+        brute.same(last, whole, 8)
+    else:
+        assert last[1]["n_points"] == 3 < whole[1]["n_points"]
+
+
+def test_windows_open_at_the_end_come_out(spark, tmp_path):
+    rows = spark.createDataFrame([(7, 1), (7, 2), (7, 100)], "bookingID long, n long").withColumns(
+        {**{c: F.lit(0.1) for c in S.CHANNELS}, "speed": F.lit(1.0), "event_time": F.timestamp_seconds(F.col("n") + 1_700_000_000)}
+    )
+    path = str(tmp_path / "in")
+    rows.coalesce(1).write.mode("append").parquet(path)
+    jobs.end_of_input(rows, "bookingID", "event_time").coalesce(1).write.mode("append").parquet(path)
+    source = jobs.read_files(spark, path, rows.schema, 1)
+    found = jobs.without_end(jobs.run_to_table(jobs.window_features(source, delay="1 hour"), "open-windows"))
+    assert sorted(r["n_points"] for r in found.collect()) == [1, 2]
+
+
+def test_sink_keeps_trips_spread_over_batches_complete(spark, folder, split_events, tmp_path):
+    path, schema = split_events
+    rows, features = str(tmp_path / "rows"), str(tmp_path / "features")
+    for _ in range(2):      # the second reading repeats every batch
+        events = jobs.read_files(spark, path, schema, files_per_trigger=1)
+        jobs.run_each_batch(
+            X.sensor_from_events(events).drop("ts"), "sink", jobs.upsert_trips(rows, features, X.TIEBREAK)
+        )
+    assert spark.read.parquet(features).select("batch").distinct().count() > 1
+    brute.same(
+        plain(jobs.latest_trips(spark, features)), plain(trips.trip_features(X.sensor(spark, folder), tiebreak=X.TIEBREAK)), 8
+    )
