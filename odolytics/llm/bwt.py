@@ -18,43 +18,50 @@ def collection_bwt(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, most:
     over an end. Common prefixes are counted up to ``most`` (at most 255). The ``$`` suffixes are left out.
     """
     n = len(starts)
-    lengths = ends - starts
-    # Symbols are bytes plus one; zero is the end of a string.
-    def symbol(which: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """The symbol before the suffix of the given length."""
-        whole = length == lengths[which]
-        return np.where(whole, 0, text[np.where(whole, 0, ends[which] - length - 1)].astype(np.uint16) + 1).astype(np.uint16)
+    lengths = (ends - starts).astype(np.int64)
+    if n == 0 or not len(text):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    # Symbols are the ranks of the bytes that occur, from one; zero is the end of a string.
+    used = np.unique(text)
+    rank = np.zeros(256, dtype=np.uint8 if len(used) < 255 else np.uint16)
+    rank[used] = np.arange(1, len(used) + 1)
+    symbols = rank[text]
+    span = int(lengths.max()) + 1
+    kind = np.int32 if n * span < 2**31 else np.int64
+
+    def before(suffix: np.ndarray) -> np.ndarray:
+        """The symbol before a suffix."""
+        string, length = suffix // span, suffix % span
+        whole = length == lengths[string]
+        out = symbols[np.where(whole, 0, ends[string] - length - 1)]
+        out[whole] = 0
+        return out
 
-    string = np.arange(n, dtype=np.int32)
-    length = np.zeros(n, dtype=np.int32)
+    suffix = np.arange(n, dtype=kind) * kind(span)      # string and length as one number
     common = np.zeros(n, dtype=np.uint8)
-    if n == 0 or not len(text):
-        return string[:0], length[:0], common[:0]
-    transform = symbol(string, length)
+    transform = before(suffix)
     last = np.arange(n)                     # where each unfinished string's longest suffix stands
     while True:
         last = last[transform[last] > 0]
         if not len(last):
             break
-        order = np.argsort(transform, kind="stable")        # radix sort: one counting pass
-        order = order[np.searchsorted(transform[order], 1) :]
+        order = np.argsort(transform, kind="stable")[len(transform) - np.count_nonzero(transform) :]   # one counting pass
         place = np.empty(len(transform), dtype=np.int64)
         place[order] = np.arange(n, n + len(order))
         total = n + len(order)
         new = np.sort(place[last])
         came_from = order[new - n]
-        fresh = np.zeros(total, dtype=bool)
-        fresh[new] = True
-        next_string, next_length = np.empty(total, np.int32), np.empty(total, np.int32)
-        next_common, next_transform = np.zeros(total, np.uint8), np.empty(total, np.uint16)
-        old = ~fresh
-        next_string[old], next_length[old], next_common[old], next_transform[old] = string, length, common, transform
-        next_string[new] = string[came_from]
-        next_length[new] = length[came_from] + 1
-        next_transform[new] = symbol(next_string[new], next_length[new])
+        old = np.ones(total, dtype=bool)
+        old[new] = False
+        next_suffix, next_common, next_transform = np.empty(total, kind), np.zeros(total, np.uint8), np.empty(total, rank.dtype)
+        next_suffix[old], next_common[old], next_transform[old] = suffix, common, transform
+        next_suffix[new] = suffix[came_from] + kind(1)
+        next_transform[new] = before(next_suffix[new])
         # Common prefixes change only at the new suffixes and right behind them: one more than the least
         # common prefix between the two places the suffixes came from, if both begin with the same symbol.
-        touched = np.unique(np.concatenate((new, new[new + 1 < total] + 1)))
+        behind = np.zeros(total + 1, dtype=bool)
+        behind[new] = behind[new + 1] = True
+        touched = np.flatnonzero(behind[:total])
         touched = touched[touched > n]
         left, right = order[touched - n - 1], order[touched - n]
         alike = transform[left] == transform[right]
@@ -63,9 +70,8 @@ def collection_bwt(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, most:
         if len(at):
             bounds = np.empty(2 * len(at), dtype=np.int64)
             bounds[0::2], bounds[1::2] = left + 1, right + 1
-            padded = np.append(common, np.uint8(0))
-            least = np.minimum.reduceat(padded, bounds)[0::2]
+            least = np.minimum.reduceat(np.append(common, np.uint8(0)), bounds)[0::2]
             next_common[at] = np.minimum(least.astype(np.int32) + 1, most)
-        string, length, common, transform = next_string, next_length, next_common, next_transform
-        last = new
-    return string[n:], (lengths[string] - length)[n:].astype(np.int32), common[n:]
+        suffix, common, transform, last = next_suffix, next_common, next_transform, new
+    string = (suffix // span).astype(np.int64)
+    return string[n:], (lengths[string] - suffix % span)[n:], common[n:]

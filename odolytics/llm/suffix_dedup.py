@@ -3,8 +3,8 @@
 1. *Runs.* Each 50-byte window has a key, the least hash of the 20-byte grams in it. Equal windows have equal
    keys. Neighbouring windows with one key form a run; a run of m windows is a string of m + 49 bytes.
 2. *Equal runs.* Runs are dealt out by key, as a key and a hash of the string. A run whose very string a
-   smaller id has goes as a whole. The first holder of a string stays, unless its key has other strings too:
-   then some of its windows may stand in a different string, and it is still open. Equal runs within one group
+   smaller id has goes as a whole. The first holder of a string stays, unless its key has another string that
+   agrees with it to the left or to the right of the gram: then they may share windows, and it is still open. Equal runs within one group
    of documents are settled there, so a very common passage sends one entry per group.
 3. *Suffix order.* Open strings are dealt out by key. A task builds the Burrows-Wheeler transform and the common
    prefixes of its strings column by column (see ``bwt``). Suffixes whose common prefix is at least 50 share
@@ -36,9 +36,12 @@ from odolytics.session import work_path
 
 WINDOW = 50
 GRAM = 20
-MOST_WINDOWS = 64           # windows in one run
+MOST_WINDOWS = WINDOW - GRAM + 1    # as many windows as one gram can lie in
 SHARD_BYTES = 16 << 20      # text per shard
 GROUP_BYTES = 8 << 20       # text whose equal runs are settled together
+SIDE = (WINDOW - GRAM) // 2         # 50 bytes around a 20-byte gram hold 15 on one side of it or on the other
+NO_SIDE, ANY_SIDE = 0, 255
+COLLECTION_BYTES = 128 << 10    # text ordered at once, if keys allow
 HOT_STRINGS = 50_000        # open runs of one key that are ordered in one task
 SPANS_TO_BROADCAST = 200_000
 NO_ID = np.iinfo(np.int64).max
@@ -56,17 +59,19 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def _runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key, first window and number of windows of each run of one text."""
+def _runs(raw: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Key, first window, number of windows of each run of one text, and where its gram stands (-1: in several
+    places)."""
     if len(raw) < WINDOW:
-        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, firsts, counts = [], [], []
+        return np.zeros(0, _U), *[np.zeros(0, np.int64)] * 3
+    keys, firsts, counts, grams = [], [], [], []
     step = tokens.PIECE_BYTES
     for at in range(0, len(raw) - WINDOW + 1, step):
         part = raw[at : at + step + WINDOW - 1]
         prefix = tokens.prefix_hashes(part)
         starts = np.arange(len(part) - GRAM + 1)
-        least = _smallest(tokens.stretch_hashes(prefix, starts, starts + GRAM), WINDOW - GRAM + 1)
+        hashes = tokens.stretch_hashes(prefix, starts, starts + GRAM)
+        least = _smallest(hashes, MOST_WINDOWS)
         first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         size = np.diff(np.append(first, len(least)))
         pieces = -(-size // MOST_WINDOWS)
@@ -74,10 +79,28 @@ def _runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             first = np.repeat(first, pieces) + inner * MOST_WINDOWS
             size = np.minimum(np.repeat(size, pieces) - inner * MOST_WINDOWS, MOST_WINDOWS)
+        place = first[:, None] + np.arange(MOST_WINDOWS)
+        hit = (hashes[place] == least[first][:, None]) & (place >= (first + size - 1)[:, None])
+        grams.append(np.where(hit.sum(axis=1) == 1, first + hit.argmax(axis=1) + at, -1))
         keys.append(least[first])
         firsts.append(first + at)
         counts.append(size)
-    return np.concatenate(keys), np.concatenate(firsts), np.concatenate(counts)
+    return np.concatenate(keys), np.concatenate(firsts), np.concatenate(counts), np.concatenate(grams)
+
+
+def _sides(prefix: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """A byte each for the SIDE bytes before and behind a run's gram.
+
+    Strings that share a gram share a window only if they agree on one of the sides. A side the text is too
+    short for agrees with nothing (NO_SIDE); a gram in several places may agree with everything (ANY_SIDE).
+    """
+    out = np.full((2, len(gram)), ANY_SIDE, dtype=np.uint8)
+    for side, start in enumerate((gram - SIDE, gram + GRAM)):
+        fits = (gram >= 0) & (start >= 0) & (start + SIDE < len(prefix))
+        value = tokens.stretch_hashes(prefix, start[fits], start[fits] + SIDE) % _U(254)
+        out[side, gram >= 0] = NO_SIDE
+        out[side, fits] = value.astype(np.uint8) + 1
+    return out
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -98,7 +121,7 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
         yield int(ids[i]), int(version[i]), raw[offsets[i] : offsets[i + 1]]
 
 
-RUN_FIELDS = ("keys", "contents", "docs", "versions", "counts", "steps")
+RUN_FIELDS = ("keys", "contents", "sides", "docs", "versions", "counts", "steps")
 RUN_SCHEMA = "shard int, " + ", ".join(f"{n} binary" for n in RUN_FIELDS)
 FOUND_SCHEMA = "doc_id long, version int, open boolean, runs binary"
 
@@ -124,15 +147,16 @@ def _deal_runs(shards: int):
     """Packed runs for each shard, from groups of documents of a few megabytes."""
 
     def pack(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        keys, contents, size = [], [], []
+        keys, contents, sides, size = [], [], [], []
         for _, _, raw in rows:
-            key, first, windows = _runs(raw)
+            key, first, windows, gram = _runs(raw)
             prefix = tokens.prefix_hashes(raw)
             keys.append(key)
             contents.append(tokens.stretch_hashes(prefix, first, first + windows + WINDOW - 1))
+            sides.append(_sides(prefix, gram))
             size.append(len(key))
         docs, versions = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.uint16)
-        key, content = np.concatenate(keys), np.concatenate(contents)
+        key, content, side = np.concatenate(keys), np.concatenate(contents), np.concatenate(sides, axis=1)
         row = np.repeat(np.arange(len(rows)), size)
         number = np.concatenate([np.arange(n, dtype=np.uint32) for n in size])
         # Equal strings in this group of documents: only the least id's go on, the others are settled.
@@ -154,11 +178,11 @@ def _deal_runs(shards: int):
         send = send[np.argsort(shard[send], kind="stable")]
         for part in np.split(send, np.flatnonzero(np.diff(shard[send])) + 1):
             if len(part):
-                add(int(shard[part[0]]), _planes(short[part]), _planes(content[part]), *_pack(part, row, number, docs, versions))
+                add(int(shard[part[0]]), _planes(short[part]), _planes(content[part]), side[:, part].tobytes(), *_pack(part, row, number, docs, versions))
         done = np.flatnonzero(settled)
         if len(done):
             # Settled runs pass through any one group.
-            add(-1 - int(tokens.mix(key[:1])[0] % _U(shards)), b"", b"", *_pack(done, row, number, docs, versions))
+            add(-1 - int(tokens.mix(key[:1])[0] % _U(shards)), b"", b"", b"", *_pack(done, row, number, docs, versions))
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]], names=["shard", *RUN_FIELDS]
         )
@@ -181,7 +205,7 @@ def _deal_runs(shards: int):
 
 def _equal_runs(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Runs that go as a whole, and first holders that are open, per document."""
-    entries = [_unpack(*(row[n] for n in RUN_FIELDS[2:])) for row in table.select(RUN_FIELDS[2:]).to_pylist()]
+    entries = [_unpack(*(row[n] for n in RUN_FIELDS[3:])) for row in table.select(RUN_FIELDS[3:]).to_pylist()]
     doc, version, number = (np.concatenate(x) for x in zip(*entries))
     if group[0].as_py() < 0:
         whole, unsettled = np.ones(len(doc), dtype=bool), np.zeros(len(doc), dtype=bool)
@@ -190,13 +214,20 @@ def _equal_runs(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         content = np.concatenate([_from_planes(v, _U) for v in table.column("contents").to_pylist()])
         order = np.lexsort((doc, content, key))
         k, c, d = key[order], content[order], doc[order]
-        new_key = np.concatenate(([True], k[1:] != k[:-1]))
         head = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))
-        later = d > d[np.flatnonzero(head)][np.cumsum(head) - 1]
-        of_key = np.cumsum(new_key) - 1
-        several = np.bincount(of_key, weights=head) > 1
+        string = np.cumsum(head) - 1
+        later = d > d[np.flatnonzero(head)][string]
+        # One entry per different string of a key: it is open if another one agrees with it on a side.
+        side = np.concatenate([np.frombuffer(v, np.uint8).reshape(2, -1) for v in table.column("sides").to_pylist()], axis=1)[:, order]
+        at = np.flatnonzero(head)
+        key_of = np.unique(k[at], return_inverse=True)[1]
+        wild = np.bincount(key_of, weights=(side[:, at] == ANY_SIDE).any(axis=0)) > 0
+        agrees = wild[key_of] & (np.bincount(key_of)[key_of] > 1)
+        for one in side[:, at]:
+            _, group, size = np.unique(key_of * 256 + one, return_inverse=True, return_counts=True)
+            agrees |= (size[group] > 1) & (one != NO_SIDE)
         whole, unsettled = np.zeros(len(doc), dtype=bool), np.zeros(len(doc), dtype=bool)
-        whole[order], unsettled[order] = later, ~later & several[of_key]
+        whole[order], unsettled[order] = later, ~later & agrees[string]
     out: dict[str, list] = {"doc_id": [], "version": [], "open": [], "runs": []}
     for is_open, which in ((False, np.flatnonzero(whole)), (True, np.flatnonzero(unsettled))):
         which = which[np.lexsort((number[which], version[which], doc[which]))]
@@ -250,7 +281,7 @@ def _strings(shards: int):
             keys, firsts, strings, docs, versions = [], [], [], [], []
             for doc_id, version, body, runs in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "version", "body", "open_runs"))):
                 body = expand.decompress(body)
-                key, first, windows = _runs(np.frombuffer(body, np.uint8))
+                key, first, windows, _ = _runs(np.frombuffer(body, np.uint8))
                 which = np.frombuffer(runs, np.uint32)
                 first, end = first[which], first[which] + windows[which] + WINDOW - 1
                 keys.append(key[which])
@@ -291,8 +322,18 @@ SPAN_SCHEMA = "doc_id long, version int, a int, b int"
 
 def _order_shard(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Spans of windows that a smaller id has, from the suffix order of a shard's strings."""
-    doc, first = table.column("doc_id").to_numpy(), table.column("first").to_numpy()
-    which, offset, least = first_seen(table.column("string").to_pylist(), doc)
+    table = table.sort_by("key")
+    doc, first, key = (table.column(c).to_numpy() for c in ("doc_id", "first", "key"))
+    strings = table.column("string").to_pylist()
+    # Strings of different keys share no window: small collections stay in the processor's cache.
+    reach = np.cumsum([len(x) for x in strings]) // COLLECTION_BYTES
+    cuts = np.flatnonzero((key[1:] != key[:-1]) & (reach[1:] != reach[:-1])) + 1
+    bounds = [0, *cuts.tolist(), len(strings)]
+    parts = []
+    for at, to in zip(bounds[:-1], bounds[1:]):
+        which, offset, least = first_seen(strings[at:to], doc[at:to])
+        parts.append((which + at, offset, least))
+    which, offset, least = (np.concatenate(x) for x in zip(*parts))
     gone = least < doc[which]
     which, offset = which[gone], offset[gone]
     order = np.lexsort((offset, which))
@@ -369,7 +410,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if spans.is_valid and len(spans):
                 found.append(np.stack([spans.values.field(n).to_numpy().astype(np.int64) for n in ("a", "b")]))
             if ranges.is_valid and ranges.as_py():
-                _, first, windows = _runs(body)
+                _, first, windows, _ = _runs(body)
                 low, high = np.frombuffer(ranges.as_py(), np.uint32).reshape(-1, 2).T
                 found.append(np.stack((first[low], first[high] + windows[high] + WINDOW - 1)))
             if found:
