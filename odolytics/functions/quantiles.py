@@ -3,12 +3,14 @@
 Columns with few enough distinct values are counted by value in one scan. For the others every wanted
 position is first bracketed between two approximate quantiles, and the rows below and inside the bracket
 are counted: two scans with map-side combine. Brackets narrow until few enough values are left, then one
-last scan ranks just the rows inside them.
+last scan ranks just the rows inside them. A bracket that samples no longer narrow is halved between
+neighbouring numbers instead, so no bracket is ever ranked with more values than the limit.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -31,6 +33,7 @@ class Target:
     inside: int              # values in [low, high]
     distinct: int            # about how many different values that is at most
     slack: float = 2.0 / ACCURACY
+    pair: bool = False       # lies between the largest value of the lower half and the smallest of the upper
 
     def holds(self) -> Column:
         return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
@@ -42,10 +45,51 @@ class Target:
         """The wanted position as a fraction of the bracket."""
         return 0.0 if self.inside <= 1 else min(1.0, max(0.0, (self.position - self.below) / (self.inside - 1)))
 
+    def halves(self) -> list[tuple[float, float]]:
+        """The bracket cut in two between neighbouring numbers, for when samples no longer narrow it."""
+        low, high = _rank(self.low), _rank(self.high)
+        middle = (low + high) // 2
+        return [(self.low, _number(middle)), (_number(middle + 1), self.high)]
+
     def around(self) -> list[float]:
         return [max(0.0, self.local() - self.slack), min(1.0, self.local() + self.slack)]
 
 
+def _rank(x: float) -> int:
+    """Place of a number among all doubles in order."""
+    bits = struct.unpack("<q", struct.pack("<d", x + 0.0))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
+
+
+def _number(rank: int) -> float:
+    return struct.unpack("<d", struct.pack("<q", rank))[0] if rank >= 0 else -_number(-rank)
+
+
+def _halve(df: DataFrame, targets: list[Target]) -> None:
+    """Take the half that holds the position: at most 64 rounds lead to a single number."""
+    counts = []
+    for i, t in enumerate(targets):
+        (low, middle), (after, high) = t.halves()
+        c = F.col(t.column)
+        counts += [
+            F.count_if(c.between(F.lit(low), F.lit(middle))).alias(f"l{i}"), F.count_if(c.between(F.lit(after), F.lit(high))).alias(f"r{i}"),
+            F.approx_count_distinct(F.when(c.between(F.lit(low), F.lit(middle)), c)).alias(f"dl{i}"),
+            F.approx_count_distinct(F.when(c.between(F.lit(after), F.lit(high)), c)).alias(f"dr{i}"),
+        ]
+    found = df.agg(*counts).first()
+    for i, t in enumerate(targets):
+        (low, middle), (after, high) = t.halves()
+        left = found[f"l{i}"]
+        if math.ceil(t.position) < t.below + left:
+            t.low, t.high, t.inside, t.distinct = low, middle, left, found[f"dl{i}"]
+        elif math.floor(t.position) >= t.below + left:
+            t.low, t.high, t.below, t.inside, t.distinct = after, high, t.below + left, found[f"r{i}"], found[f"dr{i}"]
+        else:
+            t.pair = True       # the two values it lies between are the ends of the halves
+        if t.low == t.high:
+            t.distinct = 1
+
+
 def _narrow(df: DataFrame, targets: list[Target], again: bool) -> None:
     """One round: propose a tighter bracket for each target, and take it if it holds the position."""
     shared: dict[tuple, list[Target]] = {}
@@ -106,9 +150,16 @@ def exact_quantiles(
     ]
     share, still_open, again = max(1, values_per_task // max(1, len(targets) + len(whole))), targets, False
     while still_open:
-        _narrow(data, still_open, again)
-        still_open = [t for t in still_open if t.distinct > share and t.slack < 1.0]
+        sampled = [t for t in still_open if t.slack < 1.0]
+        halved = [t for t in still_open if t.slack >= 1.0]
+        if sampled:
+            _narrow(data, sampled, again)
+        if halved:
+            _halve(data, halved)
+        still_open = [t for t in still_open if t.distinct > share and not t.pair]
         again = True
+    between = [t for t in targets if t.pair]
+    targets = [t for t in targets if not t.pair]
     wanted = [float(p) for p in probabilities]
     parts = []
     if whole:
@@ -118,6 +169,20 @@ def exact_quantiles(
         near = data.where(reduce(lambda a, b: a | b, [t.holds() for t in targets]))
         wide = near.agg(*[F.percentile(t.bracket(), F.lit(t.local())).alias(f"t{i}") for i, t in enumerate(targets)])
         parts.append(_tall(wide, [(t.column, t.probability, F.col(f"t{i}")) for i, t in enumerate(targets)]))
+    if between:
+        ends = []
+        for i, t in enumerate(between):
+            (low, middle), (after, high) = t.halves()
+            c = F.col(t.column)
+            ends += [
+                F.max(F.when(c.between(F.lit(low), F.lit(middle)), c)).alias(f"a{i}"),
+                F.min(F.when(c.between(F.lit(after), F.lit(high)), c)).alias(f"b{i}"),
+            ]
+        share_of = [t.position - math.floor(t.position) for t in between]
+        parts.append(_tall(data.agg(*ends), [
+            (t.column, t.probability, F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * F.lit(w))
+            for i, (t, w) in enumerate(zip(between, share_of))
+        ]))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

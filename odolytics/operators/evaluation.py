@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -204,17 +204,36 @@ POLICIES = {
 }
 
 
-def threshold_select(sweep: DataFrame) -> DataFrame:
-    """The threshold each policy picks; the first policy falls back to the highest recall."""
+# The thresholds each policy is meant to choose from.
+POLICY_GRIDS = {
+    "accuracy_with_recall_60": COARSE_GRID,
+    "best_f1": FINE_GRID,
+    "f1_with_recall_70": FINE_GRID,
+    "recall_with_precision_40": FINE_GRID,
+    "best_accuracy": ACCURACY_GRID,
+}
+
+
+def every_grid(grids: Mapping[str, Sequence[float]] = POLICY_GRIDS) -> list[float]:
+    """All thresholds that some policy looks at, for one sweep."""
+    return sorted({t for grid in grids.values() for t in grid})
+
+
+def threshold_select(sweep: DataFrame, grids: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """The threshold each policy picks; the first policy falls back to the highest recall.
+
+    With ``grids`` a policy looks at the thresholds of its own grid only, otherwise at the whole sweep.
+    """
     row = F.struct("threshold", *METRICS)
 
-    def best(allowed: Column, metric: str, tie: str) -> Column:
+    def best(name: str, allowed: Column, metric: str, tie: str) -> Column:
         t = F.col("threshold") if tie == "high" else -F.col("threshold")
-        return F.max_by(row, F.when(allowed, F.struct(F.col(metric), t.alias("t"))))
+        own = F.lit(True) if grids is None else F.col("threshold").isin([float(x) for x in grids[name]])
+        return F.max_by(row, F.when(own & allowed, F.struct(F.col(metric), t.alias("t"))))
 
-    picks = {name: best(allowed(), metric, tie) for name, (allowed, metric, tie) in POLICIES.items()}
+    picks = {name: best(name, allowed(), metric, tie) for name, (allowed, metric, tie) in POLICIES.items()}
     first = "accuracy_with_recall_60"
-    picks[first] = F.coalesce(picks[first], best(F.lit(True), "recall", "high"))
+    picks[first] = F.coalesce(picks[first], best(first, F.lit(True), "recall", "high"))
     wide = sweep.agg(*[c.alias(n) for n, c in picks.items()])
     structs = [F.struct(F.lit(n).alias("policy"), F.col(n).alias("pick")) for n in picks]
     return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.policy", "s.pick.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 import time
 import uuid
@@ -34,6 +35,29 @@ FOREST_SPACE = {
     "minInstancesPerNode": [1, 2, 4, 8],
     "featureSubsetStrategy": ["sqrt", "log2", "0.5", "0.7"],
 }
+LOGISTIC_SPACE = {
+    "c": [0.001, 0.005, 0.01, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 3.0, 5.0, 10.0, 20.0, 50.0, 100.0],
+    "l1_ratio": [0.0, 0.1, 0.3, 0.5, 0.7, 0.9, 1.0],
+    "balanced": [False, True],
+}
+# Boosting libraries whose names for the same settings differ: rounds, depth, rate, shares of rows and columns, leaf size, gain.
+SAMPLED_BOOSTING_SPACE = {
+    "maxIter": [100, 200, 300, 500],
+    "maxDepth": [3, 5, 7, 10, 15],
+    "stepSize": [0.01, 0.05, 0.1, 0.2, 0.3],
+    "subsamplingRate": [0.6, 0.7, 0.8, 0.9, 1.0],
+    "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9", "all"],
+    "minInstancesPerNode": [1, 3, 5, 7],
+    "minInfoGain": [0.0, 0.1, 0.2, 0.3],
+}
+LEAF_BOOSTING_SPACE = {
+    "maxIter": [100, 200, 300, 500],
+    "maxDepth": [3, 5, 7, 10, 15, DEEPEST],
+    "stepSize": [0.01, 0.05, 0.1, 0.2, 0.3],
+    "subsamplingRate": [0.6, 0.7, 0.8, 0.9, 1.0],
+    "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9", "all"],
+    "minInstancesPerNode": [5, 10, 20, 30],
+}
 BOOSTING_SPACE = {
     "maxIter": [100, 200, 300, 500],
     "maxDepth": [3, 5, 7, 10],
@@ -117,15 +141,17 @@ def train_logistic(
     l1_ratio: float = 0.0,
     weight: str | None = None,
     max_iter: int = 1000,
+    scaler: dict[str, tuple[float, float]] | None = None,
 ) -> SafetyModel:
     """Penalised logistic regression on z-scores.
 
-    ``c`` weighs the summed loss against the penalty, so over the mean loss the penalty is 1 / (c * n).
+    ``c`` weighs the summed loss against the penalty, so over the mean loss the penalty is 1 / (c * n). A
+    ``scaler`` fitted on other rows (those before resampling) is used as it is.
     """
     features = list(features)
     filled = train.na.fill(0, features)
     size = train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
-    scaler = prepare.scaling(filled, features)
+    scaler = scaler or prepare.scaling(filled, features)
     stage = LogisticRegression(
         featuresCol="features", labelCol=label, maxIter=max_iter, regParam=1.0 / (c * float(size)),
         elasticNetParam=l1_ratio, standardization=False,
@@ -204,7 +230,13 @@ def experiment_matrix(
         data = make()
         for name, trainer in trainers.items():
             started = time.time()
-            model = trainer(data, features, label=label, **extra, **(settings or {}).get(name, {}))
+            given = {**extra, **(settings or {}).get(name, {})}
+            rows_in = data
+            if trainer is train_logistic and technique == "SMOTE":
+                # This model sees z-scores, so its rows are resampled among z-scores, with the scaler of the real rows.
+                rows_in = cut_lineage(oversample.smote(train, features, label, scaled=True))
+                given["scaler"] = prepare.scaling(train.na.fill(0, list(features)), features)
+            model = trainer(rows_in, features, label=label, **given)
             seconds = time.time() - started
             scored = cut_lineage(model.probability(val).select(label, "probability_dangerous"))
             threshold = 0.5
@@ -294,26 +326,60 @@ def random_search(
     seed: int = prepare.SEED,
 ) -> DataFrame:
     """Cross-validated accuracy of configurations drawn without repetition from a search space."""
+    if family == "logistic":
+        return _random_logistic(train, features, n_configs, label, key, space or LOGISTIC_SPACE, folds, parallelism, seed)
     makers = {
         "forest": (RandomForestClassifier, FOREST_SPACE),
         "boosting": (GBTClassifier, BOOSTING_SPACE),
+        "boosting, sampled columns": (GBTClassifier, SAMPLED_BOOSTING_SPACE),
+        "boosting, by leaves": (GBTClassifier, LEAF_BOOSTING_SPACE),
     }
     maker, default = makers[family]
     stage = maker(featuresCol="features", labelCol=label, seed=seed)
     options = dict(space or default)
-    drawn, chooser = set(), random.Random(seed)
-    total = 1
-    for values in options.values():
-        total *= len(values)
-    while len(drawn) < min(n_configs, total):
-        drawn.add(tuple(chooser.choice(list(v)) for v in options.values()))
-    maps = [{stage.getParam(n): v for n, v in zip(options, values)} for values in sorted(drawn, key=str)]
+    maps = [{stage.getParam(n): v for n, v in zip(options, values)} for values in _draw(options, n_configs, seed)]
     data = Pipeline(stages=_vector(features)).fit(train).transform(train).select(key, label, "features")
     evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
     fitted = _cross_validate(data, stage, maps, evaluator, folds, label, parallelism, key)
     return _results(train.sparkSession, maps, fitted.avgMetrics)
 
 
+def _draw(options: Mapping[str, Sequence], n_configs: int, seed: int) -> list[tuple]:
+    """Configurations drawn without repetition, in a fixed order."""
+    drawn, chooser = set(), random.Random(seed)
+    total = math.prod(len(v) for v in options.values())
+    while len(drawn) < min(n_configs, total):
+        drawn.add(tuple(chooser.choice(list(v)) for v in options.values()))
+    return sorted(drawn, key=str)
+
+
+def _random_logistic(train, features, n_configs, label, key, space, folds, parallelism, seed) -> DataFrame:
+    """Penalty strength, mix and class weights; weighted and plain runs are two searches over the same folds."""
+    scaler = prepare.scaling(train.na.fill(0, list(features)), features)
+    weighted = prepare.add_class_weights(train, label)
+    data = Pipeline(stages=_scaled_vector(features, scaler)).fit(weighted).transform(weighted)
+    data = cut_lineage(data.select(key, label, "features", "weight"))
+    n = data.count() * (folds - 1) / folds
+    evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
+    drawn = _draw(space, n_configs, seed)
+    scores: dict[tuple, float] = {}
+    for balanced in (False, True):
+        chosen = [d for d in drawn if bool(dict(zip(space, d)).get("balanced", False)) == balanced]
+        if not chosen:
+            continue
+        stage = LogisticRegression(featuresCol="features", labelCol=label, maxIter=2000, standardization=False)
+        stage = stage.setWeightCol("weight") if balanced else stage
+        maps = [
+            {stage.regParam: 1.0 / (dict(zip(space, d))["c"] * n), stage.elasticNetParam: dict(zip(space, d))["l1_ratio"]} for d in chosen
+        ]
+        fitted = _cross_validate(data, stage, maps, evaluator, folds, label, parallelism, key)
+        scores |= dict(zip(chosen, fitted.avgMetrics))
+    rows = [
+        (i, ", ".join(f"{k}={v}" for k, v in sorted(zip(space, d))), float(scores[d])) for i, d in enumerate(drawn)
+    ]
+    return train.sparkSession.createDataFrame(rows, "config int, settings string, score double")
+
+
 def coefficient_importance(model: SafetyModel, top: int | None = None) -> DataFrame:
     """Features by absolute coefficient."""
     weights = model.classifier.coefficients.toArray().tolist()

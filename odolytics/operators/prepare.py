@@ -17,11 +17,30 @@ SEED = 42
 HASH_SPAN = 2147483648
 
 
+# Multipliers of the two rounds, and those that bring in the seed and the upper half of the number.
+MIXERS = (1103515245, 1597334677)
+SEED_MIXER, UPPER_MIXER = 374761393, 668265263
+
+
 def row_hash(key: str | Column, seed: int = SEED) -> Column:
-    """A repeatable shuffle number below ``HASH_SPAN`` from plain integer arithmetic."""
-    span = F.lit(HASH_SPAN)
-    value = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(value, span) * F.lit(1103515245) + F.lit(12345 * (seed + 1)), span)
+    """A repeatable shuffle number below ``HASH_SPAN`` from plain integer arithmetic, which SQL can repeat.
+
+    The seed and both halves of a 64-bit number go in first; two rounds of shift, exclusive or and multiply
+    carry every bit to the high ones. Take slices from the high bits (see ``slice_of``).
+    """
+    mask = F.lit(HASH_SPAN - 1)
+    value = (F.col(key) if isinstance(key, str) else key).cast("long")
+    upper = F.shiftright(value, 31).bitwiseAND(mask) * F.lit(UPPER_MIXER)
+    x = value.bitwiseAND(mask).bitwiseXOR((upper + F.lit(seed * SEED_MIXER)).bitwiseAND(mask))
+    for shift, by in zip((16, 13), MIXERS):
+        x = (x.bitwiseXOR(F.shiftright(x, shift)) * F.lit(by)).bitwiseAND(mask)
+    return x.bitwiseXOR(F.shiftright(x, 15))
+
+
+def slice_of(key: str | Column, slices: str | Column, seed: int = SEED) -> Column:
+    """One of ``slices`` equal shares of the hash range."""
+    n = F.col(slices) if isinstance(slices, str) else slices
+    return F.floor(row_hash(key, seed) * n / F.lit(HASH_SPAN)).cast("int")
 
 
 def stratum_position(

@@ -88,6 +88,14 @@ def history_entry(summary: DataFrame, mode: str, source: str) -> DataFrame:
     )
 
 
+def trip_entry(result: DataFrame, mode: str = "single") -> DataFrame:
+    """History entries of trips scored one by one."""
+    return result.select(
+        F.lit(mode).alias("mode"), S.KEY, "prediction", "prediction_label", "confidence",
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+    )
+
+
 def prediction_history(runs: DataFrame, size: int = S.HISTORY_SIZE, newest: str = "timestamp") -> DataFrame:
     """The last ``size`` runs, newest first."""
     return runs.orderBy(F.desc(newest)).limit(size)

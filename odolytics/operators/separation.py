@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import count
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -15,6 +16,8 @@ from odolytics.functions.quantiles import quantile_values
 from odolytics.operators.profile import high_corr_pairs
 
 VIF_LIMIT = 10.0
+DEPENDENT = 1e-10       # share of variance below which a direction counts as none
+NORMAL_FROM = 1e7       # degrees of freedom from which the normal distribution is used
 SIGNIFICANT = 0.05
 
 
@@ -33,6 +36,7 @@ def gram_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def vif(df: DataFrame, columns: Sequence[str], limit: float = VIF_LIMIT) -> DataFrame:
     """Variance inflation without an intercept: diagonal of G times diagonal of its inverse.
 
+    A column that is a linear combination of others has no inverse to speak of: its inflation is infinite.
     Only the k x k sums reach the driver.
     """
     at = {c: i for i, c in enumerate(columns)}
@@ -42,10 +46,12 @@ def vif(df: DataFrame, columns: Sequence[str], limit: float = VIF_LIMIT) -> Data
         g[i, j] = g[j, i] = row["g"] or 0.0
     scale = np.sqrt(np.where(np.diag(g) > 0, np.diag(g), 1.0))
     unit = g / np.outer(scale, scale)
-    try:
-        values = np.diag(unit) * np.diag(np.linalg.inv(unit))
-    except np.linalg.LinAlgError:
-        values = np.full(len(columns), math.inf)
+    sizes, vectors = np.linalg.eigh(unit)
+    kept = sizes > DEPENDENT * max(1.0, sizes.max(initial=0.0))
+    # A column with a part in a direction of no variance depends on the other columns in it.
+    dependent = (vectors[:, ~kept] ** 2).sum(axis=1) > DEPENDENT
+    inverse = (vectors[:, kept] / sizes[kept]) @ vectors[:, kept].T
+    values = np.where(dependent, math.inf, np.diag(unit) * np.diag(inverse))
     rows = [(c, float(v), bool(v > limit)) for c, v in zip(columns, values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, vif double, too_high boolean")
     return table.orderBy(F.desc("vif"), "feature")
@@ -56,7 +62,7 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     tiny, c, d = 1e-300, 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d if abs(d) > tiny else tiny)
     value = d
-    for m in range(1, 500):
+    for m in count(1):      # about the square root of the larger argument
         for term in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -75,6 +81,9 @@ def student_p_value(t: float | None, dof: float) -> float | None:
     """Two-sided p-value of a t statistic."""
     if t is None or dof <= 0 or math.isnan(t):
         return None
+    if dof > NORMAL_FROM:
+        z = abs(t) * (1 - 1 / (4 * dof)) / math.sqrt(1 + t * t / (2 * dof))
+        return math.erfc(z / math.sqrt(2))
     a, b, x = dof / 2.0, 0.5, dof / (dof + t * t)
     if x >= 1.0:
         return 1.0

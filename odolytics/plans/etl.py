@@ -74,6 +74,11 @@ def record_run(results: DataFrame, source: str, history_path: str, mode: str = "
     entry.write.mode("append").parquet(history_path)
 
 
+def record_trip(result: DataFrame, history_path: str) -> None:
+    """Append a single trip's prediction to the history table, with the time it was made."""
+    scoring.trip_entry(result).write.mode("append").parquet(history_path)
+
+
 def score_trip(sensor: DataFrame, booking_id, model: scoring.LinearModel, tiebreak: Sequence[str] = ()) -> DataFrame:
     """One trip through the same job; an unknown trip is an error."""
     rows = select_trip(readers.standardize_columns(sensor), booking_id)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from odolytics import schema as S
+from odolytics.operators import prepare
 
 SENSOR = """
 base AS (
@@ -231,3 +232,12 @@ def r(expression: str, places: int = 6, name: str | None = None) -> str:
 
 def rounded(columns, places: int = 6) -> str:
     return ", ".join(r(c, places) for c in columns)
+
+
+def row_hash(value, seed):
+    """``prepare.row_hash`` in SQL, each step of which names the one before."""
+    mask, (first, second) = prepare.HASH_SPAN - 1, prepare.MIXERS
+    return f"""(SELECT xor(c, c >> 15) FROM (SELECT (xor(b, b >> 13) * {second}) & {mask} AS c FROM (
+      SELECT (xor(a, a >> 16) * {first}) & {mask} AS b FROM (SELECT xor(k & {mask},
+        (((k >> 31) & {mask}) * {prepare.UPPER_MIXER} + {seed * prepare.SEED_MIXER}) & {mask}) AS a
+      FROM (SELECT ({value})::BIGINT AS k)))))"""

@@ -36,8 +36,46 @@ def _csv_copy(spark, df, name):
 
 @query("scan_csv", SENSOR_ROWS)
 def scan_csv(spark, folder):
-    path = _csv_copy(spark, sensor(spark, folder), "sensor-csv")
-    return readers.read_csv(spark, path).withColumn("event_id", F.col("event_id").cast("long"))
+    """A folder of files whose seconds are written ``n.0`` and whose columns stand in different orders."""
+    rows = sensor(spark, folder).withColumn("second", F.col("second").cast("double"))
+    path = work_path(spark, "sensor-csv")
+    writers.write_csv(rows.where("event_id % 2 = 0"), f"{path}/a")
+    writers.write_csv(rows.where("event_id % 2 = 1").select(*reversed(rows.columns)), f"{path}/b")
+    return readers.read_csv(spark, [f"{path}/a", f"{path}/b"]).withColumn("event_id", F.col("event_id").cast("long"))
+
+
+@query(
+    "typed_cast_sensor",
+    f"""WITH {P.SENSOR} SELECT CASE WHEN event_id % 11 <> 0 THEN "bookingID" END AS "bookingID", event_id, second,
+    {", ".join(S.CHANNELS)}, CASE WHEN event_id % 7 <> 0 THEN speed END AS speed, accuracy FROM sensor""",
+)
+def typed_cast_sensor(spark, folder):
+    """Text columns with whole numbers written ``n.0``, ids that are no numbers and readings that do not parse."""
+    e, rows = F.col("event_id"), sensor(spark, folder)
+    text = rows.select("event_id", *[F.col(c).cast("string").alias(c) for c in rows.columns if c != "event_id"]).withColumns({
+        "second": F.concat("second", F.lit(".0")),
+        "bookingID": F.when(e % 11 == 0, F.concat(F.lit("T-"), "bookingID")).otherwise(F.col("bookingID")),
+        "speed": F.when(e % 7 == 0, F.lit("n/a")).otherwise(F.col("speed")),
+    })
+    return readers.cast_sensor(text)
+
+
+@query(
+    "scan_rejects",
+    f"""WITH {P.SENSOR} SELECT unparsed, count(*) AS n_rows FROM (
+      SELECT CASE WHEN event_id % 7 = 0 AND event_id % 11 = 0 THEN 'bookingID,speed' WHEN event_id % 7 = 0 THEN 'speed'
+        WHEN event_id % 11 = 0 THEN 'bookingID' END AS unparsed FROM sensor) WHERE unparsed IS NOT NULL GROUP BY 1""",
+)
+def scan_rejects(spark, folder):
+    """How many rows of a raw file hold values that do not parse, by column."""
+    e, rows = F.col("event_id"), sensor(spark, folder)
+    raw = rows.withColumns({
+        "bookingID": F.when(e % 11 == 0, F.concat(F.lit("T-"), "bookingID")).otherwise(F.col("bookingID").cast("string")),
+        "speed": F.when(e % 7 == 0, F.lit("n/a")).otherwise(F.col("speed").cast("string")),
+    })
+    text = readers.read_text(spark, _csv_copy(spark, raw, "sensor-raw"))
+    names = F.array_join(F.array_sort("unparsed"), ",")
+    return readers.rejects(text).groupBy(names.alias("unparsed")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query(

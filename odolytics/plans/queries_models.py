@@ -46,6 +46,20 @@ def score_trip(spark, folder):
     return rounded(etl.score_trip(rows, 7, model, X.TIEBREAK))
 
 
+@query(
+    "trip_scoring_history",
+    f"""{SCORED_SERVING} SELECT 'single' AS mode, "bookingID", prediction, prediction_label, {P.rounded(["confidence"])}
+    FROM decided WHERE "bookingID" IN (7, 8)""",
+)
+def trip_scoring_history(spark, folder):
+    """Two trips scored one after the other, each leaving its entry."""
+    rows, path = sensor(spark, folder), work_path(spark, "trip-history")
+    model = linear_model(trips.trip_features_serving(rows, X.TIEBREAK))
+    for trip in (7, 8):
+        etl.record_trip(etl.score_trip(rows, trip, model, X.TIEBREAK), path)
+    return rounded(scoring.prediction_history(spark.read.parquet(path)).drop("timestamp"))
+
+
 @query(
     "batch_summary",
     f"{SCORED_TRIPS}, summed AS (SELECT confidence, prediction = 1 AS hit FROM decided) SELECT {SUMMARY} FROM summed",
@@ -142,26 +156,22 @@ def tree_importance(spark, folder):
     return models.tree_importance(model)
 
 
-def _hash(value, seed):
-    return f"((({value}) % 2147483648) * 1103515245 + {12345 * (seed + 1)}) % 2147483648"
-
-
 VALUES = ", ".join(f"coalesce({f}::DOUBLE, 0)" for f in FEATURES)
 SMOTE_VALUES = ", ".join(P.r(f"v[{i + 1}]", MORE_PLACES.get(f, 6), f) for i, f in enumerate(FEATURES))
 SMOTE = f"""WITH {P.TRIP_TABLE},
-placed AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_hash('"bookingID"', 42)}, "bookingID") AS pos,
+placed AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {P.row_hash('"bookingID"', 42)}, "bookingID") AS pos,
   count(*) OVER (PARTITION BY label) AS n FROM trip_table),
 train AS (SELECT "bookingID" AS id, label, [{VALUES}] AS v FROM placed WHERE pos * 10 <= n * 6),
 sizes AS (SELECT label, count(*) AS n FROM train GROUP BY 1),
 small AS (SELECT label, n, (SELECT max(n) FROM sizes) - n AS missing FROM sizes ORDER BY n, label DESC LIMIT 1),
-points AS (SELECT id, v, row_number() OVER (ORDER BY {_hash('id', 42)}, id) AS place FROM train WHERE label = (SELECT label FROM small)),
+points AS (SELECT id, v, row_number() OVER (ORDER BY {P.row_hash('id', 42)}, id) AS place FROM train WHERE label = (SELECT label FROM small)),
 ranked AS (SELECT a.id, b.v AS w, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS rk
   FROM points a JOIN points b ON a.id <> b.id),
 near AS (SELECT id, list(w ORDER BY rk) AS ws FROM ranked WHERE rk <= 5 GROUP BY 1),
-copies AS (SELECT p.id, v, unnest(range(1, (missing // n + CASE WHEN place <= missing % n THEN 1 ELSE 0 END + 1)::BIGINT)) AS copy
+copies AS (SELECT p.id, {P.row_hash('p.id', 42)} * 1000003 AS own, v, unnest(range(1, (missing // n + CASE WHEN place <= missing % n THEN 1 ELSE 0 END + 1)::BIGINT)) AS copy
   FROM points p, small),
-picked AS (SELECT c.id, v, ({_hash('(c.id % 2147483648) * 1000003 + copy', 43)}) / 2147483648.0::DOUBLE AS u,
-  coalesce(ws[1 + (({_hash('(c.id % 2147483648) * 1000003 + copy', 42)}) // 65536) % len(ws)], v) AS w
+picked AS (SELECT c.id, v, ({P.row_hash('c.own + copy', 43)}) / 2147483648.0::DOUBLE AS u,
+  coalesce(ws[1 + (({P.row_hash('c.own + copy', 42)}) // 65536) % len(ws)], v) AS w
   FROM copies c LEFT JOIN near USING (id)),
 made AS (SELECT id, list_transform(list_zip(v, w), lambda z: z[1] + (z[2] - z[1]) * u) AS v FROM picked)
 SELECT id AS "bookingID", label, {SMOTE_VALUES}, false AS synthetic FROM train
@@ -173,6 +183,18 @@ def smote(spark, folder):
     return rounded(oversample.smote(_part(_split(spark, folder), "train"), FEATURES))
 
 
+SCALED_VALUES = ", ".join(f"(v[{i + 1}] - (SELECT avg(v[{i + 1}]) FROM train)) / (SELECT CASE WHEN stddev_pop(v[{i + 1}]) > 0 THEN stddev_pop(v[{i + 1}]) ELSE 1 END FROM train)" for i in range(len(FEATURES)))
+SMOTE_SCALED = SMOTE.replace("points AS (SELECT id, v, row_number()", f"points AS (SELECT id, v, [{SCALED_VALUES}] AS z, row_number()").replace(
+    "list_distance(a.v, b.v)", "list_distance(a.z, b.z)"
+)
+
+
+@query("smote_scaled", SMOTE_SCALED)
+def smote_scaled(spark, folder):
+    """Neighbours among z-scores, the form the logistic model is trained with."""
+    return rounded(oversample.smote(_part(_split(spark, folder), "train"), FEATURES, scaled=True))
+
+
 @query("model_persist")
 def model_persist(spark, folder):
     """Scores by a saved and reloaded model, whose threshold is saved with it."""

@@ -205,6 +205,19 @@ def vif(spark, folder):
     return rounded(separation.vif(X.wide(spark, folder), FEATURES), 5)
 
 
+WITHOUT = ["l_extendedprice", "l_discount"]
+VIF_DEPENDENT = f"""{WIDE}, {_vif_sql([*WITHOUT, "l_quantity", "l_tax"], 'wide')}
+SELECT feature, {P.r('vif', 4)}, vif > 10 AS too_high FROM vifs WHERE feature IN ('l_extendedprice', 'l_discount')
+UNION ALL SELECT unnest(['l_quantity', 'l_tax', 'mix']), 'inf'::DOUBLE, true"""
+
+
+@query("vif_dependent", VIF_DEPENDENT)
+def vif_dependent(spark, folder):
+    """One column is a sum of two others: all three are infinite, the rest is as it was without it."""
+    rows = X.wide(spark, folder).withColumn("mix", F.col("l_quantity") + 3 * F.col("l_tax"))
+    return rounded(separation.vif(rows, [*WITHOUT, "l_quantity", "l_tax", "mix"]), 4)
+
+
 def _separation_sql(columns, source="wide"):
     parts = " UNION ALL ".join(
         f"""SELECT '{c}' AS feature, avg({c}) FILTER (label = 0) AS m0, avg({c}) FILTER (label = 1) AS m1,
@@ -443,24 +456,31 @@ def _policy(name, where, order):
     return f"SELECT * FROM (SELECT '{name}' AS policy, threshold, {P.rounded(RATE_NAMES)} FROM sweep {where} ORDER BY {order} LIMIT 1)"
 
 
+def _own(policy):
+    """Thresholds of a policy's own grid, in whole hundredths."""
+    return f"round(threshold * 100)::INT IN ({', '.join(str(round(t * 100)) for t in evaluation.POLICY_GRIDS[policy])})"
+
+
 @query(
     "threshold_select",
-    f"{SCORED}, {_sweep_sql(evaluation.FINE_GRID)} " + " UNION ALL ".join([
-        """SELECT * FROM (SELECT 'accuracy_with_recall_60' AS policy, threshold, """ + P.rounded(RATE_NAMES) + """ FROM sweep
+    f"{SCORED}, {_sweep_sql(evaluation.every_grid())} " + " UNION ALL ".join([
+        """SELECT * FROM (SELECT 'accuracy_with_recall_60' AS policy, threshold, """ + P.rounded(RATE_NAMES)
+        + f" FROM sweep WHERE {_own('accuracy_with_recall_60')}" + """
         ORDER BY CASE WHEN sweep.recall >= 0.60 THEN 0 ELSE 1 END,
           CASE WHEN sweep.recall >= 0.60 THEN sweep.accuracy ELSE sweep.recall END DESC, threshold DESC LIMIT 1)""",
-        _policy("best_f1", "", "sweep.f1 DESC, threshold"),
-        _policy("f1_with_recall_70", "WHERE sweep.recall >= 0.70", "sweep.f1 DESC, threshold"),
+        _policy("best_f1", f"WHERE {_own('best_f1')}", "sweep.f1 DESC, threshold"),
+        _policy("f1_with_recall_70", f"WHERE {_own('f1_with_recall_70')} AND sweep.recall >= 0.70", "sweep.f1 DESC, threshold"),
         "SELECT 'recall_with_precision_40', " + ", ".join(
             f"max_by({c}, (sweep.recall, -threshold))" if c == "threshold" else
             f"round(max_by(sweep.{c}, (sweep.recall, -threshold)), 6)" for c in ["threshold", *RATE_NAMES]
-        ) + " FROM sweep WHERE sweep.precision >= 0.40",
-        _policy("best_accuracy", "", "sweep.accuracy DESC, threshold"),
+        ) + f" FROM sweep WHERE {_own('recall_with_precision_40')} AND sweep.precision >= 0.40",
+        _policy("best_accuracy", f"WHERE {_own('best_accuracy')}", "sweep.accuracy DESC, threshold"),
     ]),
 )
 def threshold_select(spark, folder):
-    sweep = evaluation.threshold_sweep(X.scored(spark, folder), evaluation.FINE_GRID)
-    return rounded(evaluation.threshold_select(sweep))
+    """Each policy on its own grid, from one sweep over all of them."""
+    sweep = evaluation.threshold_sweep(X.scored(spark, folder), evaluation.every_grid())
+    return rounded(evaluation.threshold_select(sweep, evaluation.POLICY_GRIDS))
 
 
 @query(
@@ -603,7 +623,7 @@ def prediction_history(spark, folder):
 
 # Preparation -----------------------------------------------------------------------
 
-SHUFFLE = "(((\"bookingID\" % 2147483648) * 1103515245 + 530835) % 2147483648)"
+SHUFFLE = P.row_hash('"bookingID"', 42)
 
 
 @query(

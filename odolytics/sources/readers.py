@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,34 +36,93 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
-def _typed(names: Sequence[str], schema: T.StructType) -> T.StructType:
-    """The file's own column order with the known types; unknown columns stay text."""
-    types = {f.name.lower(): f.dataType for f in schema.fields}
-    return T.StructType(
-        [T.StructField(n, types.get(ALIASES.get(n.strip().lower(), n.strip()).lower(), T.StringType())) for n in names]
-    )
+def file_headers(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA) -> dict[tuple, list[str]]:
+    """Files by header, from one distributed pass over the text.
 
+    The header of a file is its line that names at least two of the schema's columns (or is the first line of a
+    table with one column). One row per file reaches the driver. Give ``read_csv`` the header to save this pass.
+    """
+    known = {f.name.lower() for f in schema.fields}
+    known |= {name for name, column in ALIASES.items() if column.lower() in known}
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    cells = F.transform(F.split("value", ","), lambda c: F.lower(F.trim(F.translate(c, '"\ufeff', ""))))
+    named = F.size(F.array_intersect(cells, F.array(*[F.lit(k) for k in sorted(known)])))
+    found = lines.where((F.col("at") == 0) & (named >= min(2, len(known)))).groupBy("file").agg(F.min("value").alias("header"))
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for row in found.orderBy("file").collect():
+        names = tuple(c.strip().strip('"').lstrip("\ufeff") for c in row["header"].split(","))
+        groups[names].append(row["file"])
+    return groups
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA) -> DataFrame:
-    """CSV with a header line; types come from the schema, never from a pass over the data."""
-    first = paths if isinstance(paths, str) else paths[0]
-    names = read_header(spark, first)
-    return spark.read.option("header", True).schema(_typed(names, schema)).csv(paths)
 
+def _whole(column: Column) -> Column:
+    """A whole number, also where it is written with a fraction of zero (``12.0``); else NULL."""
+    number = column.try_cast("double")
+    exact = column.try_cast("long")
+    return F.coalesce(exact, F.when((number == F.floor(number)) & (F.abs(number) < F.lit(2.0**53)), number.try_cast("long")))
 
-def read_csv_union(spark: SparkSession, paths: Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA) -> DataFrame:
-    """Several CSV inputs as one table: one read per distinct header, absent columns filled with NULL."""
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for path in paths:
-        groups[tuple(read_header(spark, path))].append(path)
-    frames = [
-        standardize_columns(spark.read.option("header", True).schema(_typed(names, schema)).csv(same))
-        for names, same in groups.items()
+
+def _parsed(text: Column, kind: T.DataType) -> Column:
+    return _whole(text).try_cast(kind) if isinstance(kind, (T.LongType, T.IntegerType)) else text.try_cast(kind)
+
+
+def typed(df: DataFrame, schema: T.StructType = S.SENSOR_SCHEMA, text_key: bool = False) -> DataFrame:
+    """Text columns brought to the schema's types; what does not parse becomes NULL. ``text_key`` keeps ids as text."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+
+    def one(name: str) -> Column:
+        column, kind = F.col(f"`{name}`"), kinds.get(name)
+        if kind is None or (text_key and name == S.KEY):
+            return column
+        if df.schema[name].dataType == T.StringType():
+            return _parsed(F.trim(column), kind).alias(name)
+        return column.try_cast(kind).alias(name)
+
+    return df.select(*[one(c) for c in df.columns])
+
+
+def _read_text(spark: SparkSession, names: Sequence[str], files: str | Sequence[str]) -> DataFrame:
+    """One group of files with the same header, all columns as text."""
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return standardize_columns(spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(files))
+
+
+def read_text(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA, header: Sequence[str] | None = None
+) -> DataFrame:
+    """CSV files with a header line each as one table of text: columns go by name, absent ones are NULL."""
+    groups = {tuple(header): paths} if header else file_headers(spark, paths, schema)
+    if not groups:
+        raise ValueError("no header line that names known columns")
+    frames = [_read_text(spark, names, files) for names, files in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA, header: Sequence[str] | None = None,
+    text_key: bool = False,
+) -> DataFrame:
+    """CSV with a header line per file; types come from the schema, never from a pass over the data.
+
+    Everything is read as text and converted, so that whole numbers written as ``12.0`` are not lost. Rows in which
+    something does not parse are kept with a NULL there; ``rejects`` lists them.
+    """
+    return typed(read_text(spark, paths, schema, header), schema, text_key)
+
+
+def rejects(text: DataFrame, schema: T.StructType = S.SENSOR_SCHEMA) -> DataFrame:
+    """Rows of a table of text in which a value is there but does not parse, with the columns' names."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    marks = [
+        F.when(F.col(f"`{c}`").isNotNull() & (F.trim(f"`{c}`") != "") & _parsed(F.trim(F.col(f"`{c}`")), kinds[c]).isNull(), F.lit(c))
+        for c in text.columns if c in kinds
     ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out
+    return text.withColumn("unparsed", F.filter(F.array(*marks), lambda m: m.isNotNull())).where(F.size("unparsed") > 0)
+
+
+def read_csv_union(spark: SparkSession, paths: Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA) -> DataFrame:
+    """Several CSV inputs as one table, whatever columns each file has."""
+    return read_csv(spark, list(paths), schema)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -123,9 +183,8 @@ def validation_table(df: DataFrame, required: Sequence[str] = tuple(S.REQUIRED_C
     return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
-def cast_sensor(df: DataFrame) -> DataFrame:
+def cast_sensor(df: DataFrame, text_key: bool = False) -> DataFrame:
     """Text columns to sensor types; what does not parse becomes NULL."""
-    types = {f.name: f.dataType for f in S.SENSOR_SCHEMA.fields}
-    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    return typed(df, S.SENSOR_SCHEMA, text_key)
 
 

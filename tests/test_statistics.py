@@ -1,13 +1,16 @@
 """Quantiles, evaluation and statistics against brute force, with the large-data way forced."""
 
+import math
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from odolytics.functions import quantiles
 from odolytics.functions.quantiles import quantile_values
 from odolytics.operators import evaluation, prepare, profile, separation
+from odolytics.sources import fixtures as X
 
 PROBABILITIES = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
 
@@ -152,3 +155,53 @@ def test_median_and_scaling_use_the_fitting_rows(spark):
     assert sorted(r["a"] for r in prepare.impute_median(df, ["a"], fit).collect()) == [1.0, 2.0, 2.0, 3.0, 100.0]
     assert prepare.scaling(fit, ["a"])["a"] == (2.0, 1.0)
     assert prepare.scaling(df.where("a = 100"), ["a"])["a"] == (100.0, 1.0)
+
+
+def test_a_seed_changes_about_half_of_what_it_can(spark):
+    ids = spark.range(20_000).withColumn("label", (F.col("id") % 4 == 0).cast("int"))
+    splits = {s: {r["id"]: r["split"] for r in prepare.stratified_split(ids, "id", seed=s).collect()} for s in (42, 43, 7)}
+    for a, b in ((42, 43), (42, 7)):
+        moved = sum(splits[a][i] != splits[b][i] for i in splits[a]) / 20_000
+        assert 0.5 < moved < 0.62        # 1 - (0.6**2 + 0.2**2 + 0.2**2) = 0.56
+
+
+def test_slices_are_even_for_regular_ids(spark):
+    for step in (1, 4, 4096, 2**31):
+        for slices in (2, 4, 8):
+            ids = spark.range(8_000).select((F.col("id") * step).alias("id"))
+            counts = [r["count"] for r in ids.groupBy(prepare.slice_of("id", F.lit(slices))).count().collect()]
+            assert len(counts) == slices and max(counts) < 1.2 * 8_000 / slices
+
+
+def test_brackets_that_samples_do_not_narrow_are_halved(spark, monkeypatch):
+    """Samples that always propose the whole bracket: halving alone must get there, within the limit."""
+    percentile = quantiles.F.percentile
+
+    def nowhere(df, targets, again):
+        for t in targets:
+            t.slack *= 100
+
+    monkeypatch.setattr(quantiles, "_narrow", nowhere)
+    rows = spark.range(5_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise((F.col("id") - 2_500) * 1e-5 * F.pow(F.lit(10.0), F.col("id") % 7)).alias("x")
+    )
+    wanted = [0.001, 0.25, 0.5, 0.9, 0.999]
+    found = quantiles.quantile_values(rows, ["x"], wanted, values_per_task=20)
+    exact = rows.agg(percentile("x", F.array(*map(F.lit, wanted)))).first()[0]
+    assert [found["x", p] for p in wanted] == pytest.approx(exact, rel=1e-12)
+
+
+def test_inflation_of_dependent_columns_is_infinite(spark, folder):
+    rows = X.wide(spark, folder).withColumn("mix", F.col("l_quantity") + 3 * F.col("l_tax"))
+    found = {r["feature"]: r for r in separation.vif(rows, ["l_quantity", "l_tax", "mix", "l_discount"]).collect()}
+    assert all(math.isinf(found[c]["vif"]) and found[c]["too_high"] for c in ("l_quantity", "l_tax", "mix"))
+    assert 1 <= found["l_discount"]["vif"] < 10
+    alike = X.wide(spark, folder).select("l_quantity", F.col("l_quantity").alias("again"))
+    assert all(math.isinf(r["vif"]) for r in separation.vif(alike, ["l_quantity", "again"]).collect())
+
+
+def test_p_values_of_very_many_rows():
+    assert separation.student_p_value(1.959963984540054, 1e11) == pytest.approx(0.05, rel=1e-9)
+    for dof in (5e6, 2e7):     # both sides of the switch, against the normal value with its first correction
+        z = 2.0 * (1 - 1 / (4 * dof)) / math.sqrt(1 + 4 / (2 * dof))
+        assert separation.student_p_value(2.0, dof) == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-8)
