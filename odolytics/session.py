@@ -49,7 +49,10 @@ def build_session(app: str = "odolytics", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    # Python workers import this package; on a cluster install it there or ship it with --py-files.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = os.pathsep.join(p for p in (root, os.environ.get("PYTHONPATH")) if p)
+    for key, value in {**DEFAULTS, "spark.executorEnv.PYTHONPATH": paths, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
