@@ -11,7 +11,7 @@ from odolytics.plans import etl
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.models_used import SCORED_SERVING, SCORED_TRIPS, linear_model
 from odolytics.plans.queries_ingest import sensor
-from odolytics.plans.queries_stats import SUMMARY
+from odolytics.plans.queries_stats import COMPARED, SCORED, SUMMARY, _run_sql
 from odolytics.plans.registry import MORE_PLACES, query, rounded
 from odolytics.session import cut_lineage, work_path
 from odolytics.sources import fixtures as X
@@ -106,6 +106,22 @@ def train_logistic(spark, folder):
     return _evaluate(models.train_logistic(_part(table, "train"), FEATURES), table)
 
 
+GRADIENT = "SELECT unnest([" + ", ".join(f"'{f}'" for f in ["(intercept)", *FEATURES]) + "]) AS feature, 0.0::DOUBLE AS gradient"
+
+
+@query("logistic_gradient", GRADIENT)
+def logistic_gradient(spark, folder):
+    """The penalised mean loss has no slope left at the fitted weights, in any direction."""
+    train = _part(_split(spark, folder), "train")
+    model = models.train_logistic(train, FEATURES, c=0.5)
+    weights, n = model.linear().weights, train.count()
+    scored = model.probability(train).withColumn("off", F.col("probability_dangerous") - F.col("label"))
+    z = {f: (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) - F.lit(m)) / F.lit(s) for f, (m, s) in model.scaler.items()}
+    wide = scored.agg(F.avg("off").alias("(intercept)"), *[F.avg(F.col("off") * z[f]).alias(f) for f in FEATURES]).first()
+    rows = [("(intercept)", wide["(intercept)"])] + [(f, wide[f] + weights[f] / (0.5 * n)) for f in FEATURES]
+    return rounded(spark.createDataFrame(rows, "feature string, gradient double"), 3)
+
+
 @query("train_random_forest")
 def train_random_forest(spark, folder):
     table = _split(spark, folder)
@@ -195,24 +211,39 @@ def smote_scaled(spark, folder):
     return rounded(oversample.smote(_part(_split(spark, folder), "train"), FEATURES, scaled=True))
 
 
-@query("model_persist")
+@query("model_persist", f"""WITH {P.TRIP_TABLE} SELECT "bookingID", true AS same_score, true AS same_prediction FROM trip_table""")
 def model_persist(spark, folder):
-    """Scores by a saved and reloaded model, whose threshold is saved with it."""
+    """A saved and reloaded model scores every trip as the expression of its stored numbers does; its threshold
+    is saved with it."""
     table = _split(spark, folder)
     model = models.train_logistic(_part(table, "train"), FEATURES)
     model.threshold = 0.25
     path = work_path(spark, "model")
     model.save(path)
-    return models.SafetyModel.load(spark, path).score(table)
+    loaded = models.SafetyModel.load(spark, path)
+    written_out = scoring.score_batch(table, model.linear(), 0.25).alias("e")
+    both = loaded.score(table).alias("l").join(written_out, "bookingID")
+    return both.select(
+        "bookingID", (F.abs(F.col("l.probability_dangerous") - F.col("e.probability_dangerous")) < 1e-9).alias("same_score"),
+        (F.col("l.prediction") == F.col("e.prediction")).alias("same_prediction"),
+    )
+
+
+LOGGED = {"low": 0.3, "even": 0.5}
+RUN_LOG = f"{SCORED}, {', '.join(_run_sql(n, 'p', t) for n, t in LOGGED.items())} " + " UNION ALL ".join(
+    f"""SELECT '{n}' AS run_name, 'param' AS kind, 'threshold' AS key, {t}::DOUBLE AS value
+    UNION ALL SELECT '{n}', 'metric', key, round(value, 6) + 0.0::DOUBLE
+      FROM (UNPIVOT {n} ON {", ".join(COMPARED)} INTO NAME key VALUE value)"""
+    for n, t in LOGGED.items()
+)
 
 
-@query("run_log")
+@query("run_log", RUN_LOG)
 def run_log(spark, folder):
-    table = _split(spark, folder)
+    """Two runs with their parameters and metrics, as the log table holds them."""
     path = work_path(spark, "runs")
-    for c in (0.1, 1.0):
-        model = models.train_logistic(_part(table, "train"), FEATURES, c=c)
-        found = _evaluate(model, table).where("split = 'val'").first()
-        metrics = {m: found[m] for m in ("accuracy", "precision", "recall", "f1", "roc_auc") if found and found[m] is not None}
-        models.log_run(spark, path, f"logistic c={c}", {"c": c, "features": ",".join(FEATURES)}, metrics)
-    return spark.read.parquet(path)
+    for name, threshold in LOGGED.items():
+        found = evaluation.classification_metrics(X.scored(spark, folder), threshold=threshold).first()
+        models.log_run(spark, path, name, {"threshold": threshold}, {m: found[m] for m in COMPARED})
+    logged = spark.read.parquet(path)
+    return rounded(logged.select("run_name", "kind", "key", F.col("value").cast("double").alias("value")))
