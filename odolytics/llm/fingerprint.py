@@ -7,11 +7,9 @@ their sketches, and the share of common hashes estimates similarity and containm
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odolytics.session import cut_lineage
-
 SHINGLE = 5
 FRACTION = 8                # one hash in this many is kept
 BUCKETS_PER_TASK = 8
@@ -24,13 +22,13 @@ _CUT = _BOTTOM + (1 << 64) // FRACTION
 def sketch(text: Column) -> Column:
     """Sorted kept hashes of a text; an empty array for NULL or a text without words."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
+    hashed_words = F.transform(words, lambda w: F.xxhash64(w))
 
-    def of(words: Column) -> Column:
-        n = F.size(words)
-        hashed = F.transform(words, lambda w: F.xxhash64(w))
+    def of(hashed: Column) -> Column:
+        n = F.size(hashed)
         runs = F.transform(
-            F.sequence(F.lit(1), n - (SHINGLE - 1)),
-            lambda i: F.xxhash64(F.slice(hashed, i, SHINGLE)),
+            F.sequence(F.lit(0), n - SHINGLE),
+            lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(SHINGLE)]),
         )
         # Fewer words than a shingle has: the whole sequence is the one shingle.
         return F.when(n >= SHINGLE, runs).when(n > 0, F.array(F.xxhash64(hashed))).otherwise(F.array().cast("array<bigint>"))
@@ -40,7 +38,7 @@ def sketch(text: Column) -> Column:
         least = F.filter(F.array(F.array_min(hashes)), lambda h: h.isNotNull())
         return F.array_sort(F.array_distinct(F.concat(low, least)))
 
-    return _once(_once(words, of), kept)
+    return _once(_once(hashed_words, of), kept)
 
 
 def _once(value: Column, use) -> Column:
@@ -64,12 +62,8 @@ def as_string(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def _with_next(docs: DataFrame, tasks: int) -> DataFrame:
-    """Each row's next row by descending id (after the last: the first) as ``next``.
-
-    Ids are cut into ranges at quantiles. A range is one window, to which the first row of the range after it
-    is added as a guest; that row is found from one (id, tie-break) per range.
-    """
+def _ranges(docs: DataFrame, tasks: int) -> tuple[DataFrame, list]:
+    """Rows with the number of their range of ids, cut at quantiles, and the largest (id, tie-break) of each range."""
     ids = docs.select("doc_id")
     buckets = tasks * BUCKETS_PER_TASK
     cuts = sorted(set(ids.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
@@ -95,15 +89,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     read = read.withColumn("tie", F.xxhash64("text"))
-    ranged, heads = _with_next(read, tasks)
+    ranged, heads = _ranges(read, tasks)
     if not heads:
         return _result(ranged.withColumn("sketch", sketch(F.col("text"))).withColumn("next", F.struct("text", "sketch")))
     return _result(_followed(ranged, heads))
 
 
 def _followed(ranged: DataFrame, heads: list) -> DataFrame:
-    from pyspark.sql import Window
+    """Each row with its next row by descending id (after the last: the first) as ``next``.
 
+    A range is one window, to which the first row of the range after it is added as a guest.
+    """
     rows = ranged.withColumn("sketch", sketch(F.col("text"))).withColumn("guest", F.lit(False))
     # The head of each range is a guest at the end of the range above it; the topmost head ends the lowest range.
     host = {h["bucket"]: heads[(i + 1) % len(heads)]["bucket"] for i, h in enumerate(heads)}
