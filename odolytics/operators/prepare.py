@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odolytics import schema as S
 from odolytics.functions import ordered
+from odolytics.functions.columns import broadcast_if_small
 from odolytics.functions.quantiles import quantile_values
+from odolytics.session import cut_lineage
 
 SEED = 42
 
@@ -52,23 +54,54 @@ def stratum_position(
         sums={"position": F.col("__one")}
     ).rows()
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("class_rows"))
-    return placed.drop("__shuffle", "__one").join(F.broadcast(sizes), label)    # one row per class
+    return placed.drop("__shuffle", "__one").join(broadcast_if_small(sizes), label)
 
 
-def stratified_split(
-    df: DataFrame, key: str = S.KEY, label: str = "label", seed: int = SEED, rows_per_task: int = ordered.HOT_ROWS
-) -> DataFrame:
+BUCKET_BITS = 15        # of the 31 bits of the shuffle number; one bucket in 32,768 is ranked row by row
+
+
+def split_points(hashed: DataFrame, key: str, label: str, shares: Sequence[float]) -> DataFrame:
+    """Per class the (shuffle number, key) of the last row within each share of its rows, in shuffled order.
+
+    Rows are counted by class and bucket of the shuffle number; only the bucket in which a share ends is ranked.
+    """
+    bucket = F.shiftright("__shuffle", 31 - BUCKET_BITS)
+    counts = hashed.groupBy(label, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    across = Window.partitionBy(label)      # at most 32,768 rows per class
+    running = counts.withColumn("upto", F.sum("n").over(across.orderBy("bucket"))).withColumn("class_rows", F.sum("n").over(across))
+    ends = running.withColumn("share", F.explode(F.array(*[F.lit(float(x)) for x in shares]))).withColumn(
+        "position", F.floor(F.col("class_rows") * F.col("share") / 10).cast("long")
+    )
+    ends = ends.where("position > upto - n AND position <= upto").select(
+        label, "bucket", "share", (F.col("position") - F.col("upto") + F.col("n")).alias("within")
+    )
+    inside = hashed.select(label, "__shuffle", F.col(key).alias("__key"), bucket.alias("bucket")).join(
+        broadcast_if_small(cut_lineage(ends)), [label, "bucket"]
+    )
+    place = F.row_number().over(Window.partitionBy(label, "share").orderBy("__shuffle", "__key"))
+    return inside.withColumn("place", place).where("place = within").select(
+        label, "share", F.struct(F.col("__shuffle"), F.col("__key")).alias("last")
+    )
+
+
+def stratified_split(df: DataFrame, key: str = S.KEY, label: str = "label", seed: int = SEED) -> DataFrame:
     """Exact 60/20/20 split inside each class, in a ``split`` column.
 
-    The input is read three times (size, order, class sizes): give it written rows, not a long plan.
+    No row is sorted or moved: two passes find where the shares end, and every row is compared with those points.
+    Rows without a class are left out. Give it written rows, not a long plan.
     """
-    tenths = F.col("position") * 10
-    split = (
-        F.when(tenths <= F.col("class_rows") * 6, F.lit("train"))
-        .when(tenths <= F.col("class_rows") * 8, F.lit("val"))
-        .otherwise(F.lit("test"))
+    hashed = df.withColumn("__shuffle", row_hash(key, seed))
+    points = split_points(hashed, key, label, (6.0, 8.0)).groupBy(label).agg(
+        F.max(F.when(F.col("share") == 6.0, F.col("last"))).alias("__train"),
+        F.max(F.when(F.col("share") == 8.0, F.col("last"))).alias("__val"),
+    )
+    # A class of one row has no point at all: everything is test.
+    here = F.struct(F.col("__shuffle"), F.col(key).alias("__key"))
+    split = F.when(here <= F.col("__train"), F.lit("train")).when(here <= F.col("__val"), F.lit("val")).otherwise(F.lit("test"))
+    classed = hashed.where(F.col(label).isNotNull())
+    return classed.join(broadcast_if_small(cut_lineage(points)), label, "left").withColumn("split", split).drop(
+        "__shuffle", "__train", "__val"
     )
-    return stratum_position(df, key, label, seed, rows_per_task).withColumn("split", split).drop("position", "class_rows")
 
 
 def stratified_folds(
@@ -116,4 +149,4 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def add_class_weights(df: DataFrame, label: str = "label", weight: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(F.col("label").alias(label), F.col("balanced_weight").alias(weight))
-    return df.join(F.broadcast(weights), label)     # one row per class
+    return df.join(broadcast_if_small(weights), label)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odolytics.functions.columns import count_true, long_form, ratio, rows_from_structs
+from odolytics.functions.columns import broadcast_if_small, count_true, long_form, ratio, rows_from_structs
 from odolytics.functions.quantiles import quantile_values
 
 IMBALANCED_OVER = 3.0
@@ -123,7 +123,7 @@ def class_histogram(df: DataFrame, columns: Sequence[str], label: str = "label",
         F.when(same, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
     )
     # One row per class and feature: small whatever the table holds.
-    placed = values.join(F.broadcast(spans), [label, "feature"])
+    placed = values.join(broadcast_if_small(spans), [label, "feature"])
     position = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * F.lit(bins))
     counts = placed.groupBy(label, "feature", F.least(position, F.lit(bins - 1)).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n_rows")

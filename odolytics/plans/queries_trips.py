@@ -10,6 +10,7 @@ from odolytics.plans import etl
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.queries_ingest import AS_OF, FEATURE_ROWS, MASTER, sensor
 from odolytics.plans.registry import query, rounded, sql_rounded
+from odolytics.session import cut_lineage
 from odolytics.sources import fixtures as X
 
 ROW = ["bookingID", "event_id"]
@@ -154,6 +155,6 @@ def master_table(spark, folder):
     FROM agg LEFT JOIN (SELECT * FROM longest WHERE held > 50) USING ("bookingID")""",
 )
 def join_longest_smooth(spark, folder):
-    features = trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK)
+    features = cut_lineage(trips.trip_features(sensor(spark, folder), tiebreak=X.TIEBREAK))     # read twice
     kept = features.select("bookingID", "longest_smooth_segment_sec").where("longest_smooth_segment_sec > 50")
     return keys.with_longest_smooth(features.select("bookingID", "n_points"), kept)

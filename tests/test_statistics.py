@@ -133,10 +133,11 @@ def test_constant_feature(spark):
     assert profile.scale_analysis(df, ["a"]).first()["scale_ratio"] is None
 
 
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 20])
-def test_split_is_exact_and_whole(spark, rows_per_task):
+@pytest.mark.parametrize("bits", [15, 2])
+def test_split_is_exact_and_whole(spark, bits, monkeypatch):
+    monkeypatch.setattr(prepare, "BUCKET_BITS", bits)
     df = spark.createDataFrame([(i * 1_700_000_001, int(i % 4 == 0)) for i in range(400)], "bookingID long, label int")
-    out = prepare.stratified_split(df, rows_per_task=rows_per_task)
+    out = prepare.stratified_split(df)
     assert out.select("bookingID").distinct().count() == out.count() == 400
     sizes = {(r["label"], r["split"]): r["count"] for r in out.groupBy("label", "split").count().collect()}
     assert sizes == {(0, "train"): 180, (0, "val"): 60, (0, "test"): 60, (1, "train"): 60, (1, "val"): 20, (1, "test"): 20}
@@ -145,7 +146,7 @@ def test_split_is_exact_and_whole(spark, rows_per_task):
 def test_split_does_not_depend_on_the_way(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(200)], "bookingID long, label int")
     a = prepare.stratified_split(df)
-    b = prepare.stratified_split(df.repartition(5), rows_per_task=9)
+    b = prepare.stratified_split(df.repartition(5))
     assert a.exceptAll(b.select(*a.columns)).isEmpty()
 
 
