@@ -194,3 +194,34 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phra
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
     )
+
+
+def _as_pattern(template: str) -> str:
+    """A template as a regular expression over words that each end in a space."""
+    out = re.sub(r"\{\{(\d+)\}\}", r"(?:[^ ]+ ){0,\1}", re.sub(r"\s+", " ", template))
+    out = re.sub(r"([0-9a-z]+)(?![^(]*\)\{)(?: |$|(?=\]\]))", r"\1 ", out)
+    return re.sub(r" ?\]\] ?", " )?", out).replace("[[ ", "(?:").replace("[[", "(?:")
+
+
+def _place_count(phrase: str) -> str:
+    words = phrase.split()
+    same = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words))
+    return f"list_filter(generate_series(1, len(w) - {len(words) - 1}), lambda i: {same})"
+
+
+ORACLE = (
+    r"""WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+j AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS line, """
+    + ", ".join(f"{_place_count(p)} AS {label}" for p, label in PHRASES.items())
+    + " FROM t), m AS (SELECT *, list_concat(list_concat("
+    + ", ".join(list(PHRASES.values())[:2]) + f"), {list(PHRASES.values())[2]}) AS places, list_filter(["
+    + ", ".join(f"CASE WHEN len({label}) > 0 THEN '{label}' END" for label in PHRASES.values())
+    + "], lambda x: x IS NOT NULL) AS base, list_filter(["
+    + ", ".join(f"CASE WHEN regexp_matches(line, ' {_as_pattern(t)}') THEN '{label}' END" for label, t in TEMPLATES.items())
+    + """], lambda x: x IS NOT NULL) AS own FROM j)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT - 1 AS first_word,
+  list_max(places)::BIGINT - 1 AS last_word, array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(base, own))), ',') AS labels,
+  CASE WHEN len(own) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score FROM m"""
+)

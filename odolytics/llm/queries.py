@@ -23,7 +23,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op1_minhash_near_dedup")
+@query("op1_minhash_near_dedup", near_dup.ORACLE)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, folder, "documents"))
 
@@ -48,7 +48,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
-@query("op6_suffix_dedup")
+@query("op6_suffix_dedup", suffix_dedup.ORACLE)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(_table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
@@ -62,7 +62,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op8_license_scan")
+@query("op8_license_scan", licenses.ORACLE)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 

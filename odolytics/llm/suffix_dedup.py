@@ -460,3 +460,25 @@ def suffix_dedup(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     )
     schema = T.StructType([read.schema["doc_id"], read.schema["row"], *made.fields])
     return with_spans.select("doc_id", "text", "row", "ranges", "spans").mapInArrow(_apply, schema)
+
+
+ORACLE = f"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+c AS (
+  SELECT doc_id, n, 500 * k AS base, substr(h, 1000 * k + 1, {1000 + 2 * WINDOW}) AS h
+  FROM (SELECT doc_id, n, h, unnest(generate_series(0, (n - {WINDOW}) // 500)) AS k FROM b WHERE n >= {WINDOW})),
+w AS (
+  SELECT doc_id, base + o AS pos, substr(h, 2 * o + 1, {2 * WINDOW}) AS s
+  FROM (SELECT doc_id, base, h, unnest(generate_series(0, least(499, n - {WINDOW} - base))) AS o FROM c)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT doc_id, pos, pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS step FROM w JOIN f USING (s) WHERE first < doc_id),
+i AS (SELECT doc_id, pos, count(*) FILTER (step IS NULL OR step > {WINDOW}) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM g),
+p AS (SELECT doc_id, run, min(pos) AS a, max(pos) + {WINDOW} AS z FROM i GROUP BY 1, 2),
+k AS (
+  SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS kept
+  FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p) JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM b LEFT JOIN k USING (doc_id)
+"""
