@@ -148,8 +148,12 @@ def word_hash(word: str) -> int:
 
 
 def word_rows(column: pa.Array, gap_bytes: np.ndarray = SPACE) -> Iterator[np.ndarray]:
-    """The word hashes of each row of a string column."""
+    """The word hashes of each row of a string column, worked out for a few megabytes of rows at a time."""
     raw, offsets = text_bytes(column)
-    hashes, first = words(raw, offsets, gap_bytes)
-    for a, b in zip(first[:-1], first[1:]):
-        yield hashes[a:b]
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + 4 * PIECE_BYTES, "right")) - 1)
+        hashes, first = words(raw[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], gap_bytes)
+        for a, b in zip(first[:-1], first[1:]):
+            yield hashes[a:b]
+        at = to
