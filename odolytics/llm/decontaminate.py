@@ -112,7 +112,7 @@ def reduced_sets(docs: DataFrame, item_shingles: DataFrame) -> DataFrame:
     if n == 0:
         return spark.createDataFrame([], "doc_id long, shingles array<long>")
     if n <= MOST_ITEM_SHINGLES:
-        values = np.sort(np.array([r[0] for r in unique.collect()], dtype=np.int64).view(_U))
+        values = np.sort(unique.toArrow().column(0).to_numpy().view(_U))
         return source.mapInArrow(_reduced_rows(spark.sparkContext.broadcast(values)), "doc_id long, shingles array<long>")
     exploded = source.mapInArrow(_set_rows("doc_id"), "doc_id long, shingles array<long>").select(
         "doc_id", F.explode("shingles").alias("s")

@@ -7,6 +7,9 @@ their sketches, and the share of common hashes estimates similarity and containm
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,11 +70,14 @@ def _ranges(docs: DataFrame, tasks: int) -> tuple[DataFrame, list]:
     ids = docs.select("doc_id")
     buckets = tasks * BUCKETS_PER_TASK
     cuts = sorted(set(ids.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
-    edges = F.array(*[F.lit(int(c)) for c in cuts]).cast("array<bigint>")
+    found = F.lit(0)
+    if cuts:
+        number = docs.withColumn("id_number", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)))
+        docs = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="id_number", outputCol="place").transform(number)   # binary search
+        found = F.col("place").cast("int")
     # NULL ids come last in descending order: they are the lowest range of all.
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda c: c < F.col("doc_id"))))
     order = F.struct(F.col("doc_id"), F.col("tie"))
-    ranged = docs.withColumn("bucket", bucket)
+    ranged = docs.select("doc_id", "text", "tie", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(found).alias("bucket"))
     heads = ranged.select("bucket", "doc_id", "tie").groupBy("bucket").agg(F.max(order).alias("head")).collect()   # one row per range
     return ranged, sorted(heads, key=lambda r: r["bucket"])
 
@@ -102,18 +108,17 @@ def _followed(ranged: DataFrame, heads: list) -> DataFrame:
     """
     rows = ranged.withColumn("sketch", sketch(F.col("text"))).withColumn("guest", F.lit(False))
     # The head of each range is a guest at the end of the range above it; the topmost head ends the lowest range.
-    host = {h["bucket"]: heads[(i + 1) % len(heads)]["bucket"] for i, h in enumerate(heads)}
-    hosts = F.create_map(*[F.lit(x) for pair in host.items() for x in pair])
+    hosts = [heads[(i + 1) % len(heads)]["bucket"] for i in range(len(heads))]
     tops = ranged.sparkSession.createDataFrame(
-        [(h["bucket"], h["head"]["doc_id"], h["head"]["tie"]) for h in heads], "bucket int, doc_id long, tie long"
+        [(h["bucket"], h["head"]["doc_id"], h["head"]["tie"], host) for h, host in zip(heads, hosts)],
+        "of int, top_id long, top_tie long, host int",
     )
+    is_top = (F.col("bucket") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("tie") == F.col("top_tie"))
     guests = (
-        ranged.join(F.broadcast(tops), [
-            ranged.bucket == tops.bucket, ranged.doc_id.eqNullSafe(tops.doc_id), ranged.tie == tops.tie
-        ], "left_semi")
+        ranged.join(F.broadcast(tops), is_top)      # one row per range
         .dropDuplicates(["bucket"])
+        .select("doc_id", "text", "tie", F.col("host").alias("bucket"))
         .withColumn("sketch", sketch(F.col("text"))).withColumn("guest", F.lit(True))
-        .withColumn("bucket", hosts[F.col("bucket")])
     )
     order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
     following = F.lead(F.struct("text", "sketch")).over(order)
