@@ -59,18 +59,16 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def _runs(raw: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Key, first window, number of windows of each run of one text, and where its gram stands (-1: in several
-    places)."""
+def _runs(raw: np.ndarray, with_gram: bool = False) -> tuple[np.ndarray, ...]:
+    """Key, first window and number of windows of each run of one text; if asked for also where its gram stands
+    (-1: in several places)."""
     if len(raw) < WINDOW:
-        return np.zeros(0, _U), *[np.zeros(0, np.int64)] * 3
+        return np.zeros(0, _U), *[np.zeros(0, np.int64)] * (3 if with_gram else 2)
     keys, firsts, counts, grams = [], [], [], []
     step = tokens.PIECE_BYTES
     for at in range(0, len(raw) - WINDOW + 1, step):
         part = raw[at : at + step + WINDOW - 1]
-        prefix = tokens.prefix_hashes(part)
-        starts = np.arange(len(part) - GRAM + 1)
-        hashes = tokens.stretch_hashes(prefix, starts, starts + GRAM)
+        hashes = tokens.gram_hashes(tokens.prefix_hashes(part), GRAM)
         least = _smallest(hashes, MOST_WINDOWS)
         first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         size = np.diff(np.append(first, len(least)))
@@ -79,13 +77,15 @@ def _runs(raw: np.ndarray) -> tuple[np.ndarray, ...]:
             inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             first = np.repeat(first, pieces) + inner * MOST_WINDOWS
             size = np.minimum(np.repeat(size, pieces) - inner * MOST_WINDOWS, MOST_WINDOWS)
-        place = first[:, None] + np.arange(MOST_WINDOWS)
-        hit = (hashes[place] == least[first][:, None]) & (place >= (first + size - 1)[:, None])
-        grams.append(np.where(hit.sum(axis=1) == 1, first + hit.argmax(axis=1) + at, -1))
+        if with_gram:
+            place = first[:, None] + np.arange(MOST_WINDOWS)
+            hit = (hashes[place] == least[first][:, None]) & (place >= (first + size - 1)[:, None])
+            grams.append(np.where(hit.sum(axis=1) == 1, first + hit.argmax(axis=1) + at, -1))
         keys.append(least[first])
         firsts.append(first + at)
         counts.append(size)
-    return np.concatenate(keys), np.concatenate(firsts), np.concatenate(counts), np.concatenate(grams)
+    found = (keys, firsts, counts, grams) if with_gram else (keys, firsts, counts)
+    return tuple(np.concatenate(x) for x in found)
 
 
 def _sides(prefix: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -149,7 +149,7 @@ def _deal_runs(shards: int):
     def pack(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
         keys, contents, sides, size = [], [], [], []
         for _, _, raw in rows:
-            key, first, windows, gram = _runs(raw)
+            key, first, windows, gram = _runs(raw, with_gram=True)
             prefix = tokens.prefix_hashes(raw)
             keys.append(key)
             contents.append(tokens.stretch_hashes(prefix, first, first + windows + WINDOW - 1))
@@ -281,7 +281,7 @@ def _strings(shards: int):
             keys, firsts, strings, docs, versions = [], [], [], [], []
             for doc_id, version, body, runs in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "version", "body", "open_runs"))):
                 body = expand.decompress(body)
-                key, first, windows, _ = _runs(np.frombuffer(body, np.uint8))
+                key, first, windows = _runs(np.frombuffer(body, np.uint8))
                 which = np.frombuffer(runs, np.uint32)
                 first, end = first[which], first[which] + windows[which] + WINDOW - 1
                 keys.append(key[which])
@@ -410,7 +410,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if spans.is_valid and len(spans):
                 found.append(np.stack([spans.values.field(n).to_numpy().astype(np.int64) for n in ("a", "b")]))
             if ranges.is_valid and ranges.as_py():
-                _, first, windows, _ = _runs(body)
+                _, first, windows = _runs(body)
                 low, high = np.frombuffer(ranges.as_py(), np.uint32).reshape(-1, 2).T
                 found.append(np.stack((first[low], first[high] + windows[high] + WINDOW - 1)))
             if found:

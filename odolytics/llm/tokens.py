@@ -25,9 +25,12 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 _VALUE = mix(np.arange(1, 257, dtype=_U) * _BASE)
@@ -70,6 +73,16 @@ def stretch_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
+def gram_hashes(prefix: np.ndarray, width: int) -> np.ndarray:
+    """``stretch_hashes`` of all stretches of one width, without gathering."""
+    n = len(prefix) - width
+    _, down = _POWERS.of(len(prefix))
+    out = prefix[width:] - prefix[:n]
+    out *= down[:n]
+    out += _U(width)
+    return mix(out)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column one after another, and where each row starts; NULL counts as empty."""
     if isinstance(column, pa.ChunkedArray):
