@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odolytics.llm.batches import bounded
 from odolytics.llm import tokens
 from odolytics.session import cut_lineage
 
@@ -165,7 +166,7 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: tuple[int, i
     gives no rows. Only doc_id, item_id and text are read.
     """
     item_sets = cut_lineage(
-        items.where("item_id IS NOT NULL").select("item_id", "text")
+        bounded(items).where("item_id IS NOT NULL").select("item_id", "text")
         .mapInArrow(_set_rows("item_id"), "item_id long, shingles array<long>").dropDuplicates(["item_id", "shingles"])
     )
     reduced = cut_lineage(reduced_sets(docs, item_sets.select(F.explode("shingles").alias("s"))).dropDuplicates(["doc_id", "shingles"]))

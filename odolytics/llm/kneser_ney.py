@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odolytics.llm.batches import bounded
 from odolytics.llm import store, tokens
 from odolytics.llm.language import fold
 from odolytics.session import work_path
@@ -285,7 +286,7 @@ class Model:
 
 def train(texts: DataFrame) -> Model:
     """Count a table of texts (NULL: empty) and write the model's arrays to the shared folder."""
-    spark = texts.sparkSession
+    spark = bounded(texts).sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     pieces = max(1, math.ceil(size / SHARD_BYTES))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

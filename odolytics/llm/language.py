@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from odolytics.llm.batches import bounded
 from odolytics.llm import tokens
 
 ORDERS = (2, 3, 4)
@@ -180,7 +181,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     NULL text and text without a letter get ``und`` and 0, as does everything if nothing was learned. Equal texts
     get equal answers. The row is a struct, so its columns may have any names.
     """
-    prepared = docs.select(
+    prepared = bounded(docs).select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.lower(F.col(text)).alias("lower"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
     )

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odolytics.llm.batches import bounded
 from odolytics.llm import tokens
 
 # Phrases with their labels, and the usual notices of public licenses.
@@ -191,7 +192,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phra
     Repeated rows give the same result each; other columns are not read. No rows, no result.
     """
     run = _scan(TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
     )
 

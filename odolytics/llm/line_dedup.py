@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odolytics.llm.batches import bounded
 from odolytics.functions.columns import broadcast_if_small
 from odolytics.session import work_path
 
@@ -81,7 +82,7 @@ def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     same lines. Rows of one id with different texts are ranked by a hash of the text. A row without an id is
     ranked last. Other columns are not read; no rows, no result.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"))
     path = work_path(spark, "lines")
     read.mapInArrow(_digests(least_words), "doc_id long, version long, line int, digest binary").write.parquet(path)

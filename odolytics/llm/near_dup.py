@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odolytics.llm.batches import bounded
 from odolytics.functions.columns import broadcast_if_small
 from odolytics.llm import tokens
 from odolytics.llm.graph import components
@@ -248,7 +249,7 @@ def near_duplicates(docs: DataFrame, likeness: tuple[int, int] = LIKENESS) -> Da
     id, so thousands of copies cost one row each. Rows that repeat an id are one document: they share a
     component. A row without an id cannot be named; it comes back with a NULL component, kept. No rows, no result.
     """
-    signed = cut_lineage(signatures(docs))
+    signed = cut_lineage(signatures(bounded(docs)))
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     firsts = named.groupBy("seq").agg(F.min("doc_id").alias("first"))
     nodes = cut_lineage(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from odolytics.llm import decontaminate, language, mixing, near_dup, suffix_dedup
 
-LEAST_SCORE = 0.4           # below this no language's regression claims the text
+LEAST_SCORE = 0.25          # below this no language's regression comes near to claiming the text
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

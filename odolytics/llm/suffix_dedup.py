@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from odolytics.llm.batches import bounded
 from odolytics.functions.columns import broadcast_if_small
 from odolytics.llm import tokens
 from odolytics.llm.bwt import collection_bwt
@@ -37,8 +38,8 @@ from odolytics.session import work_path
 WINDOW = 50
 GRAM = 20
 MOST_WINDOWS = WINDOW - GRAM + 1    # as many windows as one gram can lie in
-SHARD_BYTES = 16 << 20      # text per shard
-GROUP_BYTES = 8 << 20       # text whose equal runs are settled together
+SHARD_BYTES = 8 << 20       # text per shard
+GROUP_BYTES = 4 << 20       # text whose equal runs are settled together
 SIDE = (WINDOW - GRAM) // 2         # 50 bytes around a 20-byte gram hold 15 on one side of it or on the other
 NO_SIDE, ANY_SIDE = 0, 255
 COLLECTION_BYTES = 128 << 10    # text ordered at once, if keys allow
@@ -359,7 +360,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, version, ranges, spans`` of the documents that lose bytes: ranges of run numbers that go as a
     whole, and (a, b) byte spans, not yet joined up. ``docs`` has doc_id, version (a hash of the text) and text.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHARD_BYTES))
     found = docs.mapInArrow(_deal_runs(shards), RUN_SCHEMA).groupBy("shard").applyInArrow(_equal_runs, FOUND_SCHEMA)
