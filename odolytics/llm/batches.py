@@ -15,9 +15,9 @@ def bounded(df: DataFrame) -> DataFrame:
     arrays made from it), for every task; long texts reach the limit on bytes well before that on rows.
     """
     conf = df.sparkSession.conf
-    now = str(conf.get(SETTING, "0")).lower().rstrip("b")
+    now = str(conf.get(SETTING, "64m")).lower().rstrip("b")
     scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
     size = int(now.rstrip("kmg") or 0) * scale
-    if not 0 < size <= MOST_BYTES:
+    if size > MOST_BYTES:
         conf.set(SETTING, str(MOST_BYTES))
     return df
