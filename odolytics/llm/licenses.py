@@ -43,6 +43,8 @@ TEMPLATES = {
     "all-rights-reserved": "[[copyright {{8}}]] all rights reserved",
 }
 
+TOKEN = re.compile(r"\[\[|\]\]|\{\{\d+\}\}|[0-9a-z\u0080-\U0010ffff]+")
+
 _U = np.uint64
 GAPS = np.ones(256, dtype=bool)
 GAPS[0x30:0x3A] = GAPS[0x41:0x5B] = GAPS[0x61:0x7B] = GAPS[0x80:] = False
@@ -61,7 +63,7 @@ class Automaton:
 
 def compile_template(template: str) -> Automaton:
     made, here, opened = Automaton(), 0, []
-    for token in re.findall(r"\[\[|\]\]|\{\{\d+\}\}|[0-9a-z\u0080-\U0010ffff]+", template):
+    for token in TOKEN.findall(template):
         if token == "[[":
             opened.append(here)
         elif token == "]]":
@@ -199,9 +201,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phra
 
 def _as_pattern(template: str) -> str:
     """A template as a regular expression over words that each end in a space."""
-    out = re.sub(r"\{\{(\d+)\}\}", r"(?:[^ ]+ ){0,\1}", re.sub(r"\s+", " ", template))
-    out = re.sub(r"([0-9a-z]+)(?![^(]*\)\{)(?: |$|(?=\]\]))", r"\1 ", out)
-    return re.sub(r" ?\]\] ?", " )?", out).replace("[[ ", "(?:").replace("[[", "(?:")
+    parts = {"[[": "(?:", "]]": ")?"}
+    return "".join(
+        f"(?:[^ ]+ ){{0,{int(t[2:-2])}}}" if t.startswith("{{") else parts.get(t, t + " ") for t in TOKEN.findall(template)
+    )
 
 
 def _place_count(phrase: str) -> str:
