@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-MOST_BYTES = 16 << 20
+MOST_BYTES = 8 << 20
 SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """The same table, after lowering its session's limit on bytes per batch to 16 MB if it is higher.
+    """The same table, after lowering its session's limit on bytes per batch to 8 MB if it is higher.
 
     A batch stands in the executor's memory several times at once (on its way to the worker, in it, and as
     arrays made from it), for every task; long texts reach the limit on bytes well before that on rows.

@@ -85,6 +85,7 @@ def gram_hashes(prefix: np.ndarray, width: int) -> np.ndarray:
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column one after another, and where each row starts; NULL counts as empty."""
+    pa.default_memory_pool().release_unused()       # what earlier batches left behind
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.fill_null("").cast(pa.large_string())
