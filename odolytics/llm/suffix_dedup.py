@@ -42,6 +42,7 @@ SHARD_BYTES = 8 << 20       # text per shard
 GROUP_BYTES = 4 << 20       # text whose equal runs are settled together
 SIDE = (WINDOW - GRAM) // 2         # 50 bytes around a 20-byte gram hold 15 on one side of it or on the other
 NO_SIDE, ANY_SIDE = 0, 255
+RUNS_AT_ONCE = 4096         # runs whose grams are looked at together
 COLLECTION_BYTES = 128 << 10    # text ordered at once, if keys allow
 HOT_STRINGS = 50_000        # open runs of one key that are ordered in one task
 SPANS_TO_BROADCAST = 200_000
@@ -62,7 +63,7 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 def _runs(raw: np.ndarray, with_gram: bool = False) -> tuple[np.ndarray, ...]:
     """Key, first window and number of windows of each run of one text; if asked for also where its gram stands
-    (-1: in several places)."""
+    (-1: in several places, be they in all of its windows or in some only)."""
     if len(raw) < WINDOW:
         return np.zeros(0, _U), *[np.zeros(0, np.int64)] * (3 if with_gram else 2)
     keys, firsts, counts, grams = [], [], [], []
@@ -79,9 +80,7 @@ def _runs(raw: np.ndarray, with_gram: bool = False) -> tuple[np.ndarray, ...]:
             first = np.repeat(first, pieces) + inner * MOST_WINDOWS
             size = np.minimum(np.repeat(size, pieces) - inner * MOST_WINDOWS, MOST_WINDOWS)
         if with_gram:
-            place = first[:, None] + np.arange(MOST_WINDOWS)
-            hit = (hashes[place] == least[first][:, None]) & (place >= (first + size - 1)[:, None])
-            grams.append(np.where(hit.sum(axis=1) == 1, first + hit.argmax(axis=1) + at, -1))
+            grams.append(_only_places(hashes, least[first], first, size, at))
         keys.append(least[first])
         firsts.append(first + at)
         counts.append(size)
@@ -89,6 +88,22 @@ def _runs(raw: np.ndarray, with_gram: bool = False) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in found)
 
 
+def _only_places(hashes: np.ndarray, key: np.ndarray, first: np.ndarray, size: np.ndarray, at: int) -> np.ndarray:
+    """Where in the windows of each run its gram stands, plus ``at``; -1 if any window may hold it twice.
+
+    All grams of all windows count: of two places one may lie outside of some windows, and another text that has
+    only those windows then knows a different place.
+    """
+    width, out = 2 * MOST_WINDOWS - 1, np.empty(len(first), dtype=np.int64)
+    padded = np.concatenate((hashes, np.zeros(MOST_WINDOWS, _U)))
+    grams = np.lib.stride_tricks.as_strided(padded, (len(padded) - width + 1, width), padded.strides * 2, writeable=False)
+    for top in range(0, len(first), RUNS_AT_ONCE):
+        f, n, k = (x[top : top + RUNS_AT_ONCE] for x in (first, size, key))
+        hit = (grams[f] == k[:, None]) & (np.arange(width) < (n + MOST_WINDOWS - 1)[:, None])
+        out[top : top + RUNS_AT_ONCE] = np.where(hit.sum(axis=1) == 1, f + hit.argmax(axis=1) + at, -1)
+    return out
+
+
 def _sides(prefix: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """A byte each for the SIDE bytes before and behind a run's gram.
 

@@ -275,6 +275,46 @@ def test_suffix_dedup_of_odd_rows(odd):
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found), key=key) == sorted(expected, key=key)
 
 
+def rule_lines():
+    """(id, text): rule lines and repeated words that several texts have in contexts of their own."""
+    dice = random.Random(8)
+    context = lambda n: "".join(dice.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    lines = [c * n for c in "-=*_#.~+" for n in range(50, 65)] + [w * 12 for w in ("very ", "la ", "ha-", "number 7, ", "<br><br/>")]
+    texts = [context(dice.randint(0, 70)) + line + context(dice.randint(0, 70)) for line in lines for _ in range(4)]
+    dice.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_rule_lines_in_different_contexts(spark):
+    rows = rule_lines()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.suffix_dedup(docs).collect()}
+    assert found == {d: e for (d, _), e in zip(rows, brute.suffix_dedup(rows))}
+
+
+def test_one_pair_with_a_gram_in_two_places(spark):
+    """A pair that share windows holding their gram twice, with no other text beside them."""
+    rows = [
+        (1, "ioqbwxzhzwbnukyklfauiwtfomltckhtjtnejuqgfmletfctsqjesyxi" + "very " * 11 + "verjhfaaekpmrzbaufbo vs vltiishttfmbavpm umwbrn zmlbiyplzlwpzf"),
+        (2, "vrsqovzwlvesbxu m ivkphcihjbklcupugwxlmznkvqoilybv xnbhs" + "very " * 11 + "ver"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.suffix_dedup(docs).collect()}
+    assert found == {d: e for (d, _), e in zip(rows, brute.suffix_dedup(rows))}
+    assert found[2][1] >= 50
+
+
+def test_a_gram_in_some_windows_only_has_no_place():
+    dice = random.Random(9)
+    for _ in range(300):
+        gap = dice.randrange(20, 61)
+        raw = np.frombuffer(bytes(dice.randrange(256) for _ in range(40)) + b"-" * gap + bytes(dice.randrange(256) for _ in range(40)), np.uint8)
+        hashes = tokens.gram_hashes(tokens.prefix_hashes(raw), suffix_dedup.GRAM)
+        for key, first, size, gram in zip(*suffix_dedup._runs(raw, with_gram=True)):
+            places = [p for p in range(first, first + size + suffix_dedup.MOST_WINDOWS - 1) if hashes[p] == key]
+            assert gram == (places[0] if len(places) == 1 else -1)
+
+
 # --- 7
 
 
