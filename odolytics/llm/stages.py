@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from odolytics.llm import decontaminate, language, mixing, near_dup, suffix_dedup
 
-LEAST_SCORE = 0.25          # below this no language's regression comes near to claiming the text
+
+def least_score(languages: int) -> float:
+    """The score that a claimed text exceeds: 0.5 (a margin of 0) for four languages.
+
+    The margins of a text add up to about 2 - K for K languages, so the largest score is 1/K at least, whatever
+    the text. The floor is a third of the way from there to 1. One language alone has nothing to compare with.
+    """
+    return (1 + 2 / languages) / 3 if languages > 1 else 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +29,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     rest = language.fold(F.col("doc_id"), 3)
     model = language.fit(docs.where(rest != 1).select(F.col("doc_id").alias("key"), F.col("lang").alias("label"), "text"))
     found = language.identify(docs, model)
-    claimed = (F.col("lang") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    claimed = (F.col("lang") != language.UNKNOWN) & (F.col("score") > least_score(len(model.languages)))
     return found.where(claimed).select("row.*")
 
 

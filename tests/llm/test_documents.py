@@ -401,6 +401,20 @@ def test_containment_without_rows(spark, nothing):
 # --- stages
 
 
+def test_text_of_no_learned_language_goes(spark, documents, folder):
+    dice = random.Random(1)
+    letters = lambda n: " ".join("".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(dice.randint(2, 9))) for _ in range(n))
+    junk = ["Съешь же ещё этих мягких французских булок, да выпей чаю", letters(5_000), letters(10_000)]
+    more = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(junk)], "doc_id long, text string")
+    found = {r["doc_id"] for r in stages.known_language(spark, documents.unionByName(more, allowMissingColumns=True), folder).collect()}
+    assert found == {r["doc_id"] for r in documents.where(r"text RLIKE '\\p{L}'").collect()}
+
+
+@pytest.mark.parametrize("languages", [2, 3, 4, 9])
+def test_the_floor_lies_above_what_any_text_scores(languages):
+    assert 1 / languages < stages.least_score(languages) < 1
+
+
 @pytest.mark.parametrize("stage", [stages.known_language, stages.one_of_each, stages.first_passages, stages.without_benchmark, stages.mixed])
 def test_stages_take_odd_and_empty_tables(spark, odd, nothing, folder, stage):
     for docs in (odd, nothing):
