@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from odolytics.llm import decontaminate, language, mixing, near_dup, suffix_dedup
 
+LIKENESS = (80, 100)        # near copies from this similarity on count as one document
+
 
 def least_score(languages: int) -> float:
     """The score that a claimed text exceeds: 0.5 (a margin of 0) for four languages.
@@ -34,8 +36,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id. All rows of an id share its fate."""
-    found = near_dup.near_duplicates(docs)
+    """One document of each group of near duplicates (similarity 0.8 or more), the one with the least id. All rows of
+    an id share its fate."""
+    found = near_dup.near_duplicates(docs, LIKENESS)
     gone = found.where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

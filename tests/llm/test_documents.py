@@ -410,6 +410,20 @@ def test_text_of_no_learned_language_goes(spark, documents, folder):
     assert found == {r["doc_id"] for r in documents.where(r"text RLIKE '\\p{L}'").collect()}
 
 
+def test_near_copies_over_four_fifths_are_one_document(spark, folder):
+    dice = random.Random(4)
+    word = lambda: f"w{dice.randrange(10**6)}"
+    rows, like = [], []
+    for i, changed in enumerate((25, 32)):
+        body = [word() for _ in range(300)]
+        rows += [(2 * i, " ".join(body)), (2 * i + 1, " ".join(body[:100] + [word() for _ in range(changed)] + body[100 + changed :]))]
+        a, b = (brute.shingles(t) for _, t in rows[-2:])
+        like.append(len(a & b) / len(a | b))
+    assert 0.81 < like[0] < 0.83 and like[1] < 0.79
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in stages.one_of_each(spark, docs, folder).collect()} == {0, 2, 3}
+
+
 @pytest.mark.parametrize("languages", [2, 3, 4, 9])
 def test_the_floor_lies_above_what_any_text_scores(languages):
     assert 1 / languages < stages.least_score(languages) < 1
