@@ -123,3 +123,6 @@ SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)
   coalesce(removed_chars, 0)::BIGINT AS removed_chars, coalesce(kept_md5, md5('')) AS kept_md5
 FROM documents d LEFT JOIN k USING (doc_id)
 """
+
+# The same over every line that has a word.
+ORACLE_EVERY_LINE = ORACLE.replace(f"len(words) >= {LEAST_WORDS}", "len(words) >= 1")

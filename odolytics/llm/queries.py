@@ -62,6 +62,13 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_line_dedup_every_line", line_dedup.ORACLE_EVERY_LINE)
+def op7_every_line(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_dedup(_table(spark, folder, "documents"), least_words=1).select(
+        "doc_id", "n_units", "n_removed", "removed_chars", "kept_md5"
+    )
+
+
 @query("op8_license_scan", licenses.ORACLE)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))

@@ -333,6 +333,15 @@ def test_removed_lines_keep_their_offsets(odd):
     assert by_id[1]["n_removed"] == 0 and by_id[2]["n_removed"] == 1 and by_id[11]["n_removed"] == 40
 
 
+def test_short_lines_and_lines_without_spaces_are_copies(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [(1, "All rights reserved.\n\n敏捷的棕色狐狸跳过了懒狗"), (2, "x y\n\nall  rights reserved."), (3, "敏捷的棕色狐狸跳过了懒狗\n  \nx y\nz")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: (r["n_units"], r["n_removed"]) for r in entry.queries()["op7_line_dedup_every_line"](spark, str(tmp_path)).collect()}
+    assert found == {1: (3, 0), 2: (3, 1), 3: (4, 2)}
+
+
 # --- 8
 
 
