@@ -6,8 +6,8 @@ inverse root of the landmarks' own kernel matrix and scaled to length one (Nystr
 regression per language is fitted on those features. Kernel values of many texts at once are one matrix
 product of presence rows with the landmarks' presence columns.
 
-Fitting uses a bounded sample: at most FIT_ROWS labelled rows of each language (the least hashes of the id),
-of which LANDMARKS are landmarks. Prediction reads the text alone.
+Fitting uses a bounded sample: at most FIT_ROWS labelled rows of each language (the least hashes of the id, one
+row for each id), of which LANDMARKS are landmarks. Prediction reads the text alone.
 """
 
 from __future__ import annotations
@@ -135,14 +135,17 @@ def fit(labelled: DataFrame) -> Model:
     """A model from rows (key, label, text); rows with a NULL label or text teach nothing."""
     spark = labelled.sparkSession
     rows = labelled.where("label IS NOT NULL AND text IS NOT NULL AND key IS NOT NULL").withColumn("h", F.xxhash64("key"))
-    # The least hashes of each language: every task keeps its own least ones before the shuffle.
+    # The least hashes of each language: every task keeps its own least ones before the shuffle. A key counts once.
     place = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    least = rows.select("label", "h").withColumn("place", place).where(F.col("place") <= FIT_ROWS)
+    least = rows.select("label", "h").distinct().withColumn("place", place).where(F.col("place") <= FIT_ROWS)
     cuts = least.groupBy("label").agg(F.max("h").alias("last"), F.max(F.when(F.col("place") <= LANDMARKS, F.col("h"))).alias("landmark")).collect()
     if not cuts:
         return Model(None, np.zeros((0, 0)), [])
     table = spark.createDataFrame([(c["label"], c["last"], c["landmark"]) for c in cuts], "label string, last long, landmark long")
-    sample = rows.join(F.broadcast(table), "label").where("h <= last").select("label", F.lower("text").alias("text"), (F.col("h") <= F.col("landmark")).alias("is_landmark"), "h")
+    chosen = rows.join(F.broadcast(table), "label").where("h <= last")
+    # Of rows that repeat a key one is read, the one with the least hash of the text.
+    one = chosen.groupBy("label", "h", "landmark").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = one.select("label", F.lower("text").alias("text"), (F.col("h") <= F.col("landmark")).alias("is_landmark"), "h")
     texts = sample.where("is_landmark").orderBy("label", "h", "text").collect()
     landmarks = make_landmarks([r["text"].encode() for r in texts])
     languages = sorted(c["label"] for c in cuts)

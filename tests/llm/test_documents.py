@@ -166,6 +166,15 @@ def test_no_letters_no_language(odd):
     assert found[1]["lang_pred"] == found[2]["lang_pred"]
 
 
+def test_a_repeated_id_is_one_landmark(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(language, "make_landmarks", lambda texts, make=language.make_landmarks: read.append(len(texts)) or make(texts))
+    rows = [(i // 200, "en" if i < 2000 else "de", f"word{i} and others {i % 7}") for i in range(4000)]
+    rows += [(i, label, f"single {i} text") for i in range(100, 140) for label in ("en", "de")]
+    language.fit(spark.createDataFrame(rows, "key long, label string, text string"))
+    assert read == [2 * language.LANDMARKS]
+
+
 def test_landmark_features_reproduce_the_kernel():
     texts = [b"the cat sat on the mat", b"der hund lief im park", b"the dog sat in the park"]
     marks = language.make_landmarks(texts)
