@@ -13,6 +13,7 @@ from odolytics.llm import (
     line_dedup,
     mixing,
     near_dup,
+    secret_scan,
     suffix_dedup,
     transcripts,
 )
@@ -82,3 +83,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_decontaminate", decontaminate.ORACLE)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query("op13_secret_scan", secret_scan.ORACLE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(_table(spark, folder, "documents"))
