@@ -11,8 +11,10 @@ from odolytics.llm import (
     language,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     near_dup,
+    prefix_trie,
     secret_scan,
     suffix_dedup,
     transcripts,
@@ -85,6 +87,16 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+@query("op11_prefix_trie", prefix_trie.ORACLE)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+@query("op12_merkle_manifest", merkle.ORACLE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(_table(spark, folder, "documents"))
+
+
 @query("op13_secret_scan", secret_scan.ORACLE)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(_table(spark, folder, "documents"))
