@@ -145,12 +145,12 @@ d AS (
   SELECT *, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295) % 2 = 1 AS tampered FROM documents, crc),
 l AS (
-  SELECT doc_id, coalesce('1' || source, '0') AS k, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS at,
+  SELECT doc_id, coalesce('1' || source, '0') AS k, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
     sha256({" || ".join(_SQL_FIELD.format(f) for f in FIELDS)}) AS leaf,
     sha256({" || ".join(_SQL_FIELD.format(f if f != "text" else "(CASE WHEN tampered THEN replace(text, chr(10), '') ELSE text END)") for f in FIELDS)}) AS now
   FROM d),
 s AS (
-  SELECT k, 0 AS level, list(leaf ORDER BY at) AS h FROM l GROUP BY k
+  SELECT k, 0 AS level, list(leaf ORDER BY pos) AS h FROM l GROUP BY k
   UNION ALL
   SELECT k, level + 1, list_transform(range(0, (len(h) + {SLOTS - 1}) // {SLOTS}), lambda i: sha256(array_to_string(h[{SLOTS} * i + 1 : {SLOTS} * i + {SLOTS}], '')))
   FROM s WHERE len(h) > 1),
@@ -161,12 +161,12 @@ u AS (
   FROM u WHERE len(h) > 1),
 roots AS (SELECT k, h[1] AS subroot, row_number() OVER (ORDER BY k) - 1 AS place FROM s WHERE len(h) = 1),
 n AS (
-  SELECT l.*, s.level, at // ({SLOTS} ** s.level)::BIGINT AS at_level, h FROM l JOIN s USING (k) WHERE len(h) > 1
+  SELECT l.*, s.level, pos // ({SLOTS} ** s.level)::BIGINT AS here, h FROM l JOIN s USING (k) WHERE len(h) > 1
   UNION ALL
   SELECT l.*, 1000 + u.level, place // ({SLOTS} ** u.level)::BIGINT, h FROM l JOIN roots USING (k), u WHERE len(h) > 1),
 steps AS (
-  SELECT doc_id, k, list(array_to_string(h[at_level - at_level % {SLOTS} + 1 : at_level], '') || '|' ||
-    array_to_string(h[at_level + 2 : at_level - at_level % {SLOTS} + {SLOTS}], '') ORDER BY level) AS steps
+  SELECT doc_id, k, list(array_to_string(h[here - here % {SLOTS} + 1 : here], '') || '|' ||
+    array_to_string(h[here + 2 : here - here % {SLOTS} + {SLOTS}], '') ORDER BY level) AS steps
   FROM n GROUP BY doc_id, k)
 SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(coalesce(steps, []), ''), '|', '')) AS proof_sha256,
   list_reduce(coalesce(steps, []), lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2)), now) AS folded_root,

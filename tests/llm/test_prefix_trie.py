@@ -90,7 +90,7 @@ def test_copies_of_one_conversation_and_a_long_one(spark, monkeypatch):
 
 def test_a_collision_starts_again_with_other_bases(spark, monkeypatch):
     rows, real = made(60, 9), prefix_trie.bases
-    monkeypatch.setattr(prefix_trie, "bases", lambda attempt: [0] * prefix_trie.LANES if attempt == 0 else real(attempt))
+    monkeypatch.setattr(prefix_trie, "bases", lambda attempt: [1] * prefix_trie.LANES if attempt == 0 else real(attempt))
     assert of(spark, rows) == plain(rows)
 
 
