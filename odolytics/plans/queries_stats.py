@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from odolytics import schema as S
-from odolytics.operators import cleaning, evaluation, prepare, profile, scoring, separation
+from odolytics.operators import cleaning, evaluation, neighbours, prepare, profile, scoring, separation
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.registry import query, rounded
 from odolytics.plans.queries_ingest import sensor
@@ -293,6 +293,38 @@ def mutual_information(spark, folder):
     return rounded(separation.mutual_information(X.wide(spark, folder), FEATURES))
 
 
+def _digamma_sql(n):
+    z = f"({n} + {neighbours.SHIFT}.0::DOUBLE)"
+    series = f"ln({z}) - 0.5::DOUBLE / {z} - 1 / (12.0::DOUBLE * {z} ** 2) + 1 / (120.0::DOUBLE * {z} ** 4) - 1 / (252.0::DOUBLE * {z} ** 6) + 1 / (240.0::DOUBLE * {z} ** 8)"
+    return "(" + series + "".join(f" - 1 / ({n} + {j}.0::DOUBLE)" for j in range(neighbours.SHIFT)) + ")"
+
+
+def _neighbours_sql(column, k=neighbours.NEIGHBOURS):
+    """Distances to the k rows on either side within the class; then the rows of any class nearer than the k-th.
+    The join's bounds are a little wider than the distance, which is then compared as it is."""
+    beside = ", ".join(f"x - lag(x, {j}) OVER w, lead(x, {j}) OVER w - x" for j in range(1, k + 1))
+    return f"""SELECT '{column}' AS feature, greatest(0, {_digamma_sql("max(total)")} + sum(own * ({_digamma_sql("least(" + str(k) + ", size - 1)")}
+      - {_digamma_sql("size")} - {_digamma_sql("m")})) / max(total)) AS mi
+    FROM (
+      SELECT a.label, a.x, any_value(a.own) AS own, any_value(a.size) AS size, any_value(a.total) AS total, sum(b.n) AS m
+      FROM (
+        SELECT label, x, count(*) AS own, any_value(size) AS size, any_value(total) AS total, min(list_sort(list_filter(near, lambda d: d IS NOT NULL))[least({k}, size - 1)]) AS r
+        FROM (SELECT *, [{beside}] AS near FROM (
+          SELECT label, coalesce({column}::DOUBLE, 0) AS x, count(*) OVER (PARTITION BY label) AS size, count(*) OVER () AS total FROM wide) WINDOW w AS (PARTITION BY label ORDER BY x))
+        GROUP BY label, x) a
+      JOIN (SELECT coalesce({column}::DOUBLE, 0) AS x, count(*) AS n FROM wide GROUP BY 1) b
+        ON b.x >= a.x - a.r * 1.001 AND b.x <= a.x + a.r * 1.001
+      WHERE abs(b.x - a.x) < a.r OR b.x = a.x GROUP BY 1, 2)"""
+
+
+@query(
+    "mutual_information_neighbours",
+    f"{WIDE} SELECT feature, {P.r('mi')} FROM (" + " UNION ALL ".join(_neighbours_sql(c) for c in FEATURES) + ")",
+)
+def mutual_information_neighbours(spark, folder):
+    return rounded(neighbours.mutual_information_neighbours(X.wide(spark, folder), FEATURES))
+
+
 KEEP = ["speed_max", "speed_mean", "speed_std", "accel_mag_mean", "gyro_mag_mean"]
 KEEP_PAIRS = " UNION ALL ".join(
     f"SELECT '{a}' AS feature, '{b}' AS other, abs(corr({a}, {b})) AS abs_r FROM trip_table"
