@@ -80,3 +80,13 @@ SMALL_ROWS = 100_000
 def broadcast_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """A broadcast hint for a table counted to be small; a larger one is left to a shuffled join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_under(df: DataFrame, row_bytes: Column, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint for a table whose rows add up to few bytes, whatever their arrays hold; a larger one is
+    left to a shuffled join. ``df`` is read twice: pass a written table."""
+    total = df.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= most_bytes else df
