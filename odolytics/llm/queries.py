@@ -67,7 +67,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_line_dedup_every_line", line_dedup.ORACLE_EVERY_LINE)
 def op7_every_line(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.line_dedup(_table(spark, folder, "documents"), least_words=1).select(
+    return line_dedup.line_dedup(_table(spark, folder, "documents"), sentence_chars=None).select(
         "doc_id", "n_units", "n_removed", "removed_chars", "kept_md5"
     )
 

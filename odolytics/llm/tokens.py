@@ -121,7 +121,13 @@ def words(raw: np.ndarray, offsets: np.ndarray, gap_bytes: np.ndarray = SPACE) -
 
     ``gap_bytes`` says for each of the 256 bytes whether it stands between words.
     """
-    hashes, starts_all = [], []
+    hashes, starts, _ = words_at(raw, offsets, gap_bytes)
+    return hashes, np.searchsorted(starts, offsets)
+
+
+def words_at(raw: np.ndarray, offsets: np.ndarray, gap_bytes: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, row after row, and the bytes at which each begins and ends."""
+    hashes, starts_all, ends_all = [], [], []
     first = np.zeros(len(raw) + 1, dtype=bool)
     first[offsets] = True
     for at, to in _pieces(raw, offsets, gap_bytes):
@@ -133,10 +139,21 @@ def words(raw: np.ndarray, offsets: np.ndarray, gap_bytes: np.ndarray = SPACE) -
         ends = np.flatnonzero(np.concatenate((before & (~inside | head), inside[-1:])))
         hashes.append(stretch_hashes(prefix_hashes(_LOWER[part]), starts, ends))
         starts_all.append(starts + at)
+        ends_all.append(ends + at)
     if not hashes:
-        return np.zeros(0, _U), np.zeros(len(offsets), np.int64)
-    starts = np.concatenate(starts_all)
-    return np.concatenate(hashes), np.searchsorted(starts, offsets)
+        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts_all), np.concatenate(ends_all)
+
+
+def sequence_digests(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each stretch [start, end) of a sequence of word hashes."""
+    up, down = _POWERS.of(len(hashes) + 1)
+    out = []
+    for salt in (_U(0x8CB92BA72F3D8DD7), _U(0xABD6F1E3C95A4E17)):
+        prefix = np.zeros(len(hashes) + 1, dtype=_U)
+        np.cumsum(mix(hashes ^ salt) * up[: len(hashes)], out=prefix[1:])
+        out.append(mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(_U)))
+    return out[0], out[1]
 
 
 def shingle_hashes(words_of_row: np.ndarray) -> np.ndarray:

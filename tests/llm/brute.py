@@ -43,6 +43,38 @@ def near_duplicates(rows, percent=85):
     return {d: (len(sets[d]), top(d), top(d) == d) for d in ids}
 
 
+def unit_dedup(rows, least=40):
+    """{id: (kept text, removed spans)} of (id, text) rows with distinct ids: lines, and sentences of lines of several."""
+    seen, out = set(), {}
+    for d, text in sorted(rows):
+        at, kept, spans = 0, [], []
+        for line in (text or "").split("\n") if text else []:
+            cuts = [c for c in re.findall(r".*?(?:[.!?][\x20\x09-\x0D]+|$)", line, re.S) if c]
+            said = " ".join(words(line))
+            gone = bool(said) and said in seen
+            seen.add(said)
+            left, inner = [], []
+            for cut in cuts if len(cuts) > 1 else []:
+                unit = " ".join(words(cut))
+                if unit and len(unit) >= least:
+                    if unit in seen:
+                        inner.append((at + sum(map(len, left)) + sum(b - a for a, b in inner), 0))
+                        inner[-1] = (inner[-1][0], inner[-1][0] + len(cut))
+                        continue
+                    seen.add(unit)
+                left.append(cut)
+            if gone:
+                spans.append((at, at + len(line)))
+            else:
+                spans += inner
+                stays = "".join(left) if len(cuts) > 1 else line
+                if stays or not inner:
+                    kept.append(stays)
+            at += len(line) + 1
+        out[d] = ("\n".join(kept), spans)
+    return out
+
+
 def suffix_dedup(rows, width=50):
     """(n_bytes, n_removed, n_spans, sha256) in the order of (id, text) rows; a NULL id counts as last."""
     rank = [math.inf if d is None else d for d, _ in rows]

@@ -336,12 +336,33 @@ def test_removed_lines_keep_their_offsets(odd):
         assert (r["kept_text"] is None) == (text is None)
         assert sum(g["b"] - g["a"] for g in gone) == r["removed_chars"]
         for g in gone:
-            line = text[g["a"] : g["b"]]
-            assert "\n" not in line and len(brute.words(line)) >= line_dedup.LEAST_WORDS
+            unit = text[g["a"] : g["b"]]
+            assert "\n" not in unit and brute.words(unit)
     by_id = {r["doc_id"]: r for r in line_dedup.line_dedup(odd).collect()}
     assert by_id[1]["n_removed"] == 0 and by_id[2]["n_removed"] == 1 and by_id[11]["n_removed"] == 40
 
 
+@pytest.mark.parametrize("least", [12, 40])
+def test_units_equal_brute_force(spark, least):
+    dice = random.Random(least)
+    sentences = ["".join(dice.choice(["ab ", "Ä", "c.d ", " ", "\t", "E! ", "\r", "word "]) for _ in range(dice.randrange(1, 14))) + dice.choice([". ", "?", "! \t", "", ".  "]) for _ in range(60)]
+    sentences += ["A sentence that is longer than forty characters, surely. ", "a  Sentence that is longer than forty characters, SURELY.", ". ", "...  "]
+    rows = [(i, "".join(dice.choice(sentences) + dice.choice(["", "", "\n", "\n\n"]) for _ in range(dice.randrange(9)))) for i in range(400)]
+    rows += [(1000, None), (1001, ""), (1002, "\n"), (1003, "x" * 5000 + ". " + sentences[0] * 3)]
+    found = {r["doc_id"]: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), least).collect()}
+    for d, (kept, spans) in brute.unit_dedup(rows, least).items():
+        assert [(s["a"], s["b"]) for s in found[d]["removed"]] == spans
+        assert (found[d]["kept_text"] or "") == kept
+
+
+def test_a_passage_inside_a_line_is_found(spark):
+    passage = " ".join(f"These words number {n} stand together in a sentence of their own." for n in range(5))
+    rows = [(1, f"Some start. {passage} Some end."), (2, f"first line\nAnother beginning here. {passage} And it goes on"), (3, "Nothing of the kind is in this text at all.")]
+    found = {r["doc_id"]: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1]["n_removed"] == found[3]["n_removed"] == 0 and found[2]["n_removed"] == 5
+    assert found[2]["kept_text"] == "first line\nAnother beginning here. And it goes on"
+
+
 def test_short_lines_and_lines_without_spaces_are_copies(spark, tmp_path):
     import __spark_entry__ as entry
 
