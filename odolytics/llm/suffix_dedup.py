@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odolytics.llm.batches import bounded
-from odolytics.functions.columns import broadcast_if_small
+from odolytics.functions.columns import broadcast_if_small, broadcast_under
 from odolytics.llm import tokens
 from odolytics.llm.bwt import collection_bwt
 from odolytics.session import work_path
@@ -45,7 +45,6 @@ NO_SIDE, ANY_SIDE = 0, 255
 RUNS_AT_ONCE = 4096         # runs whose grams are looked at together
 COLLECTION_BYTES = 128 << 10    # text ordered at once, if keys allow
 HOT_STRINGS = 50_000        # open runs of one key that are ordered in one task
-SPANS_TO_BROADCAST = 200_000
 NO_ID = np.iinfo(np.int64).max
 
 _U = np.uint64
@@ -139,7 +138,7 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
 
 RUN_FIELDS = ("keys", "contents", "sides", "docs", "versions", "counts", "steps")
 RUN_SCHEMA = "shard int, " + ", ".join(f"{n} binary" for n in RUN_FIELDS)
-FOUND_SCHEMA = "doc_id long, version int, open boolean, runs binary"
+FOUND_SCHEMA = "doc_id long, version long, open boolean, runs binary"
 
 
 def _pack(which: np.ndarray, row: np.ndarray, number: np.ndarray, docs: np.ndarray, versions: np.ndarray) -> list[bytes]:
@@ -156,7 +155,7 @@ def _unpack(docs: bytes, versions: bytes, counts: bytes, steps: bytes) -> tuple[
     total = np.cumsum(step)
     start = np.cumsum(count) - count
     number = total - np.repeat(total[start] - step[start], count)
-    return np.repeat(_from_planes(docs, np.int64), count), np.repeat(_from_planes(versions, np.uint16), count), number
+    return np.repeat(_from_planes(docs, np.int64), count), np.repeat(_from_planes(versions, np.int64), count), number
 
 
 def _deal_runs(shards: int):
@@ -171,7 +170,7 @@ def _deal_runs(shards: int):
             contents.append(tokens.stretch_hashes(prefix, first, first + windows + WINDOW - 1))
             sides.append(_sides(prefix, gram))
             size.append(len(key))
-        docs, versions = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.uint16)
+        docs, versions = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
         key, content, side = np.concatenate(keys), np.concatenate(contents), np.concatenate(sides, axis=1)
         row = np.repeat(np.arange(len(rows)), size)
         number = np.concatenate([np.arange(n, dtype=np.uint32) for n in size])
@@ -247,7 +246,7 @@ def _equal_runs(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     out: dict[str, list] = {"doc_id": [], "version": [], "open": [], "runs": []}
     for is_open, which in ((False, np.flatnonzero(whole)), (True, np.flatnonzero(unsettled))):
         which = which[np.lexsort((number[which], version[which], doc[which]))]
-        new = (np.diff(doc[which]) != 0) | (np.diff(version[which].astype(np.int64)) != 0)
+        new = (np.diff(doc[which]) != 0) | (np.diff(version[which]) != 0)
         for part in np.split(which, np.flatnonzero(new) + 1):
             if len(part):
                 out["doc_id"].append(int(doc[part[0]]))
@@ -255,7 +254,7 @@ def _equal_runs(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                 out["open"].append(is_open)
                 out["runs"].append(number[part].astype(np.uint32).tobytes())
     return pa.table([
-        pa.array(out["doc_id"], pa.int64()), pa.array(out["version"], pa.int32()), pa.array(out["open"], pa.bool_()), pa.array(out["runs"], pa.binary())
+        pa.array(out["doc_id"], pa.int64()), pa.array(out["version"], pa.int64()), pa.array(out["open"], pa.bool_()), pa.array(out["runs"], pa.binary())
     ], names=list(out))
 
 
@@ -276,7 +275,7 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-STRING_SCHEMA = "shard int, key long, doc_id long, version int, first int, string binary"
+STRING_SCHEMA = "shard int, key long, doc_id long, version long, first int, string binary"
 
 
 def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +303,7 @@ def _strings(shards: int):
                 firsts.append(first)
                 strings += [body[a:b] for a, b in zip(first.tolist(), end.tolist())]
                 docs.append(np.full(len(which), doc_id))
-                versions.append(np.full(len(which), version, dtype=np.int32))
+                versions.append(np.full(len(which), version, dtype=np.int64))
             if not strings:
                 continue
             key, first = np.concatenate(keys), np.concatenate(firsts).astype(np.int32)
@@ -333,7 +332,7 @@ def first_seen(strings: list[bytes], holders: np.ndarray) -> tuple[np.ndarray, n
     return which, offset, np.repeat(least, np.diff(np.append(head, len(which))))
 
 
-SPAN_SCHEMA = "doc_id long, version int, a int, b int"
+SPAN_SCHEMA = "doc_id long, version long, a int, b int"
 
 
 def _order_shard(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -381,10 +380,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = docs.mapInArrow(_deal_runs(shards), RUN_SCHEMA).groupBy("shard").applyInArrow(_equal_runs, FOUND_SCHEMA)
     per_doc = _written(
         found.groupBy("doc_id", "version").agg(F.collect_list(F.struct("open", "runs")).alias("found"))
-        .mapInArrow(_per_document, "doc_id long, version int, ranges binary, open_runs binary"),
+        .mapInArrow(_per_document, "doc_id long, version long, ranges binary, open_runs binary"),
         "suffix-runs",
     )
-    texts = docs.mapInArrow(_packed_texts, "doc_id long, version int, body binary")
+    texts = docs.mapInArrow(_packed_texts, "doc_id long, version long, body binary")
     still_open = per_doc.where("open_runs IS NOT NULL").select("doc_id", "version", "open_runs")
     strings = _written(
         texts.join(still_open, ["doc_id", "version"]).mapInArrow(_strings(shards), STRING_SCHEMA), "suffix-strings"
@@ -463,11 +462,13 @@ def suffix_dedup(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     The columns named in ``carry`` come back in the struct ``row``; others are not read. No rows, no result.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("string").alias("nothing")])
-    read = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int").alias("version"), row.alias("row")
-    )
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"))
+    # Texts are told apart by their id; where several rows have one id, or none has, by a hash of the text as well.
+    repeated = read.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    content = F.xxhash64("text")
+    read = read.withColumn("version", F.when(F.col("doc_id").isNull(), content).otherwise(F.lit(0).cast("long")) if repeated.isEmpty() else content)
     spans = _written(repeated_spans(read.select("doc_id", "text", "version")), "suffix-spans")
-    spans = broadcast_if_small(spans.withColumnRenamed("doc_id", "id_or_last"), SPANS_TO_BROADCAST)
+    spans = broadcast_under(spans.withColumnRenamed("doc_id", "id_or_last"), F.coalesce(F.length("ranges"), F.lit(0)) + F.size("spans") * 24 + 64)
     with_spans = read.alias("r").join(
         spans.alias("s"), (F.coalesce("r.doc_id", F.lit(int(NO_ID))) == F.col("s.id_or_last")) & F.expr("r.version = s.version"), "left"
     ).select("r.*", "s.ranges", "s.spans")

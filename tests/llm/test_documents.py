@@ -294,6 +294,17 @@ def rule_lines():
     return list(enumerate(texts))
 
 
+def test_thousands_of_rows_without_an_id_or_with_one(spark):
+    dice = random.Random(4)
+    shared = ["".join(dice.choice("abcdefgh ") for _ in range(dice.randrange(60, 140))) for _ in range(40)]
+    bodies = ["".join(dice.choice("ijklmnop ") for _ in range(dice.randrange(80))) + dice.choice([*shared, ""]) + str(i) for i in range(5000)]
+    for ids in ([None] * 4999 + [7], [7] * 3000 + [None] * 1999 + [8]):
+        rows = list(zip(ids, bodies))
+        found = suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found)
+        assert got == Counter((d, *e) for (d, _), e in zip(rows, brute.suffix_dedup(rows)))
+
+
 def test_rule_lines_in_different_contexts(spark):
     rows = rule_lines()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
