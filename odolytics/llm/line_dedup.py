@@ -85,7 +85,7 @@ def _units(raw: np.ndarray, offsets: np.ndarray, sentence_chars: int | None) ->
 
 def _digests(sentence_chars: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in tokens.parts(whole, "text")):
             units = _units(*tokens.text_bytes(batch.column("text")), sentence_chars)
             for at in range(0, len(units.row), 100_000):
                 cut = slice(at, at + 100_000)
@@ -101,7 +101,7 @@ def _digests(sentence_chars: int | None):
 
 def _rebuild(sentence_chars: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in tokens.parts(whole, "text")):
             raw, offsets = tokens.text_bytes(batch.column("text"))
             units = _units(raw, offsets, sentence_chars)
             chars = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
@@ -188,12 +188,14 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS unit, unnest(generate_series(1, len(string_split(text, chr(10))))) AS line
   FROM documents WHERE text <> ''),
 c AS (
-  SELECT *, list_filter(regexp_extract_all(unit, '.*?(?:[.!?][ 	-]+|$)'), lambda x: x <> '') AS cuts FROM l),
+  SELECT *, list_filter(regexp_extract_all(unit, '.*?(?:[.!?][ 	-
+]+|$)'), lambda x: x <> '') AS cuts FROM l),
 u AS (
   SELECT doc_id, line, 0 AS piece, 0 AS least, unit FROM c
   UNION ALL SELECT doc_id, line, unnest(generate_series(1, len(cuts))), {sentence_chars}, unnest(cuts) FROM c WHERE len(cuts) > 1),
 w AS (
-  SELECT *, array_to_string(regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+'), ' ') AS said FROM u),
+  SELECT *, array_to_string(regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+'), ' ') AS said FROM u),
 r AS (
   SELECT doc_id, unit, line, piece, said <> '' AND length(said) >= least
     AND row_number() OVER (PARTITION BY said, length(said) >= least ORDER BY doc_id, line, piece) > 1 AS repeated FROM w),

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 PIECE_BYTES = 1 << 20
 SHINGLE = 5
@@ -97,6 +98,17 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def parts(batch: pa.RecordBatch, column: str, most_bytes: int = 2 * PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts add up to a few megabytes; a longer text is a slice of its own."""
+    sizes = pa.compute.binary_length(batch.column(column).fill_null("")).to_numpy(zero_copy_only=False)
+    upto, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        before = int(upto[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(upto, before + most_bytes, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _pieces(raw: np.ndarray, offsets: np.ndarray, gap_bytes: np.ndarray) -> Iterator[tuple[int, int]]:
     """Byte ranges of about a piece each, cut at row starts or between words."""
     at, end = 0, int(offsets[-1])
