@@ -45,11 +45,20 @@ def _smooth(accel: Column, gyro: Column, t: S.Thresholds) -> Column:
 
 def motion(rows: ordered.Ordered, profile: S.MotionProfile = S.TRAINING) -> ordered.Ordered:
     """Add every per-row motion column of the profile; one window specification for all of them."""
-    t = profile.thresholds
     if profile.fill_forward:
         rows = cleaning.forward_fill(rows)
     rows = rows.previous(RAW)
-    df = rows.df.withColumns(
+    df = paired(rows.df, profile)
+    if profile.name != S.SERVING.name:
+        rows = _smooth_blocks(rows.with_df(df))
+        df = rows.df
+    return rows.with_df(df)
+
+
+def paired(df: DataFrame, profile: S.MotionProfile = S.TRAINING) -> DataFrame:
+    """Motion columns that a row and the one before it (its readings as ``prev_...``) decide."""
+    t = profile.thresholds
+    df = df.withColumns(
         {
             "accel_mag": _mag(S.ACCEL_AXES, profile),
             "gyro_mag": _mag(S.GYRO_AXES, profile),
@@ -73,11 +82,7 @@ def motion(rows: ordered.Ordered, profile: S.MotionProfile = S.TRAINING) -> orde
             "is_high_accel": flag(F.col("accel_mag") > F.lit(t.accel_high)),
         }
     )
-    if profile.name != S.SERVING.name:
-        df = _driving_events(df, profile)
-        rows = _smooth_blocks(rows.with_df(df))
-        df = rows.df
-    return rows.with_df(df)
+    return df if profile.name == S.SERVING.name else _driving_events(df, profile)
 
 
 def _driving_events(df: DataFrame, profile: S.MotionProfile) -> DataFrame:

@@ -22,6 +22,8 @@ DEFAULTS = {
     # Sessions of one trip are merged before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
+    # Looking up the caller's line for every column function takes most of the time of building a long plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from odolytics import schema as S
 from odolytics.functions.columns import broadcast_if_small, flag, magnitude, share
-from odolytics.operators import cleaning, keys, scoring, trips
-from odolytics.session import work_path
+from odolytics.operators import cleaning, fragments, keys, scoring
+from odolytics.session import cut_lineage, work_path
 
 EVENT_TIME = "event_time"
 END_KEY = -(1 << 63)        # key of the row that ends an input
@@ -120,27 +120,72 @@ def without_end(df: DataFrame, key: str = S.KEY) -> DataFrame:
     return df.where(F.col(key) != F.lit(END_KEY))
 
 
-def upsert_trips(rows_path: str, features_path: str, tiebreak: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+def upsert_trips(
+    rows_path: str, features_path: str, tiebreak: Sequence[str] = (), slot: int = 3600, fragments_path: str | None = None,
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body that keeps the features of every trip complete, however its rows are spread.
 
-    The batch's rows are added to a table of all rows; the trips they belong to are worked out again from that
-    table and written as this batch's version. A batch that is repeated overwrites its own folders, so a retry
-    changes nothing. ``latest_trips`` reads the newest version of each trip.
+    A trip is kept as fragments, one per ``slot`` time units (see ``fragments``). New rows behind the last one of their
+    slot are folded and combined with the stored fragment; no row that came before is read. Rows that arrive out of order
+    have the rows of their own slot read again, and no others: the table of all rows is partitioned by slot. Features of
+    the touched trips are then combined from fragments alone and written as this batch's version. A batch that is repeated
+    overwrites its own folders and reads older ones only, so a retry changes nothing. ``latest_trips`` reads the newest
+    version of each trip.
     """
+    fragments_path = fragments_path or f"{features_path}-fragments"
+
+    def stored(spark: SparkSession, schema: T.StructType, number: int, touched: DataFrame, by: list[str]) -> DataFrame:
+        """The newest fragment of each touched trip and slot from before this batch."""
+        older = spark.read.schema(schema.add("batch", "long")).parquet(fragments_path).where(F.col("batch") < number)
+        columns = [f.name for f in schema if f.name != "batch"]
+        wanted = older.join(touched, by, "left_semi")
+        newest = F.max_by(F.struct(*columns), "batch").alias("f")
+        return wanted.groupBy(S.KEY, F.col(fragments.SLOT).alias("__slot")).agg(newest).select("f.*")
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{rows_path}/batch={number}")
-        written = spark.read.parquet(f"{rows_path}/batch={number}")
-        touched = written.where(F.col(S.KEY).isNotNull()).select(S.KEY).distinct()
-        rows = spark.read.schema(written.schema).parquet(rows_path).drop("batch")
-        whole = rows.join(broadcast_if_small(touched, TRIPS_TO_BROADCAST), S.KEY, "left_semi")
-        features = trips.trip_features(whole.select(*written.columns), tiebreak=tiebreak)
-        features.write.mode("overwrite").parquet(f"{features_path}/batch={number}")
+        place = fragments.slot_of(slot)
+        kept = batch.where(F.col(S.KEY).isNotNull()).withColumn(fragments.SLOT, place)
+        kept.write.mode("overwrite").partitionBy(fragments.SLOT).parquet(f"{rows_path}/batch={number}")
+        rows = spark.read.schema(kept.schema.add("batch", "long")).parquet(rows_path).where(F.col("batch") <= number)
+        new = fragments.fold(rows.where(F.col("batch") == number).select(*batch.columns), place, tiebreak)
+        new = new.select(S.KEY, fragments.SLOT, *[c for c in new.columns if c not in (S.KEY, fragments.SLOT)])
+        new = cut_lineage(new)
+        by = [S.KEY, fragments.SLOT]
+        spark.createDataFrame([], new.schema).write.mode("ignore").parquet(f"{fragments_path}/batch=-1")
+        schema = T.StructType(list(new.schema))
+
+        # Equal order counts as late: the rows are read again and ordered as one.
+        slots = new.select(S.KEY, F.col(fragments.SLOT), F.col("first").alias("begins"))
+        same = [S.KEY, "__slot"]
+        old = cut_lineage(stored(spark, T.StructType(list(schema)), number, slots.select(S.KEY).distinct(), [S.KEY]))
+        ends = old.select(S.KEY, F.coalesce(fragments.SLOT, F.lit(NO_SLOT)).alias("__slot"), F.col("last").alias("ended"))
+        begins = slots.select(S.KEY, F.coalesce(fragments.SLOT, F.lit(NO_SLOT)).alias("__slot"), "begins")
+        late = begins.join(ends, same).where("begins <= ended").select(*same)
+        late = cut_lineage(late)
+
+        def keyed(df: DataFrame) -> DataFrame:
+            return df.withColumn("__slot", F.coalesce(fragments.SLOT, F.lit(NO_SLOT)))
+
+        any_late = not late.isEmpty()
+        current = keyed(new).join(late, same, "left_anti").select(*new.columns) if any_late else new
+        before = keyed(old).join(keyed(current).select(*same), same, "left_semi").select(*new.columns)
+        if not before.isEmpty():
+            current = fragments.combine(before.unionByName(current), by).select(*new.columns)
+        if any_late:
+            again = keyed(rows).join(broadcast_if_small(late, TRIPS_TO_BROADCAST), same, "left_semi")
+            current = current.unionByName(fragments.fold(again.select(*batch.columns), place, tiebreak).select(*new.columns))
+        current.write.mode("overwrite").parquet(f"{fragments_path}/batch={number}")
+
+        written = spark.read.schema(schema).parquet(f"{fragments_path}/batch={number}")
+        others = keyed(old).join(keyed(written).select(*same), same, "left_anti").select(*new.columns)
+        whole = fragments.combine(written.unionByName(others), [S.KEY])
+        fragments.features(whole).write.mode("overwrite").parquet(f"{features_path}/batch={number}")
 
     return write
 
 
+NO_SLOT = -(1 << 62)                # stands for the slot of rows without a time
 TRIPS_TO_BROADCAST = 1_000_000      # 8 MB of keys
 
 
