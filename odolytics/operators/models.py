@@ -8,7 +8,9 @@ import random
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -18,8 +20,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from odolytics.operators import evaluation, oversample, prepare
+from odolytics.operators.boosting import BoostedModel, train_boosted
 from odolytics.operators.scoring import LinearModel, decide
 from odolytics.session import cut_lineage, shared_folder
 
@@ -40,8 +44,30 @@ LOGISTIC_SPACE = {
     "l1_ratio": [0.0, 0.1, 0.3, 0.5, 0.7, 0.9, 1.0],
     "balanced": [False, True],
 }
-# Boosting libraries whose names for the same settings differ: rounds, depth, rate, shares of rows and columns, leaf size, gain.
+# Settings of second-order boosting (see ``boosting.Settings``), by depth and by leaves; no depth is any depth.
 SAMPLED_BOOSTING_SPACE = {
+    "rounds": [100, 200, 300, 500],
+    "depth": [3, 5, 7, 10, 15],
+    "rate": [0.01, 0.05, 0.1, 0.2, 0.3],
+    "rows": [0.6, 0.7, 0.8, 0.9, 1.0],
+    "columns": [0.6, 0.7, 0.8, 0.9, 1.0],
+    "least_weight": [1, 3, 5, 7],
+    "least_gain": [0, 0.1, 0.2, 0.3],
+    "balanced": [False, True],
+}
+LEAF_BOOSTING_SPACE = {
+    "rounds": [100, 200, 300, 500],
+    "depth": [3, 5, 7, 10, 15, None],
+    "rate": [0.01, 0.05, 0.1, 0.2, 0.3],
+    "leaves": [15, 31, 50, 70, 100],
+    "rows": [0.6, 0.7, 0.8, 0.9, 1.0],
+    "columns": [0.6, 0.7, 0.8, 0.9, 1.0],
+    "least_rows": [5, 10, 20, 30],
+    "l1": [0, 0.01, 0.1, 1],
+    "l2": [0, 0.01, 0.1, 1],
+    "balanced": [False, True],
+}
+BOOSTING_SPACE = {
     "maxIter": [100, 200, 300, 500],
     "maxDepth": [3, 5, 7, 10, 15],
     "stepSize": [0.01, 0.05, 0.1, 0.2, 0.3],
@@ -195,19 +221,38 @@ def _fit_trees(train: DataFrame, features: Sequence[str], stage, weight: str | N
     return SafetyModel(Pipeline(stages=[*_vector(features), stage]).fit(train), list(features))
 
 
-Trainer = Callable[..., SafetyModel]
+Trainer = Callable[..., SafetyModel | BoostedModel]
+
+# Two second-order families: whole levels to a depth, and best leaf first.
+BY_DEPTH = {"rounds": 200, "depth": 10, "rate": 0.05, "rows": 0.8, "columns": 0.8}
+BY_LEAVES = {**BY_DEPTH, "leaves": 100, "l2": 0.0, "least_rows": 20, "least_weight": 1e-3, "from_average": True}
 
-# The five model families; boosting variants differ in depth and column sampling.
 TRAINERS: dict[str, Trainer] = {
     "Logistic Regression": train_logistic,
     "Random Forest": train_random_forest,
-    "Boosting, depth 10, sampled columns": lambda d, f, **k: train_gradient_boosting(d, f, **{"depth": 10, "columns": "0.8", **k}),
-    "Boosting, 100 leaves, sampled columns": lambda d, f, **k: train_gradient_boosting(d, f, **{"depth": 7, "columns": "0.8", **k}),
+    "Boosting, depth 10, sampled columns": lambda d, f, **k: train_boosted(d, f, **{**BY_DEPTH, **k}),
+    "Boosting, 100 leaves, sampled columns": lambda d, f, **k: train_boosted(d, f, **{**BY_LEAVES, **k}),
     "Gradient Boosting": train_gradient_boosting,
 }
 TECHNIQUES = ["SMOTE", "Class Weights", "Threshold Tuning"]
 
 
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable], at_once: int) -> list:
+    """Results of independent fits in the order given, ``at_once`` of them running, each in a scheduler pool of its own.
+
+    Fits are driver loops over small jobs: while one waits for its driver the others' tasks use the executors. Pools
+    share fairly where ``spark.scheduler.mode`` is FAIR. The first error ends the run.
+    """
+
+    def run(job: Callable, number: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{number % at_once}")
+        return job()
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(run), job, n) for n, job in enumerate(jobs)]
+        return [s.result() for s in started]
+
+
 def experiment_matrix(
     train: DataFrame,
     val: DataFrame,
@@ -215,39 +260,41 @@ def experiment_matrix(
     trainers: Mapping[str, Trainer] = TRAINERS,
     settings: Mapping[str, dict] | None = None,
     label: str = "label",
+    at_once: int = 4,
 ) -> DataFrame:
-    """Every model family with every imbalance technique: one row of validation metrics per run."""
+    """Every model family with every imbalance technique: one row of validation metrics per run.
+
+    Each technique's table is written once; the runs over them go side by side.
+    """
     spark = train.sparkSession
     train, val = cut_lineage(train), cut_lineage(val)
-    variants = {
-        "SMOTE": (lambda: cut_lineage(oversample.smote(train, features, label)), {}),
-        "Class Weights": (lambda: cut_lineage(prepare.add_class_weights(train, label)), {"weight": "weight"}),
-        "Threshold Tuning": (lambda: train, {}),
-    }
-    rows = []
-    for technique in TECHNIQUES:
-        make, extra = variants[technique]
-        data = make()
-        for name, trainer in trainers.items():
-            started = time.time()
-            given = {**extra, **(settings or {}).get(name, {})}
-            rows_in = data
-            if trainer is train_logistic and technique == "SMOTE":
-                # This model sees z-scores, so its rows are resampled among z-scores, with the scaler of the real rows.
-                rows_in = cut_lineage(oversample.smote(train, features, label, scaled=True))
-                given["scaler"] = prepare.scaling(train.na.fill(0, list(features)), features)
-            model = trainer(rows_in, features, label=label, **given)
-            seconds = time.time() - started
-            scored = cut_lineage(model.probability(val).select(label, "probability_dangerous"))
-            threshold = 0.5
-            if technique == "Threshold Tuning":
-                sweep = evaluation.threshold_sweep(scored, evaluation.MODEL_GRID, label, "probability_dangerous")
-                picked = evaluation.threshold_select(sweep).where("policy = 'accuracy_with_recall_60'").first()
-                threshold = picked["threshold"]
-            m = evaluation.classification_metrics(scored, label, "probability_dangerous", threshold).first()
-            rows.append(
-                (name, technique, float(threshold), m["accuracy"], m["precision"], m["recall"], m["f1"], m["roc_auc"], seconds)
-            )
+    smote = cut_lineage(oversample.smote(train, features, label))
+    tables = {"SMOTE": (smote, {}), "Class Weights": (cut_lineage(prepare.add_class_weights(train, label)), {"weight": "weight"}), "Threshold Tuning": (train, {})}
+    # The logistic model sees z-scores, so its rows are resampled among z-scores, with the scaler of the real rows.
+    scaled, scaler = None, None
+    if train_logistic in trainers.values():
+        scaled = cut_lineage(oversample.smote(train, features, label, scaled=True))
+        scaler = prepare.scaling(train.na.fill(0, list(features)), features)
+
+    def run(technique: str, name: str) -> tuple:
+        started = time.time()
+        data, extra = tables[technique]
+        given = {**extra, **(settings or {}).get(name, {})}
+        if trainers[name] is train_logistic and technique == "SMOTE":
+            data, given["scaler"] = scaled, scaler
+        model = trainers[name](data, features, label=label, **given)
+        seconds = time.time() - started
+        scored = cut_lineage(model.probability(val).select(label, "probability_dangerous"))
+        threshold = 0.5
+        if technique == "Threshold Tuning":
+            sweep = evaluation.threshold_sweep(scored, evaluation.MODEL_GRID, label, "probability_dangerous")
+            picked = evaluation.threshold_select(sweep).where("policy = 'accuracy_with_recall_60'").first()
+            threshold = picked["threshold"]
+        m = evaluation.classification_metrics(scored, label, "probability_dangerous", threshold).first()
+        return (name, technique, float(threshold), m["accuracy"], m["precision"], m["recall"], m["f1"], m["roc_auc"], seconds)
+
+    wanted = [(technique, name) for technique in TECHNIQUES for name in trainers]
+    rows = side_by_side(spark, [partial(run, *w) for w in wanted], at_once)
     return spark.createDataFrame(
         rows,
         "model string, technique string, threshold double, accuracy double, precision double, recall double, "
@@ -328,12 +375,11 @@ def random_search(
     """Cross-validated accuracy of configurations drawn without repetition from a search space."""
     if family == "logistic":
         return _random_logistic(train, features, n_configs, label, key, space or LOGISTIC_SPACE, folds, parallelism, seed)
-    makers = {
-        "forest": (RandomForestClassifier, FOREST_SPACE),
-        "boosting": (GBTClassifier, BOOSTING_SPACE),
-        "boosting, sampled columns": (GBTClassifier, SAMPLED_BOOSTING_SPACE),
-        "boosting, by leaves": (GBTClassifier, LEAF_BOOSTING_SPACE),
-    }
+    boosted = {"boosting, sampled columns": (BY_DEPTH, SAMPLED_BOOSTING_SPACE), "boosting, by leaves": (BY_LEAVES, LEAF_BOOSTING_SPACE)}
+    if family in boosted:
+        given, default = boosted[family]
+        return _random_boosted(train, features, given, n_configs, label, key, space or default, folds, parallelism, seed)
+    makers = {"forest": (RandomForestClassifier, FOREST_SPACE), "boosting": (GBTClassifier, BOOSTING_SPACE)}
     maker, default = makers[family]
     stage = maker(featuresCol="features", labelCol=label, seed=seed)
     options = dict(space or default)
@@ -380,14 +426,38 @@ def _random_logistic(train, features, n_configs, label, key, space, folds, paral
     return train.sparkSession.createDataFrame(rows, "config int, settings string, score double")
 
 
+def _random_boosted(train, features, given, n_configs, label, key, space, folds, parallelism, seed) -> DataFrame:
+    """Second-order boosting: every draw on every fold, side by side; ``balanced`` weighs the classes."""
+    spark = train.sparkSession
+    folded = cut_lineage(prepare.add_class_weights(prepare.stratified_folds(train.select(key, label, *features), folds, key, label), label))
+    drawn = _draw(space, n_configs, seed)
+
+    def accuracy(values: tuple, fold: int) -> float:
+        chosen = {**given, **dict(zip(space, values))}
+        weight = "weight" if chosen.pop("balanced", False) else None
+        model = train_boosted(folded.where(F.col("fold") != fold), features, label, weight, **{**chosen, "seed": seed})
+        held = model.probability(folded.where(F.col("fold") == fold))
+        return held.agg(F.avg(((F.col("probability_dangerous") >= 0.5).cast("int") == F.col(label)).cast("int"))).first()[0] or 0.0
+
+    scores = side_by_side(spark, [partial(accuracy, values, fold) for values in drawn for fold in range(folds)], parallelism)
+    rows = [
+        (i, ", ".join(f"{k}={v}" for k, v in sorted(zip(space, d))), sum(scores[i * folds : (i + 1) * folds]) / folds) for i, d in enumerate(drawn)
+    ]
+    return spark.createDataFrame(rows, "config int, settings string, score double")
+
+
 def coefficient_importance(model: SafetyModel, top: int | None = None) -> DataFrame:
     """Features by absolute coefficient."""
     weights = model.classifier.coefficients.toArray().tolist()
     return _ranked([(f, w, abs(w)) for f, w in zip(model.features, weights)], "coefficient", top)
 
 
-def tree_importance(model: SafetyModel, top: int | None = 10) -> DataFrame:
-    weights = model.classifier.featureImportances.toArray().tolist()
+def tree_importance(model: SafetyModel | BoostedModel, top: int | None = 10) -> DataFrame:
+    """Features by their share of impurity taken away, or of gain for second-order boosting."""
+    if isinstance(model, BoostedModel):
+        weights = list(model.importance().values())
+    else:
+        weights = model.classifier.featureImportances.toArray().tolist()
     return _ranked([(f, w, w) for f, w in zip(model.features, weights)], "impurity_share", top)
 
 

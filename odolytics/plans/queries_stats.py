@@ -7,11 +7,12 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from odolytics import schema as S
+from odolytics.functions import sketches
 from odolytics.operators import cleaning, evaluation, neighbours, prepare, profile, scoring, separation
 from odolytics.plans import oracle_parts as P
 from odolytics.plans.registry import query, rounded
 from odolytics.plans.queries_ingest import sensor
-from odolytics.session import cut_lineage
+from odolytics.session import cut_lineage, work_path
 from odolytics.sources import fixtures as X
 
 FEATURES = X.WIDE
@@ -293,6 +294,26 @@ def mutual_information(spark, folder):
     return rounded(separation.mutual_information(X.wide(spark, folder), FEATURES))
 
 
+SHARES = [0.01, 0.25, 0.5, 0.75, 0.95, 0.999]
+
+
+@query(
+    "sketched_quantiles",
+    "SELECT feature, probability, true AS within_bound FROM (SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) AS feature), "
+    "(SELECT unnest([" + ", ".join(f"{p}::DOUBLE" for p in SHARES) + "]) AS probability)",
+)
+def sketched_quantiles(spark, folder):
+    """Quantiles merged from four loads' sketches, and whether their true ranks are off by twice the stated error at
+    most, which fewer than one sketch in a million misses."""
+    rows, path = X.wide(spark, folder).withColumn("load", F.pmod(F.xxhash64(*FEATURES), F.lit(4))), work_path(spark, "sketches")
+    for n in range(4):
+        sketches.add_load(rows.where(F.col("load") == n), {c: F.col(c) for c in FEATURES}, path, f"{n}")
+    found = sketches.rank_bounds(rows, sketches.estimated(sketches.merged(spark, path, FEATURES), SHARES), FEATURES)
+    room = F.lit(2 * sketches.rank_error())
+    inside = (F.col("probability") >= F.col("below") - room) & (F.col("probability") <= F.col("upto") + room)
+    return found.select("feature", "probability", inside.alias("within_bound"))
+
+
 def _digamma_sql(n):
     z = f"({n} + {neighbours.SHIFT}.0::DOUBLE)"
     series = f"ln({z}) - 0.5::DOUBLE / {z} - 1 / (12.0::DOUBLE * {z} ** 2) + 1 / (120.0::DOUBLE * {z} ** 4) - 1 / (252.0::DOUBLE * {z} ** 6) + 1 / (240.0::DOUBLE * {z} ** 8)"

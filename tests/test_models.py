@@ -156,6 +156,15 @@ def test_searches_score_every_configuration(spark):
     assert grid.count() == 5 and grid.where("score < 0 OR score > 1").isEmpty()
     found = models.random_search(df, FEATURES, "boosting", 2, space={"maxIter": [1, 2], "maxDepth": [1, 2]})
     assert found.count() == 2
+    for family in ("boosting, sampled columns", "boosting, by leaves"):
+        found = models.random_search(df, FEATURES, family, 2, space={"rounds": [1, 2], "depth": [2, None], "balanced": [False, True]})
+        assert found.count() == 2 and found.where("score < 0.5 OR score > 1").isEmpty()
+
+
+def test_side_by_side_keeps_order_and_raises(spark):
+    assert models.side_by_side(spark, [lambda n=n: spark.range(n).count() for n in range(6)], 3) == list(range(6))
+    with pytest.raises(ZeroDivisionError):
+        models.side_by_side(spark, [lambda: 1 / 0, lambda: 1], 2)
 
 
 def test_folds_are_stratified(spark):
