@@ -1,8 +1,11 @@
 """Document fingerprints: threshold-scaled sketches of five-word shingles, in DataFrame functions only.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range, and always the smallest one, so
-that short texts have one too. It depends on the set alone; the sketch of two texts together is the union of
-their sketches, and the share of common hashes estimates similarity and containment for any two sizes.
+A sketch keeps every shingle hash below a fixed fraction of the hash range. A set of up to ``FULL`` shingles is kept
+whole instead and says so, which is the same with a threshold at the top of the range. Two sketches are compared below
+the lower of their thresholds, where both hold every hash there is: the share of common hashes estimates similarity and
+containment for any two sizes, and is exact between two whole sets. A sketch depends on the set alone, and ``merged``
+gives the sketch of the union. A short set may have no hash below the threshold of a long one; then its containment
+in it is unknown (NULL), not 0.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 FRACTION = 8                # one hash in this many is kept
+FULL = 64                   # sets of up to so many shingles are kept whole
 BUCKETS_PER_TASK = 8
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -23,7 +27,7 @@ _CUT = _BOTTOM + (1 << 64) // FRACTION
 
 
 def sketch(text: Column) -> Column:
-    """Sorted kept hashes of a text; an empty array for NULL or a text without words."""
+    """``whole, hashes`` of a text; no hashes for NULL or a text without words."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
     hashed_words = F.transform(words, lambda w: F.xxhash64(w))
 
@@ -36,12 +40,40 @@ def sketch(text: Column) -> Column:
         # Fewer words than a shingle has: the whole sequence is the one shingle.
         return F.when(n >= SHINGLE, runs).when(n > 0, F.array(F.xxhash64(hashed))).otherwise(F.array().cast("array<bigint>"))
 
-    def kept(hashes: Column) -> Column:
-        low = F.filter(hashes, lambda h: h < F.lit(_CUT))
-        least = F.filter(F.array(F.array_min(hashes)), lambda h: h.isNotNull())
-        return F.array_sort(F.array_distinct(F.concat(low, least)))
+    return _once(_once(hashed_words, of), lambda hashes: _kept(F.array_distinct(hashes)))
 
-    return _once(_once(hashed_words, of), kept)
+
+def _below(hashes: Column) -> Column:
+    return F.filter(hashes, lambda h: h < F.lit(_CUT))
+
+
+def _kept(distinct: Column) -> Column:
+    """A sketch of a set: whether it is whole, and its hashes in order."""
+
+    def of(hashes: Column) -> Column:
+        whole = F.size(hashes) <= FULL
+        return F.struct(whole.alias("whole"), F.array_sort(F.when(whole, hashes).otherwise(_below(hashes))).alias("hashes"))
+
+    return _once(distinct, of)
+
+
+def merged(a: Column, b: Column) -> Column:
+    """The sketch of two sets together, from their sketches."""
+
+    def of(pair: Column) -> Column:
+        return F.when(a["whole"] & b["whole"], _kept(pair)).otherwise(
+            F.struct(F.lit(False).alias("whole"), F.array_sort(_below(pair)).alias("hashes"))
+        )
+
+    return _once(F.array_union(a["hashes"], b["hashes"]), of)
+
+
+def _comparable(a: Column, b: Column) -> Column:
+    """The hashes of two sketches below the lower of their thresholds."""
+    both = a["whole"] & b["whole"]
+    return F.when(both, F.struct(a["hashes"].alias("a"), b["hashes"].alias("b"))).otherwise(
+        F.struct(_below(a["hashes"]).alias("a"), _below(b["hashes"]).alias("b"))
+    )
 
 
 def _once(value: Column, use) -> Column:
@@ -50,19 +82,32 @@ def _once(value: Column, use) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated similarity of two texts from their sketches, 0 to 1; two empty sketches are alike."""
-    common = F.size(F.array_intersect(a, b))
-    either = F.size(a) + F.size(b) - common
-    return F.when(either == 0, F.lit(1.0)).otherwise(common / either).cast("double")
+    """Estimated similarity of two texts from their sketches, 0 to 1. Where there is no hash to compare (two empty sets, or
+    a short set and a longer one without a hash below the threshold) it is 1 for equal sketches and else 0."""
+
+    def of(pair: Column) -> Column:
+        common = F.size(F.array_intersect(pair["a"], pair["b"]))
+        either = F.size(pair["a"]) + F.size(pair["b"]) - common
+        return F.when(either == 0, (a == b).cast("double")).otherwise(common / either).cast("double")
+
+    return _once(_comparable(a, b), of)
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the first text's shingles that the second one has."""
-    return F.when(F.size(a) == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a)).cast("double")
+    """Estimated share of the first text's shingles that the second one has; 0 for an empty first text, and NULL where
+    the first is so short that none of its hashes lies below the second one's threshold."""
+
+    def of(pair: Column) -> Column:
+        n = F.nullif(F.size(pair["a"]), F.lit(0))
+        return F.when(F.size(a["hashes"]) == 0, F.lit(0.0)).otherwise((F.size(F.array_intersect(pair["a"], pair["b"])) / n).cast("double"))
+
+    return _once(_comparable(a, b), of)
 
 
-def as_string(hashes: Column) -> Column:
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+def as_string(a: Column) -> Column:
+    """A sketch as text: = for a whole set or < for a threshold, then its hashes."""
+    hashes = a["hashes"]
+    return F.concat(F.when(a["whole"], F.lit("=")).otherwise(F.lit("<")), F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), ""))
 
 
 def _ranges(docs: DataFrame, tasks: int) -> tuple[DataFrame, list]:

@@ -3,9 +3,12 @@
 import hashlib
 import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -161,3 +164,34 @@ def license_base(text):
         if at:
             labels.add(label)
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def _signed(h):
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def _chained(numbers):
+    """The 64-bit hash of a row of longs, each with the hash so far as its seed."""
+    h = 42
+    for n in numbers:
+        h = xxhash.xxh64(struct.pack("<q", n), seed=h).intdigest()
+    return _signed(h)
+
+
+def sketch(text, full=64, fraction=8):
+    """(whole, sorted hashes) of a text's five-word shingles; words are split and lowered as the sketch does it."""
+    said = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+    hashed = [_signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) for w in said]
+    runs = [hashed[i : i + 5] for i in range(len(hashed) - 4)] if len(hashed) >= 5 else [hashed] if hashed else []
+    hashes = {_chained(r) for r in runs}
+    whole = len(hashes) <= full
+    return whole, sorted(hashes if whole else (h for h in hashes if h < -(1 << 63) + (1 << 64) // fraction))
+
+
+def sketch_text(s):
+    return ("=" if s[0] else "<") + "".join(f"{h & (1 << 64) - 1:016x}" for h in s[1])
+
+
+def sketch_likeness(s, t, fraction=8):
+    a, b = (set(x[1]) if s[0] and t[0] else {h for h in x[1] if h < -(1 << 63) + (1 << 64) // fraction} for x in (s, t))
+    return len(a & b) / len(a | b) if a | b else float(s == t)

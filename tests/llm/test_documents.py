@@ -135,19 +135,86 @@ def test_fingerprints_plan_has_no_python(documents):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
+def sketches_of(spark, *texts):
+    columns = ", ".join(f"t{i} string" for i in range(len(texts)))
+    return spark.createDataFrame([texts], columns).select(*[fingerprint.sketch(F.col(f"t{i}")).alias(f"t{i}") for i in range(len(texts))])
+
+
 def test_sketch_estimates_containment(spark):
     dice = random.Random(2)
     long = " ".join(f"w{dice.randrange(10**9)}" for _ in range(20_000))
     part = " ".join(long.split()[4_000:6_000])
-    row = spark.createDataFrame([(part, long)], "a string, b string").select(
-        fingerprint.sketch(F.col("a")).alias("a"), fingerprint.sketch(F.col("b")).alias("b")
-    )
-    inside, back, n = row.select(
-        fingerprint.containment(F.col("a"), F.col("b")), fingerprint.containment(F.col("b"), F.col("a")), F.size("a")
+    inside, back, n = sketches_of(spark, part, long).select(
+        fingerprint.containment(F.col("t0"), F.col("t1")), fingerprint.containment(F.col("t1"), F.col("t0")), F.size("t0.hashes")
     ).first()
     assert inside == 1.0 and 0.05 < back < 0.15 and 150 < n < 350
 
 
+@pytest.mark.parametrize("words", [5, 10, 15, 20, 40, 80, 300])
+def test_containment_at_every_length(spark, words):
+    """Fragments that lie whole, half or not at all in a text of 300 words."""
+    dice = random.Random(words)
+    pairs = []
+    for _ in range(40):
+        long = [f"w{dice.randrange(10**9)}" for _ in range(300)]
+        at = dice.randrange(300 - words + 1)
+        other = [f"x{dice.randrange(10**9)}" for _ in range(words)]
+        for share in (1.0, 0.5, 0.0):
+            kept = int(words * share)
+            pairs.append((" ".join(long[at : at + kept] + other[kept:]), " ".join(long)))
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string").select(
+        "i", fingerprint.sketch(F.col("a")).alias("a"), fingerprint.sketch(F.col("b")).alias("b")
+    ).select("i", fingerprint.containment(F.col("a"), F.col("b")).alias("inside"), fingerprint.likeness(F.col("a"), F.col("b")).alias("like"))
+    off, unknown = [], 0
+    for r in rows.collect():
+        a, b = (brute.shingles(t) for t in pairs[r["i"]])
+        exact = len(a & b) / len(a)
+        unknown += r["inside"] is None
+        if r["inside"] is not None:
+            off.append(r["inside"] - exact)
+            assert exact not in (0.0, 1.0) or r["inside"] == exact
+        assert 0 <= r["like"] <= 1
+    assert abs(sum(off)) <= 0.1 * max(1, len(off))
+    assert unknown <= len(pairs) * (0.9 if words < 20 else 0.25 if words < 40 else 0.0 if words > 100 else 0.05)
+
+
+def test_short_sets_are_compared_exactly_and_sketches_merge(spark):
+    dice = random.Random(3)
+    texts = [" ".join(dice.choice("abcdefgh") + str(dice.randrange(4)) for _ in range(n)) for n in (0, 1, 3, 5, 12, 30, 40, 66, 200, 500)]
+    table = sketches_of(spark, *texts, *[f"{t} {u}" for t in texts[:0] for u in texts])
+    names = [f"t{i}" for i in range(len(texts))]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(len(texts))]
+    found = table.select(*[F.struct(
+        fingerprint.likeness(F.col(names[i]), F.col(names[j])), fingerprint.containment(F.col(names[i]), F.col(names[j])),
+        fingerprint.merged(F.col(names[i]), F.col(names[j])).alias("m"), F.col(names[i]).alias("one"), F.col(names[j]).alias("two"),
+    ) for i, j in pairs]).first()
+    sets = [brute.shingles(t) for t in texts]
+    for (i, j), r in zip(pairs, found):
+        a, b = sets[i], sets[j]
+        if max(len(a), len(b)) <= fingerprint.FULL:
+            assert r[0] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+            assert r[1] == pytest.approx(len(a & b) / len(a) if a else 0.0)
+        assert (i != j) or r[0] == 1.0
+        # Merging is the union of the sets, cut at the lower threshold.
+        assert r["m"]["whole"] == (r["one"]["whole"] and r["two"]["whole"] and len(a | b) <= fingerprint.FULL)
+        assert set(r["m"]["hashes"]) <= set(r["one"]["hashes"]) | set(r["two"]["hashes"])
+        if r["m"]["whole"]:
+            assert len(r["m"]["hashes"]) == len(a | b)
+
+
+def test_fingerprints_equal_brute_force(documents, rows):
+    found = {r["doc_id"]: r for r in fingerprint.fingerprints(documents).collect()}
+    texts, ids = dict(rows), sorted(dict(rows), reverse=True)
+    for i, d in enumerate(ids):
+        following = texts[ids[(i + 1) % len(ids)]]
+        third = len(texts[d]) // 3
+        edited = texts[d][: len(texts[d]) - third] + following[:third]
+        a, e, n = (brute.sketch(t) for t in (texts[d], edited, following))
+        assert (found[d]["fingerprint"], found[d]["edited_fingerprint"]) == (brute.sketch_text(a), brute.sketch_text(e))
+        assert found[d]["near_edited"] == pytest.approx(brute.sketch_likeness(a, e))
+        assert found[d]["near_next"] == pytest.approx(brute.sketch_likeness(a, n))
+
+
 # --- 3
 
 
