@@ -91,6 +91,23 @@ def scan_multi_file_union(spark, folder):
     return both.withColumn("event_id", F.col("event_id").cast("long"))
 
 
+@query(
+    "scan_unknown_headers",
+    f"""WITH {P.SENSOR} SELECT "bookingID", speed, NULL::VARCHAR AS trip, NULL::VARCHAR AS v FROM sensor WHERE event_id % 3 = 0
+    UNION ALL SELECT "bookingID", NULL, NULL, NULL FROM sensor WHERE event_id % 3 = 1
+    UNION ALL SELECT NULL, NULL, CAST("bookingID" AS VARCHAR), CAST(event_id AS VARCHAR) FROM sensor WHERE event_id % 3 = 2""",
+)
+def scan_unknown_headers(spark, folder):
+    """Three inputs: known columns, known columns behind another separator, and a header that names none of them."""
+    rows = sensor(spark, folder)
+    known = _csv_copy(spark, rows.where("event_id % 3 = 0").select("bookingID", "speed"), "sensor-part")
+    other = work_path(spark, "sensor-part")
+    rows.where("event_id % 3 = 1").select("bookingID", "second").write.option("header", True).option("sep", ";").csv(other)
+    strange = work_path(spark, "sensor-part")
+    rows.where("event_id % 3 = 2").select(F.col("bookingID").alias("trip"), F.col("event_id").alias("v")).write.option("header", True).option("sep", ";").csv(strange)
+    return readers.read_csv_union(spark, [known, other, strange]).select("bookingID", "speed", "trip", "v")
+
+
 @query("scan_table", "SELECT * FROM customer")
 def scan_table(spark, folder):
     X.table(spark, folder, "customer").createOrReplaceTempView("odolytics_customer")

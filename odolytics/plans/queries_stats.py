@@ -395,7 +395,9 @@ def missed_vs_caught_profile(spark, folder):
     s AS (SELECT group_name, count(*) AS n, stddev_samp(x) * pow(count(*)::DOUBLE, -0.2) AS h, min(x) AS lo, max(x) AS hi FROM d GROUP BY 1),
     g AS (SELECT *, unnest(range(200)) AS point FROM s),
     a AS (SELECT *, lo - 3 * h + point * ((hi + 3 * h - (lo - 3 * h)) / 199) AS gx FROM g),
-    w AS (SELECT group_name, x, count(*) AS w FROM d GROUP BY 1, 2)
+    f AS (SELECT group_name, floor((x - lo) / (h / {separation.NODES})) AS node, (x - lo) / (h / {separation.NODES}) - floor((x - lo) / (h / {separation.NODES})) AS part FROM d JOIN s USING (group_name)),
+    w AS (SELECT group_name, lo + node * (h / {separation.NODES}) AS x, sum(w) AS w FROM (
+      SELECT group_name, node, 1 - part AS w FROM f UNION ALL SELECT group_name, node + 1, part FROM f) JOIN s USING (group_name) GROUP BY group_name, node, lo, h)
     SELECT group_name, point::INT AS point, {P.r("gx", name="x")},
       {P.r("sum(w * exp(-0.5::DOUBLE * pow((gx - w.x) / h, 2))) / (n * h * sqrt(2 * pi()))", name="density")}
     FROM a JOIN w USING (group_name) GROUP BY group_name, point, gx, n, h""",

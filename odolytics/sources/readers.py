@@ -36,25 +36,50 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA) -> dict[tuple, list[str]]:
-    """Files by header, from one distributed pass over the text.
+SEPARATORS = [",", ";", "\t", "|"]
+
+
+def _cells(line: str, separator: str) -> tuple[str, ...]:
+    return tuple(c.strip().strip('"').lstrip("\ufeff") for c in line.split(separator))
+
+
+def file_headers(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA
+) -> dict[tuple[str, tuple[str, ...]], list[str]]:
+    """Files by separator and header, from one distributed pass over the text; no file with a line is left out.
 
     The header of a file is its line that names at least two of the schema's columns (or is the first line of a
-    table with one column). One row per file reaches the driver. Give ``read_csv`` the header to save this pass.
+    table with one column); where no line does, its first line. One row per file reaches the driver. Give ``read_csv``
+    the header to save this pass.
     """
     known = {f.name.lower() for f in schema.fields}
     known |= {name for name, column in ALIASES.items() if column.lower() in known}
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    cells = F.transform(F.split("value", ","), lambda c: F.lower(F.trim(F.translate(c, '"\ufeff', ""))))
-    named = F.size(F.array_intersect(cells, F.array(*[F.lit(k) for k in sorted(known)])))
-    found = lines.where((F.col("at") == 0) & (named >= min(2, len(known)))).groupBy("file").agg(F.min("value").alias("header"))
-    groups: dict[tuple, list[str]] = defaultdict(list)
+    wanted = F.array(*[F.lit(k) for k in sorted(known)])
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line")
+    ).where(F.col("at") == 0)
+
+    def named(separator: str) -> Column:
+        cells = F.transform(F.split("value", f"[{separator}]"), lambda c: F.lower(F.trim(F.translate(c, '"\ufeff', ""))))
+        return F.size(F.array_intersect(cells, wanted))
+
+    # The lines of a file's first block lie in one task, in order.
+    recognised = F.greatest(*[named(s) for s in SEPARATORS]) >= min(2, len(known))
+    found = lines.groupBy("file").agg(F.min(F.when(recognised, F.col("value"))).alias("header"), F.min_by("value", "line").alias("first"))
+    groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
     for row in found.orderBy("file").collect():
-        names = tuple(c.strip().strip('"').lstrip("\ufeff") for c in row["header"].split(","))
-        groups[names].append(row["file"])
+        header = row["header"] if row["header"] is not None else row["first"]
+        separator = max(SEPARATORS, key=lambda s: (len(known & {c.lower() for c in _cells(header, s)}), header.count(s), -SEPARATORS.index(s)))
+        groups[separator, _told_apart(_cells(header, separator))].append(row["file"])
     return groups
 
 
+def _told_apart(names: Sequence[str]) -> tuple[str, ...]:
+    """Names that are missing or repeat get their place added."""
+    lower = [n.lower() for n in names]
+    return tuple(n if n and lower.index(n.lower()) == i else f"{n or 'column'}_{i}" for i, n in enumerate(names))
+
+
 def _whole(column: Column) -> Column:
     """A whole number, also where it is written with a fraction of zero (``12.0``); else NULL."""
     number = column.try_cast("double")
@@ -81,20 +106,26 @@ def typed(df: DataFrame, schema: T.StructType = S.SENSOR_SCHEMA, text_key: bool
     return df.select(*[one(c) for c in df.columns])
 
 
-def _read_text(spark: SparkSession, names: Sequence[str], files: str | Sequence[str]) -> DataFrame:
+def _read_text(spark: SparkSession, names: Sequence[str], files: str | Sequence[str], separator: str = ",") -> DataFrame:
     """One group of files with the same header, all columns as text."""
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return standardize_columns(spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(files))
+    # Names that were told apart differ from the header line; the other headers are checked against it.
+    checked = not any(n.endswith(f"_{i}") for i, n in enumerate(names))
+    reader = spark.read.option("header", True).option("enforceSchema", not checked).option("sep", separator)
+    return standardize_columns(reader.schema(text).csv(files))
 
 
 def read_text(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = S.SENSOR_SCHEMA, header: Sequence[str] | None = None
 ) -> DataFrame:
-    """CSV files with a header line each as one table of text: columns go by name, absent ones are NULL."""
-    groups = {tuple(header): paths} if header else file_headers(spark, paths, schema)
+    """CSV files with a header line each as one table of text: columns go by name, absent ones are NULL.
+
+    A file whose header names no known column is read by its first line, so its rows come with columns of their own.
+    """
+    groups = {(",", tuple(header)): paths} if header else file_headers(spark, paths, schema)
     if not groups:
-        raise ValueError("no header line that names known columns")
-    frames = [_read_text(spark, names, files) for names, files in groups.items()]
+        raise ValueError("no file with a line")
+    frames = [_read_text(spark, names, files, separator) for (separator, names), files in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

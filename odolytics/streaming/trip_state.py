@@ -1,11 +1,12 @@
 """Trip features kept up to date on a stream.
 
-The state of a trip is its last row, running sums, and the rows newer than the watermark, which may still
-be joined by earlier ones; it does not grow with the trip. Each trigger adds the rows the watermark has
-passed to the sums, in time order, and emits the trip's features so far, waiting rows included. A trip
-that stays silent is emitted once more as closed. Its sums stay (less than a kilobyte on local disk), so a trip
-that resumes goes on from them; with ``forget_ms`` they are released after that much more silence, and a trip
-that resumes even later counts as a new one. Spark leaves out rows whose
+The state of a trip is its last row and running sums, and a list of the rows newer than the watermark, which may still
+be joined by earlier ones; it does not grow with the trip. Each trigger appends the new rows to the list, adds those the
+watermark has passed to the sums, in time order, and emits the trip's features so far, waiting rows included. Rows that
+are in the sums stay in the list, known by their place, until they are half of it; so what a trigger writes follows
+the rows it brings, not the rows that wait. A trip that stays silent is emitted once more as closed, by a timer. Its sums
+stay (less than a kilobyte on local disk), so a trip that resumes goes on from them; with ``forget_ms`` they are
+released after that much more silence, and a trip that resumes even later counts as a new one. Spark leaves out rows whose
 event time the watermark has passed and reports their number in the query's progress; ``n_late`` counts
 rows in time whose ``second`` lies before what the sums already hold. The source's per-trigger limit
 bounds the rows of one trip that a trigger sorts.
@@ -19,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from odolytics import schema as S
 from odolytics.streaming.jobs import EVENT_TIME
@@ -36,8 +37,12 @@ STATE = (
     + [f"sum_{c}" for c in SUMMED]
     + ["first_second", "n_points", "smooth_since", "longest", "n_late", "closed"]
 )
-STATE_SCHEMA = ", ".join(f"`{c}` double" for c in STATE) + ", pending binary"
-WAITING = [*LAST, "at_ms"]      # a row not yet in the sums, with its event time
+PLACE = ["passed_second", "passed_tie", "passed_seq"]       # the last row that is in the sums
+KEPT = [*STATE, *PLACE, "n_listed", "seq", "timer"]
+STATE_SCHEMA = ", ".join(f"`{c}` double" for c in KEPT)
+WAITING = [*LAST, "at_ms", "seq"]       # a listed row: its readings, event time, and running number
+WAITING_SCHEMA = ", ".join(f"`{c}` double" for c in WAITING)
+COLUMN = {c: i for i, c in enumerate(WAITING)}
 COUNTS = ["n_points", "n_hard_accels", "n_hard_brakes", "n_hard_turns", "n_zigzag_events", "trip_duration_sec"]
 OUTPUT_SCHEMA = ", ".join(
     [f"{S.KEY} long"]
@@ -54,49 +59,50 @@ def _start() -> dict[str, float]:
     return state
 
 
-def _size(rows: pd.DataFrame, axes: list[str]) -> np.ndarray:
-    return np.sqrt(sum(np.nan_to_num(rows[a].to_numpy(dtype=float)) ** 2 for a in axes))
+def _size(rows: np.ndarray, axes: list[str]) -> np.ndarray:
+    return np.sqrt(sum(np.nan_to_num(rows[:, COLUMN[a]]) ** 2 for a in axes))
 
 
-def _fold(state: dict[str, float], rows: pd.DataFrame, t: S.Thresholds) -> None:
-    """Add sorted new rows to a trip's state."""
-    if rows.empty:
+def _fold(state: dict[str, float], rows: np.ndarray, t: S.Thresholds) -> None:
+    """Add sorted new rows (columns as in WAITING) to a trip's state."""
+    if not len(rows):
         return
     begun = state["n_points"] > 0
-    last = pd.DataFrame([{c: state[f"last_{c}"] for c in LAST}])
-    full = pd.concat([last, rows[LAST]], ignore_index=True).astype(float)
-    now, before = full.iloc[1:].reset_index(drop=True), full.iloc[:-1].reset_index(drop=True)
-    step = (now["second"] - before["second"]).fillna(0.0).to_numpy()
+    last = np.array([[state[f"last_{c}"] for c in LAST]])
+    now = rows[:, : len(LAST)]
+    before = np.concatenate((last, now[:-1]))
+    seconds, speed, second_before = now[:, COLUMN["second"]], now[:, COLUMN["speed"]], before[:, COLUMN["second"]]
+    step = np.nan_to_num(seconds - second_before)
     any_step = np.where(step == 0, np.nan, step)
 
     def change(c: str) -> np.ndarray:
-        return (now[c] - before[c]).fillna(0.0).to_numpy()
+        return np.nan_to_num(now[:, COLUMN[c]] - before[:, COLUMN[c]])
 
     def jerk(axes: list[str]) -> np.ndarray:
         return np.sqrt(sum(np.nan_to_num(change(a) / any_step) ** 2 for a in axes))
 
-    def sign(c: pd.Series) -> np.ndarray:
-        x = c.to_numpy()
+    def sign(x: np.ndarray) -> np.ndarray:
         return np.where(x > t.zigzag_gyro, 1, np.where(x < -t.zigzag_gyro, -1, 0))
 
-    accel, gyro, speed = _size(now, S.ACCEL_AXES), _size(now, S.GYRO_AXES), now["speed"].to_numpy()
+    accel, gyro = _size(now, S.ACCEL_AXES), _size(now, S.GYRO_AXES)
     rate = np.where((step > 0) & (step <= t.rate_gap), np.nan_to_num(change("speed") / any_step), 0.0)
     smooth = (accel < t.smooth_accel) & (gyro < t.smooth_gyro)
     was_smooth = (_size(before, S.ACCEL_AXES) < t.smooth_accel) & (_size(before, S.GYRO_AXES) < t.smooth_gyro)
     if not begun:
         was_smooth[0] = False
-    seconds = now["second"].to_numpy()
-    since = pd.Series(np.where(smooth & ~was_smooth, before["second"].fillna(now["second"]).to_numpy(), np.nan))
-    since.iloc[0] = since.iloc[0] if not np.isnan(since.iloc[0]) else state["smooth_since"]
-    since = since.ffill().to_numpy()
+    starts = smooth & ~was_smooth
+    # The time the block in force counts from: of the last start up to each row, or of the state.
+    which = np.maximum.accumulate(np.where(starts, np.arange(len(now)), -1))
+    from_start = np.where(np.isnan(second_before), seconds, second_before)
+    since = np.where(which >= 0, from_start[which], state["smooth_since"])
     held = seconds - since
-
+    turn = COLUMN["gyro_y"]
     sums = {
         "jerk_linear": jerk(S.ACCEL_AXES), "gyro_jerk_mag": jerk(S.GYRO_AXES),
         "over_80": speed > t.speed_over_80, "cruising": (speed >= t.cruise_min) & (speed <= t.cruise_max),
         "high_accel": accel > t.accel_high, "hard_turn": gyro > t.gyro_high,
         "hard_brake": rate < t.hard_brake, "hard_accel": rate > t.hard_accel,
-        "zigzag": (sign(now["gyro_y"]) * sign(before["gyro_y"]) == -1) & (step <= t.zigzag_gap), "smooth": smooth,
+        "zigzag": (sign(now[:, turn]) * sign(before[:, turn]) == -1) & (step <= t.zigzag_gap), "smooth": smooth,
     }
     for name, values in sums.items():
         state[f"sum_{name}"] += float(np.sum(values))
@@ -110,13 +116,13 @@ def _fold(state: dict[str, float], rows: pd.DataFrame, t: S.Thresholds) -> None:
             state[f"{name}_m2"] += float(((known - known.mean()) ** 2).sum()) + gap * gap * n * k / (n + k)
             state[f"{name}_max"] = float(np.nanmax([state[f"{name}_max"], known.max()]))
     if not begun:
-        state["first_second"] = seconds[0]
+        state["first_second"] = float(seconds[0])
     state["n_points"] += len(now)
-    state["smooth_since"] = since[-1]
+    state["smooth_since"] = float(since[-1])
     if not np.isnan(held).all():
         state["longest"] = max(state["longest"], float(np.nanmax(held)))
     for c in LAST:
-        state[f"last_{c}"] = float(now[c].iloc[-1])
+        state[f"last_{c}"] = float(now[-1, COLUMN[c]])
 
 
 def _features(key: int, state: dict[str, float], closed: bool, t: S.Thresholds) -> pd.DataFrame:
@@ -149,61 +155,113 @@ def _features(key: int, state: dict[str, float], closed: bool, t: S.Thresholds)
     return pd.DataFrame([{S.KEY: key, **row, "n_late": int(state["n_late"]), "closed": closed}])
 
 
-def trip_features_stream(
-    stream: DataFrame, tiebreak: str | None = None, delay: str = "1 minute", idle_ms: int = 300_000,
-    t: S.Thresholds = S.Thresholds(), forget_ms: int | None = None,
-) -> DataFrame:
-    """Cleaned sensor stream -> features per trip after every trigger that touched it."""
-    rows = stream.where(F.col(S.KEY).isNotNull()).withWatermark(EVENT_TIME, delay).select(
-        F.col(S.KEY).cast("long").alias(S.KEY), F.col("second").cast("double").alias("second"),
-        (F.col(tiebreak) if tiebreak else F.lit(0)).cast("double").alias("tie"),
-        "speed", *S.CHANNELS, EVENT_TIME,
-    )
+class TripProcessor(StatefulProcessor):
+    """Sums and waiting rows of one trip, with an event-time timer that closes it and later forgets it."""
 
-    def update(key: tuple, frames: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        state, waiting = _start(), pd.DataFrame(columns=WAITING, dtype=float)
-        if group.exists:
-            *numbers, pending = group.get
-            state = dict(zip(STATE, numbers))
-            waiting = pd.DataFrame(np.frombuffer(pending).reshape(-1, len(WAITING)), columns=WAITING)
-        if group.hasTimedOut:
-            if state["closed"]:
-                group.remove()
-                return
-            _fold(state, waiting, t)
-            state["closed"] = 1.0
-            group.update((*[float(state[c]) for c in STATE], b""))
-            if forget_ms is not None:
-                group.setTimeoutTimestamp(group.getCurrentWatermarkMs() + forget_ms)
-            yield _features(key[0], state, True, t)
-            return
-        state["closed"] = 0.0
-        new = pd.concat(list(frames), ignore_index=True)
-        new["at_ms"] = new[EVENT_TIME].astype("datetime64[ms]").astype("int64")
-        newest = int(new["at_ms"].max())
-        new = new[WAITING].astype(float)
+    def __init__(self, idle_ms: int, t: S.Thresholds, forget_ms: int | None):
+        self.idle_ms, self.t, self.forget_ms = idle_ms, t, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getValueState("sums", STATE_SCHEMA)
+        self.listed = handle.getListState("listed", WAITING_SCHEMA)
+
+    def _state(self) -> dict[str, float]:
+        kept = self.sums.get() if self.sums.exists() else None
+        return dict(zip(KEPT, kept)) if kept else {**_start(), **dict.fromkeys(PLACE, np.nan), "n_listed": 0.0, "seq": 0.0, "timer": np.nan}
+
+    def _keep(self, state: dict[str, float], timer: float) -> None:
+        if not np.isnan(state["timer"]):
+            self.handle.deleteTimer(int(state["timer"]))
+        if not np.isnan(timer):
+            self.handle.registerTimer(int(timer))
+        state["timer"] = float(timer)
+        self.sums.update(tuple(float(state[c]) for c in KEPT))
+
+    def _waiting(self, state: dict[str, float]) -> np.ndarray:
+        """Listed rows behind the last one that is in the sums, in order."""
+        rows = np.array(list(self.listed.get()) if state["n_listed"] else [], dtype=float).reshape(-1, len(WAITING))
+        rows = rows[np.lexsort((rows[:, COLUMN["seq"]], rows[:, COLUMN["tie"]], rows[:, COLUMN["second"]]))]
+        if np.isnan(state["passed_second"]):
+            return rows
+        place = [rows[:, COLUMN[c]] for c in ("second", "tie", "seq")]
+        later = place[2] > state["passed_seq"]
+        for values, name in ((place[1], "passed_tie"), (place[0], "passed_second")):
+            later = (values > state[name]) | ((values == state[name]) & later)
+        return rows[later]
+
+    def _add_to_sums(self, state: dict[str, float], rows: np.ndarray) -> None:
+        _fold(state, rows, self.t)
+        if len(rows):
+            for name, c in zip(PLACE, ("second", "tie", "seq")):
+                state[name] = float(rows[-1, COLUMN[c]])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        state, watermark = self._state(), timerValues.getCurrentWatermarkInMs()
+        frames = list(rows)
+        new = np.concatenate([np.column_stack([
+            *[f[c].to_numpy(dtype=float) for c in LAST], f[EVENT_TIME].to_numpy().astype("datetime64[ms]").astype(np.int64).astype(float)
+        ]) for f in frames])
+        newest = new[:, len(LAST)].max()
         if state["n_points"] > 0:
-            late = (new["second"] < state["last_second"]) | (
-                (new["second"] == state["last_second"]) & (new["tie"] < state["last_tie"])
-            )
+            second, tie = new[:, COLUMN["second"]], new[:, COLUMN["tie"]]
+            late = (second < state["last_second"]) | ((second == state["last_second"]) & (tie < state["last_tie"]))
             state["n_late"] += float(late.sum())
             new = new[~late]
-        waiting = (pd.concat([waiting, new]) if len(waiting) else new).sort_values(["second", "tie"], kind="stable")
+        waiting = self._waiting(state)
+        new = np.column_stack([new, state["seq"] + np.arange(len(new))])
+        state["seq"] += len(new)
+        waiting = np.concatenate((waiting, new))
+        waiting = waiting[np.lexsort((waiting[:, COLUMN["seq"]], waiting[:, COLUMN["tie"]], waiting[:, COLUMN["second"]]))]
         # Rows up to the last one the watermark has passed are complete.
-        passed = np.flatnonzero(waiting["at_ms"].to_numpy() <= group.getCurrentWatermarkMs())
+        passed = np.flatnonzero(waiting[:, COLUMN["at_ms"]] <= watermark)
         ready = int(passed[-1]) + 1 if len(passed) else 0
-        _fold(state, waiting.iloc[:ready], t)
-        waiting = waiting.iloc[ready:]
-        group.update((*[float(state[c]) for c in STATE], waiting.to_numpy(dtype=float).tobytes()))
-        group.setTimeoutTimestamp(max(newest, group.getCurrentWatermarkMs()) + idle_ms)
+        self._add_to_sums(state, waiting[:ready])
+        waiting = waiting[ready:]
+        if state["n_listed"] + len(new) > 2 * len(waiting):
+            if len(waiting):
+                self.listed.put([tuple(r) for r in waiting.tolist()])
+            else:
+                self.listed.clear()
+            state["n_listed"] = float(len(waiting))
+        elif len(new):
+            self.listed.appendList([tuple(r) for r in new.tolist()])
+            state["n_listed"] += len(new)
+        state["closed"] = 0.0
+        self._keep(state, max(newest, watermark) + self.idle_ms)
         so_far = dict(state)
-        _fold(so_far, waiting, t)
+        _fold(so_far, waiting, self.t)
         if so_far["n_points"] > 0:
-            yield _features(key[0], so_far, False, t)
+            yield _features(key[0], so_far, False, self.t)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self._state()
+        state["timer"] = np.nan         # this one
+        if state["closed"]:
+            self.sums.clear()
+            self.listed.clear()
+            return
+        self._add_to_sums(state, self._waiting(state))
+        self.listed.clear()
+        state["n_listed"], state["closed"] = 0.0, 1.0
+        self._keep(state, np.nan if self.forget_ms is None else timerValues.getCurrentWatermarkInMs() + self.forget_ms)
+        yield _features(key[0], state, True, self.t)
+
+    def close(self) -> None:
+        pass
 
-    return rows.groupBy(S.KEY).applyInPandasWithState(
-        update, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+
+def trip_features_stream(
+    stream: DataFrame, tiebreak: str | None = None, delay: str = "1 minute", idle_ms: int = 300_000,
+    t: S.Thresholds = S.Thresholds(), forget_ms: int | None = None,
+) -> DataFrame:
+    """Cleaned sensor stream -> features per trip after every trigger that touched it."""
+    rows = stream.where(F.col(S.KEY).isNotNull()).withWatermark(EVENT_TIME, delay).select(
+        F.col(S.KEY).cast("long").alias(S.KEY), F.col("second").cast("double").alias("second"),
+        (F.col(tiebreak) if tiebreak else F.lit(0)).cast("double").alias("tie"),
+        "speed", *S.CHANNELS, EVENT_TIME,
     )
+    return rows.groupBy(S.KEY).transformWithStateInPandas(TripProcessor(idle_ms, t, forget_ms), OUTPUT_SCHEMA, "append", "eventTime")
 
 
 def latest(versions: DataFrame) -> DataFrame:

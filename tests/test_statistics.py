@@ -206,3 +206,40 @@ def test_p_values_of_very_many_rows():
     for dof in (5e6, 2e7):     # both sides of the switch, against the normal value with its first correction
         z = 2.0 * (1 - 1 / (4 * dof)) / math.sqrt(1 + 4 / (2 * dof))
         assert separation.student_p_value(2.0, dof) == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-8)
+
+
+def test_nearly_dependent_columns_keep_their_finite_inflation(spark):
+    """One part in 10^8: its square is lost in sums of products."""
+    dice = random.Random(8)
+    rows = [(a, a + 1e-8 * e, b) for a, e, b in ((dice.gauss(0, 1), dice.gauss(0, 1), dice.gauss(0, 1)) for _ in range(4000))]
+    df = spark.createDataFrame(rows, "a double, near double, b double").repartition(40)
+    found = {r["feature"]: r["vif"] for r in separation.vif(df, ["a", "near", "b"]).collect()}
+    x = np.array(rows)
+    apart = (x[:, 1] - x[:, 0]) - ((x[:, 1] - x[:, 0]) @ x[:, 0]) / (x[:, 0] @ x[:, 0]) * x[:, 0]
+    assert found["near"] == pytest.approx((x[:, 1] @ x[:, 1]) / (apart @ apart), rel=0.02) and found["near"] > 1e15
+    assert found["b"] == pytest.approx(1.0, abs=0.01)
+
+
+def test_factor_is_the_same_for_any_cut_of_the_rows(spark):
+    dice = random.Random(9)
+    rows = [tuple(dice.gauss(0, 1) for _ in range(4)) for _ in range(500)]
+    want = np.array(rows).T @ np.array(rows)
+    for parts in (1, 3, 70):
+        r = separation.triangular_factor(spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(parts), list("abcd"))
+        np.testing.assert_allclose(r.T @ r, want, rtol=1e-9)
+    assert [v["vif"] for v in separation.vif(spark.createDataFrame([], "a double, b double"), ["a", "b"]).collect()] == [math.inf] * 2
+
+
+def test_binned_density_keeps_its_stated_error(spark):
+    dice = random.Random(10)
+    values = [("wide", dice.gauss(0, 1)) for _ in range(900)] + [("far", dice.random() + (1e5 if i == 0 else 0)) for i in range(300)] + [("one", 2.0)]
+    df = spark.createDataFrame(values + [("wide", None), (None, 1.0)], "g string, x double")
+    found = separation.class_density(df, "x", "g").collect()
+    assert sorted({r["group_name"] for r in found}) == ["far", "wide"] and len(found) == 400
+    for name in ("wide", "far"):
+        x = np.array([v for g, v in values if g == name])
+        h = x.std(ddof=1) * len(x) ** -0.2
+        room = 1 / (8 * separation.NODES ** 2 * math.sqrt(2 * math.pi) * h) + 1e-15
+        for r in (r for r in found if r["group_name"] == name):
+            exact = np.exp(-0.5 * ((r["x"] - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi))
+            assert abs(r["density"] - exact) <= room
