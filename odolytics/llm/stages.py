@@ -59,5 +59,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes words from, with their size, source's target and words taken."""
-    return mixing.mix_sources(docs).where("taken > 0").select("doc_id", "source", "size", "source_size", "target", "taken")
+    """Documents that the mix takes words from, whole, with their size, source's target and words taken. All rows of an
+    id that differ in nothing are taken together."""
+    mix = mixing.mix_sources(docs).where("taken > 0").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("of"), F.col("size").alias("words"), "source_size", "target", "taken"
+    ).dropDuplicates()
+    sized = docs.withColumn("size", mixing.word_count(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("words"))
+    return sized.join(mix, same).select(*docs.columns, "size", "source_size", "target", "taken")

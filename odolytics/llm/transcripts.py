@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odolytics.llm.language import fold
+from odolytics.llm.ranking import ranked, written
 from odolytics.session import cut_lineage
 
 BLOCK_TURNS = 1024          # turns per block
@@ -265,9 +266,9 @@ def recover_roles(transcript: DataFrame, model: Model) -> DataFrame:
         )
     states = 2 * len(model.roles)
     key = F.coalesce(F.col("conv_id").cast("string"), F.lit("none"))
-    rows = transcript.withColumn("key", key).withColumn(
-        "block", F.floor(F.greatest(F.coalesce("turn", F.lit(0)), F.lit(0)) / BLOCK_TURNS).cast("long")
-    )
+    # Blocks hold so many rows each, whatever their turn numbers: rows without a conversation or turn are cut as well.
+    placed = ranked(transcript.select("conv_id", "turn", "tie", "role", "text").withColumn("key", key), "key", ["turn", "tie"], "transcript-rows")
+    rows = written(placed.withColumn("block", F.floor(F.col("at") / BLOCK_TURNS).cast("long")).drop("at"), "transcript-blocks")
     level = "key string, block long, matrix binary"
     above = F.floor(F.col("block") / BRANCH).cast("long")
     levels = [cut_lineage(rows.groupBy("key", "block").applyInArrow(_block_matrix(model), level))]

@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from odolytics.llm import transcripts
 
 
@@ -65,6 +67,25 @@ def test_odd_turns(spark):
     assert untaught.count() == len(rows) and all(r["role_found"] is None for r in untaught.collect())
 
 
+def test_rows_without_conversation_or_turn_are_cut_into_blocks(spark, monkeypatch):
+    """One key, one repeated turn: blocks go by place, and cuts change no result."""
+    dice = random.Random(6)
+    rows = [(None, None if i % 2 else 3, dice.choice(["user", "assistant"]), dice.choice(["Yes?", "User: what now?", "Well.\nthat is it", ""]) + str(dice.randrange(9))) for i in range(400)]
+    rows += [(7, 1, "user", f"again {i % 3}") for i in range(200)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    transcript = transcripts.as_transcript(table)
+    model = transcripts.fit(transcript)
+
+    def found():
+        return sorted(str(tuple(r)) for r in transcripts.recover_roles(transcript, model).collect())
+
+    whole = found()
+    monkeypatch.setattr(transcripts, "BLOCK_TURNS", 32)
+    assert found() == whole
+    placed = transcripts.ranked(transcript.withColumn("key", F.lit("k")), "key", ["turn", "tie"]).groupBy(F.floor(F.col("at") / 32)).count()
+    assert max(r["count"] for r in placed.collect()) == 32
+
+
 def test_markers():
     assert transcripts.features("User: hi there?", True) == ("user", "?", "4", "yes")
     assert transcripts.features("Dear all: hi", False)[0] == "other"
