@@ -5,6 +5,11 @@ document to those; clean text goes at once. The reduced sets are put into partit
 two). In a partition with sets of at most u shingles, an item of q shingles contained by the fraction t
 has Jaccard similarity of at least t*q / (u + (1-t)*q); the number of single-minimum bands is chosen from
 that bound so that a match is missed with probability MISS. Candidates are confirmed by exact shingle counts.
+
+Bands are chosen for each pair of a partition and an item's size. Where an item is so small beside the sets of a
+partition that it would take more than MOST_BANDS of them, it is looked up exactly instead: a set that holds the
+fraction t of it holds one of any (1-t)*q + 1 of its shingles, and those that fewest items have are indexed. So the work
+on a document grows with its set, not with the square of it.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from odolytics.session import cut_lineage
 
 CONTAINMENT = (80, 100)     # shared * 100 >= item size * 80
 MISS = 1e-9
+MOST_BANDS = 512
 MOST_ITEM_SHINGLES = 4_000_000      # 32 MB of hashes sent to every task; more are joined instead
 
 _U = np.uint64
@@ -123,17 +129,20 @@ def reduced_sets(docs: DataFrame, item_shingles: DataFrame) -> DataFrame:
     )
 
 
-def _doc_keys(hashes_of_class: dict[int, int]):
+def _doc_keys(hashes_of_class: dict[int, int], exact: set[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for doc_id, row in zip(batch.column("doc_id"), batch.column("shingles")):
+            ids, sets, keys = [], [], []
+            for doc_id, number, row in zip(batch.column("doc_id"), batch.column("doc_set"), batch.column("shingles")):
                 shingles = np.array(row.as_py(), dtype=np.int64).view(_U)
                 c = _classes(len(shingles))
                 ids.append(doc_id.as_py())
-                keys.append(_keys(shingles, hashes_of_class[c], c).view(np.int64))
+                sets.append(number.as_py())
+                found = _keys(shingles, hashes_of_class[c], c)
+                found = np.concatenate((found, tokens.mix(shingles.copy()))) if c in exact else found
+                keys.append(found.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "keys"]
+                [pa.array(ids, pa.int64()), pa.array(sets, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "doc_set", "keys"]
             )
 
     return run
@@ -142,21 +151,36 @@ def _doc_keys(hashes_of_class: dict[int, int]):
 def _item_keys(classes: list[int], containment: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for item_id, row in zip(batch.column("item_id"), batch.column("shingles")):
+            ids, sets, keys = [], [], []
+            for item_id, number, row, rare in zip(*(batch.column(c) for c in ("item_id", "item_set", "shingles", "rare"))):
                 shingles = np.array(row.as_py(), dtype=np.int64).view(_U)
-                for c in classes:
-                    if 2**c * containment[1] < containment[0] * len(shingles):
-                        continue        # sets of this partition are too small to hold enough of the item
+                # Sets of a partition may be too small to hold enough of the item.
+                bands = {c: bands_for(c, len(shingles), containment) for c in classes if 2**c * containment[1] >= containment[0] * len(shingles)}
+                found = [_keys(shingles, n, c) for c, n in bands.items() if n <= MOST_BANDS]
+                if any(n > MOST_BANDS for n in bands.values()):
+                    found.append(tokens.mix(np.array(rare.as_py(), dtype=np.int64).view(_U)))
+                if found:
                     ids.append(item_id.as_py())
-                    keys.append(_keys(shingles, bands_for(c, len(shingles), containment), c).view(np.int64))
+                    sets.append(number.as_py())
+                    keys.append(np.concatenate(found).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["item_id", "keys"]
+                [pa.array(ids, pa.int64()), pa.array(sets, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["item_id", "item_set", "keys"]
             )
 
     return run
 
 
+def _with_rare(item_sets: DataFrame, containment: tuple[int, int]) -> DataFrame:
+    """Items with the shingles that fewest items have, as many as no set can lack that holds enough of the item."""
+    each = item_sets.select("item_id", "item_set", F.explode("shingles").alias("s"))
+    shared = each.groupBy("s").agg(F.count("*").alias("n_items"))
+    ordered = each.join(shared, "s").groupBy("item_id", "item_set").agg(F.array_sort(F.collect_list(F.struct("n_items", "s"))).alias("ordered"))
+    size = F.size("ordered")
+    needed = F.ceil(size * F.lit(containment[0]) / F.lit(containment[1])).cast("int")
+    rare = ordered.select("item_id", "item_set", F.transform(F.slice("ordered", F.lit(1), size - needed + 1), lambda o: o["s"]).alias("rare"))
+    return item_sets.join(rare, ["item_id", "item_set"])
+
+
 def contained_items(docs: DataFrame, items: DataFrame, containment: tuple[int, int] = CONTAINMENT) -> DataFrame:
     """``doc_id, item_id, n_item, n_shared, containment`` for every item that a document holds.
 
@@ -168,25 +192,32 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: tuple[int, i
     item_sets = cut_lineage(
         bounded(items).where("item_id IS NOT NULL").select("item_id", "text")
         .mapInArrow(_set_rows("item_id"), "item_id long, shingles array<long>").dropDuplicates(["item_id", "shingles"])
+        .withColumn("item_set", F.xxhash64("shingles"))
     )
-    reduced = cut_lineage(reduced_sets(docs, item_sets.select(F.explode("shingles").alias("s"))).dropDuplicates(["doc_id", "shingles"]))
+    reduced = reduced_sets(docs, item_sets.select(F.explode("shingles").alias("s"))).dropDuplicates(["doc_id", "shingles"])
+    reduced = cut_lineage(reduced.withColumn("doc_set", F.xxhash64("shingles")))
     size_class = F.ceil(F.log2(F.size("shingles").cast("double"))).cast("int")
     classes = sorted(r[0] for r in reduced.select(size_class.alias("c")).distinct().collect())   # at most 31
-    smallest = item_sets.agg(F.min(F.size("shingles"))).first()[0]
+    smallest, largest = item_sets.agg(F.min(F.size("shingles")), F.max(F.size("shingles"))).first()
     if smallest is None or not classes:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_item long, n_shared long, containment double")
     # The smallest item needs the most hash functions; the larger items use the first few of the same ones.
-    hashes_of_class = {c: bands_for(c, smallest, containment) for c in classes}
-    doc_keys = reduced.mapInArrow(_doc_keys(hashes_of_class), "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
-    item_keys = item_sets.mapInArrow(_item_keys(classes, containment), "item_id long, keys array<long>").select(
-        "item_id", F.explode("keys").alias("key")
-    )
-    candidates = doc_keys.join(item_keys, "key").select("doc_id", "item_id").distinct()
-    both = candidates.join(reduced.withColumnRenamed("shingles", "held"), "doc_id").join(
-        item_sets.withColumnRenamed("shingles", "item"), "item_id"
+    hashes_of_class = {
+        c: min(bands_for(c, smallest, containment), MOST_BANDS) if bands_for(c, largest, containment) <= MOST_BANDS else 0 for c in classes
+    }
+    exact = {c for c in classes if bands_for(c, smallest, containment) > MOST_BANDS}
+    doc_keys = reduced.mapInArrow(_doc_keys(hashes_of_class, exact), "doc_id long, doc_set long, keys array<long>").select(
+        "doc_id", "doc_set", F.explode("keys").alias("key")
     )
-    shared = F.size(F.array_intersect("held", "item")).cast("long")
-    counted = both.select("doc_id", "item_id", F.size("item").cast("long").alias("n_item"), shared.alias("n_shared"))
+    item_keys = _with_rare(item_sets, containment).mapInArrow(
+        _item_keys(classes, containment), "item_id long, item_set long, keys array<long>"
+    ).select("item_id", "item_set", F.explode("keys").alias("key"))
+    pair = ["doc_id", "doc_set", "item_id", "item_set"]
+    candidates = doc_keys.join(item_keys, "key").select(*pair).distinct()
+    # Shingle by shingle: a large set is not copied for every item it may hold.
+    asked = candidates.join(item_sets.select("item_id", "item_set", F.size("shingles").cast("long").alias("n_item"), F.explode("shingles").alias("s")), ["item_id", "item_set"])
+    held = reduced.select("doc_id", "doc_set", F.explode("shingles").alias("s"))
+    counted = asked.join(held, ["doc_id", "doc_set", "s"]).groupBy(*pair).agg(F.first("n_item").alias("n_item"), F.count("*").alias("n_shared"))
     return (
         counted.where(F.col("n_shared") * containment[1] >= F.col("n_item") * containment[0])
         .groupBy("doc_id", "item_id").agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared"))

@@ -37,10 +37,11 @@ _U = np.uint64
 
 @dataclass
 class Landmarks:
-    """The n-grams of the landmarks, a table to find them, and the map from kernel values to features."""
+    """The n-grams of the landmarks, in order, a table to find them, and the map from kernel values to features."""
 
     codes: np.ndarray           # order and bytes of each n-gram, as one number
-    table: np.ndarray           # slot -> n-gram number, -1 for none
+    table: np.ndarray           # slot -> first of the n-grams that fall on it, -1 for none
+    after: np.ndarray           # n-gram -> the next one on its slot, -1 for none
     presence: np.ndarray        # n-grams x landmarks, zeros and ones
     mapping: np.ndarray         # landmarks x features
 
@@ -71,18 +72,21 @@ def _ngrams(raw: np.ndarray) -> np.ndarray:
 def make_landmarks(texts: list[bytes]) -> Landmarks:
     sets = [_ngrams(np.frombuffer(t, np.uint8)) for t in texts]
     codes = np.unique(np.concatenate(sets)) if sets else np.zeros(0, _U)
-    # Of n-grams that fall on one slot of the table the kernel uses the first only.
-    _, first = np.unique(_slots(codes), return_index=True)
-    codes = codes[np.sort(first)]
-    table = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
-    table[_slots(codes)] = np.arange(len(codes))
+    # N-grams that fall on one slot of the table are a chain.
+    slots = _slots(codes)
+    order = np.argsort(slots, kind="stable")
+    first = np.ones(len(codes), dtype=bool)
+    first[1:] = slots[order][1:] != slots[order][:-1]
+    table, after = np.full(1 << TABLE_BITS, -1, dtype=np.int32), np.full(len(codes), -1, dtype=np.int32)
+    table[slots[order][first]] = order[first]
+    after[order[:-1][~first[1:]]] = order[1:][~first[1:]]
     presence = np.stack([np.isin(codes, s) for s in sets], axis=1).astype(np.float32)
     kernel = (presence.T @ presence).astype(np.float64)
     size = np.sqrt(np.maximum(np.diag(kernel), 1.0))
     values, vectors = np.linalg.eigh(kernel / size[:, None] / size[None, :])
     good = values > 1e-6 * values.max()
     mapping = (vectors[:, good] / np.sqrt(values[good])) / size[:, None]
-    return Landmarks(codes, table, presence, mapping.astype(np.float32))
+    return Landmarks(codes, table, after, presence, mapping.astype(np.float32))
 
 
 def features(landmarks: Landmarks, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -98,9 +102,11 @@ def features(landmarks: Landmarks, raw: np.ndarray, offsets: np.ndarray) -> np.n
                 for order in ORDERS:
                     codes = _codes(body[at : at + tokens.PIECE_BYTES + order - 1], order)
                     number = landmarks.table[_slots(codes)]
-                    known = number >= 0
-                    number = number[known]
-                    x[i, number[landmarks.codes[number] == codes[known]]] = 1.0
+                    while (open_ := number >= 0).any():
+                        codes, number = codes[open_], number[open_]
+                        same = landmarks.codes[number] == codes
+                        x[i, number[same]] = 1.0
+                        codes, number = codes[~same], landmarks.after[number[~same]]
         z = (x @ landmarks.presence) @ landmarks.mapping
         length = np.linalg.norm(z, axis=1, keepdims=True)
         out[top : top + len(rows)] = z / np.where(length > 0, length, 1.0)

@@ -553,3 +553,50 @@ def test_stages_take_odd_and_empty_tables(spark, odd, nothing, folder, stage):
         if stage is not stages.mixed:
             assert found.columns == docs.columns
         assert found.count() <= docs.count()
+
+
+def test_a_document_that_holds_a_very_large_benchmark(spark):
+    """200,000 held shingles, and an item of one shingle among them, in well under a minute of one task."""
+    import time
+
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(24))) for i in range(10_000)] + [(20_000, "one two three four five"), (20_001, "one two three four six")]
+    whole = " ".join(t for i, t in items if i < 20_001)
+    docs = [(1, whole), (2, items[7][1] + " and more words"), (3, " ".join(items[7][1].split()[:12])), (4, "one two three four five")]
+    table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    begun = time.time()
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contained_items(*table).collect()}
+    assert time.time() - begun < 60
+    assert found == {(1, i) for i in [*range(10_000), 20_000]} | {(2, 7), (4, 20_000)}
+
+
+def test_items_are_found_by_bands_and_exactly_alike(spark, monkeypatch):
+    dice = random.Random(12)
+    words = [f"v{i}" for i in range(60)]
+    items = [(i, " ".join(dice.choice(words) for _ in range(dice.choice([3, 6, 15, 40, 90])))) for i in range(60)]
+    docs = [(d, " ".join(" ".join(t.split()[: dice.choice([2, 30, 100])]) for _, t in dice.sample(items, dice.randrange(1, 12)))) for d in range(60)]
+    table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    sets = {d: brute.shingles(t) for d, t in docs}, {i: brute.shingles(t) for i, t in items}
+    want = {(d, i) for d, a in sets[0].items() for i, b in sets[1].items() if b and len(a & b) * 100 >= len(b) * 80}
+    for most in (0, 20, 100_000):
+        monkeypatch.setattr(decontaminate, "MOST_BANDS", most)
+        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contained_items(*table).collect()} == want
+
+
+@pytest.mark.parametrize("bits", [4, 20])
+def test_kernel_counts_every_shared_ngram(monkeypatch, bits):
+    """Also those that fall on one slot of the table."""
+    monkeypatch.setattr(language, "TABLE_BITS", bits)
+    dice = random.Random(bits)
+    texts = ["".join(dice.choice("abc dé") for _ in range(dice.randrange(4, 60))).encode() for _ in range(30)]
+    marks = language.make_landmarks(texts[:10])
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *[len(t) for t in texts]])
+
+    def grams(t):
+        return {t[i : i + n] for n in language.ORDERS for i in range(len(t) - n + 1)}
+
+    kernel = np.array([[len(grams(a) & grams(b)) for b in texts[:10]] for a in texts], float)
+    z = kernel @ marks.mapping
+    want = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-30)
+    np.testing.assert_allclose(language.features(marks, raw, offsets), want, atol=1e-4)
+    assert len(marks.codes) == len(set().union(*map(grams, texts[:10])))
