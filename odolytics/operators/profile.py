@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odolytics.functions.columns import broadcast_if_small, count_true, long_form, ratio, rows_from_structs
+from odolytics.functions.columns import broadcast_if_small, count_true, ratio, rows_from_structs
+from odolytics.functions.counts import bin_counts
 from odolytics.functions.quantiles import quantile_values
+from odolytics.session import cut_lineage
 
 IMBALANCED_OVER = 3.0
 STRONG_CORRELATION, SOME_CORRELATION = 0.15, 0.10
@@ -113,27 +115,36 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> D
 
 
 def class_histogram(df: DataFrame, columns: Sequence[str], label: str = "label", bins: int = 30) -> DataFrame:
-    """Equal-width bins between each class's own smallest and largest value, empty bins included."""
-    values = long_form(df, [label], columns).where(F.col("value").isNotNull())
+    """Equal-width bins between each class's own smallest and largest value, empty bins included.
+
+    One scan finds the spans, one counts: bin numbers of all columns stand side by side in a row.
+    """
     spans = long_span(df, columns, label)
     same = F.col("low") == F.col("high")
-    spans = spans.select(
-        label, "feature",
+    spans = cut_lineage(spans.select(
+        F.col(label).alias("label"), "feature",
         F.when(same, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
         F.when(same, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
+    ).where("label IS NOT NULL"))
+    # One row per class, with the span of every column: small whatever the table holds.
+    wide = spans.groupBy("label").agg(
+        *[F.max(F.when(F.col("feature") == c, F.struct("low", "high"))).alias(f"span_{i}") for i, c in enumerate(columns)]
     )
-    # One row per class and feature: small whatever the table holds.
-    placed = values.join(broadcast_if_small(spans), [label, "feature"])
-    position = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * F.lit(bins))
-    counts = placed.groupBy(label, "feature", F.least(position, F.lit(bins - 1)).cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
+    values = df.select(F.col(label).alias("label"), *[F.col(c).cast("double").alias(f"v_{i}") for i, c in enumerate(columns)])
+    placed = values.join(broadcast_if_small(wide), "label")
+
+    def position(i: int):
+        low, high = F.col(f"span_{i}.low"), F.col(f"span_{i}.high")
+        place = F.floor((F.col(f"v_{i}") - low) / (high - low) * F.lit(bins))
+        return F.when(place.isNotNull(), F.least(place, F.lit(bins - 1)).cast("int"))
+
+    counts = bin_counts(placed.select("label", *[position(i).alias(c) for i, c in enumerate(columns)]), "label", columns)
     grid = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("high") - F.col("low")) / F.lit(bins)
-    return grid.join(counts, [label, "feature", "bin"], "left").select(
-        F.col(label).alias("label"), "feature", "bin",
+    return grid.join(counts, ["label", "feature", "bin"], "left").select(
+        "label", "feature", "bin",
         (F.col("low") + F.col("bin") * width).alias("bin_start"),
-        F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"),
     )
 
 

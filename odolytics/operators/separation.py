@@ -12,7 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odolytics.functions.columns import broadcast_if_small, count_true, long_form, ratio_or_zero, rows_from_structs
+from odolytics.functions.columns import broadcast_if_small, count_true, ratio_or_zero, rows_from_structs
+from odolytics.functions.counts import bin_counts
 from odolytics.functions.quantiles import quantile_values
 from odolytics.operators.profile import high_corr_pairs
 from odolytics.session import cut_lineage
@@ -209,11 +210,11 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str = "labe
         splitsArray=[[-math.inf, *edges[c], math.inf] for c in columns],
         inputCols=[f"neg_{c}" for c in columns], outputCols=list(columns),
     ).transform(filled.select(label, *[(-F.col(c)).alias(f"neg_{c}") for c in columns]))
-    joint = long_form(binned, [label], columns).groupBy("feature", "value", label).agg(F.count(F.lit(1)).alias("n"))
+    joint = bin_counts(binned, label, columns)
     # From here on there are at most (features x bins x classes) rows.
     n = F.col("n").cast("double")
-    by_bin = F.sum("n").over(Window.partitionBy("feature", "value"))
-    by_class = F.sum("n").over(Window.partitionBy("feature", label))
+    by_bin = F.sum("n").over(Window.partitionBy("feature", "bin"))
+    by_class = F.sum("n").over(Window.partitionBy("feature", "label"))
     total = F.sum("n").over(Window.partitionBy("feature"))
     terms = joint.withColumn("term", n / total * F.log(n * total / (by_bin.cast("double") * by_class)))
     return terms.groupBy("feature").agg(F.sum("term").alias("mi")).orderBy(F.desc("mi"), "feature")

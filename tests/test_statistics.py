@@ -2,12 +2,14 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from odolytics.functions import quantiles
+from odolytics.functions.counts import bin_counts
 from odolytics.functions.quantiles import quantile_values
 from odolytics.operators import evaluation, prepare, profile, separation
 from odolytics.sources import fixtures as X
@@ -243,3 +245,20 @@ def test_binned_density_keeps_its_stated_error(spark):
         for r in (r for r in found if r["group_name"] == name):
             exact = np.exp(-0.5 * ((r["x"] - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi))
             assert abs(r["density"] - exact) <= room
+
+
+def test_bin_counts_in_one_scan(spark):
+    """Missing bins and classes, and many batches; the same counts as one group-by per column."""
+    dice = random.Random(4)
+    rows = [(dice.choice([None, "a", "b"]), dice.choice([None, 0, 1, 7]), dice.randrange(40)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "c string, x int, y int").repartition(7)
+    found = {(r["label"], r["feature"], r["bin"]): r["n"] for r in bin_counts(df, "c", ["x", "y"]).collect()}
+    want = Counter((c, n, v) for c, x, y in rows for n, v in (("x", x), ("y", y)) if v is not None)
+    assert found == want
+    assert bin_counts(df.where("false"), "c", ["x", "y"]).count() == 0
+
+
+def test_histogram_leaves_missing_values_out(spark):
+    df = spark.createDataFrame([(0, 1.0, None), (0, None, None), (0, 3.0, None), (1, 5.0, 2.0), (None, 9.0, 9.0)], "label int, a double, b double")
+    found = {(r["label"], r["feature"]): r["n"] for r in profile.class_histogram(df, ["a", "b"], bins=4).groupBy("label", "feature").agg(F.sum("n_rows").alias("n")).collect()}
+    assert found == {(0, "a"): 2, (1, "a"): 1, (1, "b"): 1}
