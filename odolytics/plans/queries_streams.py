@@ -117,10 +117,10 @@ def stream_enrich(spark, folder):
 
 @query("stream_incremental_sink", FEATURE_ROWS)
 def stream_incremental_sink(spark, folder):
-    """The stream is read twice; the second reading changes nothing. Trips are kept in stretches of a day (the table's
+    """The stream is read twice; the second reading changes nothing. Trips are kept in stretches of a week (the table's
     time unit is the hour)."""
     path = work_path(spark, "stream-sink")
     for _ in range(2):
         stream = jobs.without_end(_stream(spark, folder)).drop(jobs.EVENT_TIME)
-        jobs.run_each_batch(stream, "stream-sink", jobs.upsert_trips(f"{path}/rows", f"{path}/features", X.TIEBREAK, slot=24))
+        jobs.run_each_batch(stream, "stream-sink", jobs.upsert_trips(f"{path}/rows", f"{path}/features", X.TIEBREAK, slot=168))
     return rounded(jobs.latest_trips(spark, f"{path}/features"))

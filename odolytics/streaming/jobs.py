@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from odolytics import schema as S
-from odolytics.functions.columns import broadcast_if_small, flag, magnitude, share
+from odolytics.functions.columns import flag, magnitude, share
 from odolytics.operators import cleaning, fragments, keys, scoring
 from odolytics.session import cut_lineage, work_path
 
@@ -161,19 +161,24 @@ def upsert_trips(
         old = cut_lineage(stored(spark, T.StructType(list(schema)), number, slots.select(S.KEY).distinct(), [S.KEY]))
         ends = old.select(S.KEY, F.coalesce(fragments.SLOT, F.lit(NO_SLOT)).alias("__slot"), F.col("last").alias("ended"))
         begins = slots.select(S.KEY, F.coalesce(fragments.SLOT, F.lit(NO_SLOT)).alias("__slot"), "begins")
-        late = begins.join(ends, same).where("begins <= ended").select(*same)
-        late = cut_lineage(late)
+        met = begins.join(ends, same).withColumn("is_late", F.col("begins") <= F.col("ended"))
+        late = met.where("is_late").select(*same)
+        found = met.agg(F.coalesce(F.max("is_late"), F.lit(False)).alias("late"), F.coalesce(F.min("is_late"), F.lit(True)).alias("all_late")).first()
+        any_late, any_before = found["late"], not found["all_late"]
 
         def keyed(df: DataFrame) -> DataFrame:
             return df.withColumn("__slot", F.coalesce(fragments.SLOT, F.lit(NO_SLOT)))
 
-        any_late = not late.isEmpty()
         current = keyed(new).join(late, same, "left_anti").select(*new.columns) if any_late else new
-        before = keyed(old).join(keyed(current).select(*same), same, "left_semi").select(*new.columns)
-        if not before.isEmpty():
+        if any_before:
+            before = keyed(old).join(keyed(current).select(*same), same, "left_semi").select(*new.columns)
             current = fragments.combine(before.unionByName(current), by).select(*new.columns)
         if any_late:
-            again = keyed(rows).join(broadcast_if_small(late, TRIPS_TO_BROADCAST), same, "left_semi")
+            # Few slots are named in the scan's partition filter; more of them are left to the join.
+            named = [r["__slot"] for r in late.select("__slot").distinct().limit(MOST_NAMED_SLOTS + 1).collect()]
+            if len(named) <= MOST_NAMED_SLOTS and NO_SLOT not in named:
+                rows = rows.where(F.col(fragments.SLOT).isin(named))
+            again = keyed(rows).join(late, same, "left_semi")
             current = current.unionByName(fragments.fold(again.select(*batch.columns), place, tiebreak).select(*new.columns))
         current.write.mode("overwrite").parquet(f"{fragments_path}/batch={number}")
 
@@ -186,7 +191,7 @@ def upsert_trips(
 
 
 NO_SLOT = -(1 << 62)                # stands for the slot of rows without a time
-TRIPS_TO_BROADCAST = 1_000_000      # 8 MB of keys
+MOST_NAMED_SLOTS = 1000
 
 
 def latest_trips(spark: SparkSession, features_path: str) -> DataFrame:
