@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from odolytics import schema as S
 from odolytics.functions.columns import flag, magnitude, share
 from odolytics.operators import cleaning, fragments, keys, scoring
-from odolytics.session import cut_lineage, work_path
+from odolytics.session import cut_lineage, state_on_disk, work_path
 
 EVENT_TIME = "event_time"
 END_KEY = -(1 << 63)        # key of the row that ends an input
@@ -29,7 +29,9 @@ def start(
     """Write a stream to a parquet table. ``progress`` is the stream's checkpoint folder and must stay the
     same across restarts; without ``every`` the query stops when the input is used up."""
     writer = stream.writeStream.format("parquet").outputMode(output).option("checkpointLocation", progress)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start(target)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    with state_on_disk(stream.sparkSession):
+        return writer.start(target)
 
 
 def run_to_table(stream: DataFrame, name: str, path: str | None = None, progress: str | None = None) -> DataFrame:
@@ -205,11 +207,13 @@ def latest_trips(spark: SparkSession, features_path: str) -> DataFrame:
 def run_each_batch(
     stream: DataFrame, name: str, body: Callable[[DataFrame, int], None], progress: str | None = None
 ) -> None:
-    query = (
+    writer = (
         stream.writeStream.foreachBatch(body)
         .option("checkpointLocation", progress or work_path(stream.sparkSession, f"{name}-progress"))
-        .trigger(availableNow=True).start()
+        .trigger(availableNow=True)
     )
+    with state_on_disk(stream.sparkSession):
+        query = writer.start()
     query.awaitTermination()
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import brute
 from odolytics import schema as S
+from odolytics import session
 from odolytics.operators import keys, trips
 from odolytics.plans import etl
 from odolytics.sources import fixtures as X
@@ -69,6 +70,17 @@ def test_rows_out_of_order_within_the_delay_are_put_in_order(spark, tmp_path):
     brute.same({1: last.asDict()}, plain(trips.trip_features(rows.drop("event_time"), tiebreak=X.TIEBREAK)))
 
 
+def test_trip_state_in_a_session_with_the_heap_store(spark, tmp_path):
+    before = spark.conf.get(session.STATE_STORE)
+    spark.conf.set(session.STATE_STORE, session.HEAP_STORE)
+    try:
+        last, rows = trickle(spark, str(tmp_path / "in"), [10, 5, 20], "1 hour")
+        assert spark.conf.get(session.STATE_STORE) == session.HEAP_STORE
+    finally:
+        spark.conf.set(session.STATE_STORE, before)
+    brute.same({1: last.asDict()}, plain(trips.trip_features(rows.drop("event_time"), tiebreak=X.TIEBREAK)))
+
+
 def test_rows_after_the_watermark_are_left_out(spark, tmp_path):
     last, _ = trickle(spark, str(tmp_path / "in"), [10, 100, 200, 5, 300], "1 second")
     assert (last["n_points"], last["n_late"], last["trip_duration_sec"]) == (4, 0, 290)
