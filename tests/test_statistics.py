@@ -247,6 +247,23 @@ def test_binned_density_keeps_its_stated_error(spark):
             assert abs(r["density"] - exact) <= room
 
 
+def test_density_has_a_kernel_for_every_value(spark):
+    """Equal to brute force to the last places, with equal, missing and far values; the binned form to its stated error."""
+    dice = random.Random(11)
+    values = [("wide", dice.gauss(0, 1)) for _ in range(500)] + [("wide", 0.25)] * 40 + [("far", dice.random() + (50 if i == 0 else 0)) for i in range(90)]
+    df = spark.createDataFrame(values + [("wide", None), (None, 1.0), ("one", 2.0)], "g string, x double").repartition(5)
+    exact, binned = separation.class_density(df, "x", "g").collect(), separation.binned_class_density(df, "x", "g").collect()
+    assert len(exact) == len(binned) == 400
+    for rows, off in ((exact, 1e-14), (binned, None)):
+        for name in ("wide", "far"):
+            x = np.array([v for g, v in values if g == name])
+            h = x.std(ddof=1) * len(x) ** -0.2
+            room = off or 1 / (8 * separation.NODES ** 2 * math.sqrt(2 * math.pi) * h) + 1e-15
+            for r in (r for r in rows if r["group_name"] == name):
+                want = np.exp(-0.5 * ((r["x"] - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi))
+                assert abs(r["density"] - want) <= room
+
+
 def test_bin_counts_in_one_scan(spark):
     """Missing bins and classes, and many batches; the same counts as one group-by per column."""
     dice = random.Random(4)
