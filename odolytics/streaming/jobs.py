@@ -149,8 +149,9 @@ def upsert_trips(
         place = fragments.slot_of(slot)
         kept = batch.where(F.col(S.KEY).isNotNull()).withColumn(fragments.SLOT, place)
         kept.write.mode("overwrite").partitionBy(fragments.SLOT).parquet(f"{rows_path}/batch={number}")
-        rows = spark.read.schema(kept.schema.add("batch", "long")).parquet(rows_path).where(F.col("batch") <= number)
-        new = fragments.fold(rows.where(F.col("batch") == number).select(*batch.columns), place, tiebreak)
+        # This batch's folder alone: older ones are listed only if rows are late.
+        fresh = spark.read.schema(T.StructType(list(kept.schema))).parquet(f"{rows_path}/batch={number}")
+        new = fragments.fold(fresh.select(*batch.columns), place, tiebreak)
         new = new.select(S.KEY, fragments.SLOT, *[c for c in new.columns if c not in (S.KEY, fragments.SLOT)])
         new = cut_lineage(new)
         by = [S.KEY, fragments.SLOT]
@@ -177,6 +178,7 @@ def upsert_trips(
             current = fragments.combine(before.unionByName(current), by).select(*new.columns)
         if any_late:
             # Few slots are named in the scan's partition filter; more of them are left to the join.
+            rows = spark.read.schema(T.StructType(list(kept.schema)).add("batch", "long")).parquet(rows_path).where(F.col("batch") <= number)
             named = [r["__slot"] for r in late.select("__slot").distinct().limit(MOST_NAMED_SLOTS + 1).collect()]
             if len(named) <= MOST_NAMED_SLOTS and NO_SLOT not in named:
                 rows = rows.where(F.col(fragments.SLOT).isin(named))

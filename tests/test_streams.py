@@ -7,7 +7,7 @@ import brute
 from odolytics import schema as S
 from odolytics import session
 from odolytics.operators import keys, trips
-from odolytics.plans import etl
+from odolytics.plans import etl, queries_streams
 from odolytics.sources import fixtures as X
 from odolytics.sources import readers, writers
 from odolytics.streaming import jobs, trip_state
@@ -232,3 +232,24 @@ def test_sink_keeps_trips_spread_over_batches_complete(spark, folder, split_even
     brute.same(
         plain(jobs.latest_trips(spark, features)), plain(trips.trip_features(X.sensor(spark, folder), tiebreak=X.TIEBREAK)), 8
     )
+
+
+def test_triggers_follow_the_pieces_not_the_tasks_that_wrote_them(spark, folder, tmp_path):
+    """A table of many files: every piece is written by several tasks, and still read by one trigger."""
+    events = X.table(spark, folder, "events")
+    events.repartition(8).write.parquet(str(tmp_path / "events.parquet"))
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        source = queries_streams._stream(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+    files, batches = [], []
+
+    def body(batch, number):
+        batches.append(batch.count())
+        files.append(len(batch.select(F.input_file_name()).distinct().collect()))
+
+    jobs.run_each_batch(source, "pieces", body)
+    assert max(files) > 1 and len(batches) <= 5
+    assert sum(batches) == events.count() + 1
