@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -115,3 +116,25 @@ def test_one_class_no_rows_and_missing_labels(spark):
     mixed = made(60, 6)
     model = train_boosted(frame(spark, mixed + [(99, None, 50.0, 0.0, 0.0, 1.0)]), FEATURES, rounds=1, rows=1.0)
     assert model.trees[0].rows[0] == 60
+
+
+def test_a_pass_is_shuffled_into_as_many_parts_as_its_sums_need(spark, monkeypatch):
+    """One part for few sums, more for many, up to the session's; the same sums however they are dealt."""
+    rng = np.random.default_rng(3)
+    rows = [(i, float(i % 2), 1.0, 0.0, bytearray(rng.integers(0, 16, 3, dtype=np.uint8).tobytes())) for i in range(400)]
+    table = spark.createDataFrame(rows, boosting._TABLE).repartition(3)
+    work = boosting._Pass([], boosting.Tree(), [0], 3, Settings(bins=16, rows=1.0), 0)
+    found = []
+    for most, parts in ((boosting.SUM_ROWS, 1), (100, 2), (1, 4)):
+        monkeypatch.setattr(boosting, "SUM_ROWS", most)
+        sums = boosting._added_up(table, work)
+        plan = sums._jdf.queryExecution().executedPlan().toString()
+        # The other exchange deals the table itself.
+        assert plan.count("Exchange") == 2
+        assert "Exchange SinglePartition" in plan if parts == 1 else re.search(rf"hashpartitioning\(cell#\d+L?, {parts}\)", plan)
+        found.append(next(boosting._sums(table, work)))
+    bins = np.array([list(r[4]) for r in rows])
+    want = np.array([np.bincount(bins[:, j], minlength=16) for j in range(3)])
+    for each in found:
+        np.testing.assert_array_equal(each[2], want)
+        np.testing.assert_allclose(each[0], found[0][0], atol=1e-9)
