@@ -7,7 +7,7 @@
    agrees with it to the left or to the right of the gram: then they may share windows, and it is still open. Equal runs within one group
    of documents are settled there, so a very common passage sends one entry per group.
 3. *Suffix order.* Open strings are dealt out by key. A task builds the Burrows-Wheeler transform and the common
-   prefixes of its strings column by column (see ``bwt``). Suffixes whose common prefix is at least 50 share
+   prefixes of its strings some columns at a time (see ``bwt``). Suffixes whose common prefix is at least 50 share
    a window; the least id over such a stretch is the window's first document.
 4. *Spans.* Whole runs and stretches of windows first seen under a smaller id are joined up per document.
 
@@ -42,8 +42,9 @@ SHARD_BYTES = 8 << 20       # text per shard
 GROUP_BYTES = 4 << 20       # text whose equal runs are settled together
 SIDE = (WINDOW - GRAM) // 2         # 50 bytes around a 20-byte gram hold 15 on one side of it or on the other
 NO_SIDE, ANY_SIDE = 0, 255
-RUNS_AT_ONCE = 4096         # runs whose grams are looked at together
-COLLECTION_BYTES = 128 << 10    # text ordered at once, if keys allow
+RUNS_AT_ONCE = 16384        # runs whose strings are cut out together
+TOGETHER_BYTES = 256 << 10  # short texts looked at together
+COLLECTION_BYTES = 32 << 10 # text ordered at once, if keys allow
 HOT_STRINGS = 50_000        # open runs of one key that are ordered in one task
 NO_ID = np.iinfo(np.int64).max
 
@@ -60,64 +61,122 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def _pieces(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that add up to so many bytes at most; a longer text is a range of its own."""
+    at = 0
+    while at < len(offsets) - 1:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield at, to
+        at = to
+
+
+def _runs_of(raw: np.ndarray, offsets: np.ndarray, with_gram: bool = False) -> tuple[np.ndarray, ...]:
+    """Text, key, first window and number of windows of each run of many texts, first windows counted from the
+    text's start; if asked for also a hash of its string and the sides of its gram (see ``_sides``)."""
+    found = []
+    for low, high in _pieces(offsets, min(TOGETHER_BYTES, tokens.PIECE_BYTES)):
+        bounds = offsets[low : high + 1] - offsets[low]
+        part = raw[offsets[low] : offsets[high]]
+        prefix = tokens.prefix_hashes(part) if with_gram else None
+        for at in range(0, len(part) - WINDOW + 1, tokens.PIECE_BYTES):
+            row, key, first, size, gram = _piece_runs(part, bounds, at, prefix, with_gram)
+            out = [row + low, key, first - bounds[row], size]
+            if with_gram:
+                out += [tokens.stretch_hashes(prefix, first, first + size + WINDOW - 1), _sides(prefix, gram, bounds[row], bounds[row + 1])]
+            found.append(out)
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none.view(_U), none, none, *([none.view(_U), np.zeros((2, 0), np.uint8)] if with_gram else [])
+    return tuple(np.concatenate(x, axis=-1) for x in zip(*found))
+
+
+def _piece_runs(part: np.ndarray, bounds: np.ndarray, at: int, prefix: np.ndarray | None, with_gram: bool) -> tuple[np.ndarray, ...]:
+    """Text, key, first window, number of windows and place of the gram of each run that begins in one piece."""
+    piece = part[at : at + tokens.PIECE_BYTES + WINDOW - 1]
+    whole = prefix is not None and len(piece) == len(part)
+    hashes = tokens.gram_hashes(prefix if whole else tokens.prefix_hashes(piece), GRAM)
+    least = _smallest(hashes, MOST_WINDOWS)
+    # A text's windows stop 49 bytes before it does. Only a text on its own is longer than a piece.
+    starts = np.maximum(bounds[:-1] - at, 0)
+    stops = np.maximum(np.minimum(bounds[1:] - at, len(piece)) - WINDOW + 1, starts)
+    head = np.concatenate(([True], least[1:] != least[:-1]))
+    head[starts[starts < len(least)]] = True
+    head[stops[stops < len(least)]] = True
+    first = np.flatnonzero(head)
+    size = np.diff(np.append(first, len(least)))
+    row = np.searchsorted(starts, first, "right") - 1
+    real = first < stops[row]
+    first, size, row = first[real], size[real], row[real]
+    pieces = -(-size // MOST_WINDOWS)
+    if len(pieces) and pieces.max() > 1:
+        inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first = np.repeat(first, pieces) + inner * MOST_WINDOWS
+        size = np.minimum(np.repeat(size, pieces) - inner * MOST_WINDOWS, MOST_WINDOWS)
+        row = np.repeat(row, pieces)
+    key = least[first]
+    gram = _only_places(hashes, least, key, first, size, at) if with_gram else first
+    return row, key, first + at, size, gram
+
+
 def _runs(raw: np.ndarray, with_gram: bool = False) -> tuple[np.ndarray, ...]:
     """Key, first window and number of windows of each run of one text; if asked for also where its gram stands
     (-1: in several places, be they in all of its windows or in some only)."""
-    if len(raw) < WINDOW:
+    bounds = np.array([0, len(raw)])
+    found = [_piece_runs(raw, bounds, at, None, with_gram)[1:] for at in range(0, len(raw) - WINDOW + 1, tokens.PIECE_BYTES)]
+    if not found:
         return np.zeros(0, _U), *[np.zeros(0, np.int64)] * (3 if with_gram else 2)
-    keys, firsts, counts, grams = [], [], [], []
-    step = tokens.PIECE_BYTES
-    for at in range(0, len(raw) - WINDOW + 1, step):
-        part = raw[at : at + step + WINDOW - 1]
-        hashes = tokens.gram_hashes(tokens.prefix_hashes(part), GRAM)
-        least = _smallest(hashes, MOST_WINDOWS)
-        first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-        size = np.diff(np.append(first, len(least)))
-        pieces = -(-size // MOST_WINDOWS)
-        if pieces.max() > 1:
-            inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            first = np.repeat(first, pieces) + inner * MOST_WINDOWS
-            size = np.minimum(np.repeat(size, pieces) - inner * MOST_WINDOWS, MOST_WINDOWS)
-        if with_gram:
-            grams.append(_only_places(hashes, least[first], first, size, at))
-        keys.append(least[first])
-        firsts.append(first + at)
-        counts.append(size)
-    found = (keys, firsts, counts, grams) if with_gram else (keys, firsts, counts)
-    return tuple(np.concatenate(x) for x in found)
-
-
-def _only_places(hashes: np.ndarray, key: np.ndarray, first: np.ndarray, size: np.ndarray, at: int) -> np.ndarray:
+    return tuple(np.concatenate(x) for x in list(zip(*found))[: 4 if with_gram else 3])
+
+
+def _only_places(hashes: np.ndarray, least: np.ndarray, key: np.ndarray, first: np.ndarray, size: np.ndarray, at: int) -> np.ndarray:
     """Where in the windows of each run its gram stands, plus ``at``; -1 if any window may hold it twice.
 
     All grams of all windows count: of two places one may lie outside of some windows, and another text that has
     only those windows then knows a different place.
     """
-    width, out = 2 * MOST_WINDOWS - 1, np.empty(len(first), dtype=np.int64)
-    padded = np.concatenate((hashes, np.zeros(MOST_WINDOWS, _U)))
-    grams = np.lib.stride_tricks.as_strided(padded, (len(padded) - width + 1, width), padded.strides * 2, writeable=False)
-    for top in range(0, len(first), RUNS_AT_ONCE):
-        f, n, k = (x[top : top + RUNS_AT_ONCE] for x in (first, size, key))
-        hit = (grams[f] == k[:, None]) & (np.arange(width) < (n + MOST_WINDOWS - 1)[:, None])
-        out[top : top + RUNS_AT_ONCE] = np.where(hit.sum(axis=1) == 1, f + hit.argmax(axis=1) + at, -1)
-    return out
-
-
-def _sides(prefix: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """A byte each for the SIDE bytes before and behind a run's gram.
+    if not len(first):
+        return first
+    # Only a gram that is the least of some window it is in can be a run's.
+    beyond = np.full(MOST_WINDOWS - 1, ~_U(0))
+    places = np.flatnonzero(~_smallest(np.concatenate((beyond, ~least, beyond)), MOST_WINDOWS) == hashes)
+    low, high = np.searchsorted(places, first), np.searchsorted(places, first + size + MOST_WINDOWS - 1)
+    count = high - low
+    begin = np.cumsum(count) - count
+    place = places[np.arange(count.sum()) + np.repeat(low - begin, count)]
+    hit = hashes[place] == np.repeat(key, count)
+    return np.where(np.add.reduceat(hit.astype(np.int64), begin) == 1, np.add.reduceat(place * hit, begin) + at, -1)
+
+
+def _sides(prefix: np.ndarray, gram: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A byte each for the SIDE bytes before and behind a run's gram, in a text that reaches from ``low`` to ``high``.
 
     Strings that share a gram share a window only if they agree on one of the sides. A side the text is too
     short for agrees with nothing (NO_SIDE); a gram in several places may agree with everything (ANY_SIDE).
     """
     out = np.full((2, len(gram)), ANY_SIDE, dtype=np.uint8)
     for side, start in enumerate((gram - SIDE, gram + GRAM)):
-        fits = (gram >= 0) & (start >= 0) & (start + SIDE < len(prefix))
+        fits = (gram >= 0) & (start >= low) & (start + SIDE <= high)
         value = tokens.stretch_hashes(prefix, start[fits], start[fits] + SIDE) % _U(254)
         out[side, gram >= 0] = NO_SIDE
         out[side, fits] = value.astype(np.uint8) + 1
     return out
 
 
+def _together(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """All texts one after another, and where each starts."""
+    offsets = np.zeros(len(texts) + 1, dtype=np.int64)
+    np.cumsum([len(x) for x in texts], out=offsets[1:])
+    return np.frombuffer(b"".join(texts) if len(texts) > 1 else texts[0], np.uint8), offsets
+
+
+def _cut(values: np.ndarray, count: np.ndarray, where: np.ndarray | None = None) -> pa.Array:
+    """The bytes of so many values a row, one row after another; NULL where not ``where``."""
+    offsets = np.zeros(len(count) + 1, dtype=np.int32)
+    np.cumsum(count * values.itemsize, out=offsets[1:])
+    valid = None if where is None else pa.py_buffer(np.packbits(where, bitorder="little").tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(count), [valid, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, so that small numbers leave long runs of zeros to the compressor."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
@@ -162,18 +221,9 @@ def _deal_runs(shards: int):
     """Packed runs for each shard, from groups of documents of a few megabytes."""
 
     def pack(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        keys, contents, sides, size = [], [], [], []
-        for _, _, raw in rows:
-            key, first, windows, gram = _runs(raw, with_gram=True)
-            prefix = tokens.prefix_hashes(raw)
-            keys.append(key)
-            contents.append(tokens.stretch_hashes(prefix, first, first + windows + WINDOW - 1))
-            sides.append(_sides(prefix, gram))
-            size.append(len(key))
         docs, versions = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
-        key, content, side = np.concatenate(keys), np.concatenate(contents), np.concatenate(sides, axis=1)
-        row = np.repeat(np.arange(len(rows)), size)
-        number = np.concatenate([np.arange(n, dtype=np.uint32) for n in size])
+        row, key, _, _, content, side = _runs_of(*_together([r[2] for r in rows]), with_gram=True)
+        number = (np.arange(len(row)) - np.searchsorted(row, np.arange(len(rows)))[row]).astype(np.uint32)
         # Equal strings in this group of documents: only the least id's go on, the others are settled.
         order = np.lexsort((docs[row], content, key))
         k, c, d = key[order], content[order], docs[row][order]
@@ -243,34 +293,36 @@ def _equal_runs(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             agrees |= (size[group] > 1) & (one != NO_SIDE)
         whole, unsettled = np.zeros(len(doc), dtype=bool), np.zeros(len(doc), dtype=bool)
         whole[order], unsettled[order] = later, ~later & agrees[string]
-    out: dict[str, list] = {"doc_id": [], "version": [], "open": [], "runs": []}
+    parts = []
     for is_open, which in ((False, np.flatnonzero(whole)), (True, np.flatnonzero(unsettled))):
         which = which[np.lexsort((number[which], version[which], doc[which]))]
-        new = (np.diff(doc[which]) != 0) | (np.diff(version[which]) != 0)
-        for part in np.split(which, np.flatnonzero(new) + 1):
-            if len(part):
-                out["doc_id"].append(int(doc[part[0]]))
-                out["version"].append(int(version[part[0]]))
-                out["open"].append(is_open)
-                out["runs"].append(number[part].astype(np.uint32).tobytes())
-    return pa.table([
-        pa.array(out["doc_id"], pa.int64()), pa.array(out["version"], pa.int64()), pa.array(out["open"], pa.bool_()), pa.array(out["runs"], pa.binary())
-    ], names=list(out))
+        d, v = doc[which], version[which]
+        head = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (v[1:] != v[:-1])))[: len(which)])
+        runs = _cut(number[which].astype(np.uint32), np.diff(np.append(head, len(which))))
+        parts.append(pa.table({"doc_id": d[head], "version": v[head], "open": np.full(len(head), is_open), "runs": runs}))
+    return pa.concat_tables(parts)
 
 
 def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All runs of a document: whole ones as ranges of numbers, open ones as numbers."""
     for batch in batches:
-        ranges, left = [], []
-        for found in batch.column("found").to_pylist():
-            number = {o: [np.frombuffer(f["runs"], np.uint32) for f in found if f["open"] == o] for o in (False, True)}
-            n = np.unique(np.concatenate(number[False])).astype(np.int64) if number[False] else np.zeros(0, np.int64)
-            cut = np.flatnonzero(np.diff(n) > 1)
-            ends = np.stack((n[np.concatenate(([0], cut + 1))], n[np.append(cut, len(n) - 1)]), axis=1) if len(n) else n
-            ranges.append(ends.astype(np.uint32).tobytes())
-            left.append(np.unique(np.concatenate(number[True])).astype(np.uint32).tobytes() if number[True] else None)
+        found, n = batch.column("found"), len(batch)
+        parts = found.flatten()
+        data, ends = _bytes_of(parts.field("runs"))
+        values = data.view(np.uint32)
+        row = np.repeat(np.arange(n), pa.compute.list_value_length(found).to_numpy())
+        is_open = parts.field("open").to_numpy(zero_copy_only=False)
+        # Row, open or not, and number as one value, each once and in order.
+        value = np.unique(np.repeat((row * 2 + is_open) << 32, np.diff(ends) // 4) + values)
+        left = value[value >> 32 & 1 == 1]
+        value = value[value >> 32 & 1 == 0]
+        head = np.flatnonzero(np.concatenate(([True], np.diff(value) > 1))[: len(value)])
+        tail = np.append(head[1:], len(value))[: len(head)] - 1
+        ranges = np.stack((value[head], value[tail]), axis=1).astype(np.uint32)
+        count = np.bincount(left >> 33, minlength=n)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("version"), pa.array(ranges, pa.binary()), pa.array(left, pa.binary())],
+            [batch.column("doc_id"), batch.column("version"), _cut(ranges, 2 * np.bincount(value[head] >> 33, minlength=n)),
+             _cut(left.astype(np.uint32), count, count > 0)],
             names=["doc_id", "version", "ranges", "open_runs"],
         )
 
@@ -290,48 +342,58 @@ def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _strings(shards: int):
     """The strings of open runs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor()
-        for batch in batches:
-            keys, firsts, strings, docs, versions = [], [], [], [], []
-            for doc_id, version, body, runs in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "version", "body", "open_runs"))):
-                body = expand.decompress(body)
-                key, first, windows = _runs(np.frombuffer(body, np.uint8))
-                which = np.frombuffer(runs, np.uint32)
-                first, end = first[which], first[which] + windows[which] + WINDOW - 1
-                keys.append(key[which])
-                firsts.append(first)
-                strings += [body[a:b] for a, b in zip(first.tolist(), end.tolist())]
-                docs.append(np.full(len(which), doc_id))
-                versions.append(np.full(len(which), version, dtype=np.int64))
-            if not strings:
-                continue
-            key, first = np.concatenate(keys), np.concatenate(firsts).astype(np.int32)
+    def cut_out(rows: list[tuple[int, int, bytes, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        docs, versions = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
+        raw, offsets = _together([r[2] for r in rows])
+        found = _runs_of(raw, offsets)
+        begin = np.searchsorted(found[0], np.arange(len(rows)))
+        which = np.concatenate([r[3] + b for r, b in zip(rows, begin)])
+        for top in range(0, len(which), RUNS_AT_ONCE):
+            row, key, first, windows = (x[which[top : top + RUNS_AT_ONCE]] for x in found)
+            size = windows + WINDOW - 1
+            place = np.arange(size.sum()) + np.repeat(offsets[row] + first - np.cumsum(size) + size, size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((key % _U(shards)).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(np.concatenate(docs)),
-                 pa.array(np.concatenate(versions)), pa.array(first), pa.array(strings, pa.binary())],
+                [pa.array((key % _U(shards)).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(docs[row]),
+                 pa.array(versions[row]), pa.array(first.astype(np.int32)), _cut(raw[place], size)],
                 names=["shard", "key", "doc_id", "version", "first", "string"],
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            rows, size = [], 0
+            for doc_id, version, body, runs in zip(*(batch.column(n) for n in ("doc_id", "version", "body", "open_runs"))):
+                rows.append((doc_id.as_py(), version.as_py(), expand.decompress(body.as_py()), np.frombuffer(runs.as_py(), np.uint32)))
+                size += len(rows[-1][2])
+                if size >= GROUP_BYTES:
+                    yield from cut_out(rows)
+                    rows, size = [], 0
+            if rows:
+                yield from cut_out(rows)
+
     return run
 
 
-def first_seen(strings: list[bytes], holders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def first_seen(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, holders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every window of every string the least holder: (string, offset, least), from the suffix order."""
-    text = np.frombuffer(b"".join(strings), np.uint8)
-    ends = np.cumsum([len(s) for s in strings])
-    starts = ends - np.array([len(s) for s in strings])
-    which, offset, common = collection_bwt(text, starts, ends, WINDOW)
-    full = (ends - starts)[which] - offset >= WINDOW
-    stretch = np.cumsum(common < WINDOW) - 1
-    which, offset, stretch = which[full], offset[full], stretch[full]
+    which, offset, common = collection_bwt(text, starts, ends, WINDOW, shortest=WINDOW)
     if not len(which):
         return which, offset, holders[:0]
-    head = np.flatnonzero(np.concatenate(([True], stretch[1:] != stretch[:-1])))
+    head = np.flatnonzero(common < WINDOW)
     least = np.minimum.reduceat(holders[which], head)
     return which, offset, np.repeat(least, np.diff(np.append(head, len(which))))
 
 
+def _bytes_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column one after another, and where each row starts."""
+    column = column.cast(pa.large_binary())
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 SPAN_SCHEMA = "doc_id long, version long, a int, b int"
 
 
@@ -339,14 +401,15 @@ def _order_shard(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Spans of windows that a smaller id has, from the suffix order of a shard's strings."""
     table = table.sort_by("key")
     doc, first, key = (table.column(c).to_numpy() for c in ("doc_id", "first", "key"))
-    strings = table.column("string").to_pylist()
+    text, bounds = _bytes_of(table.column("string"))
     # Strings of different keys share no window: small collections stay in the processor's cache.
-    reach = np.cumsum([len(x) for x in strings]) // COLLECTION_BYTES
-    cuts = np.flatnonzero((key[1:] != key[:-1]) & (reach[1:] != reach[:-1])) + 1
-    bounds = [0, *cuts.tolist(), len(strings)]
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    block = bounds[head] // COLLECTION_BYTES
+    cuts = head[1:][block[1:] != block[:-1]]
     parts = []
-    for at, to in zip(bounds[:-1], bounds[1:]):
-        which, offset, least = first_seen(strings[at:to], doc[at:to])
+    for at, to in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+        low, high = bounds[at], bounds[to]
+        which, offset, least = first_seen(text[low:high], bounds[at:to] - low, bounds[at + 1 : to + 1] - low, doc[at:to])
         parts.append((which + at, offset, least))
     which, offset, least = (np.concatenate(x) for x in zip(*parts))
     gone = least < doc[which]
@@ -414,20 +477,33 @@ def joined_up(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[at], reach[np.append(at[1:], len(a)) - 1]
 
 
+def _whole_runs(raw: np.ndarray, offsets: np.ndarray, ranges: pa.Array) -> dict[int, np.ndarray]:
+    """Begins and ends of the ranges of runs that go as a whole, for each text that has some."""
+    out = {}
+    size = pa.compute.binary_length(ranges).fill_null(0).to_numpy(zero_copy_only=False)
+    some = np.flatnonzero(size)
+    if len(some):
+        row, _, first, windows = _runs_of(*_together([raw[offsets[i] : offsets[i + 1]] for i in some]))
+        begin = np.searchsorted(row, np.arange(len(some)))
+        for i, b in zip(some.tolist(), begin.tolist()):
+            low, high = np.frombuffer(ranges[i].as_py(), np.uint32).reshape(-1, 2).T.astype(np.int64) + b
+            out[i] = np.stack((first[low], first[high] + windows[high] + WINDOW - 1))
+    return out
+
+
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = tokens.text_bytes(batch.column("text"))
         size, removed, count, digest, kept_text, spans_out = [], [], [], [], [], []
-        for i, (spans, ranges) in enumerate(zip(batch.column("spans"), batch.column("ranges"))):
+        whole = _whole_runs(raw, offsets, batch.column("ranges"))
+        for i, spans in enumerate(batch.column("spans")):
             body = raw[offsets[i] : offsets[i + 1]]
             keep, merged = body, []
             found = []
             if spans.is_valid and len(spans):
                 found.append(np.stack([spans.values.field(n).to_numpy().astype(np.int64) for n in ("a", "b")]))
-            if ranges.is_valid and ranges.as_py():
-                _, first, windows = _runs(body)
-                low, high = np.frombuffer(ranges.as_py(), np.uint32).reshape(-1, 2).T
-                found.append(np.stack((first[low], first[high] + windows[high] + WINDOW - 1)))
+            if i in whole:
+                found.append(whole[i])
             if found:
                 a, b = joined_up(*np.concatenate(found, axis=1))
                 edge = np.zeros(len(body) + 1, dtype=np.int8)

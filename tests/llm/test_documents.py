@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -402,6 +403,59 @@ def test_a_gram_in_some_windows_only_has_no_place():
             assert gram == (places[0] if len(places) == 1 else -1)
 
 
+def test_suffixes_shorter_than_asked_are_left_out():
+    dice = random.Random(3)
+    for alphabet in (b"a", b"ab", bytes(range(60)), bytes(range(256))):
+        common = bytes(dice.choice(alphabet) for _ in range(90))
+        strings = [common[dice.randrange(40) :][: dice.randint(0, 80)] + bytes([dice.choice(alphabet)]) for _ in range(12)] + [b"", alphabet]
+        ends = np.cumsum([len(s) for s in strings])
+        which, offset, shared = bwt.collection_bwt(
+            np.frombuffer(b"".join(strings), np.uint8), ends - [len(s) for s in strings], ends, 50, shortest=20
+        )
+        expected = sorted(
+            ((s[j:], i, j) for i, s in enumerate(strings) for j in range(len(s) - 19)), key=lambda x: ([b + 1 for b in x[0]] + [0], x[1])
+        )
+        assert list(zip(which, offset)) == [(i, j) for _, i, j in expected]
+        for k, ((a, _, _), (b, _, _)) in enumerate(zip(expected, expected[1:])):
+            assert shared[k + 1] == min(50, next((m for m in range(min(len(a), len(b))) if a[m] != b[m]), min(len(a), len(b))))
+
+
+def test_a_shard_is_ordered_in_small_collections(monkeypatch):
+    """Keys with several strings each: collections end at the next key, not at a key that happens to fill one."""
+    dice, sizes, ordered = random.Random(6), [], suffix_dedup.collection_bwt
+    monkeypatch.setattr(suffix_dedup, "collection_bwt", lambda text, *rest, **more: sizes.append(len(text)) or ordered(text, *rest, **more))
+    monkeypatch.setattr(suffix_dedup, "COLLECTION_BYTES", 8 << 10)
+    strings = [("".join(dice.choice("abcdefgh ") for _ in range(60)) + str(k)).encode() for k in range(300) for _ in range(dice.randint(5, 15))]
+    key = np.sort(np.random.default_rng(6).integers(0, 300, len(strings)))
+    table = pa.table({
+        "shard": np.zeros(len(strings), np.int32), "key": key, "doc_id": np.arange(len(strings)), "version": np.zeros(len(strings), np.int64),
+        "first": np.zeros(len(strings), np.int32), "string": pa.array(strings, pa.binary()),
+    })
+    suffix_dedup._order_shard((pa.scalar(0),), table)
+    largest_key = max(sum(len(s) for s, k in zip(strings, key) if k == one) for one in set(key.tolist()))
+    assert sum(sizes) == sum(len(s) for s in strings)
+    assert max(sizes) < (8 << 10) + largest_key
+
+
+def test_runs_of_many_texts_are_those_of_each():
+    dice = random.Random(2)
+    texts = [bytes(dice.choice(b"abcd ") for _ in range(dice.choice([0, 3, 49, 50, 51, 80, 700]))) for _ in range(1500)]
+    texts += [b"-" * 200, b"", bytes(dice.choice(b"abcdefgh") for _ in range(tokens.PIECE_BYTES + 300)), texts[0], b"x" * 50]
+    found = suffix_dedup._runs_of(*suffix_dedup._together(texts), with_gram=True)
+    each = [suffix_dedup._runs(np.frombuffer(t, np.uint8), with_gram=True) for t in texts]
+    assert found[0].tolist() == [i for i, e in enumerate(each) for _ in e[0]]
+    for k in range(3):
+        assert found[k + 1].tolist() == [x for e in each for x in e[k].tolist()]
+    content = {}
+    for row, first, size, digest in zip(found[0], found[2], found[3], found[4].tolist()):
+        assert content.setdefault(texts[row][first : first + size + suffix_dedup.WINDOW - 1], digest) == digest
+    assert len(set(content.values())) == len(content)
+    for (row, first, gram), sides in zip(((i, f, g) for i, e in enumerate(each) for f, g in zip(e[1], e[3])), found[5].T.tolist()):
+        fits = (gram >= suffix_dedup.SIDE, gram + suffix_dedup.GRAM + suffix_dedup.SIDE <= len(texts[row]))
+        for side, is_in in zip(sides, fits):
+            assert (side == suffix_dedup.ANY_SIDE) == (gram < 0) and (gram < 0 or (side != suffix_dedup.NO_SIDE) == is_in)
+
+
 # --- 7
 
 
