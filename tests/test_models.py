@@ -48,6 +48,15 @@ def test_popular_blocks_are_shared_by_tasks(spark, monkeypatch):
     assert found == neighbours_by_hand(np.arange(150), x, 4)
 
 
+def test_a_share_of_a_popular_block_may_have_no_visitor(spark, monkeypatch):
+    """As many shares as visitors: hashing leaves some of them without one."""
+    monkeypatch.setattr(oversample, "VISITORS_PER_TASK", 1)
+    x = np.random.default_rng(7).normal(size=(60, 2))
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "id long, v array<double>")
+    found = {r["id"]: r["neighbours"] for r in oversample.nearest_neighbours(df, 4, 20).collect()}
+    assert found == neighbours_by_hand(np.arange(60), x, 4)
+
+
 def test_smote_balances_and_interpolates(spark):
     df = clouds(spark)
     out = oversample.smote(df, FEATURES)
