@@ -16,7 +16,7 @@ from odolytics.plans.models_used import SCORED_TRIPS, linear_model
 from odolytics.plans.queries_ingest import AS_OF, FEATURE_ROWS, LIST
 from odolytics.plans.queries_models import DECIDED
 from odolytics.plans.registry import MORE_PLACES, query, rounded
-from odolytics.session import work_path
+from odolytics.session import state_parts, work_path
 from odolytics.sources import fixtures as X
 from odolytics.streaming import jobs, trip_state
 
@@ -87,7 +87,8 @@ def _stream_features(spark, folder):
 @query("stream_trip_features", FEATURE_ROWS)
 def stream_trip_features(spark, folder):
     """The last version of every trip equals the batch features."""
-    return rounded(trip_state.latest(jobs.run_to_table(_stream_features(spark, folder), "stream-features")))
+    versions = jobs.run_to_table(_stream_features(spark, folder), "stream-features", parts=state_parts(spark))
+    return rounded(trip_state.latest(versions))
 
 
 @query("stream_score", f"{SCORED_TRIPS} SELECT {DECIDED} FROM decided")

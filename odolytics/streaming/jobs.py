@@ -24,22 +24,24 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_t
 
 
 def start(
-    stream: DataFrame, target: str, progress: str, every: str | None = None, output: str = "append"
+    stream: DataFrame, target: str, progress: str, every: str | None = None, output: str = "append", parts: int | None = None,
 ) -> StreamingQuery:
     """Write a stream to a parquet table. ``progress`` is the stream's checkpoint folder and must stay the
-    same across restarts; without ``every`` the query stops when the input is used up."""
+    same across restarts; without ``every`` the query stops when the input is used up. ``parts``: see ``state_on_disk``."""
     writer = stream.writeStream.format("parquet").outputMode(output).option("checkpointLocation", progress)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with state_on_disk(stream.sparkSession):
+    with state_on_disk(stream.sparkSession, parts):
         return writer.start(target)
 
 
-def run_to_table(stream: DataFrame, name: str, path: str | None = None, progress: str | None = None) -> DataFrame:
+def run_to_table(
+    stream: DataFrame, name: str, path: str | None = None, progress: str | None = None, parts: int | None = None,
+) -> DataFrame:
     """Process what is available, append it to a table, and read that table. Without paths a fresh table in
     the shared folder is made."""
     spark = stream.sparkSession
     target = path or work_path(spark, name)
-    start(stream, target, progress or work_path(spark, f"{name}-progress")).awaitTermination()
+    start(stream, target, progress or work_path(spark, f"{name}-progress"), parts=parts).awaitTermination()
     return spark.read.schema(stream.schema).parquet(target)
 
 

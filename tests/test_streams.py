@@ -1,5 +1,9 @@
 """Streams fed in several files, and the table jobs around them."""
 
+import types
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,3 +257,77 @@ def test_triggers_follow_the_pieces_not_the_tasks_that_wrote_them(spark, folder,
     jobs.run_each_batch(source, "pieces", body)
     assert max(files) > 1 and len(batches) <= 5
     assert sum(batches) == events.count() + 1
+
+
+def test_state_rows_follow_the_buckets_and_partitions_are_given(spark, folder, split_events, tmp_path):
+    versions = trip_state.trip_features_stream(stream(spark, split_events), "event_id", "1 hour", idle_ms=10**10, buckets=2)
+    query = jobs.start(versions, str(tmp_path / "out"), str(tmp_path / "progress"), parts=3)
+    query.awaitTermination()
+    operator = query.lastProgress["stateOperators"][0]
+    n_trips = X.sensor(spark, folder).select("bookingID").distinct().count()
+    assert operator["numRowsTotal"] <= 3 * 2 < n_trips      # trips, list and timer of a bucket, however many trips it has
+    assert operator["numStateStoreInstances"] % 3 == 0 and spark.conf.get(session.PARTS) == "4"
+    latest = trip_state.latest(spark.read.schema(versions.schema).parquet(str(tmp_path / "out")))
+    brute.same(plain(latest), plain(trips.trip_features(X.sensor(spark, folder), tiebreak=X.TIEBREAK)), 8)
+
+
+class Store:
+    """State variables of one bucket in memory."""
+
+    def __init__(self):
+        self.value, self.rows, self.entries, self.timers = None, [], {}, set()
+
+    def getValueState(self, *_):
+        return types.SimpleNamespace(exists=lambda: self.value is not None, get=lambda: self.value, update=lambda v: setattr(self, "value", v))
+
+    def getListState(self, *_):
+        return types.SimpleNamespace(get=lambda: iter(list(self.rows)), appendValue=self.rows.append, clear=self.rows.clear)
+
+    def getMapState(self, *_):
+        e = self.entries
+        return types.SimpleNamespace(containsKey=e.__contains__, getValue=e.get, updateValue=e.__setitem__, removeKey=e.pop)
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_a_bucket_of_trips_that_close_rest_and_resume(monkeypatch):
+    """Rows of twenty trips out of order; closed ones are put away and come back. Every trip ends as if folded at once."""
+    monkeypatch.setattr(trip_state, "MOST_CLOSED", 2)
+    monkeypatch.setattr(trip_state, "BLOCK_ROWS", 3)
+    dice = np.random.default_rng(11)
+    store, processor = Store(), trip_state.TripProcessor(1000, S.Thresholds(), None)
+    processor.init(store)
+    every, shown, was_away, watermark = [], {}, 0, 0
+    for batch in range(60):
+        n = int(dice.integers(1, 8))
+        second = batch * 10 + dice.integers(0, 15, n)
+        frame = pd.DataFrame({S.KEY: (dice.integers(0, 3, n) + 3 * (batch // 9)) % 20 + 2**60, "second": second.astype(float), "tie": batch * 100.0 + np.arange(n)})
+        for c in ["speed", *S.CHANNELS]:
+            frame[c] = np.where(dice.random(n) < 0.2, np.nan, dice.normal(0, 3, n))
+        frame["event_time"] = pd.to_datetime(frame["second"] * 100, unit="ms")
+        every.append(frame)
+        clock = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        out = list(processor.handleInputRows((0,), iter([frame.iloc[: n // 2], frame.iloc[n // 2 :]]), clock))
+        for at in sorted(t for t in store.timers if t < watermark):
+            out += processor.handleExpiredTimer((0,), clock, types.SimpleNamespace(getExpiryTimeInMs=lambda: at))
+            store.timers.discard(at)
+        for row in pd.concat(out).to_dict("records"):
+            shown[row[S.KEY]] = row
+        was_away = max(was_away, len(store.entries))
+        watermark = max(watermark, int(second.max()) * 100 - 1500)
+    assert was_away > 2 and not any(r["n_late"] for r in shown.values())
+    rows = pd.concat(every)
+    ids, trip = np.unique(rows[S.KEY], return_inverse=True)
+    wide = np.column_stack([*[rows[c] for c in trip_state.LAST], np.zeros(len(rows)), np.arange(len(rows))])
+    whole = trip_state._start(len(ids), 0)
+    for one in range(len(ids)):         # one trip at a time
+        trip_state._fold(whole, *trip_state._sorted(wide[trip == one], trip[trip == one]), S.Thresholds())
+    want = {r[S.KEY]: r for r in trip_state._features(ids, whole, False, S.Thresholds()).to_dict("records")}
+    assert set(shown) == set(want)
+    for key, row in want.items():
+        for c in S.TRIP_FEATURES:
+            assert (pd.isna(row[c]) and pd.isna(shown[key][c])) or shown[key][c] == pytest.approx(row[c], abs=1e-9)
