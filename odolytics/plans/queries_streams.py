@@ -97,7 +97,7 @@ def stream_score(spark, folder):
     batch = trips.trip_features(X.sensor(spark, folder), tiebreak=X.TIEBREAK)
     versions = _stream_features(spark, folder).select("bookingID", *S.SERVING_FEATURES, "n_late", "closed")
     version = ["n_points", "n_late", "closed"]
-    table = jobs.run_to_table(jobs.score(versions, linear_model(batch), keep=version), "stream-scores")
+    table = jobs.run_to_table(jobs.score(versions, linear_model(batch), keep=version), "stream-scores", parts=state_parts(spark))
     shown = [c for c in table.columns if c not in ("bookingID", *version)]
     last = F.max_by(F.struct(*shown), F.struct(*version))
     return rounded(table.groupBy("bookingID").agg(last.alias("s")).select("bookingID", "s.*"))
