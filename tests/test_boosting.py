@@ -138,3 +138,36 @@ def test_a_pass_is_shuffled_into_as_many_parts_as_its_sums_need(spark, monkeypat
     for each in found:
         np.testing.assert_array_equal(each[2], want)
         np.testing.assert_allclose(each[0], found[0][0], atol=1e-9)
+
+
+@pytest.mark.parametrize("given", [{"depth": 3}, {"depth": None, "leaves": 6, "least_rows": 5, "from_average": True}])
+def test_a_table_held_by_one_task_gives_the_trees_of_a_table_passed_over_by_all(spark, monkeypatch, given):
+    rows, s = made(150, 8), Settings(rounds=5, rate=0.3, rows=0.7, columns=0.7, refresh=2, **given)
+    jobs = spark.sparkContext.statusTracker()
+
+    def fit(name):
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            return train_boosted(frame(spark, rows).repartition(5), FEATURES, weight="w", settings=s), len(jobs.getJobIdsForGroup(name))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    held, few = fit("held")
+    monkeypatch.setattr(boosting, "HELD_BYTES", 0)
+    monkeypatch.setattr(boosting, "PASS_BYTES", 1)
+    spread, many = fit("spread")
+    assert few + 2 * s.rounds < many      # its jobs do not follow the trees and their depth
+    for one, other in zip(held.trees, spread.trees, strict=True):
+        assert (one.feature, one.cut, one.left, one.depth) == (other.feature, other.cut, other.left, other.depth)
+        np.testing.assert_allclose(one.value, other.value, atol=1e-12)
+        np.testing.assert_array_equal(one.rows, other.rows)
+
+
+def test_margins_of_a_table_passed_over_by_all_equal_plain_greedy_boosting(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "HELD_BYTES", 0)
+    rows = made(150)
+    s = Settings(rounds=3, rate=0.3, rows=1.0, columns=1.0, depth=4, leaves=9, l1=0.4, least_gain=0.2, positive_scale=2.5, refresh=1)
+    model = train_boosted(frame(spark, rows).repartition(5), FEATURES, weight="w", settings=s)
+    scored = {r["id"]: r["probability_dangerous"] for r in model.probability(frame(spark, rows)).collect()}
+    for r, m in zip(rows, plain(rows, s, weight=True)):
+        assert scored[r[0]] == pytest.approx(1 / (1 + math.exp(-m)), abs=1e-9)

@@ -1,10 +1,13 @@
 """Oversampling, training, search and persistence."""
 
+import functools
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from odolytics.operators import models, oversample, prepare, scoring
+from odolytics.plans import queries_models
 
 FEATURES = ["a", "b"]
 
@@ -159,6 +162,21 @@ def test_experiment_matrix_runs_every_pair(spark):
     assert all(r["threshold"] == 0.5 for r in runs if r["technique"] != "Threshold Tuning")
 
 
+def test_the_registered_matrix_runs_the_full_settings(spark, folder, monkeypatch):
+    """Every family is trained with its own defaults: no round or tree is left out."""
+    seen = {}
+
+    def trainer(name):
+        def train(data, features, label, **given):
+            seen.setdefault(name, []).append(set(given) - {"weight", "scaler"})
+            return models.train_logistic(data, features, label)
+        return train
+
+    monkeypatch.setattr(models, "experiment_matrix", functools.partial(models.experiment_matrix, trainers={n: trainer(n) for n in models.TRAINERS}))
+    assert queries_models.experiment_matrix(spark, folder).count() == 15
+    assert seen == {n: [set()] * 3 for n in models.TRAINERS}
+
+
 def test_searches_score_every_configuration(spark):
     df = clouds(spark)
     grid = models.grid_search(df, FEATURES, c_values=[0.1, 1.0], elastic_c=[1.0], mixes=[0.5], max_iter=50)
